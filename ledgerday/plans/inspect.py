@@ -1,0 +1,30 @@
+"""Plan checks used by the tests: what the physical plan scans and how it joins."""
+
+from __future__ import annotations
+
+import re
+
+from pyspark.sql import DataFrame
+
+
+def physical_plan(df: DataFrame) -> str:
+    """The physical plan as text (the initial plan when AQE is on)."""
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def formatted_plan(df: DataFrame) -> str:
+    return df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.FormattedMode$.MODULE$
+    )
+
+
+def scan_count(df: DataFrame, path_fragment: str) -> int:
+    """How many file scans of a path the plan holds (reused exchanges not counted)."""
+    plan = formatted_plan(df)
+    return len(re.findall(r"Location: \w+ \[[^\]]*" + re.escape(path_fragment), plan))
+
+
+def join_kinds(df: DataFrame) -> set[str]:
+    plan = physical_plan(df)
+    kinds = {"BroadcastNestedLoopJoin", "CartesianProduct", "BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin"}
+    return {k for k in kinds if k in plan}

@@ -54,14 +54,23 @@ def date_spine(spark: SparkSession, start: DateLike, end: DateLike, name: str =
     return spark.range(n).select(F.date_add(F.lit(lo), F.col("id").cast("int")).alias(name))
 
 
+def ledger_bounds(ledger: DataFrame, col: str = "vrdate") -> tuple[dt.date | None, dt.date | None]:
+    """First and last date of the ledger: a one-row partial aggregate; two dates reach the driver."""
+    row = ledger.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
+    return (row["lo"], row["hi"]) if row is not None else (None, None)
+
+
 def ledger_span(ledger: DataFrame, name: str = "report_date", col: str = "vrdate") -> DataFrame:
-    """Every calendar day from the ledger's first to its last date, derived by Spark.
+    """Every calendar day from the ledger's first to its last date.
 
-    A one-row partial aggregate followed by a generator: nothing reaches the
-    driver, and the result has one row per day of the span.
+    Built with ``spark.range`` from the two bounds, so its row count is known
+    on the driver and no branch of a later plan re-scans the ledger for it.
     """
-    bounds = ledger.agg(F.min(col).alias("lo"), F.max(col).alias("hi"))
-    return bounds.select(F.explode(F.sequence("lo", "hi")).alias(name)).where(F.col(name).isNotNull())
+    lo, hi = ledger_bounds(ledger, col)
+    spark = ledger.sparkSession
+    if lo is None:
+        return spark.range(0).select(F.current_date().alias(name))
+    return date_spine(spark, lo, hi, name)
 
 
 def date_text(c: Column) -> Column:

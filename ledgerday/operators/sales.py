@@ -106,9 +106,17 @@ def report_sides(
         month = month_src.groupBy(*keys, prod, F.upper("aum").alias("m_aum")).agg(qty.alias("m_s"), cnt.alias("m_n"))
         return day, month
     if pre_aggregated:
-        day = day_src.select(*keys, "item_name", F.col("aum").alias("d_aum"), F.col("s").alias("d_s"), F.col("n").alias("d_n"))
-    else:
-        day = day_src.groupBy(*keys, "item_name", F.col("aum").alias("d_aum")).agg(qty.alias("d_s"), cnt.alias("d_n"))
+        # Rows are already one per (keys, raw item, unit) and carry product_name.
+        day = day_src.select(
+            *keys, "product_name", F.col("aum").alias("d_aum"), F.col("s").alias("d_s"), F.col("n").alias("d_n")
+        )
+        # product_name is a function of the upper-cased name: grouping by both
+        # forms the same groups as by the upper-cased name alone.
+        month = month_src.groupBy(
+            *keys, "product_name", F.upper("item_name").alias("item_upper"), F.col("aum").alias("m_aum")
+        ).agg(qty.alias("m_s"), cnt.alias("m_n"))
+        return day, month.select(*keys, "product_name", "m_aum", "m_s", "m_n")
+    day = day_src.groupBy(*keys, "item_name", F.col("aum").alias("d_aum")).agg(qty.alias("d_s"), cnt.alias("d_n"))
     day = day.select(*keys, it.product_name("item_name", items).alias("product_name"), "d_aum", "d_s", "d_n")
     month = month_src.groupBy(*keys, F.upper("item_name").alias("item_upper"), F.col("aum").alias("m_aum")).agg(
         qty.alias("m_s"), cnt.alias("m_n")

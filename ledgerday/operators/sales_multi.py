@@ -12,7 +12,14 @@ that one aggregate:
 No nested-loop or range join appears; the expansion is at most 31 rows per
 daily row and runs on the aggregate, not on ledger lines.  The join key is
 the report date, which spreads evenly however the ledger is skewed, and the
-dates side is a calendar (one row per day), which AQE broadcasts.
+dates side is a calendar (one row per day), which AQE broadcasts once its
+run-time size is known (sort-merge join otherwise).
+
+Both sides read the daily aggregate.  Catalyst infers different filters for
+the two branches, so it cannot reuse one exchange for both; the aggregate is
+therefore checkpointed (``materialize=True``) to the shared checkpoint
+folder: the ledger is scanned once, both sides read the small daily table,
+and a lost executor recomputes from the checkpoint, not from the ledger.
 """
 
 from __future__ import annotations
@@ -23,16 +30,24 @@ from pyspark.sql import functions as F
 from ledgerday.functions.dates import DateLike, within
 from ledgerday.operators.sales import join_sides, report_sides, sales_rows, text_columns, typed_columns
 from ledgerday.params import DEFAULT_ITEMS, Items
+from ledgerday.session import scratch_dir
 
 
 def daily_sales(
     ledger: DataFrame, items: Items = DEFAULT_ITEMS, between: tuple[DateLike, DateLike] | None = None
 ) -> DataFrame:
-    """Sum and line count per (vrdate, raw item name, unit): the only pass over ledger lines."""
+    """Sum and line count per (vrdate, raw item name, unit): the only pass over ledger lines.
+
+    ``product_name`` rides along as a grouping key (it is a function of the
+    item name) and the not-null conditions both sides' joins imply are stated
+    here, so Catalyst infers no branch-specific filter and the two sides share
+    one shuffle of this aggregate (a reused exchange) instead of scanning twice.
+    """
     rows = sales_rows(ledger, items)
     if between is not None:
         rows = within(rows, *between)
-    return rows.groupBy("vrdate", "item_name", "aum").agg(
+    rows = rows.where(F.col("vrdate").isNotNull() & F.col("product_name").isNotNull())
+    return rows.groupBy("vrdate", "item_name", "aum", "product_name").agg(
         F.sum("aqtyissued").alias("s"), F.count("vrno").alias("n")
     )
 
@@ -43,12 +58,18 @@ def multi_frame(
     items: Items = DEFAULT_ITEMS,
     by_unit: bool = False,
     between: tuple[DateLike, DateLike] | None = None,
+    materialize: bool = False,
 ) -> DataFrame:
     daily = daily_sales(ledger, items, between)
+    if materialize:
+        scratch_dir(ledger.sparkSession)
+        daily = daily.checkpoint(eager=True)
     wanted = dates.select(F.col("report_date").cast("date").alias("report_date")).distinct()
     day_src = daily.join(wanted, daily["vrdate"] == wanted["report_date"]).drop("vrdate")
     reach = F.explode(F.sequence(F.col("vrdate"), F.last_day(F.col("vrdate"))))
-    month_src = daily.select(reach.alias("report_date"), "item_name", "aum", "s", "n").join(wanted, "report_date")
+    month_src = daily.select(reach.alias("report_date"), "item_name", "aum", "product_name", "s", "n").join(
+        wanted, "report_date"
+    )
     day, month = report_sides(day_src, month_src, ("report_date",), items, by_unit, pre_aggregated=True)
     return join_sides(day, month, ("report_date",), by_unit)
 
@@ -59,13 +80,14 @@ def sales_report_multi(
     items: Items = DEFAULT_ITEMS,
     by_unit: bool = False,
     between: tuple[DateLike, DateLike] | None = None,
+    materialize: bool = False,
 ) -> DataFrame:
     """``sales_report`` for every ``report_date`` of ``dates``, plus a ``report_date`` column.
 
     ``between`` optionally bounds the ledger scan (literal dates, pushed to
     the source); it must cover each report date's whole month-to-date range.
     """
-    frame = multi_frame(ledger, dates, items, by_unit, between)
+    frame = multi_frame(ledger, dates, items, by_unit, between, materialize)
     return frame.select("report_date", *typed_columns(F.dayofmonth("report_date"), items))
 
 
@@ -75,6 +97,7 @@ def sales_report_multi_text(
     items: Items = DEFAULT_ITEMS,
     by_unit: bool = False,
     between: tuple[DateLike, DateLike] | None = None,
+    materialize: bool = False,
 ) -> DataFrame:
-    frame = multi_frame(ledger, dates, items, by_unit, between)
+    frame = multi_frame(ledger, dates, items, by_unit, between, materialize)
     return frame.select("report_date", *text_columns(F.dayofmonth("report_date"), items))

@@ -177,10 +177,12 @@ PENDING = (
 RUN = (
     f"{PENDING}, "
     f"due AS (SELECT report_date FROM pending UNION SELECT {TARGET}), "
+    # count(*) FILTER, not count_if: DuckDB's count_if gives NULL for a group
+    # made only of the NULL-extended row of an unmatched date.
     "rd AS (SELECT due.report_date, "
-    f"count_if(l.item_name = {COAL} AND l.qtyissued > 0) AS coal_rows, "
-    f"count_if(l.item_name = {MAIZE} AND l.qtyissued > 0) AS maize_rows, "
-    f"count_if(l.item_name = {ETH} AND l.qtyrecd > 0) AS ethanol_rows "
+    f"count(*) FILTER (WHERE l.item_name = {COAL} AND l.qtyissued > 0) AS coal_rows, "
+    f"count(*) FILTER (WHERE l.item_name = {MAIZE} AND l.qtyissued > 0) AS maize_rows, "
+    f"count(*) FILTER (WHERE l.item_name = {ETH} AND l.qtyrecd > 0) AS ethanol_rows "
     "FROM due LEFT JOIN ledger l ON l.vrdate = due.report_date AND l.tcode = 'Q' GROUP BY due.report_date), "
     "dec AS (SELECT rd.report_date, c.channel, CASE WHEN NOT (coal_rows > 0 AND maize_rows > 0 AND ethanol_rows > 0) "
     "THEN 'not_ready' WHEN EXISTS (SELECT 1 FROM send_log l WHERE l.channel = c.channel AND l.sent_date = rd.report_date) "

@@ -2,21 +2,22 @@
 
 Steps: dates due (pending look-back of any channel, plus the target date) →
 readiness of those dates (one scan) → alerts and per-channel decisions →
-sales report of every date to send (one scan) → outbox rows → new send log.
+sales report of every date to send (one scan, shared by both sides) →
+outbox rows → new send log.
 
 The ledger scan is bounded by literal dates computed on the driver from
 ``today`` and the look-back, so only the weeks concerned are read (and only
-their month partitions when the ledger is stored by month).  Readiness and
-decisions are checkpointed to the shared checkpoint folder: the outbox and
-the new log must come from the *same* decisions, even if the ledger changes
-between the two writes, and a lost executor then recomputes from the
-checkpoint instead of from the ledger.
+their month partitions when the ledger is stored by month).  Readiness is
+checkpointed to the shared checkpoint folder: the outbox and the new log must
+come from the *same* decisions, even if the ledger changes between the two
+writes, and a lost executor then recomputes from the checkpoint instead of
+from the ledger.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,15 +35,81 @@ from ledgerday.session import scratch_dir
 from ledgerday.sources.sendlog import write_send_log
 
 
-@dataclass
 class DailyRun:
-    dates: DataFrame
-    readiness: DataFrame
-    alerts: DataFrame
-    decisions: DataFrame
-    outbox: DataFrame
-    reports: DataFrame
-    log: DataFrame
+    """The outputs of one run; each is built on first access and then kept.
+
+    ``readiness`` — the only output read from the ledger — is checkpointed
+    (eagerly, to the shared checkpoint folder), so alerts, decisions, outbox
+    and new log all derive from the same values; the send log is only read
+    (the new one goes to a new path), so nothing else can change under them.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        ledger: DataFrame,
+        contacts: DataFrame,
+        log: DataFrame,
+        today: DateLike,
+        items: Items = DEFAULT_ITEMS,
+        opts: RunOptions = RunOptions(),
+        checkpoint: bool = True,
+    ) -> None:
+        self.spark, self.ledger, self.contacts, self.log = spark, ledger, contacts, log
+        self.today, self.items, self.opts, self.checkpoint = as_date(today), items, opts, checkpoint
+        self.window = run_window(today, opts)
+
+    def _keep(self, df: DataFrame) -> DataFrame:
+        if not self.checkpoint:
+            return df
+        scratch_dir(self.spark)
+        return df.checkpoint(eager=True)
+
+    @cached_property
+    def dates(self) -> DataFrame:
+        o = self.opts
+        return dates_to_process(self.spark, self.log, self.today, o.max_days_back, o.channels, o.date_offset)
+
+    @cached_property
+    def readiness(self) -> DataFrame:
+        return self._keep(report_readiness(self.ledger, self.dates, self.items, between=self.window))
+
+    @cached_property
+    def alerts(self) -> DataFrame:
+        return availability_alerts(self.readiness, self.opts.alert_materials)
+
+    @cached_property
+    def decisions(self) -> DataFrame:
+        return send_decisions(self.readiness, self.log, self.opts.channels)
+
+    @cached_property
+    def recipients(self) -> DataFrame:
+        return report_recipients(self.contacts, self.opts.reports)
+
+    @cached_property
+    def outbox(self) -> DataFrame:
+        o = self.opts
+        return message_outbox(self.alerts, self.decisions, self.recipients, o.reports, o.report_channel)
+
+    @cached_property
+    def reports(self) -> DataFrame:
+        """Sales report rows of every date whose report channel decided ``send``."""
+        o = self.opts
+        to_report = self.decisions.where(
+            (F.col("channel") == o.report_channel) & (F.col("decision") == "send")
+        ).select("report_date")
+        lo, hi = self.window
+        return sales_report_multi(
+            self.ledger, to_report, self.items, between=(lo.replace(day=1), hi)
+        )
+
+    @cached_property
+    def log_rows(self) -> DataFrame:
+        """The new send log: every channel's ``send`` dates appended, then retention."""
+        sent = self.decisions.where(F.col("decision") == "send").select(
+            "channel", F.col("report_date").alias("sent_date")
+        )
+        return send_log_append(self.log, sent, self.opts.retain)
 
 
 def run_window(today: DateLike, opts: RunOptions) -> tuple[dt.date, dt.date]:
@@ -63,24 +130,7 @@ def daily_run(
     opts: RunOptions = RunOptions(),
     checkpoint: bool = True,
 ) -> DailyRun:
-    lo, hi = run_window(today, opts)
-    due = dates_to_process(spark, log, today, opts.max_days_back, opts.channels, opts.date_offset)
-    readiness = report_readiness(ledger, due, items, between=(lo, hi))
-    decisions = send_decisions(readiness, log, opts.channels)
-    if checkpoint:
-        scratch_dir(spark)
-        readiness = readiness.checkpoint()
-        decisions = decisions.checkpoint()
-    alerts = availability_alerts(readiness, opts.alert_materials)
-    recipients = report_recipients(contacts, opts.reports)
-    outbox = message_outbox(alerts, decisions, recipients, opts.reports, opts.report_channel)
-    to_report = decisions.where(
-        (F.col("channel") == opts.report_channel) & (F.col("decision") == "send")
-    ).select("report_date")
-    reports = sales_report_multi(ledger, to_report, items, between=(lo.replace(day=1), hi))
-    sent = decisions.where(F.col("decision") == "send").select("channel", F.col("report_date").alias("sent_date"))
-    new_log = send_log_append(log, sent, opts.retain)
-    return DailyRun(due, readiness, alerts, decisions, outbox, reports, new_log)
+    return DailyRun(spark, ledger, contacts, log, today, items, opts, checkpoint)
 
 
 def write_daily_run(run: DailyRun, out_dir: str, log_path: str) -> None:
@@ -90,4 +140,4 @@ def write_daily_run(run: DailyRun, out_dir: str, log_path: str) -> None:
     """
     run.reports.write.mode("errorifexists").partitionBy("report_date").parquet(f"{out_dir}/reports")
     run.outbox.write.mode("errorifexists").partitionBy("report_date").parquet(f"{out_dir}/outbox")
-    write_send_log(run.log, log_path)
+    write_send_log(run.log_rows, log_path)

@@ -142,7 +142,7 @@ def _run(spark, sf):
 
 
 def q_send_log_append(spark, sf):
-    return _run(spark, sf).log
+    return _run(spark, sf).log_rows
 
 
 def q_message_outbox(spark, sf):

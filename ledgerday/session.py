@@ -19,6 +19,8 @@ _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    # Checkpoints are written to the shared folder; drop them once unreferenced.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

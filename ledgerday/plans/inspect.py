@@ -13,9 +13,9 @@ def physical_plan(df: DataFrame) -> str:
 
 
 def formatted_plan(df: DataFrame) -> str:
-    return df._jdf.queryExecution().explainString(
-        df.sparkSession._jvm.org.apache.spark.sql.execution.FormattedMode$.MODULE$
-    )
+    """What ``df.explain("formatted")`` prints, as a string."""
+    jvm = df.sparkSession.sparkContext._jvm
+    return jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
 
 
 def scan_count(df: DataFrame, path_fragment: str) -> int:

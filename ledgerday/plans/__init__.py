@@ -1,0 +1,5 @@
+"""Composite jobs and plan inspection."""
+
+from ledgerday.plans.daily_run import DailyRun, daily_run, run_window, write_daily_run
+
+__all__ = ["DailyRun", "daily_run", "run_window", "write_daily_run"]

@@ -76,3 +76,42 @@ def write_send_log(log: DataFrame, path: str, mode: str = "errorifexists") -> No
     Write to a new path: a job must not overwrite the folder it is reading.
     """
     send_log_documents(log).write.mode(mode).partitionBy("channel").json(path)
+
+
+# --- versioned store: each run writes a new version, readers take the newest complete one.
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def log_versions(spark: SparkSession, base: str, complete_only: bool = True) -> list[int]:
+    """Versions (``v=<n>`` folders; with ``_SUCCESS`` when ``complete_only``) under ``base``, oldest first."""
+    fs, root = _fs(spark, base)
+    if not fs.exists(root):
+        return []
+    out = []
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith("v=") and name[2:].isdigit():
+            if not complete_only or fs.exists(status.getPath().suffix("/_SUCCESS")):
+                out.append(int(name[2:]))
+    return sorted(out)
+
+
+def read_latest_send_log(spark: SparkSession, base: str) -> DataFrame:
+    """The newest complete version; a version left half-written by a failed run is ignored."""
+    versions = log_versions(spark, base)
+    return read_send_log(spark, f"{base.rstrip('/')}/v={versions[-1]}") if versions else empty_send_log(spark)
+
+
+def write_next_send_log(spark: SparkSession, log: DataFrame, base: str) -> str:
+    """Write ``log`` as the next version (never overwrites the version it was read from).
+
+    The number skips past versions a failed run left incomplete.
+    """
+    versions = log_versions(spark, base, complete_only=False)
+    path = f"{base.rstrip('/')}/v={(versions[-1] + 1) if versions else 0}"
+    write_send_log(log, path)
+    return path

@@ -89,3 +89,17 @@ def test_pending_and_dates_to_process(spark, log_of):
     full = log_of([(c, f"2024-03-0{d}", d) for c in ("email", "whatsapp") for d in (7, 8, 9)])
     # The target date is processed even when every channel has sent it.
     assert [r.report_date for r in dates_to_process(spark, full, "2024-03-10", 3).collect()] == [D("2024-03-09")]
+
+
+def test_versioned_store_skips_incomplete_versions(spark, log_of):
+    from ledgerday.sources.sendlog import log_versions, read_latest_send_log, write_next_send_log
+
+    base = scratch_path(spark, "logstore")
+    assert read_latest_send_log(spark, base).count() == 0
+    write_next_send_log(spark, log_of([("email", "2024-03-01", 0)]), base)
+    write_next_send_log(spark, log_of([("email", "2024-03-01", 0), ("email", "2024-03-02", 1)]), base)
+    os.makedirs(base.replace("file:", "") + "/v=2")  # a run that died before committing
+    assert log_versions(spark, base) == [0, 1]
+    assert read_latest_send_log(spark, base).count() == 2
+    assert write_next_send_log(spark, log_of([("email", "2024-03-03", 0)]), base).endswith("v=3")
+    assert [r.sent_date for r in read_latest_send_log(spark, base).collect()] == [D("2024-03-03")]

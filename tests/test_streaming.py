@@ -1,0 +1,31 @@
+"""The streaming readiness equals the batch readiness when files arrive in date order."""
+
+from __future__ import annotations
+
+from conftest import SF_SMALL
+from pyspark.sql import functions as F
+
+from ledgerday.operators.availability import report_readiness
+from ledgerday.session import scratch_path
+from ledgerday.sources.fixtures import FIXTURE_ITEMS, fixture_ledger
+from ledgerday.streaming.readiness import latest_readiness, start_readiness_stream
+
+SPLIT = "1998-03-10"
+
+
+def test_stream_matches_batch(spark):
+    ledger = fixture_ledger(spark, SF_SMALL)
+    src = scratch_path(spark, "ledger-arrivals")
+    ledger.where(F.col("vrdate") < SPLIT).coalesce(1).write.parquet(f"{src}/part1")
+    ledger.where(F.col("vrdate") >= SPLIT).coalesce(1).write.parquet(f"{src}/part2")
+    out, ckpt = scratch_path(spark, "readiness"), scratch_path(spark, "readiness-ckpt")
+    query = start_readiness_stream(
+        spark, f"{src}/*/*.parquet", out, ckpt, FIXTURE_ITEMS, lookback_days=7, max_files_per_trigger=1
+    )
+    query.awaitTermination(300)
+    assert query.exception() is None
+    got = {tuple(r) for r in latest_readiness(spark, out).collect()}
+    items = F.col("item_name").isin(FIXTURE_ITEMS.coal, FIXTURE_ITEMS.maize, FIXTURE_ITEMS.ethanol)
+    expected = report_readiness(ledger.where(items), items=FIXTURE_ITEMS)
+    assert got == {tuple(r) for r in expected.collect()}
+    assert spark.read.parquet(out).select("batch_id").distinct().count() == 2

@@ -155,17 +155,25 @@ BY_UNIT_SIDES = (
     f"FROM sales WHERE vrdate BETWEEN {MS} AND {D} GROUP BY 1, 2)"
 )
 
-MULTI_SIDES = (
-    f"{SALES}, "
+def multi_sides(dates_cte: str) -> str:
+    """Day and month sides for every date of a ``dates(report_date)`` CTE, on raw sales lines."""
+    return (
+        f"{SALES}, {dates_cte}, "
+        f"d AS (SELECT t.report_date, {prod('item_name')} AS product_name, aum AS d_aum, sum(aqtyissued) AS d_s, "
+        "count(vrno) AS d_n FROM sales JOIN dates t ON sales.vrdate = t.report_date GROUP BY t.report_date, item_name, aum), "
+        "mu AS (SELECT t.report_date, upper(item_name) AS iu, aum AS m_aum, sum(aqtyissued) AS m_s, count(vrno) AS m_n "
+        "FROM sales JOIN dates t ON sales.vrdate BETWEEN CAST(date_trunc('month', t.report_date) AS DATE) AND t.report_date "
+        "GROUP BY t.report_date, upper(item_name), aum), "
+        f"m AS (SELECT report_date, {prod('iu')} AS product_name, m_aum, m_s, m_n FROM mu)"
+    )
+
+
+ALL_DATES = (
     "dates AS (SELECT CAST(unnest(generate_series(CAST(min(vrdate) AS TIMESTAMP), CAST(max(vrdate) AS TIMESTAMP), "
-    "INTERVAL 1 DAY)) AS DATE) AS report_date FROM ledger), "
-    f"d AS (SELECT t.report_date, {prod('item_name')} AS product_name, aum AS d_aum, sum(aqtyissued) AS d_s, "
-    "count(vrno) AS d_n FROM sales JOIN dates t ON sales.vrdate = t.report_date GROUP BY t.report_date, item_name, aum), "
-    "mu AS (SELECT t.report_date, upper(item_name) AS iu, aum AS m_aum, sum(aqtyissued) AS m_s, count(vrno) AS m_n "
-    "FROM sales JOIN dates t ON sales.vrdate BETWEEN CAST(date_trunc('month', t.report_date) AS DATE) AND t.report_date "
-    "GROUP BY t.report_date, upper(item_name), aum), "
-    f"m AS (SELECT report_date, {prod('iu')} AS product_name, m_aum, m_s, m_n FROM mu)"
+    "INTERVAL 1 DAY)) AS DATE) AS report_date FROM ledger)"
 )
+MULTI_SIDES = multi_sides(ALL_DATES)
+MULTI_JOIN = "FROM m LEFT JOIN d ON m.report_date = d.report_date AND m.product_name = d.product_name"
 
 # The daily job for today = 1998-03-20, look-back 7, target 1998-03-19.
 PENDING = (
@@ -237,9 +245,10 @@ APPEND = (
 )
 
 
-def text_select(day: str) -> str:
+def text_select(day: str, keys: str = "") -> str:
+    k = f"m.{keys}, " if keys else ""
     return (
-        "SELECT m.product_name, "
+        f"SELECT {k}m.product_name, "
         f"CASE WHEN d.product_name IS NULL THEN '0' ELSE {tot_text('d.d_s', 'd.d_aum')} END AS qty, "
         "CASE WHEN coalesce(d.d_n, 0) = 0 THEN '' ELSE CAST(d.d_n AS VARCHAR) END AS no_of_trucks, "
         f"{tot_text('m.m_s', 'm.m_aum')} || '/ ' || {avg_text('m.m_s', 'm.m_aum', day)} AS tot_avg_qty, "
@@ -282,11 +291,8 @@ ORACLE_SQL: dict[str, str] = {
         report_select(DAY) + "FROM m LEFT JOIN d ON m.product_name = d.product_name AND m.m_aum IS NOT DISTINCT FROM d.d_aum",
     ),
     "sales_report_text": _q(SINGLE_SIDES, text_select(DAY) + "FROM m LEFT JOIN d ON m.product_name = d.product_name"),
-    "sales_report_multi": _q(
-        MULTI_SIDES,
-        report_select("day(m.report_date)", "report_date")
-        + "FROM m LEFT JOIN d ON m.report_date = d.report_date AND m.product_name = d.product_name",
-    ),
+    "sales_report_multi": _q(MULTI_SIDES, report_select("day(m.report_date)", "report_date") + MULTI_JOIN),
+    "sales_report_multi_text": _q(MULTI_SIDES, text_select("day(m.report_date)", "report_date") + MULTI_JOIN),
     "report_calendar": _q(
         "",
         "SELECT DISTINCT vrdate AS report_date, strftime(vrdate, '%d/%m/%Y') AS date_text, "
@@ -315,6 +321,12 @@ ORACLE_SQL: dict[str, str] = {
         f"SELECT channel, sent_date, seq FROM ranked WHERE rn <= {RETAIN} OR channel NOT IN (SELECT channel FROM base)",
     ),
     "recipient_contacts": _q("", RECIPIENT_CONTACTS),
+    "daily_run_decisions": _q(RUN, "SELECT report_date, channel, decision FROM dec"),
+    "daily_run_reports": _q(
+        f"{RUN}, "
+        + multi_sides("dates AS (SELECT report_date FROM dec WHERE channel = 'email' AND decision = 'send')"),
+        report_select("day(m.report_date)", "report_date") + MULTI_JOIN,
+    ),
     "report_recipients": _q(RECIPIENTS, "SELECT * FROM rec"),
     "message_outbox": _q(
         f"{RUN}, {RECIPIENTS}, {MESSAGES}",

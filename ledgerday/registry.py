@@ -107,6 +107,11 @@ def q_sales_report_multi(spark, sf):
     return sm.sales_report_multi(ledger, ledger_span(ledger), ITEMS)
 
 
+def q_sales_report_multi_text(spark, sf):
+    ledger = _ledger(spark, sf)
+    return sm.sales_report_multi_text(ledger, ledger_span(ledger), ITEMS)
+
+
 def q_report_calendar(spark, sf):
     dates = _ledger(spark, sf).select(F.col("vrdate").alias("report_date")).distinct()
     return cal.report_calendar(dates)
@@ -149,6 +154,14 @@ def q_message_outbox(spark, sf):
     return _run(spark, sf).outbox
 
 
+def q_daily_run_decisions(spark, sf):
+    return _run(spark, sf).decisions
+
+
+def q_daily_run_reports(spark, sf):
+    return _run(spark, sf).reports
+
+
 def q_recipient_contacts(spark, sf):
     return ct.recipient_contacts(fx.fixture_contacts(spark, sf), RUN.reports)
 
@@ -181,4 +194,8 @@ QUERIES: dict[str, Query] = {
     "report_recipients": q_report_recipients,
     "message_outbox": q_message_outbox,
     "recipient_contacts": q_recipient_contacts,
+    # The daily job's own outputs and the text form of the multi-date report.
+    "sales_report_multi_text": q_sales_report_multi_text,
+    "daily_run_decisions": q_daily_run_decisions,
+    "daily_run_reports": q_daily_run_reports,
 }

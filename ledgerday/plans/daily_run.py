@@ -32,7 +32,7 @@ from ledgerday.operators.sales_multi import sales_report_multi
 from ledgerday.operators.sendlog import send_log_append
 from ledgerday.params import DEFAULT_ITEMS, Items, RunOptions
 from ledgerday.session import scratch_dir
-from ledgerday.sources.sendlog import write_send_log
+from ledgerday.sources.sendlog import write_next_send_log
 
 
 class DailyRun:
@@ -133,11 +133,15 @@ def daily_run(
     return DailyRun(spark, ledger, contacts, log, today, items, opts, checkpoint)
 
 
-def write_daily_run(run: DailyRun, out_dir: str, log_path: str) -> None:
-    """Write report rows and outbox first; the new log only once both succeeded.
+def write_daily_run(run: DailyRun, out_dir: str, log_base: str) -> str:
+    """Write report rows and outbox, then — only once both succeeded — the new send log.
 
-    ``log_path`` must be a new folder (the run reads the current log).
+    The run's own folders are overwritten, so a run that failed part-way can
+    simply be repeated; they are never inputs.  The log goes to the next
+    version under ``log_base`` (see :func:`write_next_send_log`): the version
+    the run read stays in force until the new one is complete.  Returns the
+    new log version's path.
     """
-    run.reports.write.mode("errorifexists").partitionBy("report_date").parquet(f"{out_dir}/reports")
-    run.outbox.write.mode("errorifexists").partitionBy("report_date").parquet(f"{out_dir}/outbox")
-    write_send_log(run.log_rows, log_path)
+    run.reports.write.mode("overwrite").partitionBy("report_date").parquet(f"{out_dir}/reports")
+    run.outbox.write.mode("overwrite").partitionBy("report_date").parquet(f"{out_dir}/outbox")
+    return write_next_send_log(run.spark, run.log_rows, log_base)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame
 
 
@@ -19,9 +17,8 @@ def formatted_plan(df: DataFrame) -> str:
 
 
 def scan_count(df: DataFrame, path_fragment: str) -> int:
-    """How many file scans of a path the plan holds (reused exchanges not counted)."""
-    plan = formatted_plan(df)
-    return len(re.findall(r"Location: \w+ \[[^\]]*" + re.escape(path_fragment), plan))
+    """File scans of a path in the physical plan (a reused exchange is not a scan)."""
+    return sum(1 for line in physical_plan(df).splitlines() if "FileScan" in line and path_fragment in line)
 
 
 def join_kinds(df: DataFrame) -> set[str]:

@@ -10,7 +10,7 @@ from ledgerday.params import RunOptions
 from ledgerday.plans.daily_run import daily_run, write_daily_run
 from ledgerday.session import scratch_path
 from ledgerday.sources.fixtures import FIXTURE_ITEMS, fixture_contacts, fixture_ledger, fixture_send_log
-from ledgerday.sources.sendlog import read_send_log
+from ledgerday.sources.sendlog import read_latest_send_log
 
 
 def test_daily_run_and_rerun(spark):
@@ -33,10 +33,11 @@ def test_daily_run_and_rerun(spark):
     assert {r.report_date for r in run.reports.select("report_date").distinct().collect()} == set(sends)
 
     out = scratch_path(spark, "run")
-    new_log_path = scratch_path(spark, "log")
-    write_daily_run(run, out, new_log_path)
+    log_base = scratch_path(spark, "log")
+    write_daily_run(run, out, log_base)
+    assert write_daily_run(run, out, log_base).endswith("v=1")  # repeating a run is safe
     assert spark.read.parquet(f"{out}/outbox").count() == run.outbox.count()
-    new_log = read_send_log(spark, new_log_path)
+    new_log = read_latest_send_log(spark, log_base)
     sizes = {r.channel: r["count"] for r in new_log.groupBy("channel").count().collect()}
     before = {r.channel: r["count"] for r in log.groupBy("channel").count().collect()}
     grew = {r.channel for r in run.decisions.where("decision = 'send'").collect()}

@@ -10,7 +10,7 @@ from ledgerday.operators import availability as A
 from ledgerday.operators import sales as S
 from ledgerday.operators.sales_multi import sales_report_multi
 from ledgerday.operators.sendlog import send_log_retained
-from ledgerday.plans.inspect import formatted_plan, join_kinds, physical_plan
+from ledgerday.plans.inspect import formatted_plan, join_kinds, physical_plan, scan_count
 from ledgerday.session import scratch_path
 from ledgerday.sources.fixtures import FIXTURE_ITEMS, fixture_ledger, fixture_send_log
 from ledgerday.sources.ledger import read_ledger, write_ledger
@@ -24,21 +24,16 @@ def static_plans(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
-def _scans(plan: str, table: str) -> int:
-    return sum(1 for line in plan.splitlines() if "FileScan" in line and table in line)
-
-
 def test_readiness_scans_once(spark, static_plans):
     df = A.report_readiness(fixture_ledger(spark, SF_SMALL), items=FIXTURE_ITEMS)
-    assert _scans(physical_plan(df), "lineitem.parquet") == 1
+    assert scan_count(df, "lineitem.parquet") == 1
 
 
 def test_multi_scans_once_without_nested_loops(spark, static_plans):
     ledger = fixture_ledger(spark, SF_SMALL)
     df = sales_report_multi(ledger, ledger_span(ledger), FIXTURE_ITEMS)
-    plan = physical_plan(df)
-    assert _scans(plan, "lineitem.parquet") == 1
-    assert "ReusedExchange" in plan
+    assert scan_count(df, "lineitem.parquet") == 1
+    assert "ReusedExchange" in physical_plan(df)
     assert not join_kinds(df) & {"BroadcastNestedLoopJoin", "CartesianProduct"}
 
 

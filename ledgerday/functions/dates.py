@@ -61,16 +61,15 @@ def ledger_bounds(ledger: DataFrame, col: str = "vrdate") -> tuple[dt.date | Non
 
 
 def ledger_span(ledger: DataFrame, name: str = "report_date", col: str = "vrdate") -> DataFrame:
-    """Every calendar day from the ledger's first to its last date.
+    """Every calendar day from the ledger's first to its last date, derived by Spark.
 
-    Built with ``spark.range`` from the two bounds, so its row count is known
-    on the driver and no branch of a later plan re-scans the ledger for it.
+    A one-row partial aggregate and a generator: nothing reaches the driver,
+    and the bounds are computed in the same job as the query that uses the
+    spine (a stage running beside the main scan).  AQE sees the spine's
+    run-time size — one row per day — and broadcasts it.
     """
-    lo, hi = ledger_bounds(ledger, col)
-    spark = ledger.sparkSession
-    if lo is None:
-        return spark.range(0).select(F.current_date().alias(name))
-    return date_spine(spark, lo, hi, name)
+    bounds = ledger.agg(F.min(col).alias("lo"), F.max(col).alias("hi"))
+    return bounds.select(F.explode(F.sequence("lo", "hi")).alias(name))
 
 
 def date_text(c: Column) -> Column:

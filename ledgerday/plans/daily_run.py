@@ -54,10 +54,15 @@ class DailyRun:
         items: Items = DEFAULT_ITEMS,
         opts: RunOptions = RunOptions(),
         checkpoint: bool = True,
+        only_dates: list[DateLike] | None = None,
     ) -> None:
         self.spark, self.ledger, self.contacts, self.log = spark, ledger, contacts, log
         self.today, self.items, self.opts, self.checkpoint = as_date(today), items, opts, checkpoint
-        self.window = run_window(today, opts)
+        self.only_dates = sorted({as_date(d) for d in only_dates}) if only_dates else None
+        if self.only_dates:
+            self.window = (self.only_dates[0], self.only_dates[-1])
+        else:
+            self.window = run_window(today, opts)
 
     def _keep(self, df: DataFrame) -> DataFrame:
         if not self.checkpoint:
@@ -67,6 +72,10 @@ class DailyRun:
 
     @cached_property
     def dates(self) -> DataFrame:
+        """The dates due: pending look-back plus target, or exactly ``only_dates`` when given."""
+        if self.only_dates:
+            rows = [(d,) for d in self.only_dates]
+            return self.spark.createDataFrame(rows, "report_date date")
         o = self.opts
         return dates_to_process(self.spark, self.log, self.today, o.max_days_back, o.channels, o.date_offset)
 
@@ -129,8 +138,10 @@ def daily_run(
     items: Items = DEFAULT_ITEMS,
     opts: RunOptions = RunOptions(),
     checkpoint: bool = True,
+    only_dates: list[DateLike] | None = None,
 ) -> DailyRun:
-    return DailyRun(spark, ledger, contacts, log, today, items, opts, checkpoint)
+    """The daily job for ``today``; ``only_dates`` processes exactly those dates instead."""
+    return DailyRun(spark, ledger, contacts, log, today, items, opts, checkpoint, only_dates)
 
 
 def write_daily_run(run: DailyRun, out_dir: str, log_base: str) -> str:

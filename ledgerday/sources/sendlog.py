@@ -115,3 +115,17 @@ def write_next_send_log(spark: SparkSession, log: DataFrame, base: str) -> str:
     path = f"{base.rstrip('/')}/v={(versions[-1] + 1) if versions else 0}"
     write_send_log(log, path)
     return path
+
+
+# File names of the one-file-per-channel log layout.
+REFERENCE_LOG_FILES = {"email": "email_log.json", "whatsapp": "whatsapp_log.json"}
+
+
+def read_log_folder(spark: SparkSession, folder: str) -> DataFrame:
+    """Read a folder holding ``email_log.json`` and ``whatsapp_log.json`` (either may be missing)."""
+    return read_send_log(spark, {c: f"{folder.rstrip('/')}/{f}" for c, f in REFERENCE_LOG_FILES.items()})
+
+
+def import_log_folder(spark: SparkSession, folder: str, base: str) -> str:
+    """Start a versioned log store from such a folder; returns the version written."""
+    return write_next_send_log(spark, read_log_folder(spark, folder), base)

@@ -50,3 +50,26 @@ def test_daily_run_and_rerun(spark):
         run.decisions.where("decision = 'send'"), ["report_date", "channel"], "left_semi"
     )
     assert resend.count() == 0
+
+
+def test_command_line_job(spark, tmp_path):
+    import json as _json
+
+    from ledgerday.__main__ import main
+    from ledgerday.sources.ledger import write_ledger
+
+    ledger_dir, contacts_dir = scratch_path(spark, "cli-ledger"), scratch_path(spark, "cli-contacts")
+    write_ledger(fixture_ledger(spark, SF_CHECK), ledger_dir)
+    fixture_contacts(spark, SF_CHECK).write.parquet(contacts_dir)
+    folder = tmp_path / "logs"
+    folder.mkdir()
+    sent = sorted({r.sent_date.isoformat() for r in fixture_send_log(spark, SF_CHECK).where("channel = 'email'").collect()})
+    (folder / "email_log.json").write_text(_json.dumps({"sentDates": sent}, indent=2))
+    log_base, out = scratch_path(spark, "cli-log"), scratch_path(spark, "cli-out")
+    args = ["--ledger", ledger_dir, "--contacts", contacts_dir, "--log-base", log_base, "--out", out,
+            "--import-log-folder", str(folder), "--today", "1998-03-20", "--retain", "10"]
+    summary = main(args)
+    assert summary["dates"] >= 1 and summary["log"].endswith("v=1")
+    # One-date mode, as for a single report date.
+    one = main(args[:-6] + ["--date", "1998-03-05", "--today", "1998-03-20"])
+    assert one["dates"] == 1

@@ -126,3 +126,20 @@ def test_month_start_override(ledger_of):
 def test_lower_case_ethanol_is_sold_as_ethanol(ledger_of):
     led = ledger_of([dict(vrdate="2024-03-05", item_name=ETHANOL_ITEM.lower(), aqtyissued=1000)])
     assert [r.product_name for r in S.sales_report(led, "2024-03-05").collect()] == ["ETHANOL"]
+
+
+def test_zero_sums_in_tonnes_and_litres(ledger_of):
+    day = "2024-03-05"
+    led = ledger_of(
+        [
+            dict(vrdate=day, item_name="Z", aum="KGS", aqtyissued=0),
+            dict(vrdate=day, item_name="Y", aum="LTR", aqtyissued=0),
+            dict(vrdate=day, item_name="Y", aum="LTR", aqtyissued=-2.5),
+            dict(vrdate=day, item_name="Y", aum="LTR", aqtyissued=2.5),
+        ]
+    )
+    got = {r.product_name: tuple(r)[1:] for r in S.sales_report_text(led, day).collect()}
+    assert got == {
+        "Z": ("0 MT", "1", "0 MT/ 0 MT", "1/ 0"),
+        "Y": ("0 LTR", "3", "0 LTR/ 0 LTR", "3/ 1"),
+    }

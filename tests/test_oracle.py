@@ -22,7 +22,7 @@ EXPECTED_ROWS = {
         "maize_availability": 2102,
         "ethanol_receipts": 1939,
         "report_readiness": 2499,
-        "pending_dates": 9,
+        "pending_dates": 8,
         "ledger_normalised": 60000,
     },
 }

@@ -2,8 +2,13 @@
 
 One pass over the contact table: each usable row yields one row per role it
 holds for its own report (``to`` by the report's own flag, ``cc``, ``bcc``).
-The comma-joined lists group by report name; addresses are sorted so that
-the result is deterministic, and duplicates are kept.
+That long form is the distributed product.  The comma-joined header lists are
+cut into parts of at most ``max_recipients`` addresses, by position in
+address order: a report's contacts can be a large share of the table, and a
+header is never built from more than one part's rows, so no task gathers a
+whole report.  Addresses are sorted so that the result is deterministic, and
+duplicates are kept.  Lists up to ``max_recipients`` give a single part 0 —
+the reference's one message per report.
 """
 
 from __future__ import annotations
@@ -11,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerday.constants import MAX_RECIPIENTS
+from ledgerday.operators.positions import group_positions
 from ledgerday.params import DEFAULT_REPORTS, Report
 
 ROLES = ("to", "cc", "bcc")
@@ -36,17 +43,47 @@ def recipient_contacts(contacts: DataFrame, reports: tuple[Report, ...] = DEFAUL
     return rows.select("report_name", F.explode(F.filter(roles, lambda r: r.isNotNull())).alias("role"), "email")
 
 
-def report_recipients(contacts: DataFrame, reports: tuple[Report, ...] = DEFAULT_REPORTS) -> DataFrame:
-    """``report_name, to_list, cc_list, bcc_list``: one row per configured report, ``''`` when empty."""
-    long = recipient_contacts(contacts, reports)
-    lists = long.groupBy("report_name").agg(
-        *[
-            F.array_join(F.array_sort(F.collect_list(F.when(F.col("role") == r, F.col("email")))), ",").alias(f"{r}_list")
-            for r in ROLES
-        ]
+def recipient_batches(
+    contacts: DataFrame,
+    reports: tuple[Report, ...] = DEFAULT_REPORTS,
+    max_recipients: int = MAX_RECIPIENTS,
+) -> DataFrame:
+    """``report_name, role, part, addresses``: part ``p`` holds positions ``p*max .. p*max+max-1`` in address order."""
+    positioned = group_positions(recipient_contacts(contacts, reports), ["report_name", "role"], "email")
+    part = F.floor(F.col("pos") / F.lit(max_recipients)).cast("long").alias("part")
+    # Each group is one part: at most ``max_recipients`` rows.
+    return positioned.groupBy("report_name", "role", part).agg(
+        F.array_join(F.array_sort(F.collect_list("email")), ",").alias("addresses")
+    )
+
+
+def report_recipients(
+    contacts: DataFrame,
+    reports: tuple[Report, ...] = DEFAULT_REPORTS,
+    max_recipients: int = MAX_RECIPIENTS,
+) -> DataFrame:
+    """``report_name, part, to_list, cc_list, bcc_list, has_to``: every configured report has a part 0.
+
+    Part ``p`` carries the ``p``-th batch of each role (``''`` once a role is
+    exhausted); ``has_to`` tells whether the report has any "to" address.
+    """
+    batches = recipient_batches(contacts, reports, max_recipients)
+    lists = batches.groupBy("report_name", "part").agg(
+        *[F.max(F.when(F.col("role") == r, F.col("addresses"))).alias(f"{r}_list") for r in ROLES]
     )
     spark = contacts.sparkSession
-    names = spark.createDataFrame([(r.report_name,) for r in reports], "report_name string")
-    return names.join(lists, "report_name", "left").select(
-        "report_name", *[F.coalesce(F.col(f"{r}_list"), F.lit("")).alias(f"{r}_list") for r in ROLES]
+    # One row per configured report: a bounded build side.
+    names = spark.createDataFrame([(r.report_name, 0) for r in reports], "report_name string, part long")
+    has_to = names.join(
+        batches.where((F.col("role") == "to") & (F.col("part") == 0)).select("report_name"), "report_name", "left_semi"
+    ).select("report_name", F.lit(True).alias("has_to"))
+    return (
+        lists.join(names, ["report_name", "part"], "full")
+        .join(F.broadcast(has_to), "report_name", "left")
+        .select(
+            "report_name",
+            "part",
+            *[F.coalesce(F.col(f"{r}_list"), F.lit("")).alias(f"{r}_list") for r in ROLES],
+            F.coalesce(F.col("has_to"), F.lit(False)).alias("has_to"),
+        )
     )

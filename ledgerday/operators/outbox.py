@@ -2,8 +2,9 @@
 
 Messages are the availability alerts (one per date and missing material)
 and the sales report of every date whose mail channel decided ``send``.
-Each carries its report's recipient lists and subject; ``deliverable`` is
-false when the "to" list is empty.
+Each carries its report's recipient lists and subject; a report whose lists
+run over several parts (see :func:`report_recipients`) gives one message per
+part.  ``deliverable`` is false when the report has no "to" address.
 """
 
 from __future__ import annotations
@@ -42,15 +43,18 @@ def message_outbox(
         _lookup(F.col("kind"), [(r.kind, r.report_name) for r in reports]).alias("report_name"),
         _lookup(F.col("kind"), [(r.kind, r.subject) for r in reports]).alias("_title"),
     )
-    # One recipients row per configured report: a fixed, tiny build side.
-    joined = msgs.join(F.broadcast(recipients), "report_name", "left")
-    to_list = F.coalesce(F.col("to_list"), F.lit(""))
+    # The messages are the build side: at most (dates x report kinds) rows, a
+    # calendar bound, while the recipient parts grow with the contact table and
+    # stay where they are (no shuffle of them, no hot report key).  Every
+    # configured report has a part 0, so the inner join keeps every message.
+    joined = F.broadcast(msgs).join(recipients, "report_name")
     return joined.select(
         "report_date",
         "kind",
-        to_list.alias("to_list"),
-        F.coalesce(F.col("cc_list"), F.lit("")).alias("cc_list"),
-        F.coalesce(F.col("bcc_list"), F.lit("")).alias("bcc_list"),
+        "part",
+        "to_list",
+        "cc_list",
+        "bcc_list",
         F.concat(F.col("_title"), F.lit(" - "), date_text(F.col("report_date"))).alias("subject"),
-        (to_list != F.lit("")).alias("deliverable"),
+        F.col("has_to").alias("deliverable"),
     )

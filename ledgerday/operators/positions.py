@@ -1,0 +1,65 @@
+"""Row positions inside a group, computed without gathering the group.
+
+``row_number() OVER (PARTITION BY g ORDER BY o)`` sends every row of a group
+to one task: a group holding a third of the table becomes one task holding a
+third of the table.  Here the rows are range-partitioned on ``(g, o, tie)``
+instead — the range bounds are sampled from the data, so a hot group (even a
+hot single value, thanks to the tie-breaker) is spread over many partitions —
+and each row's position is its offset inside its partition plus the sizes of
+its group's segments in earlier partitions.  Those segment sizes form a table
+of at most ``partitions + groups`` rows (range partitions hold contiguous key
+ranges), which is what gets broadcast.
+
+The tagged rows are checkpointed to the shared checkpoint folder before the
+two passes read them, so both see the same partition layout, and a lost
+executor recomputes from the checkpoint.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from ledgerday.session import scratch_dir
+
+
+def group_positions(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    pos_col: str = "pos",
+    partitions: int | None = None,
+) -> DataFrame:
+    """``df`` plus ``pos_col``: the 0-based position of each row in its ``keys`` group, ordered by ``order``.
+
+    Meant for few groups (the broadcast segment table has a row per group and
+    partition); rows equal in ``keys`` and ``order`` get consecutive positions
+    in an unspecified order among themselves.
+    """
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cols = [*keys, order, "_tie"]
+    tagged = (
+        df.withColumn("_tie", F.monotonically_increasing_id())
+        # An explicit partition count: AQE must not coalesce this exchange, the
+        # partition index is part of the answer.
+        .repartitionByRange(n, *cols)
+        .sortWithinPartitions(*cols)
+        .withColumn("_pid", F.spark_partition_id())
+        .withColumn("_rid", F.monotonically_increasing_id())
+    )
+    scratch_dir(spark)
+    tagged = tagged.checkpoint(eager=True)
+    segments = tagged.groupBy("_pid", *keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_rid").alias("_first")
+    )
+    earlier = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    segments = segments.select(
+        "_pid", *keys, "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
+    )
+    # At most partitions + groups rows: a bound set by configuration, not by data.
+    return tagged.join(F.broadcast(segments), ["_pid", *keys]).select(
+        *df.columns, (F.col("_before") + F.col("_rid") - F.col("_first")).cast("long").alias(pos_col)
+    )

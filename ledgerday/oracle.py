@@ -205,16 +205,26 @@ RECIPIENT_CONTACTS = (
     f"UNION ALL SELECT report_name, 'cc', email FROM report_contacts WHERE {USABLE} AND report_name IN ({NAMES}) AND is_cc "
     f"UNION ALL SELECT report_name, 'bcc', email FROM report_contacts WHERE {USABLE} AND report_name IN ({NAMES}) AND is_bcc"
 )
-RECIPIENTS = (
+MAX_RECIPIENTS = 100
+BATCHES = (
     f"rcon AS ({RECIPIENT_CONTACTS}), "
+    "rpos AS (SELECT report_name, role, email, "
+    f"CAST((row_number() OVER (PARTITION BY report_name, role ORDER BY email) - 1) // {MAX_RECIPIENTS} AS BIGINT) AS part "
+    "FROM rcon), "
+    "rbat AS (SELECT report_name, role, part, string_agg(email, ',' ORDER BY email) AS addresses "
+    "FROM rpos GROUP BY report_name, role, part)"
+)
+RECIPIENTS = (
+    f"{BATCHES}, "
     "names AS (SELECT * FROM (VALUES " + ", ".join(f"('{r[1]}')" for r in REPORTS) + ") AS n(report_name)), "
-    "rec AS (SELECT n.report_name, "
+    "parts AS (SELECT report_name, CAST(0 AS BIGINT) AS part FROM names UNION SELECT report_name, part FROM rbat), "
+    "rec AS (SELECT p.report_name, p.part, "
     + ", ".join(
-        f"coalesce((SELECT string_agg(email, ',' ORDER BY email) FROM rcon WHERE rcon.report_name = n.report_name "
-        f"AND role = '{role}'), '') AS {role}_list"
+        f"coalesce((SELECT addresses FROM rbat b WHERE b.report_name = p.report_name AND b.part = p.part "
+        f"AND b.role = '{role}'), '') AS {role}_list"
         for role in ("to", "cc", "bcc")
     )
-    + " FROM names n)"
+    + ", EXISTS (SELECT 1 FROM rbat b WHERE b.report_name = p.report_name AND b.role = 'to') AS has_to FROM parts p)"
 )
 
 MESSAGES = (
@@ -327,11 +337,12 @@ ORACLE_SQL: dict[str, str] = {
         + multi_sides("dates AS (SELECT report_date FROM dec WHERE channel = 'email' AND decision = 'send')"),
         report_select("day(m.report_date)", "report_date") + MULTI_JOIN,
     ),
+    "recipient_batches": _q(BATCHES, "SELECT report_name, role, part, addresses FROM rbat"),
     "report_recipients": _q(RECIPIENTS, "SELECT * FROM rec"),
     "message_outbox": _q(
         f"{RUN}, {RECIPIENTS}, {MESSAGES}",
-        "SELECT m.report_date, m.kind, coalesce(r.to_list, '') AS to_list, coalesce(r.cc_list, '') AS cc_list, "
-        "coalesce(r.bcc_list, '') AS bcc_list, m.title || ' - ' || strftime(m.report_date, '%d/%m/%Y') AS subject, "
-        "coalesce(r.to_list, '') <> '' AS deliverable FROM msgs m LEFT JOIN rec r ON m.report_name = r.report_name",
+        "SELECT m.report_date, m.kind, r.part, r.to_list, r.cc_list, r.bcc_list, "
+        "m.title || ' - ' || strftime(m.report_date, '%d/%m/%Y') AS subject, "
+        "r.has_to AS deliverable FROM msgs m JOIN rec r ON m.report_name = r.report_name",
     ),
 }

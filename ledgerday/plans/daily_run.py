@@ -93,7 +93,7 @@ class DailyRun:
 
     @cached_property
     def recipients(self) -> DataFrame:
-        return report_recipients(self.contacts, self.opts.reports)
+        return report_recipients(self.contacts, self.opts.reports, self.opts.max_recipients)
 
     @cached_property
     def outbox(self) -> DataFrame:

@@ -166,8 +166,12 @@ def q_recipient_contacts(spark, sf):
     return ct.recipient_contacts(fx.fixture_contacts(spark, sf), RUN.reports)
 
 
+def q_recipient_batches(spark, sf):
+    return ct.recipient_batches(fx.fixture_contacts(spark, sf), RUN.reports, RUN.max_recipients)
+
+
 def q_report_recipients(spark, sf):
-    return ct.report_recipients(fx.fixture_contacts(spark, sf), RUN.reports)
+    return ct.report_recipients(fx.fixture_contacts(spark, sf), RUN.reports, RUN.max_recipients)
 
 
 QUERIES: dict[str, Query] = {
@@ -194,6 +198,7 @@ QUERIES: dict[str, Query] = {
     "report_recipients": q_report_recipients,
     "message_outbox": q_message_outbox,
     "recipient_contacts": q_recipient_contacts,
+    "recipient_batches": q_recipient_batches,
     # The daily job's own outputs and the text form of the multi-date report.
     "sales_report_multi_text": q_sales_report_multi_text,
     "daily_run_decisions": q_daily_run_decisions,

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from conftest import D
 
-from ledgerday.operators.contacts import recipient_contacts, report_recipients
+from ledgerday.operators.contacts import recipient_batches, recipient_contacts, report_recipients
 from ledgerday.operators.outbox import message_outbox
+from ledgerday.operators.positions import group_positions
 
 COAL, MAIZE, MONTHLY = "Coal Availability (Email) ", "Maize Availability (Email)", "MIS Email Monthly"
 
@@ -28,11 +29,12 @@ def _contacts(contacts_of):
 
 
 def test_recipient_lists(contacts_of):
-    got = {r.report_name: (r.to_list, r.cc_list, r.bcc_list) for r in report_recipients(_contacts(contacts_of)).collect()}
+    rows = report_recipients(_contacts(contacts_of)).collect()
+    got = {(r.report_name, r.part): (r.to_list, r.cc_list, r.bcc_list, r.has_to) for r in rows}
     assert got == {
-        COAL: ("a@x", "b@x", ""),
-        MAIZE: ("", "", "m@x"),
-        MONTHLY: ("y@x,y@x,z@x", "z@x", "z@x"),
+        (COAL, 0): ("a@x", "b@x", "", True),
+        (MAIZE, 0): ("", "", "m@x", False),
+        (MONTHLY, 0): ("y@x,y@x,z@x", "z@x", "z@x", True),
     }
     long = recipient_contacts(_contacts(contacts_of)).collect()
     assert len(long) == 8 and all(r.report_name != COAL.strip() for r in long)
@@ -45,9 +47,58 @@ def test_outbox(spark, contacts_of):
         "report_date date, channel string, decision string",
     )
     out = message_outbox(alerts, decisions, report_recipients(_contacts(contacts_of))).collect()
+    assert all(r.part == 0 for r in out)
     got = {(r.report_date, r.kind): (r.to_list, r.subject, r.deliverable) for r in out}
     assert got == {
         (D("2024-03-06"), "maize_availability"): ("", "Production Details Not Available - 06/03/2024", False),
         (D("2024-03-06"), "coal_availability"): ("a@x", "Power Plant Data Not Available - 06/03/2024", True),
         (D("2024-03-05"), "monthly_report"): ("y@x,y@x,z@x", "Daily MIS Report - 05/03/2024", True),
     }
+
+
+def test_parts_split_long_lists(spark, contacts_of):
+    # Two "to" addresses per part: the monthly list splits into 2 parts, cc into 1; maize has none.
+    rows = report_recipients(_contacts(contacts_of), max_recipients=2).collect()
+    got = {(r.report_name, r.part): (r.to_list, r.cc_list, r.bcc_list, r.has_to) for r in rows}
+    assert got == {
+        (COAL, 0): ("a@x", "b@x", "", True),
+        (MAIZE, 0): ("", "", "m@x", False),
+        (MONTHLY, 0): ("y@x,y@x", "z@x", "z@x", True),
+        (MONTHLY, 1): ("z@x", "", "", True),
+    }
+    decisions = spark.createDataFrame([(D("2024-03-05"), "email", "send")], "report_date date, channel string, decision string")
+    alerts = spark.createDataFrame([], "report_date date, material string")
+    out = message_outbox(alerts, decisions, report_recipients(_contacts(contacts_of), max_recipients=2)).collect()
+    assert sorted((r.part, r.to_list, r.deliverable) for r in out) == [(0, "y@x,y@x", True), (1, "z@x", True)]
+
+
+def test_batches_cover_every_address_once(spark, contacts_of):
+    # 300 addresses for one report, a third of them one repeated address (a hot value).
+    rows = [(MONTHLY, f"u{i:03d}@x", False, False, True, False, False) for i in range(200)]
+    rows += [(MONTHLY, "hot@x", False, False, True, False, False)] * 100
+    batches = recipient_batches(contacts_of(rows), max_recipients=7).collect()
+    parts = sorted((r.part, r.addresses.split(",")) for r in batches if r.role == "to")
+    assert [p for p, _ in parts] == list(range(len(parts)))
+    assert all(len(a) == 7 for _, a in parts[:-1]) and 1 <= len(parts[-1][1]) <= 7
+    flat = [e for _, a in parts for e in a]
+    assert flat == sorted(e for _, e, *_ in rows)
+
+
+def test_group_positions_match_row_number(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    df = spark.range(5000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("g"), (F.col("id") % 5).cast("string"))).alias("g"),
+        (F.col("id") * 7919 % 1009).alias("o"),
+    )
+    got = group_positions(df, ["g"], "o", partitions=6)
+    w = Window.partitionBy("g").orderBy("o")
+    # Positions are a permutation 0..n-1 per group and agree with the order of ``o``.
+    want = df.groupBy("g", "o").agg(F.count("*").alias("n")).withColumn(
+        "lo", F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    ).fillna(0, ["lo"])
+    bad = got.join(want, ["g", "o"]).where((F.col("pos") < F.col("lo")) | (F.col("pos") >= F.col("lo") + F.col("n")))
+    assert bad.count() == 0
+    assert got.groupBy("g").agg((F.count("*") == F.countDistinct("pos")).alias("u"), F.max("pos").alias("m"),
+                                F.count("*").alias("n")).where(~F.col("u") | (F.col("m") != F.col("n") - 1)).count() == 0

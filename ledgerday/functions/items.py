@@ -35,17 +35,39 @@ def row_tonnes(qty: Column | str, unit: Column | str, items: Items) -> Column:
     return F.when(is_kg(unit, items, case_sensitive=True), qty / F.lit(items.kg_per_tonne)).otherwise(qty)
 
 
+def tonnes(total: Column, items: Items) -> Column:
+    """A kilogram total in tonnes, rounded to 2 (total / 1000 is exact at 6 decimals)."""
+    return F.round((total / F.lit(items.kg_per_tonne)).cast("decimal(38,6)"), 2)
+
+
+def _exact(total: Column) -> Column:
+    # A ledger sum has 3 decimals.  At precision 28 a division by an int keeps
+    # 13 decimals, finer than the smallest distance (1e-6 / 31) between such a
+    # quotient and a rounding boundary, so the final rounding to 2 is exact:
+    # no double rounding through an intermediate scale.
+    return total.cast("decimal(28,3)")
+
+
+def average_tonnes(total: Column, day: Column, items: Items) -> Column:
+    """Daily average in tonnes from the unrounded kilogram total, rounded to 2."""
+    return F.round(_exact(total) / (F.lit(items.kg_per_tonne) * day), 2)
+
+
+def average_plain(total: Column, day: Column) -> Column:
+    """Daily average in the row unit, rounded to 2."""
+    return F.round(_exact(total) / day, 2)
+
+
 def total_value(total: Column, unit: Column, items: Items) -> Column:
     """Total-level conversion: ``kgs`` in any case gives tonnes rounded to 2, else the raw sum."""
-    tonnes = F.round((total / F.lit(items.kg_per_tonne)).cast("decimal(38,6)"), 2)
-    return F.when(is_kg(unit, items, case_sensitive=False), tonnes).otherwise(total)
+    return F.when(is_kg(unit, items, case_sensitive=False), tonnes(total, items)).otherwise(total)
 
 
 def average_value(total: Column, unit: Column, day: Column, items: Items) -> Column:
     """Daily average from the unrounded total, rounded to 2 in both branches."""
-    kg = F.round((total / F.lit(items.kg_per_tonne) / day).cast("decimal(38,6)"), 2)
-    other = F.round((total / day).cast("decimal(38,6)"), 2)
-    return F.when(is_kg(unit, items, case_sensitive=False), kg).otherwise(other)
+    return F.when(is_kg(unit, items, case_sensitive=False), average_tonnes(total, day, items)).otherwise(
+        average_plain(total, day)
+    )
 
 
 def unit_label(unit: Column, items: Items) -> Column:

@@ -32,15 +32,13 @@ def quantity_text(number: Column, unit: Column) -> Column:
 
 
 def total_text(total: Column, unit: Column, items: Items) -> Column:
-    tonnes = F.round((total / F.lit(items.kg_per_tonne)).cast("decimal(38,6)"), 2)
     return F.when(
-        it.is_kg(unit, items, case_sensitive=False), quantity_text(tonnes, F.lit(items.tonne_unit))
+        it.is_kg(unit, items, case_sensitive=False), quantity_text(it.tonnes(total, items), F.lit(items.tonne_unit))
     ).otherwise(quantity_text(total, unit))
 
 
 def average_text(total: Column, unit: Column, day: Column, items: Items) -> Column:
-    kg = F.round((total / F.lit(items.kg_per_tonne) / day).cast("decimal(38,6)"), 2)
-    other = F.round((total / day).cast("decimal(38,6)"), 2)
     return F.when(
-        it.is_kg(unit, items, case_sensitive=False), quantity_text(kg, F.lit(items.tonne_unit))
-    ).otherwise(quantity_text(other, unit))
+        it.is_kg(unit, items, case_sensitive=False),
+        quantity_text(it.average_tonnes(total, day, items), F.lit(items.tonne_unit)),
+    ).otherwise(quantity_text(it.average_plain(total, day), unit))

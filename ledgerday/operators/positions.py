@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerday.session import scratch_dir
+from ledgerday.session import materialize
 
 
 def group_positions(
@@ -50,8 +50,7 @@ def group_positions(
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_rid", F.monotonically_increasing_id())
     )
-    scratch_dir(spark)
-    tagged = tagged.checkpoint(eager=True)
+    tagged = materialize(tagged)
     segments = tagged.groupBy("_pid", *keys).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_rid").alias("_first")
     )

@@ -11,10 +11,13 @@ Semantics kept on purpose:
   total is the raw sum; averages divide the unrounded total by the calendar
   day of the month.
 
-Plan: the month side scans the month-to-date range and the day side one day,
-each with its date bounds and exclusion filters pushed into the scan; each
-side is a partial + final hash aggregate, and the two (small) aggregates are
-joined, which AQE plans as a broadcast hash join.
+Plan: one scan of the month-to-date range (date bounds and exclusion filters
+pushed into the scan) and one partial + final hash aggregate per (raw item
+name, unit) that takes both the month's and the day's sums at once (the day's
+as conditional sums).  That aggregate (items x units rows) is checkpointed to
+the shared folder; the day side is its groups seen on the day, the month side
+re-groups it by the upper-cased name, and the two small results are joined,
+which AQE plans as a broadcast hash join.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ from ledgerday.functions import items as it
 from ledgerday.functions import numtext as nt
 from ledgerday.functions.dates import DateLike, as_date, within
 from ledgerday.params import DEFAULT_ITEMS, Items
+from ledgerday.session import materialize as checkpointed
 
 
 def sales_rows(ledger: DataFrame, items: Items = DEFAULT_ITEMS) -> DataFrame:
@@ -181,12 +185,30 @@ def text_columns(day: Column, items: Items) -> list[Column]:
     ]
 
 
-def _frame(ledger, report_date, month_start, items, by_unit):
+def _frame(ledger, report_date, month_start, items, by_unit, materialize=True):
     d = as_date(report_date)
     ms = as_date(month_start) if month_start is not None else d.replace(day=1)
-    rows = sales_rows(ledger, items)
-    # Two scans with literal date predicates: the day's scan reads one day only.
-    day, month = report_sides(within(rows, d, d), within(rows, ms, d), (), items, by_unit)
+    rows = within(sales_rows(ledger, items), min(ms, d), d)
+    today = F.col("vrdate") == F.lit(d)
+    # One pass: month and day sums per raw item and unit (the day's as
+    # conditional sums).  The result has one row per item and unit, so it is
+    # materialized and both sides read it instead of scanning the ledger twice.
+    groups = rows.groupBy("item_name", "aum", "product_name").agg(
+        F.sum("aqtyissued").alias("s"),
+        F.count("vrno").alias("n"),
+        F.sum(F.when(today, F.col("aqtyissued"))).alias("s_day"),
+        F.count(F.when(today, F.col("vrno"))).alias("n_day"),
+        F.max(today).alias("seen_today"),
+    )
+    if ms > d:  # an empty month-to-date range: no report rows
+        groups = groups.where(F.lit(False))
+    if materialize:
+        groups = checkpointed(groups)
+    day_src = groups.where(F.col("seen_today")).select(
+        "item_name", "aum", "product_name", F.col("s_day").alias("s"), F.col("n_day").alias("n")
+    )
+    month_src = groups.select("item_name", "aum", "product_name", "s", "n")
+    day, month = report_sides(day_src, month_src, (), items, by_unit, pre_aggregated=True)
     return join_sides(day, month, (), by_unit), F.lit(d.day)
 
 
@@ -195,9 +217,14 @@ def sales_report(
     report_date: DateLike,
     month_start: DateLike | None = None,
     items: Items = DEFAULT_ITEMS,
+    materialize: bool = True,
 ) -> DataFrame:
-    """Typed report rows (month side right-joined to the day side on product)."""
-    frame, day = _frame(ledger, report_date, month_start, items, by_unit=False)
+    """Typed report rows (month side right-joined to the day side on product).
+
+    ``materialize=False`` leaves the shared aggregate unmaterialized (one
+    lazy plan, no job at call time; each side then reads the ledger).
+    """
+    frame, day = _frame(ledger, report_date, month_start, items, False, materialize)
     return frame.select(*typed_columns(day, items))
 
 
@@ -206,9 +233,10 @@ def sales_report_by_unit(
     report_date: DateLike,
     month_start: DateLike | None = None,
     items: Items = DEFAULT_ITEMS,
+    materialize: bool = True,
 ) -> DataFrame:
     """Variant without fan-out: both sides keyed by (product, upper unit)."""
-    frame, day = _frame(ledger, report_date, month_start, items, by_unit=True)
+    frame, day = _frame(ledger, report_date, month_start, items, True, materialize)
     return frame.select(*typed_columns(day, items))
 
 
@@ -218,7 +246,8 @@ def sales_report_text(
     month_start: DateLike | None = None,
     items: Items = DEFAULT_ITEMS,
     by_unit: bool = False,
+    materialize: bool = True,
 ) -> DataFrame:
     """The report's text columns, ordered by product and unit."""
-    frame, day = _frame(ledger, report_date, month_start, items, by_unit=by_unit)
+    frame, day = _frame(ledger, report_date, month_start, items, by_unit, materialize)
     return frame.orderBy("product_name", "m_aum").select(*text_columns(day, items))

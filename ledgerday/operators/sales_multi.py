@@ -17,9 +17,10 @@ run-time size is known (sort-merge join otherwise).
 
 Both sides read the daily aggregate.  Catalyst infers different filters for
 the two branches, so it cannot reuse one exchange for both; the aggregate is
-therefore checkpointed (``materialize=True``) to the shared checkpoint
-folder: the ledger is scanned once, both sides read the small daily table,
-and a lost executor recomputes from the checkpoint, not from the ledger.
+therefore checkpointed (``materialize=True``, the default) to the shared
+checkpoint folder: the ledger is scanned once, both sides read the small
+daily table (dates x items x units), and a lost executor recomputes from the
+checkpoint, not from the ledger.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from ledgerday.functions.dates import DateLike, within
 from ledgerday.operators.sales import join_sides, report_sides, sales_rows, text_columns, typed_columns
 from ledgerday.params import DEFAULT_ITEMS, Items
-from ledgerday.session import scratch_dir
+from ledgerday.session import materialize as checkpointed
 
 
 def daily_sales(
@@ -39,9 +40,8 @@ def daily_sales(
     """Sum and line count per (vrdate, raw item name, unit): the only pass over ledger lines.
 
     ``product_name`` rides along as a grouping key (it is a function of the
-    item name) and the not-null conditions both sides' joins imply are stated
-    here, so Catalyst infers no branch-specific filter and the two sides share
-    one shuffle of this aggregate (a reused exchange) instead of scanning twice.
+    item name); the not-null conditions both sides' joins imply are stated
+    here, once, rather than inferred into each branch.
     """
     rows = sales_rows(ledger, items)
     if between is not None:
@@ -58,13 +58,14 @@ def multi_frame(
     items: Items = DEFAULT_ITEMS,
     by_unit: bool = False,
     between: tuple[DateLike, DateLike] | None = None,
-    materialize: bool = False,
+    materialize: bool = True,
 ) -> DataFrame:
     daily = daily_sales(ledger, items, between)
-    if materialize:
-        scratch_dir(ledger.sparkSession)
-        daily = daily.checkpoint(eager=True)
     wanted = dates.select(F.col("report_date").cast("date").alias("report_date")).distinct()
+    if materialize:
+        # Both are read by both sides; the dates are a calendar (one row per
+        # day), the daily aggregate dates x items x units.
+        daily, wanted = checkpointed(daily), checkpointed(wanted)
     day_src = daily.join(wanted, daily["vrdate"] == wanted["report_date"]).drop("vrdate")
     reach = F.explode(F.sequence(F.col("vrdate"), F.last_day(F.col("vrdate"))))
     month_src = daily.select(reach.alias("report_date"), "item_name", "aum", "product_name", "s", "n").join(
@@ -80,7 +81,7 @@ def sales_report_multi(
     items: Items = DEFAULT_ITEMS,
     by_unit: bool = False,
     between: tuple[DateLike, DateLike] | None = None,
-    materialize: bool = False,
+    materialize: bool = True,
 ) -> DataFrame:
     """``sales_report`` for every ``report_date`` of ``dates``, plus a ``report_date`` column.
 
@@ -97,7 +98,7 @@ def sales_report_multi_text(
     items: Items = DEFAULT_ITEMS,
     by_unit: bool = False,
     between: tuple[DateLike, DateLike] | None = None,
-    materialize: bool = False,
+    materialize: bool = True,
 ) -> DataFrame:
     frame = multi_frame(ledger, dates, items, by_unit, between, materialize)
     return frame.select("report_date", *text_columns(F.dayofmonth("report_date"), items))

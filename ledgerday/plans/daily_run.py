@@ -31,7 +31,7 @@ from ledgerday.operators.outbox import message_outbox
 from ledgerday.operators.sales_multi import sales_report_multi
 from ledgerday.operators.sendlog import send_log_append
 from ledgerday.params import DEFAULT_ITEMS, Items, RunOptions
-from ledgerday.session import scratch_dir
+from ledgerday.session import materialize
 from ledgerday.sources.sendlog import write_next_send_log
 
 
@@ -67,8 +67,7 @@ class DailyRun:
     def _keep(self, df: DataFrame) -> DataFrame:
         if not self.checkpoint:
             return df
-        scratch_dir(self.spark)
-        return df.checkpoint(eager=True)
+        return materialize(df)
 
     @cached_property
     def dates(self) -> DataFrame:

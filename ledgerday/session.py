@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job of this package relies on.  Shuffle partitions are left
 # to the cluster's own setting unless the caller passes a number: AQE
@@ -69,3 +69,14 @@ def scratch_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path under the shared scratch folder."""
     return f"{scratch_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder now and read it back.
+
+    Used where one small intermediate feeds several branches of a plan: the
+    branches then read the checkpoint instead of each recomputing it from the
+    source, and a lost executor recomputes from the checkpoint.
+    """
+    scratch_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

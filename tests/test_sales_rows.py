@@ -95,6 +95,20 @@ def test_half_up_rounding(ledger_of):
     assert got["M"].avg_qty == 0.13
 
 
+def test_average_rounds_once(ledger_of):
+    # 14.999 kg over 3 days = 0.0049996... t/day: exactly 0.00, while rounding first to 6 decimals
+    # (0.005000) and then to 2 would give 0.01.  Same for the text form and the multi-date form.
+    rows = [dict(vrdate="2024-03-03", item_name="K", aqtyissued=Decimal("14.999"))]
+    led = ledger_of(rows)
+    assert S.sales_mtd(led, "2024-03-03").collect()[0].avg_qty == 0.0
+    assert S.sales_report_text(led, "2024-03-03").collect()[0].tot_avg_qty == ".01 MT/ 0 MT"
+    from ledgerday.functions.dates import date_spine
+    from ledgerday.operators.sales_multi import sales_report_multi
+
+    multi = sales_report_multi(led, date_spine(led.sparkSession, "2024-03-03", "2024-03-03")).collect()
+    assert [r.avg_qty for r in multi] == [0.0]
+
+
 def test_first_of_month_leap_day_and_new_year(ledger_of):
     led = ledger_of(
         [

@@ -92,41 +92,29 @@ def report_sides(
     keys: tuple[str, ...],
     items: Items,
     by_unit: bool,
-    pre_aggregated: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Group the day side and the month side.
 
-    The sources hold ledger lines (``pre_aggregated=False``) or rows already
-    summed per (``keys``, raw item name, unit) into ``s`` / ``n``.
+    Both sources hold rows already summed per (``keys``, raw item name, unit)
+    into ``s`` / ``n``, carrying ``product_name``.
     """
     keys = list(keys)
-    if pre_aggregated:
-        qty, cnt = F.sum("s"), F.sum("n")
-    else:
-        qty, cnt = F.sum("aqtyissued"), F.count("vrno")
+    qty, cnt = F.sum("s"), F.sum("n")
     if by_unit:
         prod = it.product_name("item_name", items).alias("product_name")
         day = day_src.groupBy(*keys, prod, F.upper("aum").alias("d_aum")).agg(qty.alias("d_s"), cnt.alias("d_n"))
         month = month_src.groupBy(*keys, prod, F.upper("aum").alias("m_aum")).agg(qty.alias("m_s"), cnt.alias("m_n"))
         return day, month
-    if pre_aggregated:
-        # Rows are already one per (keys, raw item, unit) and carry product_name.
-        day = day_src.select(
-            *keys, "product_name", F.col("aum").alias("d_aum"), F.col("s").alias("d_s"), F.col("n").alias("d_n")
-        )
-        # product_name is a function of the upper-cased name: grouping by both
-        # forms the same groups as by the upper-cased name alone.
-        month = month_src.groupBy(
-            *keys, "product_name", F.upper("item_name").alias("item_upper"), F.col("aum").alias("m_aum")
-        ).agg(qty.alias("m_s"), cnt.alias("m_n"))
-        return day, month.select(*keys, "product_name", "m_aum", "m_s", "m_n")
-    day = day_src.groupBy(*keys, "item_name", F.col("aum").alias("d_aum")).agg(qty.alias("d_s"), cnt.alias("d_n"))
-    day = day.select(*keys, it.product_name("item_name", items).alias("product_name"), "d_aum", "d_s", "d_n")
-    month = month_src.groupBy(*keys, F.upper("item_name").alias("item_upper"), F.col("aum").alias("m_aum")).agg(
-        qty.alias("m_s"), cnt.alias("m_n")
+    # The day side is already one row per (keys, raw item, unit).
+    day = day_src.select(
+        *keys, "product_name", F.col("aum").alias("d_aum"), F.col("s").alias("d_s"), F.col("n").alias("d_n")
     )
-    month = month.select(*keys, it.product_name("item_upper", items).alias("product_name"), "m_aum", "m_s", "m_n")
-    return day, month
+    # product_name is a function of the upper-cased name: grouping by both
+    # forms the same groups as by the upper-cased name alone.
+    month = month_src.groupBy(
+        *keys, "product_name", F.upper("item_name").alias("item_upper"), F.col("aum").alias("m_aum")
+    ).agg(qty.alias("m_s"), cnt.alias("m_n"))
+    return day, month.select(*keys, "product_name", "m_aum", "m_s", "m_n")
 
 
 def join_sides(day: DataFrame, month: DataFrame, keys: tuple[str, ...], by_unit: bool) -> DataFrame:
@@ -208,7 +196,7 @@ def _frame(ledger, report_date, month_start, items, by_unit, materialize=True):
         "item_name", "aum", "product_name", F.col("s_day").alias("s"), F.col("n_day").alias("n")
     )
     month_src = groups.select("item_name", "aum", "product_name", "s", "n")
-    day, month = report_sides(day_src, month_src, (), items, by_unit, pre_aggregated=True)
+    day, month = report_sides(day_src, month_src, (), items, by_unit)
     return join_sides(day, month, (), by_unit), F.lit(d.day)
 
 

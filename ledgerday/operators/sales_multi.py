@@ -71,7 +71,7 @@ def multi_frame(
     month_src = daily.select(reach.alias("report_date"), "item_name", "aum", "product_name", "s", "n").join(
         wanted, "report_date"
     )
-    day, month = report_sides(day_src, month_src, ("report_date",), items, by_unit, pre_aggregated=True)
+    day, month = report_sides(day_src, month_src, ("report_date",), items, by_unit)
     return join_sides(day, month, ("report_date",), by_unit)
 
 

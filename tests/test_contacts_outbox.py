@@ -102,3 +102,10 @@ def test_group_positions_match_row_number(spark):
     assert bad.count() == 0
     assert got.groupBy("g").agg((F.count("*") == F.countDistinct("pos")).alias("u"), F.max("pos").alias("m"),
                                 F.count("*").alias("n")).where(~F.col("u") | (F.col("m") != F.col("n") - 1)).count() == 0
+
+
+def test_no_contacts_gives_empty_part_zero(contacts_of):
+    rows = report_recipients(contacts_of([])).collect()
+    assert sorted((r.report_name, r.part, r.to_list, r.cc_list, r.bcc_list, r.has_to) for r in rows) == sorted(
+        (name, 0, "", "", "", False) for name in (COAL, MAIZE, MONTHLY)
+    )

@@ -14,10 +14,10 @@ Semantics kept on purpose:
 Plan: one scan of the month-to-date range (date bounds and exclusion filters
 pushed into the scan) and one partial + final hash aggregate per (raw item
 name, unit) that takes both the month's and the day's sums at once (the day's
-as conditional sums).  That aggregate (items x units rows) is checkpointed to
-the shared folder; the day side is its groups seen on the day, the month side
-re-groups it by the upper-cased name, and the two small results are joined,
-which AQE plans as a broadcast hash join.
+as conditional sums).  The day side is its groups seen on the day, the month
+side re-groups it by the upper-cased name; both read the aggregate's one
+shuffle (a reused exchange), and the two small results are joined, which AQE
+plans as a broadcast hash join.
 """
 
 from __future__ import annotations
@@ -118,15 +118,19 @@ def report_sides(
 
 
 def join_sides(day: DataFrame, month: DataFrame, keys: tuple[str, ...], by_unit: bool) -> DataFrame:
-    """Month side LEFT JOIN day side on (``keys``, product) — and the unit, null-safely, by unit.
+    """Month side LEFT JOIN day side on (``keys``, product) — and the unit, by unit.
 
     Both sides are aggregates (products x units per date), so the join is
-    small and AQE turns it into a broadcast hash join at run time.
+    small and AQE turns it into a broadcast hash join at run time.  The keys
+    are compared null-safely: key columns hold no NULL (the unit may, in the
+    by-unit form), and ``<=>`` lets Catalyst infer no not-null filter into one
+    side only, which would make the two sides' shared aggregate differ and be
+    computed twice.
     """
     keys = list(keys)
     m = month.alias("m")
     d = day.withColumn("d_hit", F.lit(True)).alias("d")
-    cond = [F.col(f"m.{k}") == F.col(f"d.{k}") for k in keys + ["product_name"]]
+    cond = [F.col(f"m.{k}").eqNullSafe(F.col(f"d.{k}")) for k in keys + ["product_name"]]
     if by_unit:
         cond.append(F.col("m.m_aum").eqNullSafe(F.col("d.d_aum")))
     return m.join(d, cond, "left").select(
@@ -173,29 +177,34 @@ def text_columns(day: Column, items: Items) -> list[Column]:
     ]
 
 
-def _frame(ledger, report_date, month_start, items, by_unit, materialize=True):
+def _frame(ledger, report_date, month_start, items, by_unit, materialize=False):
     d = as_date(report_date)
     ms = as_date(month_start) if month_start is not None else d.replace(day=1)
     rows = within(sales_rows(ledger, items), min(ms, d), d)
     today = F.col("vrdate") == F.lit(d)
     # One pass: month and day sums per raw item and unit (the day's as
-    # conditional sums).  The result has one row per item and unit, so it is
-    # materialized and both sides read it instead of scanning the ledger twice.
+    # conditional sums).  Both sides read this aggregate; its sums sit in one
+    # struct so that neither side prunes the other's, and the day test is on
+    # an aggregate value, so no filter is pushed into one side only: the two
+    # sides' plans below it are identical and AQE reuses its shuffle (one
+    # scan).  ``materialize`` checkpoints it instead (items x units rows).
     groups = rows.groupBy("item_name", "aum", "product_name").agg(
-        F.sum("aqtyissued").alias("s"),
-        F.count("vrno").alias("n"),
-        F.sum(F.when(today, F.col("aqtyissued"))).alias("s_day"),
-        F.count(F.when(today, F.col("vrno"))).alias("n_day"),
-        F.max(today).alias("seen_today"),
+        F.struct(
+            F.sum("aqtyissued").alias("s"),
+            F.count("vrno").alias("n"),
+            F.sum(F.when(today, F.col("aqtyissued"))).alias("s_day"),
+            F.count(F.when(today, F.col("vrno"))).alias("n_day"),
+            F.max(today).alias("seen_today"),
+        ).alias("a")
     )
     if ms > d:  # an empty month-to-date range: no report rows
         groups = groups.where(F.lit(False))
     if materialize:
         groups = checkpointed(groups)
-    day_src = groups.where(F.col("seen_today")).select(
-        "item_name", "aum", "product_name", F.col("s_day").alias("s"), F.col("n_day").alias("n")
+    day_src = groups.where(F.col("a.seen_today")).select(
+        "item_name", "aum", "product_name", F.col("a.s_day").alias("s"), F.col("a.n_day").alias("n")
     )
-    month_src = groups.select("item_name", "aum", "product_name", "s", "n")
+    month_src = groups.select("item_name", "aum", "product_name", F.col("a.s").alias("s"), F.col("a.n").alias("n"))
     day, month = report_sides(day_src, month_src, (), items, by_unit)
     return join_sides(day, month, (), by_unit), F.lit(d.day)
 
@@ -205,12 +214,13 @@ def sales_report(
     report_date: DateLike,
     month_start: DateLike | None = None,
     items: Items = DEFAULT_ITEMS,
-    materialize: bool = True,
+    materialize: bool = False,
 ) -> DataFrame:
     """Typed report rows (month side right-joined to the day side on product).
 
-    ``materialize=False`` leaves the shared aggregate unmaterialized (one
-    lazy plan, no job at call time; each side then reads the ledger).
+    ``materialize=True`` checkpoints the shared aggregate to the shared folder
+    (a job at call time; the sides then read the checkpoint and a lost
+    executor does not rescan the ledger).
     """
     frame, day = _frame(ledger, report_date, month_start, items, False, materialize)
     return frame.select(*typed_columns(day, items))
@@ -221,7 +231,7 @@ def sales_report_by_unit(
     report_date: DateLike,
     month_start: DateLike | None = None,
     items: Items = DEFAULT_ITEMS,
-    materialize: bool = True,
+    materialize: bool = False,
 ) -> DataFrame:
     """Variant without fan-out: both sides keyed by (product, upper unit)."""
     frame, day = _frame(ledger, report_date, month_start, items, True, materialize)
@@ -234,7 +244,7 @@ def sales_report_text(
     month_start: DateLike | None = None,
     items: Items = DEFAULT_ITEMS,
     by_unit: bool = False,
-    materialize: bool = True,
+    materialize: bool = False,
 ) -> DataFrame:
     """The report's text columns, ordered by product and unit."""
     frame, day = _frame(ledger, report_date, month_start, items, by_unit, materialize)

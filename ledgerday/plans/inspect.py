@@ -25,3 +25,17 @@ def join_kinds(df: DataFrame) -> set[str]:
     plan = physical_plan(df)
     kinds = {"BroadcastNestedLoopJoin", "CartesianProduct", "BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin"}
     return {k for k in kinds if k in plan}
+
+
+def final_plan(df: DataFrame) -> str:
+    """Run ``df`` (collecting its rows: for small results) and return AQE's final physical plan.
+
+    With AQE on, exchange reuse is decided while the query runs, so only the
+    final plan shows what was actually scanned.
+    """
+    df.collect()
+    return physical_plan(df).split("Initial Plan")[0]
+
+
+def final_scan_count(df: DataFrame, path_fragment: str) -> int:
+    return sum(1 for line in final_plan(df).splitlines() if "FileScan" in line and path_fragment in line)

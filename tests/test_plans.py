@@ -10,7 +10,7 @@ from ledgerday.operators import availability as A
 from ledgerday.operators import sales as S
 from ledgerday.operators.sales_multi import sales_report_multi
 from ledgerday.operators.sendlog import send_log_retained
-from ledgerday.plans.inspect import formatted_plan, join_kinds, physical_plan, scan_count
+from ledgerday.plans.inspect import final_scan_count, formatted_plan, join_kinds, physical_plan, scan_count
 from ledgerday.session import scratch_path
 from ledgerday.sources.fixtures import FIXTURE_ITEMS, fixture_ledger, fixture_send_log
 from ledgerday.sources.ledger import read_ledger, write_ledger
@@ -32,22 +32,33 @@ def test_readiness_scans_once(spark, static_plans):
 def test_multi_scans_once_without_nested_loops(spark, static_plans):
     ledger = fixture_ledger(spark, SF_SMALL)
     spine = date_spine(spark, "1995-01-01", "2001-12-31")
-    lazy = sales_report_multi(ledger, spine, FIXTURE_ITEMS, materialize=False)
+    lazy = sales_report_multi(ledger, spine, FIXTURE_ITEMS)
     assert scan_count(lazy, "lineitem.parquet") == 1
     assert "ReusedExchange" in physical_plan(lazy)
-    # Materialized (the default): both sides read the checkpointed daily aggregate, not the ledger,
+    # Materialized: both sides read the checkpointed daily aggregate, not the ledger,
     # also when the dates are the ledger's own span.
     for dates in (spine, ledger_span(ledger)):
-        df = sales_report_multi(ledger, dates, FIXTURE_ITEMS)
+        df = sales_report_multi(ledger, dates, FIXTURE_ITEMS, materialize=True)
         assert scan_count(df, "lineitem.parquet") == 0
         assert not join_kinds(df) & {"BroadcastNestedLoopJoin", "CartesianProduct"}
 
 
 def test_single_date_scans_the_month_once(spark, static_plans):
     ledger = fixture_ledger(spark, SF_SMALL)
-    assert scan_count(S.sales_report(ledger, "1998-03-17", items=FIXTURE_ITEMS), "lineitem.parquet") == 0
-    lazy = S.sales_report(ledger, "1998-03-17", items=FIXTURE_ITEMS, materialize=False)
-    assert lazy.count() == S.sales_report(ledger, "1998-03-17", items=FIXTURE_ITEMS).count()
+    for f in (S.sales_report, S.sales_report_by_unit):
+        lazy = f(ledger, "1998-03-17", items=FIXTURE_ITEMS)
+        assert scan_count(lazy, "lineitem.parquet") == 1 and "ReusedExchange" in physical_plan(lazy)
+        kept = f(ledger, "1998-03-17", items=FIXTURE_ITEMS, materialize=True)
+        assert scan_count(kept, "lineitem.parquet") == 0
+        assert sorted(lazy.collect()) == sorted(kept.collect())
+
+
+def test_shared_aggregates_scan_once_under_aqe(spark):
+    # With AQE the shuffle is reused at run time: the final plans scan lineitem once.
+    ledger = fixture_ledger(spark, SF_SMALL)
+    assert final_scan_count(S.sales_report(ledger, "1998-03-17", items=FIXTURE_ITEMS), "lineitem.parquet") == 1
+    spine = date_spine(spark, "1998-01-01", "1998-12-31")
+    assert final_scan_count(sales_report_multi(ledger, spine, FIXTURE_ITEMS), "lineitem.parquet") == 1
 
 
 def test_month_filter_reaches_the_scan(spark):

@@ -86,35 +86,35 @@ def sales_mtd(
     )
 
 
-def report_sides(
-    day_src: DataFrame,
-    month_src: DataFrame,
-    keys: tuple[str, ...],
-    items: Items,
-    by_unit: bool,
-) -> tuple[DataFrame, DataFrame]:
-    """Group the day side and the month side.
-
-    Both sources hold rows already summed per (``keys``, raw item name, unit)
-    into ``s`` / ``n``, carrying ``product_name``.
+def month_groups(by_unit: bool) -> list[Column]:
+    """Grouping of the month side: (product, upper-cased name, unit), or (product, upper unit) by unit.
+
+    product_name is a function of the upper-cased name, so grouping by both
+    forms the same groups as by the upper-cased name alone.
     """
+    if by_unit:
+        return [F.col("product_name"), F.upper("aum").alias("m_aum")]
+    return [F.col("product_name"), F.upper("item_name").alias("item_upper"), F.col("aum").alias("m_aum")]
+
+
+def day_side(day_src: DataFrame, keys: tuple[str, ...], by_unit: bool) -> DataFrame:
+    """``keys, product_name, d_aum, d_s, d_n`` from rows summed per (``keys``, raw item name, unit)."""
     keys = list(keys)
-    qty, cnt = F.sum("s"), F.sum("n")
     if by_unit:
-        prod = it.product_name("item_name", items).alias("product_name")
-        day = day_src.groupBy(*keys, prod, F.upper("aum").alias("d_aum")).agg(qty.alias("d_s"), cnt.alias("d_n"))
-        month = month_src.groupBy(*keys, prod, F.upper("aum").alias("m_aum")).agg(qty.alias("m_s"), cnt.alias("m_n"))
-        return day, month
-    # The day side is already one row per (keys, raw item, unit).
-    day = day_src.select(
+        return day_src.groupBy(*keys, "product_name", F.upper("aum").alias("d_aum")).agg(
+            F.sum("s").alias("d_s"), F.sum("n").alias("d_n")
+        )
+    # Already one row per (keys, raw item, unit).
+    return day_src.select(
         *keys, "product_name", F.col("aum").alias("d_aum"), F.col("s").alias("d_s"), F.col("n").alias("d_n")
     )
-    # product_name is a function of the upper-cased name: grouping by both
-    # forms the same groups as by the upper-cased name alone.
-    month = month_src.groupBy(
-        *keys, "product_name", F.upper("item_name").alias("item_upper"), F.col("aum").alias("m_aum")
-    ).agg(qty.alias("m_s"), cnt.alias("m_n"))
-    return day, month.select(*keys, "product_name", "m_aum", "m_s", "m_n")
+
+
+def month_side(month_src: DataFrame, keys: tuple[str, ...], by_unit: bool) -> DataFrame:
+    """``keys, product_name, m_aum, m_s, m_n`` from rows summed per (``keys``, raw item name, unit)."""
+    keys = list(keys)
+    month = month_src.groupBy(*keys, *month_groups(by_unit)).agg(F.sum("s").alias("m_s"), F.sum("n").alias("m_n"))
+    return month.select(*keys, "product_name", "m_aum", "m_s", "m_n")
 
 
 def join_sides(day: DataFrame, month: DataFrame, keys: tuple[str, ...], by_unit: bool) -> DataFrame:
@@ -205,7 +205,7 @@ def _frame(ledger, report_date, month_start, items, by_unit, materialize=False):
         "item_name", "aum", "product_name", F.col("a.s_day").alias("s"), F.col("a.n_day").alias("n")
     )
     month_src = groups.select("item_name", "aum", "product_name", F.col("a.s").alias("s"), F.col("a.n").alias("n"))
-    day, month = report_sides(day_src, month_src, (), items, by_unit)
+    day, month = day_side(day_src, (), by_unit), month_side(month_src, (), by_unit)
     return join_sides(day, month, (), by_unit), F.lit(d.day)
 
 

@@ -35,6 +35,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--date", action="append", help="process exactly this date (repeatable)")
     p.add_argument("--max-days-back", type=int, default=RunOptions.max_days_back)
     p.add_argument("--retain", type=int, default=RunOptions.retain)
+    p.add_argument("--max-recipients", type=int, default=RunOptions.max_recipients,
+                   help="addresses per recipient list of one message; longer lists go out in parts")
     return p.parse_args(argv)
 
 
@@ -48,7 +50,7 @@ def main(argv=None) -> dict:
         read_contacts_jdbc(spark, a.contacts_url, a.contacts) if a.contacts_url else read_contacts(spark, a.contacts)
     )
     log = read_latest_send_log(spark, a.log_base)
-    opts = RunOptions(max_days_back=a.max_days_back, retain=a.retain)
+    opts = RunOptions(max_days_back=a.max_days_back, retain=a.retain, max_recipients=a.max_recipients)
     run = daily_run(spark, ledger, contacts, log, a.today, opts=opts, only_dates=a.date)
     new_log = write_daily_run(run, a.out, a.log_base)
     decisions = {

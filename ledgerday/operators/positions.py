@@ -59,6 +59,10 @@ def group_positions(
         "_pid", *keys, "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
     )
     # At most partitions + groups rows: a bound set by configuration, not by data.
-    return tagged.join(F.broadcast(segments), ["_pid", *keys]).select(
-        *df.columns, (F.col("_before") + F.col("_rid") - F.col("_first")).cast("long").alias(pos_col)
+    # Keys are matched null-safely: a NULL key is a group like any other.
+    t, s = tagged.alias("t"), F.broadcast(segments).alias("s")
+    cond = [F.col(f"t.{c}").eqNullSafe(F.col(f"s.{c}")) for c in ("_pid", *keys)]
+    return t.join(s, cond).select(
+        *[F.col(f"t.{c}") for c in df.columns],
+        (F.col("s._before") + F.col("t._rid") - F.col("s._first")).cast("long").alias(pos_col),
     )

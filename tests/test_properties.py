@@ -95,16 +95,16 @@ def test_number_text_matches_rule(spark, values):
 
 @settings(max_examples=6, deadline=None)
 @given(
-    st.lists(st.tuples(st.sampled_from(["a", "b", "hot"]), st.integers(0, 30)), min_size=0, max_size=400),
+    st.lists(st.tuples(st.sampled_from(["a", "b", "hot", None]), st.integers(0, 30)), min_size=0, max_size=400),
     st.integers(1, 9),
 )
 def test_group_positions_are_ranks(spark, rows, partitions):
     from ledgerday.operators.positions import group_positions
 
     df = spark.createDataFrame(rows, "g string, o int")
-    got = sorted((r.g, r.o, r.pos) for r in group_positions(df, ["g"], "o", partitions=partitions).collect())
-    # Within each group, positions 0..n-1 follow the order of ``o`` (ties in any order).
+    got = sorted((r.g or "", r.o, r.pos) for r in group_positions(df, ["g"], "o", partitions=partitions).collect())
+    # Within each group (NULL included), positions 0..n-1 follow the order of ``o`` (ties in any order).
     want = []
-    for g in sorted({g for g, _ in rows}):
-        want += [(g, o, i) for i, o in enumerate(sorted(o for gg, o in rows if gg == g))]
+    for g in {g for g, _ in rows}:
+        want += [(g or "", o, i) for i, o in enumerate(sorted(o for gg, o in rows if gg == g))]
     assert got == sorted(want)

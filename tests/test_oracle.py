@@ -13,7 +13,10 @@ ORACLE = entry_mod.oracle_sql()
 
 # Check figures of the fixture (FIXTURES.md §3), by scale.
 EXPECTED_ROWS = {
-    SF_SMALL: {"sales_rows": 1472, "sales_report": 5, "sales_report_by_unit": 5, "report_recipients": 3},
+    SF_SMALL: {
+        "sales_rows": 1472, "sales_report": 5, "sales_report_by_unit": 5, "report_recipients": 3,
+        "recipient_contacts": 107, "recipient_batches": 9,
+    },
     SF_CHECK: {
         "sales_rows": 15580,
         "sales_report": 31,
@@ -24,6 +27,9 @@ EXPECTED_ROWS = {
         "report_readiness": 2499,
         "pending_dates": 8,
         "ledger_normalised": 60000,
+        "recipient_contacts": 1060,
+        "recipient_batches": 14,
+        "report_recipients": 8,
     },
 }
 

@@ -12,7 +12,9 @@ ranges), which is what gets broadcast.
 
 The tagged rows are checkpointed to the shared checkpoint folder before the
 two passes read them, so both see the same partition layout, and a lost
-executor recomputes from the checkpoint.
+executor recomputes from the checkpoint.  The tie-breaker is the input row's
+id (partition index and position): stable when a task is re-run over a file
+source or a checkpoint, as the recipients' contact table is read here.
 """
 
 from __future__ import annotations

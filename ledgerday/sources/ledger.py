@@ -59,15 +59,16 @@ def read_ledger_jdbc(
 def write_ledger(ledger: DataFrame, path: str, mode: str = "errorifexists", partitions: int | None = None) -> None:
     """Store the ledger by month, each file holding a contiguous date range.
 
-    Range partitioning on ``(vrdate, vrno, row id)`` samples the data, so a
-    busy month or day — even one whose lines share a voucher number or have
-    none — is spread over several tasks instead of landing in one; sorting by
-    date inside each task keeps Parquet row-group statistics tight for the
-    single-day predicates.
+    Range partitioning on ``(vrdate, vrno, hash of the whole line)`` samples
+    the data, so a busy month or day — even one whose lines share a voucher
+    number or have none — is spread over several tasks instead of landing in
+    one; the hash is a function of the line alone, so a re-run task (e.g. over
+    a JDBC source that returns rows in another order) routes every line as
+    before.  Sorting by date inside each task keeps Parquet row-group
+    statistics tight for the single-day predicates.
     """
-    out = ledger.withColumn(MONTH_PARTITION, F.trunc("vrdate", "MM")).withColumn(
-        "_tie", F.monotonically_increasing_id()
-    )
+    out = ledger.withColumn(MONTH_PARTITION, F.trunc("vrdate", "MM"))
+    out = out.withColumn("_tie", F.xxhash64(*[F.col(c) for c in ledger.columns]))
     cols = ("vrdate", "vrno", "_tie")
     out = out.repartitionByRange(partitions, *cols) if partitions else out.repartitionByRange(*cols)
     out = out.sortWithinPartitions("vrdate", "vrno").drop("_tie")

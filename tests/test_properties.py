@@ -17,7 +17,7 @@ from ledgerday.operators import availability as A
 from ledgerday.operators import sales as S
 from ledgerday.operators.calendar import lookback_spine, pending_dates
 from ledgerday.operators.decisions import send_decisions
-from ledgerday.operators.sales_multi import sales_report_multi
+from ledgerday.operators.sales_multi import sales_report_multi, sales_report_multi_text
 from ledgerday.sources.fixtures import FIXTURE_ITEMS, fixture_ledger, fixture_send_log
 
 
@@ -43,6 +43,17 @@ def test_multi_equals_single(spark, ledger):
         assert len(single) > 0 or d == "1995-01-02"
 
 
+def test_multi_equals_single_by_unit_and_text(spark, ledger):
+    dates = spark.createDataFrame([(D(d),) for d in DATES], "report_date date")
+    multi = sales_report_multi(ledger, dates, FIXTURE_ITEMS, by_unit=True).collect()
+    text = sales_report_multi_text(ledger, dates, FIXTURE_ITEMS).collect()
+    for d in DATES:
+        single = S.sales_report_by_unit(ledger, d, items=FIXTURE_ITEMS).collect()
+        assert _bag(tuple(r)[1:] for r in multi if r.report_date == D(d)) == _bag(single), d
+        single_text = S.sales_report_text(ledger, d, items=FIXTURE_ITEMS).collect()
+        assert _bag(tuple(r)[1:] for r in text if r.report_date == D(d)) == _bag(single_text), d
+
+
 def test_by_unit_totals_equal_plain_sums(ledger):
     d, ms = "1998-03-17", "1998-03-01"
     report = S.sales_report_by_unit(ledger, d, items=FIXTURE_ITEMS)

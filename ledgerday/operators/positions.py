@@ -40,15 +40,15 @@ def group_positions(
     partition); rows equal in ``keys`` and ``order`` get consecutive positions
     in an unspecified order among themselves.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = [*keys, order, "_tie"]
+    tagged = df.withColumn("_tie", F.monotonically_increasing_id())
+    # Without a count, AQE may coalesce neighbouring ranges into one partition
+    # (sizes from the shuffle's statistics); that keeps the key order across
+    # partitions, and the sort below restores it inside each.  The partition
+    # index is frozen by the checkpoint right after.
+    tagged = tagged.repartitionByRange(partitions, *cols) if partitions else tagged.repartitionByRange(*cols)
     tagged = (
-        df.withColumn("_tie", F.monotonically_increasing_id())
-        # An explicit partition count: AQE must not coalesce this exchange, the
-        # partition index is part of the answer.
-        .repartitionByRange(n, *cols)
-        .sortWithinPartitions(*cols)
+        tagged.sortWithinPartitions(*cols)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_rid", F.monotonically_increasing_id())
     )

@@ -80,3 +80,17 @@ def test_stored_ledger_prunes_months(spark):
 def test_retention_limits_per_task(spark):
     plan = physical_plan(send_log_retained(fixture_send_log(spark, SF_SMALL), 10))
     assert "WindowGroupLimit" in plan
+
+
+def test_stored_ledger_splits_a_hot_voucher_day(spark, ledger_of):
+    # A third of the lines share one (date, voucher): the store still spreads them over several files.
+    from pyspark.sql import functions as F
+
+    hot = [dict(vrdate="2024-03-05", vrno=7, item_name=f"I{i % 50}", aqtyissued=i) for i in range(3000)]
+    cold = [dict(vrdate=f"2024-03-{1 + i % 28:02d}", vrno=i, item_name="X", aqtyissued=i) for i in range(6000)]
+    path = scratch_path(spark, "hot-ledger")
+    write_ledger(ledger_of(hot + cold), path, partitions=6)
+    back = read_ledger(spark, path)
+    files = back.where((F.col("vrdate") == "2024-03-05") & (F.col("vrno") == 7)).select(F.input_file_name()).distinct()
+    assert files.count() > 1
+    assert back.count() == 9000

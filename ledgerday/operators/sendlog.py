@@ -42,12 +42,9 @@ def send_log_append(log: DataFrame, new_dates: DataFrame, retain: int = LOG_RETE
         "sent_date",
         (F.coalesce(F.col("_last"), F.lit(-1)) + 1 + F.datediff("sent_date", "_first")).cast("long").alias("seq"),
     )
-    combined = log.select("channel", "sent_date", "seq").unionByName(added)
-    touched = bases.select("channel", F.lit(True).alias("_touched"))
-    w = Window.partitionBy("channel").orderBy(F.col("seq").desc())
-    return (
-        combined.join(F.broadcast(touched), "channel", "left")
-        .withColumn("_rn", F.row_number().over(w))
-        .where((F.col("_rn") <= retain) | F.col("_touched").isNull())
-        .select("channel", "sent_date", "seq")
-    )
+    log = log.select("channel", "sent_date", "seq")
+    touched = F.broadcast(bases.select("channel"))
+    # Channels that grew are trimmed (a per-channel top-N: partial limit before the shuffle);
+    # the others pass through untouched.
+    grown = send_log_retained(log.join(touched, "channel", "left_semi").unionByName(added), retain)
+    return grown.unionByName(log.join(touched, "channel", "left_anti"))

@@ -109,3 +109,17 @@ def test_no_contacts_gives_empty_part_zero(contacts_of):
     assert sorted((r.report_name, r.part, r.to_list, r.cc_list, r.bcc_list, r.has_to) for r in rows) == sorted(
         (name, 0, "", "", "", False) for name in (COAL, MAIZE, MONTHLY)
     )
+
+
+def test_fixture_parts_hold_at_most_max_recipients(spark):
+    from conftest import SF_CHECK
+
+    from ledgerday.constants import MAX_RECIPIENTS
+    from ledgerday.sources.fixtures import fixture_contacts
+
+    contacts = fixture_contacts(spark, SF_CHECK)
+    rows = report_recipients(contacts).collect()
+    sizes = [len(lst.split(",")) for r in rows for lst in (r.to_list, r.cc_list, r.bcc_list) if lst]
+    assert sizes and max(sizes) <= MAX_RECIPIENTS
+    # Every usable (report, role, address) row lands in exactly one part.
+    assert sum(sizes) == recipient_contacts(contacts).count()

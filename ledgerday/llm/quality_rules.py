@@ -36,11 +36,11 @@ CHAR_CLASSES = {
 N_CLASSES = len(CHAR_CLASSES) + 2
 
 #: A document with fewer words is not judged by its histograms: they are too coarse.
-MIN_WORDS = 30
-MIN_COMMON = 12
+MIN_WORDS = 50
+MIN_COMMON = 30
 #: Distances (0 to 1) from which a document counts as unlike its language.
-MAX_CHAR_DISTANCE = 0.20
-MAX_WORD_DISTANCE = 0.60
+MAX_CHAR_DISTANCE = 0.16
+MAX_WORD_DISTANCE = 0.30
 #: Proportions are summed as whole millionths, so that sums don't depend on their order.
 UNIT = 1_000_000
 
@@ -171,6 +171,27 @@ def js_distance(p: Column, q: Column) -> Column:
     return F.when((sp > 0) & (sq > 0), F.sqrt(F.greatest(total(terms) / 2, F.lit(0.0)))).otherwise(0.0)
 
 
+def with_distances(measured: DataFrame, references: DataFrame) -> DataFrame:
+    """``measured`` with ``char_distance``, ``word_distance`` and ``words_judged``."""
+    total = F.aggregate("ref_common", F.lit(0).cast("long"), lambda a, b: a + b)
+    expected = (total - F.element_at("ref_common", -1)) / F.greatest(total, F.lit(1))
+    rows = measured.alias("m").join(references.alias("r"), F.col("m.lang").eqNullSafe(F.col("r.lang")), "left")
+    return rows.select(
+        "m.*",
+        F.coalesce(js_distance(F.col("chars"), F.col("ref_chars")), F.lit(0.0)).alias("char_distance"),
+        F.when(F.size("common") > 0, F.coalesce(js_distance(F.col("common"), F.col("ref_common")), F.lit(0.0)))
+        .otherwise(0.0).alias("word_distance"),
+        F.coalesce(F.col("n_words") * expected >= MIN_COMMON, F.lit(False)).alias("words_judged"),
+    )
+
+
+def unlike() -> Column:
+    """Over the length guards, and too far from the language's reference."""
+    return (F.col("n_words") >= MIN_WORDS) & (
+        (F.col("char_distance") > MAX_CHAR_DISTANCE) | (F.col("words_judged") & (F.col("word_distance") > MAX_WORD_DISTANCE))
+    )
+
+
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Base counts, ``char_distance``, ``word_distance``, ``base_failed`` and ``kept`` of every row.
 
@@ -179,7 +200,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     twice in it.  Else it is kept unless a histogram is too far from its
     language's reference: character classes from ``MIN_WORDS`` words on, common
     words if besides the reference expects ``MIN_COMMON`` of them.  References
-    cover all rows of the language.
+    cover all rows of the language, and are refitted once without the unlike ones.
 
     Every text is scanned once; counts and histograms are stored, and the small
     references (a row a language, combined map-side) are joined to them.
@@ -190,23 +211,11 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ignored.
     """
     measured = shared_table(measure(docs, id_col, text_col, lang_col), "measured")
-    references = language_references(measured)
-    rows = measured.alias("m").join(references.alias("r"), F.col("m.lang").eqNullSafe(F.col("r.lang")), "left")
-    expected = (
-        F.aggregate("ref_common", F.lit(0).cast("long"), lambda a, b: a + b) - F.element_at("ref_common", -1)
-    ) / F.greatest(F.aggregate("ref_common", F.lit(0).cast("long"), lambda a, b: a + b), F.lit(1))
-    rows = rows.select(
-        F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        F.coalesce(js_distance(F.col("chars"), F.col("ref_chars")), F.lit(0.0)).alias("char_distance"),
-        F.when(F.size("common") > 0, js_distance(F.col("common"), F.col("ref_common"))).otherwise(0.0).alias("word_distance"),
-        F.coalesce(F.col("n_words") * expected >= MIN_COMMON, F.lit(False)).alias("words_judged"),
-        base_failed().alias("base_failed"),
-    )
-    unlike = (F.col("n_words") >= MIN_WORDS) & (
-        (F.col("char_distance") > MAX_CHAR_DISTANCE)
-        | (F.col("words_judged") & (F.coalesce("word_distance", F.lit(0.0)) > MAX_WORD_DISTANCE))
-    )
+    first = with_distances(measured, language_references(measured))
+    # Refitted without the documents that are unlike the first references.
+    references = language_references(first.where(~unlike()))
+    rows = with_distances(measured, references)
     return rows.select(
-        id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "base_failed", (~F.col("base_failed") & ~unlike).alias("kept"), "char_distance", "word_distance",
+        F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        base_failed().alias("base_failed"), (~base_failed() & ~unlike()).alias("kept"), "char_distance", "word_distance",
     )

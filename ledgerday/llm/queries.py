@@ -5,9 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerday.llm.classifier import classify, fit_quality
 from ledgerday.llm.common import table
+from ledgerday.llm.licenses import license_scan
+from ledgerday.llm.packing import pack_documents
 from ledgerday.llm.quality_rules import quality_rules
 from ledgerday.llm.sharding import byte_shards
+from ledgerday.llm.token_counts import PieceAutomaton, token_counts
+from ledgerday.llm.vocabulary import byte_level_vocabulary
+
+VOCABULARY = "byte_bpe_50k.json"
+
+
+def vocabulary_path(name: str = VOCABULARY) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # In a byte-level vocabulary a blank starts a word.
+    automaton = PieceAutomaton(byte_level_vocabulary(vocabulary_path())[0], marker=b" ")
+    return token_counts(table(spark, sf_dir, "documents"), automaton)
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents")).drop("places")
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), vocabulary_path()).drop("ids")
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,5 +48,20 @@ def op9_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op4_quality_rules, op9_byte_shards)}
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return classify(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_token_counts,
+        op2_license_scan,
+        op3_packing,
+        op4_quality_rules,
+        op9_byte_shards,
+        op10_quality_classifier,
+    )
+}
 ORACLE_SQL: dict[str, str] = {}

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ledgerday.llm.classifier import classify, fit_quality
 from ledgerday.llm.common import table
 from ledgerday.llm.licenses import license_scan
+from ledgerday.llm.line_dedup import fuzzy_lines
+from ledgerday.llm.ngram_join import ngram_join
 from ledgerday.llm.packing import pack_documents
 from ledgerday.llm.quality_rules import quality_rules
 from ledgerday.llm.sharding import byte_shards
@@ -41,6 +43,14 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_lines(table(spark, sf_dir, "documents")).drop("row")
+
+
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(table(spark, sf_dir, "documents"))
+
+
 def op9_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_shards(table(spark, sf_dir, "documents"), shards=40).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -60,6 +70,8 @@ QUERIES = {
         op2_license_scan,
         op3_packing,
         op4_quality_rules,
+        op6_line_dedup,
+        op8_ngram_join,
         op9_byte_shards,
         op10_quality_classifier,
     )

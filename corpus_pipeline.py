@@ -1,15 +1,60 @@
-"""The corpus pipeline: stages over ``documents``."""
+"""The corpus pipeline over ``documents``: low-quality documents go, fuzzy repeated
+lines go, one document of each near-duplicate class stays, documents that hold
+benchmark items go, and the rest is packed into training sequences.
+
+Every stage but the last returns the columns of ``documents``; each works on
+all that its predecessor kept.  ``n_chars`` follows a changed text.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerday.llm.classifier import fit_quality, quality_score
+from ledgerday.llm.common import shared_table, table
+from ledgerday.llm.decontamination import decontaminate
+from ledgerday.llm.line_dedup import dedup_lines
+from ledgerday.llm.ngram_join import one_of_each
+from ledgerday.llm.packing import pack_documents
+from ledgerday.llm.queries import THRESHOLD, vocabulary_path
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = fit_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return docs.where(quality_score(docs, model, F.col("text")) >= THRESHOLD)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return one_of_each(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack_documents(docs, vocabulary_path()).drop("ids")
+
+
+STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("line_dedup", line_dedup),
+    ("ngram_join", ngram_join),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("packing", packing),
+]
 
-STAGES: list = []
+#: No SQL: a trained model, union-find, alignment and a tokenizer; tests/llm has brute-force versions.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = shared_table(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

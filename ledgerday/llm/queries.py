@@ -7,15 +7,19 @@ from pyspark.sql import functions as F
 
 from ledgerday.llm.classifier import classify, fit_quality
 from ledgerday.llm.common import table
+from ledgerday.llm.decontamination import contaminations
 from ledgerday.llm.licenses import license_scan
 from ledgerday.llm.line_dedup import fuzzy_lines
 from ledgerday.llm.ngram_join import ngram_join
 from ledgerday.llm.packing import pack_documents
+from ledgerday.llm.passage_dedup import repeated_passages
 from ledgerday.llm.quality_rules import quality_rules
 from ledgerday.llm.sharding import byte_shards
 from ledgerday.llm.token_counts import PieceAutomaton, token_counts
 from ledgerday.llm.vocabulary import byte_level_vocabulary
 
+#: Score from which a document is predicted to be of good quality.
+THRESHOLD = 0.3
 VOCABULARY = "byte_bpe_50k.json"
 
 
@@ -43,10 +47,18 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuzzy_lines(table(spark, sf_dir, "documents")).drop("row")
 
 
+def op7_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents")).drop("row")
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(table(spark, sf_dir, "documents"))
 
@@ -60,7 +72,7 @@ def op9_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return classify(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
+    return classify(docs, fit_quality(docs, table(spark, sf_dir, "labels")), THRESHOLD)
 
 
 QUERIES = {
@@ -70,7 +82,9 @@ QUERIES = {
         op2_license_scan,
         op3_packing,
         op4_quality_rules,
+        op5_decontamination,
         op6_line_dedup,
+        op7_passage_dedup,
         op8_ngram_join,
         op9_byte_shards,
         op10_quality_classifier,

@@ -27,13 +27,12 @@ COMMON_WORDS = {
     "fr": ["de", "la", "le", "et", "les", "des", "en", "un", "du", "une", "que", "est", "pour", "qui", "dans", "au"],
 }
 
-#: Character classes by the pattern whose runs are cut out to count them; what is left over is blanks and "other".
+#: Character classes by the pattern whose runs are cut out to count them; the rest is symbols, blanks and others.
 CHAR_CLASSES = {
     "lower": r"\p{Ll}+",
     "upper": r"\p{Lu}+",
-    "stop": r"[.,;:'\"()-]+",
 }
-N_CLASSES = len(CHAR_CLASSES) + 2
+N_CLASSES = len(CHAR_CLASSES) + 3
 
 #: A document with fewer words is not judged by its histograms: they are too coarse.
 MIN_WORDS = 50
@@ -54,13 +53,10 @@ def _words(text: Column) -> Column:
 
 def _window_hashes(words: Column) -> Column:
     """A 64-bit hash of each five-word window, in order."""
-    return F.when(
-        F.size(words) >= WINDOW,
-        F.transform(
-            F.sequence(F.lit(0), F.size(words) - WINDOW),
-            lambda i: F.xxhash64(*(F.get(words, i + k) for k in range(WINDOW))),
-        ),
-    ).otherwise(F.array().cast("array<bigint>"))
+    n = F.size(words)
+    shifted = [F.slice(words, F.lit(k + 1), F.greatest(n - k, F.lit(0))).alias(f"w{k}") for k in range(WINDOW)]
+    windows = F.slice(F.arrays_zip(*shifted), F.lit(1), F.greatest(n - (WINDOW - 1), F.lit(0)))
+    return F.transform(windows, lambda w: F.xxhash64(w))
 
 
 def _in_order(hashes: Column) -> Column:
@@ -97,42 +93,51 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     that of each of the language's common words among the words, then of all
     other words; a language without a list has an empty ``common``.
     """
-    lists = F.create_map(*(x for k, v in COMMON_WORDS.items() for x in (F.lit(k), F.array(*map(F.lit, v)))))
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(
-        F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.lower(F.col(lang_col)).alias("lang")
-    )
-    lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.btrim(x, F.lit(BLANKS))) > 0)
-    rows = rows.select(
-        "id", "lang", text.alias("text"), _words(F.col("text")).alias("words"),
-        F.try_element_at(lists, F.coalesce("lang", F.lit(""))).alias("list"),
-        lines.alias("lines"),
-    ).withColumn("word_chars", F.length(F.array_join("words", "")).cast("long"))
-    rows = rows.withColumn("hashes", _window_hashes(F.col("words"))).withColumn(
-        "hits", F.filter(_words(F.lower("text")), lambda w: F.array_contains(F.col("list"), w))
+    whole = F.coalesce(F.col(text_col), F.lit(""))
+    # Each step stores what the next ones read more than once, and drops the rest early.
+    texts = docs.select(
+        F.col(id_col).alias("id"), F.lower(F.col(lang_col)).alias("lang"), whole.alias("text"), _words(whole).alias("words"),
+        F.filter(F.split(whole, "\n"), lambda x: F.length(F.btrim(x, F.lit(BLANKS))) > 0).alias("lines"),
+        F.regexp_count(whole, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
     )
-    rows = rows.withColumn("order", _in_order(F.col("hashes")))
-    n_chars = F.length("text")
-    classes = [n_chars - F.length(F.regexp_replace("text", p, "")) for p in CHAR_CLASSES.values()]
-    blanks = n_chars - F.col("word_chars")
-    n_words = F.size("words").cast("long")
-    return rows.select(
-        "id", "lang", n_words.alias("n_words"),
-        "word_chars",
-        F.regexp_count("text", F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
+    n_chars, word_chars = F.length("text"), F.length(F.array_join("words", "")).cast("long")
+    counts = texts.select(
+        "id", "lang", "n_symbols",
+        n_chars.alias("n_chars"), word_chars.alias("word_chars"), F.size("words").cast("long").alias("n_words"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.coalesce(_repeated_words(F.col("order")), F.lit(0)).cast("long").alias("n_repeat_words"),
-        F.array(*_shares([*classes, blanks, n_chars - blanks - reduce(add, classes)], n_chars)).alias("chars"),
-        F.when(
-            F.col("list").isNotNull(),
-            F.concat(
-                F.transform(
-                    "list",
-                    lambda w: F.round(F.size(F.filter("hits", lambda x: x == w)).cast("long") * UNIT / F.greatest(n_words, F.lit(1))).cast("long"),
-                ),
-                F.array(F.round((n_words - F.size("hits")) * UNIT / F.greatest(n_words, F.lit(1))).cast("long")),
+        *(F.length(F.regexp_replace("text", p, "")).alias(f"no_{k}") for k, p in CHAR_CLASSES.items()),
+        _window_hashes(F.col("words")).alias("hashes"),
+        _common_words(F.lower("text"), F.col("lang")).alias("hits"),
+    )
+    n_words = F.greatest("n_words", F.lit(1))
+    classes = [F.col("n_chars") - F.col(f"no_{k}") for k in CHAR_CLASSES]
+    classes += [F.col("n_symbols"), F.col("n_chars") - F.col("word_chars")]
+    hits, held = F.size("hits"), F.col("hits")
+    shares = reduce(
+        lambda otherwise, k: F.when(
+            F.col("lang") == k,
+            F.array(
+                *(F.round((hits - F.size(F.array_remove(held, F.lit(w)))).cast("long") * UNIT / n_words).cast("long") for w in COMMON_WORDS[k]),
+                F.round((F.col("n_words") - hits) * UNIT / n_words).cast("long"),
             ),
-        ).otherwise(F.array().cast("array<bigint>")).alias("common"),
+        ).otherwise(otherwise),
+        COMMON_WORDS, F.array().cast("array<bigint>"),
+    )
+    shaped = counts.select(
+        "id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+        F.array(*_shares([*classes, F.col("n_chars") - reduce(add, classes)], F.col("n_chars"))).alias("chars"),
+        shares.alias("common"), _in_order(F.col("hashes")).alias("order"),
+    )
+    repeated = F.coalesce(_repeated_words(F.col("order")), F.lit(0)).cast("long")
+    return shaped.withColumn("n_repeat_words", repeated).drop("order")
+
+
+def _common_words(lower: Column, lang: Column) -> Column:
+    """The words that are on the language's list, in order."""
+    none = F.array().cast("array<string>")
+    return reduce(
+        lambda otherwise, k: F.when(lang == k, F.filter(_words(lower), lambda w: w.isin(COMMON_WORDS[k]))).otherwise(otherwise),
+        COMMON_WORDS, none,
     )
 
 

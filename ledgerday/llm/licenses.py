@@ -101,7 +101,7 @@ class TemplateAutomaton:
                 for i in range(int(high or low)):
                     if i >= int(low):
                         skips.append(at)
-                    at = self._after(at, pattern=pattern)
+                    at = self._after(at, pattern=pattern, mandatory=not opened and i < int(low))
                 at = self._join(at)
                 for state in skips:
                     self.free[state].append(at)
@@ -115,7 +115,7 @@ class TemplateAutomaton:
         self._next: dict[tuple[frozenset, bytes], frozenset] = {}
         self._before = self._mandatory_before()
         #: Wording that every accepted place has.
-        self.needed = {e.word for edges in self.edges for e in edges if e.mandatory}
+        self.needed = {e.word for edges in self.edges for e in edges if e.mandatory and e.word}
 
     def may_start(self, word: bytes) -> bool:
         return any(e.takes(word) for s in self.start for e in self.edges[s])

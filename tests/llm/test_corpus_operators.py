@@ -1,0 +1,278 @@
+"""Operators over the whole corpus: brute force, planted cases, edge cases."""
+
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerday.llm import near, queries
+from ledgerday.llm.components import components
+from ledgerday.llm.line_dedup import dedup_lines, fuzzy_lines
+from ledgerday.llm.minhash import MinHash, WordHashes, byte_shingles, jaccard, word_shingles
+from ledgerday.llm.ngram_join import least_matches, ngram_join, one_of_each
+from ledgerday.llm.passage_dedup import cut_passages, repeated_passages
+from ledgerday.llm.quality_rules import js_distance, quality_rules
+from ledgerday.llm.sharding import byte_shards
+
+SF = "/root/testdata/sf0.01"
+
+
+def grouped(links, nodes):
+    parent = {n: n for n in nodes}
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def similar_pairs(sets, least=0.8):
+    places, out = defaultdict(list), []
+    for i, s in enumerate(sets):
+        for j, n in Counter(j for g in s for j in places[g]).items():
+            if n / (len(s) + len(sets[j]) - n) >= least:
+                out.append((i, j))
+        for g in s:
+            places[g].append(i)
+    return out
+
+
+def lower_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def runs(ws, n=5):
+    return {tuple(ws[i : i + n]) for i in range(max(1, len(ws) - n + 1))} if ws else set()
+
+
+def edited(text, share, seed):
+    r = random.Random(seed)
+    return " ".join("edit" + str(r.randint(0, 999)) if r.random() < share else w for w in text.split(" "))
+
+
+def test_components_equal_union_find(spark):
+    r = random.Random(2)
+    links = [(r.randrange(300), r.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(1000, 1060)] + [(5, 5)]
+    df = spark.createDataFrame(links + [(None, 3)], "a long, b long")
+    want = grouped(links, {x for p in links for x in p})
+    linked = {x for a, b in links if a != b for x in (a, b)}
+    assert {r.id: r["class"] for r in components(df).collect()} == {n: c for n, c in want.items() if n in linked}
+    assert components(df.limit(0)).count() == 0
+
+
+def test_minhash_estimates_jaccard():
+    rng = np.random.default_rng(4)
+    for share in (0.5, 0.8, 0.95):
+        a = rng.integers(0, 1 << 63, 1000).astype(np.uint64)
+        b = np.concatenate([a[: int(1000 * share)], rng.integers(0, 1 << 63, 1000 - int(1000 * share)).astype(np.uint64)])
+        s = MinHash(400).signatures([np.unique(a), np.unique(b)])
+        assert (s[0] == s[1]).mean() == pytest.approx(jaccard(np.unique(a), np.unique(b)), abs=0.08)
+    assert len(byte_shingles(b"abc")) == 1 and len(byte_shingles(b"abababababab")) == 2
+    assert len(word_shingles([b"a"] * 9, WordHashes())) == 1 and len(word_shingles([], WordHashes())) == 0
+
+
+def test_pruning_bound_is_the_posterior():
+    for n in (16, 64, 128):
+        m = least_matches(n)
+        grid = (np.arange(200_000) + 0.5) / 200_000
+        def tail(k):
+            p = grid**k * (1 - grid) ** (n - k)
+            return p[grid >= 0.8].sum() / p.sum()
+        assert tail(m) >= 1e-7 * 0.99 and (m == 0 or tail(m - 1) < 1e-7 * 1.01)
+
+
+def test_ngram_join_equals_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    rows = sorted(docs.collect())
+    want = grouped(similar_pairs([runs(lower_words(r.text)) for r in rows]), range(len(rows)))
+    got = {r.doc_id: r.class_id for r in ngram_join(docs).collect()}
+    assert got == {rows[i].doc_id: rows[c].doc_id for i, c in want.items()}
+    assert {r.doc_id for r in one_of_each(docs).collect()} == set(got.values())
+
+
+def test_ngram_join_edges(docs_of, prose):
+    a = prose(300, 1)
+    near_a = a + " extra"
+    texts = [(7, a), (3, a), (3, a), (None, near_a), (9, None), (10, ""), (11, ""), (None, None), (12, "!!"), (13, "!!"),
+             (14, "one two"), (15, "One, two"), (16, prose(40000, 2)), (17, prose(40000, 2) + " y")]
+    docs = docs_of(texts).withColumn("class_id", F.lit("clash"))
+    rows = {(r.doc_id, r.class_id): r for r in ngram_join(docs).collect()}
+    assert set(rows) == {(7, 3), (3, 3), (None, 3), (9, 9), (10, 10), (11, 11), (None, None), (12, 12), (13, 12),
+                         (14, 14), (15, 14), (16, 16), (17, 16)}
+    assert rows[3, 3].n_copies == 3 and rows[None, 3].n_links == 1 and rows[9, 9].n_links == 0
+    assert ngram_join(docs.limit(0)).count() == 0
+    assert sorted(r.doc_id for r in one_of_each(docs).collect() if r.doc_id is not None) == [3, 3, 9, 10, 11, 12, 14, 16]
+
+
+def test_large_group_of_near_copies_is_one_class(docs_of, prose):
+    base = prose(400, 5)
+    texts = [base] * 50 + [base.replace(" ", f" e{i} ", 1) for i in range(300)] + [prose(100, 900 + i) for i in range(50)]
+    classes = Counter(r.class_id for r in ngram_join(docs_of(texts)).collect())
+    assert classes[0] == 350 and len(classes) == 51
+
+
+def test_chains_in_a_bucket_keep_their_links(spark):
+    """A representative that is like neither of two similar members doesn't hide their link."""
+    items = spark.createDataFrame([(1, "x"), (2, "ab"), (3, "abc"), (4, "y")], "id long, text string")
+    bucket = {"x": [9], "ab": [9], "abc": [9], "y": [9]}
+
+    def shingles():
+        return lambda t: np.array(sorted(map(ord, t)), np.uint64)
+
+    import ledgerday.llm.near as module
+
+    signed = items.select("id", F.array(F.lit(9).cast("long")).alias("keys"))
+    real, module.signature_bands = module.signature_bands, lambda *a, **k: signed
+    try:
+        classes, links = near.near_classes(items, shingles, lambda a, b: jaccard(a, b) >= 0.6, 1, 1, "chain")
+        assert bucket and {(r.a, r.b) for r in links.collect()} == {(3, 2)}
+        assert {r.id: r["class"] for r in classes.collect()} == {2: 2, 3: 2}
+    finally:
+        module.signature_bands = real
+
+
+def test_fuzzy_lines_equal_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    lines = {(r.doc_id, n): x.strip(" \t\n\x0b\f\r") for r in docs.collect() for n, x in enumerate(r.text.split("\n"))}
+    lines = {k: v for k, v in lines.items() if v}
+    texts = sorted(set(lines.values()))
+    sets = [{t.encode()[i : i + 8] for i in range(max(1, len(t.encode()) - 7))} for t in texts]
+    group = grouped(similar_pairs(sets), range(len(texts)))
+    number = {t: group[i] for i, t in enumerate(texts)}
+    rows = fuzzy_lines(docs).collect()
+    pairs = {(number[lines[r.doc_id, r.line_no]], r.line_class) for r in rows}
+    assert len(rows) == len(lines) and len({a for a, _ in pairs}) == len({b for _, b in pairs}) == len(pairs)
+    first = defaultdict(list)
+    for r in rows:
+        first[r.line_class].append(((r.doc_id, r.line_no), r.kept))
+    assert all([k for _, k in sorted(v)] == [True] + [False] * (len(v) - 1) for v in first.values())
+
+
+def test_line_dedup_edges(docs_of):
+    line = "this line of the text is long enough to be compared with others of its kind"
+    texts = [(2, f"{line}\nown\n\n  "), (1, f"  {line} \nown line"), (3, f"{line}!"), (4, None), (5, ""), (None, line),
+             (6, "x" * 50000 + f"\n{line}"), (7, "a\nb\na")]
+    docs = docs_of(texts).withColumn("row", F.lit("clash"))
+    out = {r.doc_id: r for r in dedup_lines(docs).collect()}
+    assert len(out) == 8 and out[1].row == "clash" and dedup_lines(docs).columns == docs.columns
+    assert out[None].text == line  # null ids come first
+    assert out[1].text == "own line" and out[2].text == "own\n\n  " and out[3].text == ""
+    assert out[4].text is None and out[5].text == "" and out[6].text == "x" * 50000 and out[7].text == "a\nb"
+    assert dedup_lines(docs.limit(0)).count() == 0
+
+
+def test_passages_pasted_into_other_texts_are_found(docs_of, prose):
+    passage = prose(70, 50, stop=10)
+    texts = [prose(45, 1) + " mid " + passage + " and " + prose(60, 2), prose(91, 3) + " in " + passage + " so " + prose(30, 4),
+             prose(300, 6), prose(20, 7) + "\n" + prose(12, 60), prose(33, 8) + "\n" + prose(12, 60), None, "",
+             prose(15000, 9)]
+    docs = docs_of(texts).withColumn("removed", F.lit("clash"))
+    rows = {r.doc_id: r for r in repeated_passages(docs).collect()}
+    assert set(rows) == {0, 1}
+    assert rows[0].removed == [] and len(rows[1].removed) == rows[1].n_paragraphs >= 5 and rows[1].n_words >= 50
+    cut = {r.doc_id: r.text for r in cut_passages(docs).collect()}
+    assert cut[0] == texts[0] and cut[5] is None and cut[6] == "" and len(cut[1]) < len(texts[1]) - 200
+    assert repeated_passages(docs.limit(0)).count() == 0
+
+
+def test_passages_of_copies_and_near_copies(docs_of, prose):
+    a = prose(120, 21, stop=40)
+    swapped = a.replace(a.split()[0], "other", 1)
+    rows = {r.doc_id: r for r in repeated_passages(docs_of([a, a, swapped, prose(100, 22), (None, a)])).collect()}
+    assert set(rows) == {0, 1, 2, None}
+    assert rows[None].removed == [] and rows[0].n_words == 120 and len(rows[1].removed) == 3
+    assert rows[2].classes == rows[0].classes
+
+
+def test_shards(spark, docs_of):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = byte_shards(docs, 40).collect()
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rows.sort(key=lambda r: r.doc_id)
+    total, at = sum(r["size"] for r in rows), 0
+    slots = defaultdict(list)
+    for r in rows:
+        assert r["size"] == len(texts[r.doc_id].encode()) + 16 and r.text_crc32 == zlib.crc32(texts[r.doc_id].encode())
+        assert r.shard == at * 40 // total
+        at += r["size"]
+        slots[r.shard].append(r.slot)
+    assert all(v == list(range(len(v))) for v in slots.values()) and set(slots) <= set(range(40))
+
+
+def test_shards_edges(docs_of):
+    docs = docs_of([(None, "x")] * 300 + [(1, None), (1, None), (2, "é" * 10), (3, "")]).withColumn("size", F.lit("clash"))
+    rows = byte_shards(docs, 5).collect()
+    assert len(rows) == 304 and {r["size"] for r in rows} == {16, 17, 36}
+    per = Counter(r.shard for r in rows)
+    assert set(per) == set(range(5)) and max(per.values()) - min(per.values()) <= 4
+    for s in per:
+        assert sorted(r.slot for r in rows if r.shard == s) == list(range(per[s]))
+    assert byte_shards(docs.limit(0), 5).count() == 0
+    assert sorted(r.shard for r in byte_shards(docs_of(["a", "b"]), 5).collect()) == [0, 2]
+
+
+def rules_by_hand(text):
+    text = text or ""
+    ws = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = Counter(tuple(ws[i : i + 5]) for i in range(len(ws) - 4))
+    covered = {i + k for i in range(len(ws) - 4) if windows[tuple(ws[i : i + 5])] > 1 for k in range(5)}
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    n = len(ws)
+    return (n, sum(map(len, ws)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered),
+            n < 10 or 100 * len(covered) > 20 * n)
+
+
+def test_quality_counts_equal_plain_python(spark, docs_of):
+    odd = [None, "", "  \n ", "a b c d e " * 4, "a b c d e f a b c d e g h i j k l m n o p", "x" * 30000 + " y " * 9,
+           "l1 w\nl1 w\n \n \nl2", "\x0bé\x0c | # é\xa0ü 😀 x\r", "a a a a a a", "a b c d e f"]
+    docs = docs_of([(100000 + i, t) for i, t in enumerate(odd)] + [(100000, None)]).unionByName(
+        spark.read.parquet(f"{SF}/documents.parquet")).withColumn("kept", F.lit("clash"))
+    texts = defaultdict(list)
+    for r in docs.collect():
+        texts[r.doc_id].append(r.text)
+    rows = quality_rules(docs).collect()
+    assert len(rows) == sum(map(len, texts.values()))
+    for r in rows:
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == rules_by_hand(texts[r.doc_id][0])
+        assert not (r.base_failed and r.kept) and 0 <= r.char_distance <= 1 and 0 <= r.word_distance <= 1
+    assert quality_rules(docs.limit(0)).count() == 0
+
+
+def test_quality_rules_keep_clean_documents(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    rows = quality_rules(docs).join(labels, "doc_id").where("not base_failed").collect()
+    good, bad = ([r.kept for r in rows if r.quality == q] for q in (1, 0))
+    assert sum(good) / len(good) > 0.99 and sum(bad) / len(bad) < 0.2
+
+
+def test_jensen_shannon_distance(spark):
+    def js(p, q):
+        p, q = np.array(p) / sum(p), np.array(q) / sum(q)
+        m = (p + q) / 2
+        def kl(a):
+            return sum(x * np.log2(x / y) for x, y in zip(a, m) if x > 0)
+        return np.sqrt((kl(p) + kl(q)) / 2)
+
+    cases = [([1, 2, 3], [3, 2, 1]), ([1, 0], [0, 1]), ([5, 0, 5], [5, 0, 5]), ([1, 9], [2, 3])]
+    for p, q in cases:
+        df = spark.createDataFrame([(p, q)], "p array<long>, q array<long>")
+        assert df.select(js_distance(F.col("p"), F.col("q"))).first()[0] == pytest.approx(js(p, q), abs=1e-9)
+    assert spark.createDataFrame([([0, 0], [1, 2])], "p array<long>, q array<long>").select(js_distance(F.col("p"), F.col("q"))).first()[0] == 0.0
+
+
+def test_native_queries_run_no_python(spark):
+    for name in ("op4_quality_rules", "op9_byte_shards"):
+        plan = queries.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+        assert not re.search("Python|Pandas|Arrow", plan)
+
+

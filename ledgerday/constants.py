@@ -41,9 +41,3 @@ MAX_DAYS_BACK = 7
 LOG_RETENTION = 30
 DATE_OFFSET = 1
 DATE_TEXT_FORMAT = "dd/MM/yyyy"
-
-# --- own default, not a reference value --------------------------------------
-# Addresses per recipient list of one message.  RFC 5321 (4.5.3.1.8) obliges
-# every mail server to accept at least 100 recipients per message; longer
-# lists are sent as several messages ("parts").
-MAX_RECIPIENTS = 100

@@ -45,6 +45,20 @@ def within(df: DataFrame, lo: DateLike | None, hi: DateLike | None, col: str = "
     return df.where(cond)
 
 
+def in_months_of(df: DataFrame, dates: DataFrame | None, months: list[dt.date] | None = None, name: str = "report_date") -> DataFrame:
+    """The rows of a month-stored ledger in the months of ``dates``: whole directories are pruned.
+
+    The distinct months (a calendar: a few values) are read by a small job
+    unless the caller knows them, and become literals on the partition column.
+    A ledger that isn't stored by month, or no dates, is returned as it is.
+    """
+    if MONTH_PARTITION not in df.columns or (dates is None and months is None):
+        return df
+    if months is None:
+        months = [r[0] for r in dates.select(F.trunc(F.col(name).cast("date"), "MM")).distinct().collect()]
+    return df.where(F.col(MONTH_PARTITION).isin([m for m in months if m is not None]))
+
+
 def date_spine(spark: SparkSession, start: DateLike, end: DateLike, name: str = "report_date") -> DataFrame:
     """One row per calendar day in ``[start, end]``; the row count is known on the driver."""
     lo, hi = as_date(start), as_date(end)
@@ -54,12 +68,6 @@ def date_spine(spark: SparkSession, start: DateLike, end: DateLike, name: str =
     return spark.range(n).select(F.date_add(F.lit(lo), F.col("id").cast("int")).alias(name))
 
 
-def ledger_bounds(ledger: DataFrame, col: str = "vrdate") -> tuple[dt.date | None, dt.date | None]:
-    """First and last date of the ledger: a one-row partial aggregate; two dates reach the driver."""
-    row = ledger.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
-    return (row["lo"], row["hi"]) if row is not None else (None, None)
-
-
 def ledger_span(ledger: DataFrame, name: str = "report_date", col: str = "vrdate") -> DataFrame:
     """Every calendar day from the ledger's first to its last date, derived by Spark.
 

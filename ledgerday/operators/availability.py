@@ -10,11 +10,13 @@ ledger costs one partial row per task, not a hot shuffle key.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerday.functions import items as it
-from ledgerday.functions.dates import DateLike, as_date, within
+from ledgerday.functions.dates import DateLike, as_date, in_months_of, within
 from ledgerday.params import DEFAULT_ITEMS, Items
 
 MATERIALS = ("coal", "maize", "ethanol")
@@ -40,12 +42,12 @@ def availability_rows(
         return rows.select(
             "vrdate",
             F.lit(items.ethanol_label).alias("item_name"),
-            it.row_tonnes("qtyrecd", "um", items).cast("double").alias("qty_received"),
+            it.row_tonnes("qtyrecd", "um", items).alias("qty_received"),
         )
     return rows.select(
         "vrdate",
         it.product_name("item_name", items, compare_upper=False).alias("item_name"),
-        it.row_tonnes("qtyissued", "um", items).cast("double").alias("qty_issued"),
+        it.row_tonnes("qtyissued", "um", items).alias("qty_issued"),
     )
 
 
@@ -54,32 +56,41 @@ def report_readiness(
     dates: DataFrame | None = None,
     items: Items = DEFAULT_ITEMS,
     between: tuple[DateLike, DateLike] | None = None,
+    months: list[dt.date] | None = None,
 ) -> DataFrame:
     """``report_date, coal_rows, maize_rows, ethanol_rows, ready``.
 
-    Without ``dates`` every date with a production line is reported.  With
-    ``dates`` (a ``report_date`` column) every wanted date appears, with zero
-    counts where the ledger has nothing; only the three items are read.
+    Without ``dates`` every day of the calendar from the ledger's first to its
+    last line appears; with ``dates`` (a ``report_date`` column) every wanted
+    one.  A day without a production line has zero counts: that is what the
+    alerts are for.  A ledger stored by month is read in the wanted months only
+    (``between`` gives literal bounds, ``months`` the months if known).
     """
-    prod = ledger.where(F.col("tcode") == F.lit(items.production_code))
+    rows = ledger.where(F.col("vrdate").isNotNull())
     if between is not None:
-        prod = within(prod, *between)
+        rows = within(rows, *between)
+    elif dates is not None:
+        rows = in_months_of(rows, dates, months)
+    production = F.col("tcode") == F.lit(items.production_code)
     if dates is not None:
-        prod = prod.where(F.col("item_name").isin(items.coal, items.maize, items.ethanol))
-    counts = prod.groupBy(F.col("vrdate").alias("report_date")).agg(
-        *[F.count_if(_material_condition(m, items)).alias(f"{m}_rows") for m in MATERIALS]
+        rows = rows.where(production & F.col("item_name").isin(items.coal, items.maize, items.ethanol))
+    # One struct, so that the calendar's branch reads the same aggregate (a reused exchange).
+    counts = rows.groupBy(F.col("vrdate").alias("report_date")).agg(
+        F.struct(*[F.count_if(production & _material_condition(m, items)).alias(f"{m}_rows") for m in MATERIALS]).alias("n")
     )
-    if dates is not None:
+    if dates is None:
+        day = F.struct("report_date", "n")
+        bounds = counts.agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
+        wanted = bounds.select(F.explode(F.sequence("lo.report_date", "hi.report_date")).alias("report_date"))
+    else:
         wanted = dates.select(F.col("report_date").cast("date").alias("report_date")).distinct()
-        counts = wanted.join(counts, "report_date", "left").select(
-            "report_date", *[F.coalesce(F.col(f"{m}_rows"), F.lit(0)).alias(f"{m}_rows") for m in MATERIALS]
-        )
+    counts = wanted.join(counts, "report_date", "left").select(
+        "report_date", *[F.coalesce(F.col(f"n.{m}_rows"), F.lit(0)).cast("bigint").alias(f"{m}_rows") for m in MATERIALS]
+    )
     ready = F.lit(True)
     for m in MATERIALS:
         ready = ready & (F.col(f"{m}_rows") > 0)
-    return counts.select(
-        "report_date", *[F.col(f"{m}_rows").cast("bigint").alias(f"{m}_rows") for m in MATERIALS], ready.alias("ready")
-    )
+    return counts.withColumn("ready", ready)
 
 
 def availability_alerts(readiness: DataFrame, materials: tuple[str, ...] = ("coal", "maize")) -> DataFrame:

@@ -1,89 +1,58 @@
 """B9, B10, E6 — who receives each report.
 
-One pass over the contact table: each usable row yields one row per role it
-holds for its own report (``to`` by the report's own flag, ``cc``, ``bcc``).
-That long form is the distributed product.  The comma-joined header lists are
-cut into parts of at most ``max_recipients`` addresses, by position in
-address order: a report's contacts can be a large share of the table, and a
-header is never built from more than one part's rows, so no task gathers a
-whole report.  Addresses are sorted so that the result is deterministic, and
-duplicates are kept.  Lists up to ``max_recipients`` give a single part 0 —
-the reference's one message per report.
+One pass over the contact table: each usable row yields one row per report and
+role that it holds (``to`` by the report's own flag, ``cc``, ``bcc``).  That long
+form is the recipient list, however long: the sender joins it to the outbox by
+``kind``.  Lists are keyed by the report's kind, so two reports may share a
+report name.  Duplicate addresses are kept.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerday.constants import MAX_RECIPIENTS
-from ledgerday.operators.positions import group_positions
 from ledgerday.params import DEFAULT_REPORTS, Report
 
 ROLES = ("to", "cc", "bcc")
 
 
-def _to_flag(reports: tuple[Report, ...]) -> Column:
-    flag = None
-    for r in reports:
-        cond = F.col("report_name") == F.lit(r.report_name)
-        flag = F.when(cond, F.col(r.to_flag)) if flag is None else flag.when(cond, F.col(r.to_flag))
-    return flag
-
-
 def recipient_contacts(contacts: DataFrame, reports: tuple[Report, ...] = DEFAULT_REPORTS) -> DataFrame:
-    """Long form ``report_name, role, email``; blanks in report names are significant."""
+    """Long form ``kind, report_name, role, email``; blanks in report names are significant."""
     usable = F.col("email").isNotNull() & (F.col("email") != F.lit(""))
     rows = contacts.where(F.col("report_name").isin(*[r.report_name for r in reports]) & usable)
-    roles = F.array(
-        F.when(_to_flag(reports), F.lit("to")),
-        F.when(F.col("is_cc"), F.lit("cc")),
-        F.when(F.col("is_bcc"), F.lit("bcc")),
-    )
-    return rows.select("report_name", F.explode(F.filter(roles, lambda r: r.isNotNull())).alias("role"), "email")
-
-
-def recipient_batches(
-    contacts: DataFrame,
-    reports: tuple[Report, ...] = DEFAULT_REPORTS,
-    max_recipients: int = MAX_RECIPIENTS,
-) -> DataFrame:
-    """``report_name, role, part, addresses``: part ``p`` holds positions ``p*max .. p*max+max-1`` in address order."""
-    positioned = group_positions(recipient_contacts(contacts, reports), ["report_name", "role"], "email")
-    part = F.floor(F.col("pos") / F.lit(max_recipients)).cast("long").alias("part")
-    # Each group is one part: at most ``max_recipients`` rows.
-    return positioned.groupBy("report_name", "role", part).agg(
-        F.array_join(F.array_sort(F.collect_list("email")), ",").alias("addresses")
-    )
+    held = [
+        F.when(
+            (F.col("report_name") == F.lit(r.report_name)) & F.col(flag),
+            F.struct(F.lit(r.kind).alias("kind"), F.lit(role).alias("role")),
+        )
+        for r in reports
+        for role, flag in zip(ROLES, (r.to_flag, "is_cc", "is_bcc"))
+    ]
+    held = F.explode(F.filter(F.array(*held), lambda x: x.isNotNull())).alias("held")
+    return rows.select("report_name", held, "email").select("held.kind", "report_name", "held.role", "email")
 
 
-def report_recipients(
-    contacts: DataFrame,
-    reports: tuple[Report, ...] = DEFAULT_REPORTS,
-    max_recipients: int = MAX_RECIPIENTS,
-) -> DataFrame:
-    """``report_name, part, to_list, cc_list, bcc_list, has_to``: every configured report has a part 0.
+def report_recipients(contacts: DataFrame, reports: tuple[Report, ...] = DEFAULT_REPORTS) -> DataFrame:
+    """``kind, report_name, n_to, n_cc, n_bcc, deliverable``: a row for every configured report.
 
-    Part ``p`` carries the ``p``-th batch of each role (``''`` once a role is
-    exhausted); ``has_to`` tells whether the report has any "to" address.
+    The counts are combined map-side; a report whose list has no ``to``
+    address can't be delivered.
     """
-    batches = recipient_batches(contacts, reports, max_recipients)
-    lists = batches.groupBy("report_name", "part").agg(
-        *[F.max(F.when(F.col("role") == r, F.col("addresses"))).alias(f"{r}_list") for r in ROLES]
+    rows = recipient_contacts(contacts, reports)
+    counts = rows.groupBy("kind").agg(*[F.count_if(F.col("role") == r).alias(f"n_{r}") for r in ROLES])
+    names = reduce(
+        DataFrame.union,
+        [
+            contacts.sparkSession.range(1).select(F.lit(r.kind).alias("kind"), F.lit(r.report_name).alias("report_name"))
+            for r in reports
+        ],
     )
-    spark = contacts.sparkSession
-    # One row per configured report: a bounded build side.
-    names = spark.createDataFrame([(r.report_name, 0) for r in reports], "report_name string, part long")
-    has_to = names.join(
-        batches.where((F.col("role") == "to") & (F.col("part") == 0)).select("report_name"), "report_name", "left_semi"
-    ).select("report_name", F.lit(True).alias("has_to"))
-    return (
-        lists.join(names, ["report_name", "part"], "full")
-        .join(F.broadcast(has_to), "report_name", "left")
-        .select(
-            "report_name",
-            "part",
-            *[F.coalesce(F.col(f"{r}_list"), F.lit("")).alias(f"{r}_list") for r in ROLES],
-            F.coalesce(F.col("has_to"), F.lit(False)).alias("has_to"),
-        )
+    return names.join(counts, "kind", "left").select(
+        "kind",
+        "report_name",
+        *[F.coalesce(F.col(f"n_{r}"), F.lit(0)).alias(f"n_{r}") for r in ROLES],
+        (F.coalesce(F.col("n_to"), F.lit(0)) > 0).alias("deliverable"),
     )

@@ -1,10 +1,10 @@
 """A5 — the outbox: one row per message instead of sending mail.
 
-Messages are the availability alerts (one per date and missing material)
-and the sales report of every date whose mail channel decided ``send``.
-Each carries its report's recipient lists and subject; a report whose lists
-run over several parts (see :func:`report_recipients`) gives one message per
-part.  ``deliverable`` is false when the report has no "to" address.
+Messages are the availability alerts (one per date, missing material and report
+on it) and the sales report of every date whose mail channel decided ``send``.
+Each has its subject and the sizes of its report's recipient lists; the
+addresses are the rows of :func:`recipient_contacts` with the same ``kind``.
+``deliverable`` is false when the report has no "to" address.
 """
 
 from __future__ import annotations
@@ -16,11 +16,9 @@ from ledgerday.functions.dates import date_text
 from ledgerday.params import DEFAULT_REPORTS, Report
 
 
-def _lookup(key: Column, pairs: list[tuple[str, str]]) -> Column:
-    out = None
-    for k, v in pairs:
-        out = F.when(key == F.lit(k), F.lit(v)) if out is None else out.when(key == F.lit(k), F.lit(v))
-    return out if out is not None else F.lit(None).cast("string")
+def _kinds(pairs: list[tuple[Column, Report]]) -> Column:
+    kinds = F.array(*[F.when(cond, F.lit(r.kind)) for cond, r in pairs]).cast("array<string>")
+    return F.explode(F.filter(kinds, lambda k: k.isNotNull())).alias("kind")
 
 
 def message_outbox(
@@ -30,31 +28,22 @@ def message_outbox(
     reports: tuple[Report, ...] = DEFAULT_REPORTS,
     report_channel: str = "email",
 ) -> DataFrame:
-    alert_reports = [r for r in reports if r.material]
-    sales_reports = [r for r in reports if not r.material]
-    kind = _lookup(F.col("material"), [(r.material, r.kind) for r in alert_reports])
-    msgs = alerts.select("report_date", kind.alias("kind")).where(F.col("kind").isNotNull())
+    """``report_date, kind, report_name, subject, n_to, n_cc, n_bcc, deliverable``.
+
+    ``recipients`` is :func:`report_recipients`: a row per configured report.
+    """
+    on_material = [(F.col("material") == F.lit(r.material), r) for r in reports if r.material]
+    sales = [(F.lit(True), r) for r in reports if not r.material]
     send = decisions.where((F.col("channel") == report_channel) & (F.col("decision") == "send"))
-    for r in sales_reports:
-        msgs = msgs.unionByName(send.select("report_date", F.lit(r.kind).alias("kind")))
-    msgs = msgs.select(
-        "report_date",
-        "kind",
-        _lookup(F.col("kind"), [(r.kind, r.report_name) for r in reports]).alias("report_name"),
-        _lookup(F.col("kind"), [(r.kind, r.subject) for r in reports]).alias("_title"),
-    )
-    # The messages are the build side: at most (dates x report kinds) rows, a
-    # calendar bound, while the recipient parts grow with the contact table and
-    # stay where they are (no shuffle of them, no hot report key).  Every
-    # configured report has a part 0, so the inner join keeps every message.
-    joined = F.broadcast(msgs).join(recipients, "report_name")
-    return joined.select(
+    msgs = alerts.select("report_date", _kinds(on_material)).unionByName(send.select("report_date", _kinds(sales)))
+    title = F.coalesce(*[F.when(F.col("kind") == F.lit(r.kind), F.lit(r.subject)) for r in reports])
+    return msgs.join(recipients, "kind").select(
         "report_date",
         "kind",
-        "part",
-        "to_list",
-        "cc_list",
-        "bcc_list",
-        F.concat(F.col("_title"), F.lit(" - "), date_text(F.col("report_date"))).alias("subject"),
-        F.col("has_to").alias("deliverable"),
+        "report_name",
+        F.concat(title, F.lit(" - "), date_text(F.col("report_date"))).alias("subject"),
+        "n_to",
+        "n_cc",
+        "n_bcc",
+        "deliverable",
     )

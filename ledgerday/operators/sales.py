@@ -33,12 +33,13 @@ from ledgerday.session import materialize as checkpointed
 
 
 def sales_rows(ledger: DataFrame, items: Items = DEFAULT_ITEMS) -> DataFrame:
-    """Sale lines that count: no returns, no scrap, no cancelled party (NULLs drop out)."""
+    """Sale lines that count: no returns, no scrap, no cancelled party (NULLs and empty strings drop out)."""
     return (
         ledger.where(F.col("tcode") == F.lit(items.sale_code))
-        .where(~F.col("item_nature").isin(*items.return_natures))
-        .where(~F.upper(F.trim(F.col("item_name"))).isin(*items.scrap))
-        .where(F.col("acc_name") != F.lit(items.cancelled_party))
+        # The source database takes an empty string for NULL, and so no comparison with one holds.
+        .where((F.col("item_nature") != "") & ~F.col("item_nature").isin(*items.return_natures))
+        .where((F.trim("item_name") != "") & ~F.upper(F.trim("item_name")).isin(*items.scrap))
+        .where((F.col("acc_name") != "") & (F.col("acc_name") != F.lit(items.cancelled_party)))
         .withColumn("product_name", it.product_name("item_name", items))
     )
 
@@ -55,7 +56,7 @@ def sales_day(ledger: DataFrame, report_date: DateLike, items: Items = DEFAULT_I
     return g.select(
         it.product_name("item_name", items).alias("product_name"),
         "aum",
-        it.total_value(F.col("s"), F.col("aum"), items).cast("double").alias("qty"),
+        it.total_value(F.col("s"), F.col("aum"), items).alias("qty"),
         it.unit_label(F.col("aum"), items).alias("unit"),
         F.col("n").cast("bigint").alias("no_of_trucks"),
     )
@@ -78,8 +79,8 @@ def sales_mtd(
     return g.select(
         it.product_name("item_upper", items).alias("product_name"),
         "aum",
-        it.total_value(F.col("s"), F.col("aum"), items).cast("double").alias("tot_qty"),
-        it.average_value(F.col("s"), F.col("aum"), day, items).cast("double").alias("avg_qty"),
+        it.total_value(F.col("s"), F.col("aum"), items).alias("tot_qty"),
+        it.average_value(F.col("s"), F.col("aum"), day, items).alias("avg_qty"),
         it.unit_label(F.col("aum"), items).alias("unit"),
         F.col("n").cast("bigint").alias("tot_no_of_trucks"),
         F.round(F.col("n") / day).cast("bigint").alias("avg_no_of_trucks"),
@@ -150,11 +151,11 @@ def typed_columns(day: Column, items: Items) -> list[Column]:
     hit = F.col("d_hit")
     return [
         F.col("product_name"),
-        F.when(hit, it.total_value(F.col("d_s"), F.col("d_aum"), items)).otherwise(F.lit(0)).cast("double").alias("qty"),
+        F.when(hit, it.total_value(F.col("d_s"), F.col("d_aum"), items)).otherwise(F.lit(0)).alias("qty"),
         F.when(hit, it.unit_label(F.col("d_aum"), items)).alias("day_unit"),
         F.coalesce(F.col("d_n"), F.lit(0)).cast("bigint").alias("no_of_trucks"),
-        it.total_value(F.col("m_s"), F.col("m_aum"), items).cast("double").alias("tot_qty"),
-        it.average_value(F.col("m_s"), F.col("m_aum"), day, items).cast("double").alias("avg_qty"),
+        it.total_value(F.col("m_s"), F.col("m_aum"), items).alias("tot_qty"),
+        it.average_value(F.col("m_s"), F.col("m_aum"), day, items).alias("avg_qty"),
         it.unit_label(F.col("m_aum"), items).alias("unit"),
         F.col("m_n").cast("bigint").alias("tot_no_of_trucks"),
         F.round(F.col("m_n") / day).cast("bigint").alias("avg_no_of_trucks"),

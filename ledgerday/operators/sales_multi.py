@@ -27,10 +27,12 @@ a lost executor recomputes from the checkpoint, not from the ledger.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerday.functions.dates import DateLike, within
+from ledgerday.functions.dates import DateLike, in_months_of, within
 from ledgerday.operators.sales import day_side, join_sides, month_groups, sales_rows, text_columns, typed_columns
 from ledgerday.params import DEFAULT_ITEMS, Items
 from ledgerday.session import materialize as checkpointed
@@ -61,7 +63,10 @@ def multi_frame(
     by_unit: bool = False,
     between: tuple[DateLike, DateLike] | None = None,
     materialize: bool = False,
+    months: list[dt.date] | None = None,
 ) -> DataFrame:
+    if between is None:
+        ledger = in_months_of(ledger, dates, months)
     daily = daily_sales(ledger, items, between)
     wanted = dates.select(F.col("report_date").cast("date").alias("report_date")).distinct()
     if materialize:
@@ -85,9 +90,12 @@ def month_to_date(daily: DataFrame, wanted: DataFrame, by_unit: bool = False) ->
     join to the wanted dates — not one copy of every daily row per later day
     of its month.
     """
-    per_day = daily.groupBy("vrdate", *month_groups(by_unit)).agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
-    groups = [c for c in per_day.columns if c not in ("vrdate", "s", "n")]
-    in_month = Window.partitionBy(F.trunc("vrdate", "MM"), *groups).orderBy("vrdate")
+    named = daily.select(F.trunc("vrdate", "MM").alias("month"), "vrdate", *month_groups(by_unit), "s", "n")
+    groups = [c for c in named.columns if c not in ("month", "vrdate", "s", "n")]
+    # One shuffle serves the re-grouping by day and the window over the month.
+    dealt = named.repartition("month", *groups)
+    per_day = dealt.groupBy("month", *groups, "vrdate").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
+    in_month = Window.partitionBy("month", *groups).orderBy("vrdate")
     so_far = in_month.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = per_day.select(
         *groups,
@@ -108,13 +116,16 @@ def sales_report_multi(
     by_unit: bool = False,
     between: tuple[DateLike, DateLike] | None = None,
     materialize: bool = False,
+    months: list[dt.date] | None = None,
 ) -> DataFrame:
     """``sales_report`` for every ``report_date`` of ``dates``, plus a ``report_date`` column.
 
     ``between`` optionally bounds the ledger scan (literal dates, pushed to
     the source); it must cover each report date's whole month-to-date range.
+    Without it a ledger stored by month is read in the dates' months only;
+    these are found by a small job unless ``months`` has them.
     """
-    frame = multi_frame(ledger, dates, items, by_unit, between, materialize)
+    frame = multi_frame(ledger, dates, items, by_unit, between, materialize, months)
     return frame.select("report_date", *typed_columns(F.dayofmonth("report_date"), items))
 
 
@@ -125,6 +136,21 @@ def sales_report_multi_text(
     by_unit: bool = False,
     between: tuple[DateLike, DateLike] | None = None,
     materialize: bool = False,
+    months: list[dt.date] | None = None,
 ) -> DataFrame:
-    frame = multi_frame(ledger, dates, items, by_unit, between, materialize)
+    frame = multi_frame(ledger, dates, items, by_unit, between, materialize, months)
     return frame.select("report_date", *text_columns(F.dayofmonth("report_date"), items))
+
+
+def sales_report_multi_lines(
+    ledger: DataFrame,
+    dates: DataFrame,
+    items: Items = DEFAULT_ITEMS,
+    between: tuple[DateLike, DateLike] | None = None,
+    months: list[dt.date] | None = None,
+) -> DataFrame:
+    """The text form with each date's lines numbered from 1 in the report's order (product, unit)."""
+    frame = multi_frame(ledger, dates, items, between=between, months=months)
+    order = Window.partitionBy("report_date").orderBy("product_name", "m_aum", "d_aum", "m_s", "d_s", "m_n", "d_n")
+    line = F.row_number().over(order).alias("line_no")
+    return frame.select("report_date", line, *text_columns(F.dayofmonth("report_date"), items))

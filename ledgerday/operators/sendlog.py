@@ -1,10 +1,9 @@
 """A4, F3 — appending to the send log and keeping the last N entries per channel.
 
-The log is a short list per channel (``retain`` entries), so these operators
-work on metadata-sized inputs.  Retention is a per-channel top-N by insertion
-order; written as ``row_number() <= N`` it is planned with a partial
-``WindowGroupLimit`` before the shuffle, so each task forwards at most N rows
-per channel whatever the log's size.
+The log has one entry per channel and date.  Retention is a per-channel top-N
+by insertion order; written as ``row_number() <= N`` it is planned with a
+partial ``WindowGroupLimit`` before the shuffle, so each task forwards at most
+N rows per channel whatever the log's size.
 """
 
 from __future__ import annotations
@@ -24,27 +23,38 @@ def send_log_retained(log: DataFrame, retain: int = LOG_RETENTION) -> DataFrame:
 def send_log_append(log: DataFrame, new_dates: DataFrame, retain: int = LOG_RETENTION) -> DataFrame:
     """A4: add (channel, sent_date) pairs not yet logged, oldest first, then keep the last ``retain``.
 
-    New entries get sequence numbers after the channel's last one, in date
-    order (the order dates are processed).  As with the file it replaces, a
-    channel that received nothing new is returned unchanged.
+    In a channel that received something, ``seq`` becomes the position in its
+    document: 0, 1, ... in insertion order, new entries last and in date order.
+    As with the file it replaces, a channel that received nothing new is
+    returned unchanged.  One aggregate by (channel, date) and one sort by
+    channel, each over at most one row per channel and day of the calendar.
     """
-    fresh = (
-        new_dates.select("channel", F.col("sent_date").cast("date").alias("sent_date"))
-        .distinct()
-        .join(log.select("channel", "sent_date"), ["channel", "sent_date"], "left_anti")
+    merged = (
+        log.select("channel", "sent_date", F.col("seq").cast("long").alias("seq"))
+        .unionByName(
+            new_dates.select(
+                "channel", F.col("sent_date").cast("date").alias("sent_date"), F.lit(None).cast("long").alias("seq")
+            )
+        )
+        .groupBy("channel", "sent_date")
+        .agg(F.sort_array(F.collect_list("seq")).alias("seqs"))
+        .select("channel", "sent_date", F.explode_outer("seqs").alias("seq"))
     )
-    # One row per channel that receives entries: bounded by the channel list.
-    bases = fresh.groupBy("channel").agg(F.min("sent_date").alias("_first")).join(
-        log.groupBy("channel").agg(F.max("seq").alias("_last")), "channel", "left"
+    newest_first = Window.partitionBy("channel").orderBy(
+        F.col("seq").desc_nulls_first(), F.col("sent_date").desc()
     )
-    added = fresh.join(F.broadcast(bases), "channel").select(
+    channel = Window.partitionBy("channel").orderBy(F.col("seq").desc_nulls_first(), F.col("sent_date").desc()).rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing
+    )
+    ranked = merged.select(
         "channel",
         "sent_date",
-        (F.coalesce(F.col("_last"), F.lit(-1)) + 1 + F.datediff("sent_date", "_first")).cast("long").alias("seq"),
+        "seq",
+        F.row_number().over(newest_first).alias("_back"),
+        F.count(F.lit(1)).over(channel).alias("_n"),
+        F.max(F.col("seq").isNull()).over(channel).alias("_grew"),
+    )
+    position = (F.least(F.col("_n"), F.lit(retain)) - F.col("_back")).cast("long")
+    return ranked.where(~F.col("_grew") | (F.col("_back") <= retain)).select(
+        "channel", "sent_date", F.when(F.col("_grew"), position).otherwise(F.col("seq")).alias("seq")
     )
-    log = log.select("channel", "sent_date", "seq")
-    touched = F.broadcast(bases.select("channel"))
-    # Channels that grew are trimmed (a per-channel top-N: partial limit before the shuffle);
-    # the others pass through untouched.
-    grown = send_log_retained(log.join(touched, "channel", "left_semi").unionByName(added), retain)
-    return grown.unionByName(log.join(touched, "channel", "left_anti"))

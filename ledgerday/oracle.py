@@ -3,7 +3,7 @@
 Written from the report's definition, not from the Spark plans: plain
 GROUP BY / JOIN / EXISTS / window SQL over the fixture views.  DuckDB divides
 decimals into DOUBLE, so tonnes are computed as ``x * 0.001`` (exact decimal)
-and every division is cast to DECIMAL(38,6) before rounding.
+and averages in whole numbers, rounded once.
 """
 
 from __future__ import annotations
@@ -43,12 +43,22 @@ def tonnes(s: str) -> str:
     return f"round(CAST({s} AS DECIMAL(30,3)) * 0.001, 2)"
 
 
+def _half_up(s: str, by: str) -> str:
+    """``s / by`` rounded once to 2 decimals, half away from zero, in whole numbers.
+
+    ``s`` has 3 decimals: hundredths of the quotient are ``s * 1000 / (10 * by)``, and the
+    remainder of that whole division decides the rounding.
+    """
+    n = f"CAST(CAST({s} AS DECIMAL(30,3)) * 1000 AS HUGEINT)"
+    return f"CAST(sign({n}) * ((2 * abs({n}) + 10 * {by}) // (20 * {by})) AS DECIMAL(30,0)) * 0.01"
+
+
 def avg_kg(s: str, day: str) -> str:
-    return f"round(CAST(CAST({s} AS DECIMAL(30,3)) * 0.001 / {day} AS DECIMAL(38,6)), 2)"
+    return _half_up(s, f"(1000 * {day})")
 
 
 def avg_other(s: str, day: str) -> str:
-    return f"round(CAST({s} / {day} AS DECIMAL(38,6)), 2)"
+    return _half_up(s, day)
 
 
 def tot_val(s: str, u: str) -> str:
@@ -95,16 +105,21 @@ LEDGER_COLS = (
 )
 
 SALES = (
-    "sales AS (SELECT * FROM ledger WHERE tcode = 'S' AND item_nature NOT IN ('SR') "
-    f"AND upper(trim(item_name)) NOT IN {SCRAP} AND acc_name <> 'CANCEL PARTY')"
+    "sales AS (SELECT * FROM ledger WHERE tcode = 'S' AND nullif(item_nature, '') NOT IN ('SR') "
+    f"AND nullif(upper(trim(item_name)), '') NOT IN {SCRAP} AND nullif(acc_name, '') <> 'CANCEL PARTY')"
 )
 
+CALENDAR = (
+    "days AS (SELECT CAST(unnest(generate_series(CAST(min(vrdate) AS TIMESTAMP), CAST(max(vrdate) AS TIMESTAMP), "
+    "INTERVAL 1 DAY)) AS DATE) AS report_date FROM ledger)"
+)
 READINESS_ALL = (
-    "rc AS (SELECT vrdate AS report_date, "
-    f"count_if(item_name = {COAL} AND qtyissued > 0) AS coal_rows, "
-    f"count_if(item_name = {MAIZE} AND qtyissued > 0) AS maize_rows, "
-    f"count_if(item_name = {ETH} AND qtyrecd > 0) AS ethanol_rows "
-    "FROM ledger WHERE tcode = 'Q' GROUP BY vrdate), "
+    f"{CALENDAR}, q AS (SELECT * FROM ledger WHERE tcode = 'Q'), "
+    "rc AS (SELECT d.report_date, "
+    f"count(*) FILTER (WHERE item_name = {COAL} AND qtyissued > 0) AS coal_rows, "
+    f"count(*) FILTER (WHERE item_name = {MAIZE} AND qtyissued > 0) AS maize_rows, "
+    f"count(*) FILTER (WHERE item_name = {ETH} AND qtyrecd > 0) AS ethanol_rows "
+    "FROM days d LEFT JOIN q ON q.vrdate = d.report_date GROUP BY d.report_date), "
     "readiness AS (SELECT report_date, CAST(coal_rows AS BIGINT) AS coal_rows, CAST(maize_rows AS BIGINT) AS maize_rows, "
     "CAST(ethanol_rows AS BIGINT) AS ethanol_rows, coal_rows > 0 AND maize_rows > 0 AND ethanol_rows > 0 AS ready FROM rc)"
 )
@@ -198,33 +213,21 @@ RUN = (
 )
 
 USABLE = "email IS NOT NULL AND email <> ''"
-NAMES = ", ".join(f"'{r[1]}'" for r in REPORTS)
-TO_COND = " OR ".join(f"(report_name = '{r[1]}' AND {r[2]})" for r in REPORTS)
-RECIPIENT_CONTACTS = (
-    f"SELECT report_name, 'to' AS role, email FROM report_contacts WHERE {USABLE} AND ({TO_COND}) "
-    f"UNION ALL SELECT report_name, 'cc', email FROM report_contacts WHERE {USABLE} AND report_name IN ({NAMES}) AND is_cc "
-    f"UNION ALL SELECT report_name, 'bcc', email FROM report_contacts WHERE {USABLE} AND report_name IN ({NAMES}) AND is_bcc"
-)
-MAX_RECIPIENTS = 100
-BATCHES = (
-    f"rcon AS ({RECIPIENT_CONTACTS}), "
-    "rpos AS (SELECT report_name, role, email, "
-    f"CAST((row_number() OVER (PARTITION BY report_name, role ORDER BY email) - 1) // {MAX_RECIPIENTS} AS BIGINT) AS part "
-    "FROM rcon), "
-    "rbat AS (SELECT report_name, role, part, string_agg(email, ',' ORDER BY email) AS addresses "
-    "FROM rpos GROUP BY report_name, role, part)"
+RECIPIENT_CONTACTS = " UNION ALL ".join(
+    f"SELECT '{kind}' AS kind, report_name, '{role}' AS role, email FROM report_contacts "
+    f"WHERE {USABLE} AND report_name = '{name}' AND {flag}"
+    for kind, name, to_flag, _, _ in REPORTS
+    for role, flag in (("to", to_flag), ("cc", "is_cc"), ("bcc", "is_bcc"))
 )
 RECIPIENTS = (
-    f"{BATCHES}, "
-    "names AS (SELECT * FROM (VALUES " + ", ".join(f"('{r[1]}')" for r in REPORTS) + ") AS n(report_name)), "
-    "parts AS (SELECT report_name, CAST(0 AS BIGINT) AS part FROM names UNION SELECT report_name, part FROM rbat), "
-    "rec AS (SELECT p.report_name, p.part, "
+    f"rcon AS ({RECIPIENT_CONTACTS}), "
+    "names AS (SELECT * FROM (VALUES " + ", ".join(f"('{r[0]}', '{r[1]}')" for r in REPORTS) + ") AS n(kind, report_name)), "
+    "rec AS (SELECT n.kind, n.report_name, "
     + ", ".join(
-        f"coalesce((SELECT addresses FROM rbat b WHERE b.report_name = p.report_name AND b.part = p.part "
-        f"AND b.role = '{role}'), '') AS {role}_list"
+        f"(SELECT count(*) FROM rcon c WHERE c.kind = n.kind AND c.role = '{role}') AS n_{role}"
         for role in ("to", "cc", "bcc")
     )
-    + ", EXISTS (SELECT 1 FROM rbat b WHERE b.report_name = p.report_name AND b.role = 'to') AS has_to FROM parts p)"
+    + ", EXISTS (SELECT 1 FROM rcon c WHERE c.kind = n.kind AND c.role = 'to') AS deliverable FROM names n)"
 )
 
 MESSAGES = (
@@ -243,15 +246,15 @@ MESSAGES = (
     + ")"
 )
 
+# The channel's document as a list: old dates by seq, then the new ones by date; the last RETAIN stay,
+# numbered from 0.  A channel without a new date keeps its rows.
 APPEND = (
-    "fresh AS (SELECT DISTINCT channel, report_date AS sent_date FROM dec WHERE decision = 'send' AND NOT EXISTS "
-    "(SELECT 1 FROM send_log l WHERE l.channel = dec.channel AND l.sent_date = dec.report_date)), "
-    "base AS (SELECT channel, min(sent_date) AS first_new FROM fresh GROUP BY channel), "
-    "mx AS (SELECT channel, max(seq) AS max_seq FROM send_log GROUP BY channel), "
-    "added AS (SELECT f.channel, f.sent_date, CAST(coalesce(mx.max_seq, -1) + 1 + date_diff('day', b.first_new, f.sent_date) "
-    "AS BIGINT) AS seq FROM fresh f JOIN base b ON f.channel = b.channel LEFT JOIN mx ON f.channel = mx.channel), "
-    "allrows AS (SELECT channel, sent_date, seq FROM send_log UNION ALL SELECT channel, sent_date, seq FROM added), "
-    "ranked AS (SELECT *, row_number() OVER (PARTITION BY channel ORDER BY seq DESC) AS rn FROM allrows)"
+    "fresh AS (SELECT channel, report_date AS sent_date FROM dec WHERE decision = 'send'), "
+    "grown AS (SELECT DISTINCT channel FROM fresh), "
+    "doc AS (SELECT channel, list_concat(coalesce((SELECT list(l.sent_date ORDER BY l.seq) FROM send_log l "
+    "WHERE l.channel = g.channel), []), (SELECT list(f.sent_date ORDER BY f.sent_date) FROM fresh f "
+    "WHERE f.channel = g.channel)) AS dates FROM grown g), "
+    f"kept AS (SELECT channel, dates[greatest(1, len(dates) - {RETAIN} + 1):] AS dates FROM doc)"
 )
 
 
@@ -328,7 +331,8 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "send_log_append": _q(
         f"{RUN}, {APPEND}",
-        f"SELECT channel, sent_date, seq FROM ranked WHERE rn <= {RETAIN} OR channel NOT IN (SELECT channel FROM base)",
+        "SELECT channel, unnest(dates) AS sent_date, unnest(range(len(dates))) AS seq FROM kept "
+        "UNION ALL SELECT channel, sent_date, seq FROM send_log WHERE channel NOT IN (SELECT channel FROM grown)",
     ),
     "recipient_contacts": _q("", RECIPIENT_CONTACTS),
     "daily_run_decisions": _q(RUN, "SELECT report_date, channel, decision FROM dec"),
@@ -337,12 +341,10 @@ ORACLE_SQL: dict[str, str] = {
         + multi_sides("dates AS (SELECT report_date FROM dec WHERE channel = 'email' AND decision = 'send')"),
         report_select("day(m.report_date)", "report_date") + MULTI_JOIN,
     ),
-    "recipient_batches": _q(BATCHES, "SELECT report_name, role, part, addresses FROM rbat"),
     "report_recipients": _q(RECIPIENTS, "SELECT * FROM rec"),
     "message_outbox": _q(
         f"{RUN}, {RECIPIENTS}, {MESSAGES}",
-        "SELECT m.report_date, m.kind, r.part, r.to_list, r.cc_list, r.bcc_list, "
-        "m.title || ' - ' || strftime(m.report_date, '%d/%m/%Y') AS subject, "
-        "r.has_to AS deliverable FROM msgs m JOIN rec r ON m.report_name = r.report_name",
+        "SELECT m.report_date, m.kind, m.report_name, m.title || ' - ' || strftime(m.report_date, '%d/%m/%Y') AS subject, "
+        "r.n_to, r.n_cc, r.n_bcc, r.n_to > 0 AS deliverable FROM msgs m JOIN rec r ON m.kind = r.kind",
     ),
 }

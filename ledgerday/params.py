@@ -59,5 +59,4 @@ class RunOptions:
     date_offset: int = K.DATE_OFFSET
     alert_materials: tuple[str, ...] = ("coal", "maize")
     report_channel: str = "email"
-    max_recipients: int = K.MAX_RECIPIENTS
     reports: tuple[Report, ...] = field(default=DEFAULT_REPORTS)

@@ -25,14 +25,15 @@ from pyspark.sql import functions as F
 from ledgerday.functions.dates import DateLike, as_date
 from ledgerday.operators.availability import availability_alerts, report_readiness
 from ledgerday.operators.calendar import dates_to_process
-from ledgerday.operators.contacts import report_recipients
+from ledgerday.operators.contacts import recipient_contacts, report_recipients
 from ledgerday.operators.decisions import send_decisions
 from ledgerday.operators.outbox import message_outbox
-from ledgerday.operators.sales_multi import sales_report_multi
+from ledgerday.operators.sales_multi import sales_report_multi, sales_report_multi_lines
 from ledgerday.operators.sendlog import send_log_append
 from ledgerday.params import DEFAULT_ITEMS, Items, RunOptions
+from ledgerday.schemas import MONTH_PARTITION
 from ledgerday.session import materialize
-from ledgerday.sources.sendlog import write_next_send_log
+from ledgerday.sources.sendlog import next_log_version, path_exists, write_next_send_log
 
 
 class DailyRun:
@@ -59,10 +60,11 @@ class DailyRun:
         self.spark, self.ledger, self.contacts, self.log = spark, ledger, contacts, log
         self.today, self.items, self.opts, self.checkpoint = as_date(today), items, opts, checkpoint
         self.only_dates = sorted({as_date(d) for d in only_dates}) if only_dates else None
-        if self.only_dates:
+        # The scan's literal bounds: the look-back, or just the months of the given dates.
+        self.window = None if self.only_dates else run_window(today, opts)
+        self.months = sorted({d.replace(day=1) for d in self.only_dates}) if self.only_dates else None
+        if self.only_dates and MONTH_PARTITION not in ledger.columns:
             self.window = (self.only_dates[0], self.only_dates[-1])
-        else:
-            self.window = run_window(today, opts)
 
     def _keep(self, df: DataFrame) -> DataFrame:
         if not self.checkpoint:
@@ -80,7 +82,7 @@ class DailyRun:
 
     @cached_property
     def readiness(self) -> DataFrame:
-        return self._keep(report_readiness(self.ledger, self.dates, self.items, between=self.window))
+        return self._keep(report_readiness(self.ledger, self.dates, self.items, self.window, self.months))
 
     @cached_property
     def alerts(self) -> DataFrame:
@@ -92,24 +94,38 @@ class DailyRun:
 
     @cached_property
     def recipients(self) -> DataFrame:
-        return report_recipients(self.contacts, self.opts.reports, self.opts.max_recipients)
+        """Sizes of every report's lists."""
+        return report_recipients(self.contacts, self.opts.reports)
+
+    @cached_property
+    def addresses(self) -> DataFrame:
+        """``kind, report_name, role, email``: the recipients of the outbox's messages, by ``kind``."""
+        return recipient_contacts(self.contacts, self.opts.reports)
 
     @cached_property
     def outbox(self) -> DataFrame:
         o = self.opts
         return message_outbox(self.alerts, self.decisions, self.recipients, o.reports, o.report_channel)
 
+    def _to_report(self) -> tuple[DataFrame, tuple | None]:
+        o = self.opts
+        dates = self.decisions.where((F.col("channel") == o.report_channel) & (F.col("decision") == "send"))
+        bounds = (self.window[0].replace(day=1), self.window[1]) if self.window else None
+        return dates.select("report_date"), bounds
+
     @cached_property
     def reports(self) -> DataFrame:
         """Sales report rows of every date whose report channel decided ``send``."""
-        o = self.opts
-        to_report = self.decisions.where(
-            (F.col("channel") == o.report_channel) & (F.col("decision") == "send")
-        ).select("report_date")
-        lo, hi = self.window
-        return sales_report_multi(
-            self.ledger, to_report, self.items, between=(lo.replace(day=1), hi)
-        )
+        dates, bounds = self._to_report()
+        return sales_report_multi(self.ledger, dates, self.items, between=bounds, months=self.months)
+
+    @cached_property
+    def report_text(self) -> DataFrame:
+        """The same reports as text lines, by ``report_date`` and ``kind`` of their outbox message."""
+        dates, bounds = self._to_report()
+        lines = sales_report_multi_lines(self.ledger, dates, self.items, bounds, self.months)
+        kinds = F.array(*[F.lit(r.kind) for r in self.opts.reports if not r.material]).cast("array<string>")
+        return lines.select("report_date", F.explode(kinds).alias("kind"), *lines.columns[1:])
 
     @cached_property
     def log_rows(self) -> DataFrame:
@@ -144,14 +160,29 @@ def daily_run(
 
 
 def write_daily_run(run: DailyRun, out_dir: str, log_base: str) -> str:
-    """Write report rows and outbox, then — only once both succeeded — the new send log.
-
-    The run's own folders are overwritten, so a run that failed part-way can
-    simply be repeated; they are never inputs.  The log goes to the next
-    version under ``log_base`` (see :func:`write_next_send_log`): the version
-    the run read stays in force until the new one is complete.  Returns the
-    new log version's path.
+    """Write the run's outputs under ``run=<n>``, then - only once all succeeded - version n of the log.
+
+    ``n`` is the number of the log version that the run commits.  A run that
+    failed before it has written no version n, so the repeated run takes the
+    same number and replaces the folder; a committed run's folder is never
+    touched again.  Outputs: ``reports``, ``report_text``, ``outbox``,
+    ``addresses`` (joined to the outbox by ``kind``).  Returns the new log
+    version's path; the version that the run read stays in force until then.
     """
-    run.reports.write.mode("overwrite").partitionBy("report_date").parquet(f"{out_dir}/reports")
-    run.outbox.write.mode("overwrite").partitionBy("report_date").parquet(f"{out_dir}/outbox")
-    return write_next_send_log(run.spark, run.log_rows, log_base)
+    n = next_log_version(run.spark, log_base)
+    folder = f"{out_dir.rstrip('/')}/run={n}"
+    # Written last in the folder, so a folder that has it belongs to a run of some log that was committed.
+    if path_exists(run.spark, f"{folder}/committed/_SUCCESS"):
+        raise ValueError(f"{folder} belongs to a committed run; give this log another output folder")
+    for name, rows in (("reports", run.reports), ("report_text", run.report_text), ("outbox", run.outbox)):
+        rows = rows.hint("rebalance", F.col("report_date"))  # a few files a date
+        rows.write.mode("overwrite").partitionBy("report_date").parquet(f"{folder}/{name}")
+    run.addresses.write.mode("overwrite").partitionBy("kind").parquet(f"{folder}/addresses")
+    path = write_next_send_log(run.spark, run.log_rows, log_base, n)
+    run.spark.range(1).select(F.lit(path).alias("log")).write.mode("overwrite").json(f"{folder}/committed")
+    return path
+
+
+def run_folder(out_dir: str, log_path: str) -> str:
+    """The folder of the run that committed a log version."""
+    return f"{out_dir.rstrip('/')}/run={log_path.rpartition('v=')[2]}"

@@ -59,15 +59,15 @@ def q_ledger_normalised(spark, sf):
 
 
 def q_coal(spark, sf):
-    return av.availability_rows(_ledger(spark, sf), "coal", items=ITEMS)
+    return plain(av.availability_rows(_ledger(spark, sf), "coal", items=ITEMS))
 
 
 def q_maize(spark, sf):
-    return av.availability_rows(_ledger(spark, sf), "maize", items=ITEMS)
+    return plain(av.availability_rows(_ledger(spark, sf), "maize", items=ITEMS))
 
 
 def q_ethanol(spark, sf):
-    return av.availability_rows(_ledger(spark, sf), "ethanol", items=ITEMS)
+    return plain(av.availability_rows(_ledger(spark, sf), "ethanol", items=ITEMS))
 
 
 def q_readiness(spark, sf):
@@ -83,19 +83,19 @@ def q_sales_rows(spark, sf):
 
 
 def q_sales_day(spark, sf):
-    return sl.sales_day(_ledger(spark, sf), fx.REPORT_DATE, ITEMS)
+    return plain(sl.sales_day(_ledger(spark, sf), fx.REPORT_DATE, ITEMS))
 
 
 def q_sales_mtd(spark, sf):
-    return sl.sales_mtd(_ledger(spark, sf), fx.REPORT_DATE, items=ITEMS)
+    return plain(sl.sales_mtd(_ledger(spark, sf), fx.REPORT_DATE, items=ITEMS))
 
 
 def q_sales_report(spark, sf):
-    return sl.sales_report(_ledger(spark, sf), fx.REPORT_DATE, items=ITEMS)
+    return plain(sl.sales_report(_ledger(spark, sf), fx.REPORT_DATE, items=ITEMS))
 
 
 def q_sales_report_by_unit(spark, sf):
-    return sl.sales_report_by_unit(_ledger(spark, sf), fx.REPORT_DATE, items=ITEMS)
+    return plain(sl.sales_report_by_unit(_ledger(spark, sf), fx.REPORT_DATE, items=ITEMS))
 
 
 def q_sales_report_text(spark, sf):
@@ -104,7 +104,7 @@ def q_sales_report_text(spark, sf):
 
 def q_sales_report_multi(spark, sf):
     ledger = _ledger(spark, sf)
-    return sm.sales_report_multi(ledger, ledger_span(ledger), ITEMS)
+    return plain(sm.sales_report_multi(ledger, ledger_span(ledger), ITEMS))
 
 
 def q_sales_report_multi_text(spark, sf):
@@ -159,19 +159,15 @@ def q_daily_run_decisions(spark, sf):
 
 
 def q_daily_run_reports(spark, sf):
-    return _run(spark, sf).reports
+    return plain(_run(spark, sf).reports)
 
 
 def q_recipient_contacts(spark, sf):
     return ct.recipient_contacts(fx.fixture_contacts(spark, sf), RUN.reports)
 
 
-def q_recipient_batches(spark, sf):
-    return ct.recipient_batches(fx.fixture_contacts(spark, sf), RUN.reports, RUN.max_recipients)
-
-
 def q_report_recipients(spark, sf):
-    return ct.report_recipients(fx.fixture_contacts(spark, sf), RUN.reports, RUN.max_recipients)
+    return ct.report_recipients(fx.fixture_contacts(spark, sf), RUN.reports)
 
 
 QUERIES: dict[str, Query] = {
@@ -198,7 +194,6 @@ QUERIES: dict[str, Query] = {
     "report_recipients": q_report_recipients,
     "message_outbox": q_message_outbox,
     "recipient_contacts": q_recipient_contacts,
-    "recipient_batches": q_recipient_batches,
     # The daily job's own outputs and the text form of the multi-date report.
     "sales_report_multi_text": q_sales_report_multi_text,
     "daily_run_decisions": q_daily_run_decisions,

@@ -39,9 +39,7 @@ def get_session(
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
-    spark = builder.getOrCreate()
-    scratch_dir(spark)
-    return spark
+    return builder.getOrCreate()
 
 
 def scratch_dir(spark: SparkSession) -> str:

@@ -56,7 +56,6 @@ SELECT
   CAST(concat('1998-03-', lpad(CAST(day(ts) AS STRING), 2, '0')) AS DATE) AS sent_date,
   min(event_id) AS seq
 FROM {events}
-WHERE event_type <> 'error'
 GROUP BY 1, 2
 HAVING count_if(event_type IN ('click', 'purchase')) > count_if(event_type IN ('view', 'signup'))
 """

@@ -106,13 +106,16 @@ def read_latest_send_log(spark: SparkSession, base: str) -> DataFrame:
     return read_send_log(spark, f"{base.rstrip('/')}/v={versions[-1]}") if versions else empty_send_log(spark)
 
 
-def write_next_send_log(spark: SparkSession, log: DataFrame, base: str) -> str:
-    """Write ``log`` as the next version (never overwrites the version it was read from).
-
-    The number skips past versions a failed run left incomplete.
-    """
+def next_log_version(spark: SparkSession, base: str) -> int:
+    """The number that follows every version, also those that a failed run left incomplete."""
     versions = log_versions(spark, base, complete_only=False)
-    path = f"{base.rstrip('/')}/v={(versions[-1] + 1) if versions else 0}"
+    return versions[-1] + 1 if versions else 0
+
+
+def write_next_send_log(spark: SparkSession, log: DataFrame, base: str, version: int | None = None) -> str:
+    """Write ``log`` as the next version (never overwrites the version it was read from)."""
+    n = next_log_version(spark, base) if version is None else version
+    path = f"{base.rstrip('/')}/v={n}"
     write_send_log(log, path)
     return path
 

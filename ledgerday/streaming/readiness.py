@@ -1,14 +1,10 @@
 """The readiness gate (E4) run incrementally with Structured Streaming.
 
-The daily job re-checks the dates of its look-back every day.  Run as a
-stream, the same per-date counts are kept up to date as new ledger files
-arrive: a streaming aggregate by movement date whose watermark is the
-look-back, so Spark keeps state only for the dates a daily run could still
-report and drops older dates from state — as a date still unready after the
-look-back drops out of the daily job.  Each micro-batch appends the dates it
-changed, with their cumulative counts, to a Parquet folder through
-``foreachBatch``; the stream's checkpoint lets it restart after a failure
-without double counting.
+The per-date counts are kept up to date as new ledger files arrive, in any
+order of their dates: the state is one small row per movement date, so no
+watermark drops a late line.  Each micro-batch appends the dates it changed,
+with their cumulative counts, to a Parquet folder through ``foreachBatch``; the
+stream's checkpoint lets it restart after a failure without double counting.
 """
 
 from __future__ import annotations
@@ -17,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerday.constants import MAX_DAYS_BACK
 from ledgerday.operators.availability import MATERIALS, _material_condition
 from ledgerday.params import DEFAULT_ITEMS, Items
 from ledgerday.schemas import LEDGER_SCHEMA
@@ -27,7 +22,6 @@ def readiness_updates(
     spark: SparkSession,
     source: str,
     items: Items = DEFAULT_ITEMS,
-    lookback_days: int = MAX_DAYS_BACK,
     fmt: str = "parquet",
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
@@ -39,17 +33,16 @@ def readiness_updates(
         reader.load(source)
         .where(F.col("tcode") == F.lit(items.production_code))
         .where(F.col("item_name").isin(items.coal, items.maize, items.ethanol))
-        .withColumn("event_time", F.col("vrdate").cast("timestamp"))
-        .withWatermark("event_time", f"{lookback_days} days")
+        .where(F.col("vrdate").isNotNull())
     )
-    counts = rows.groupBy("event_time").agg(
+    counts = rows.groupBy(F.col("vrdate").alias("report_date")).agg(
         *[F.count_if(_material_condition(m, items)).alias(f"{m}_rows") for m in MATERIALS]
     )
     ready = F.lit(True)
     for m in MATERIALS:
         ready = ready & (F.col(f"{m}_rows") > 0)
     return counts.select(
-        F.col("event_time").cast("date").alias("report_date"),
+        "report_date",
         *[F.col(f"{m}_rows").cast("bigint").alias(f"{m}_rows") for m in MATERIALS],
         ready.alias("ready"),
     )
@@ -61,7 +54,6 @@ def start_readiness_stream(
     out_dir: str,
     checkpoint_dir: str,
     items: Items = DEFAULT_ITEMS,
-    lookback_days: int = MAX_DAYS_BACK,
     fmt: str = "parquet",
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
@@ -71,7 +63,7 @@ def start_readiness_stream(
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(out_dir)
 
-    updates = readiness_updates(spark, source, items, lookback_days, fmt, max_files_per_trigger)
+    updates = readiness_updates(spark, source, items, fmt, max_files_per_trigger)
     writer = (
         updates.writeStream.outputMode("update")
         .foreachBatch(sink)

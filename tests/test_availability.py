@@ -47,8 +47,19 @@ def test_readiness_alerts_and_empty_dates(spark, ledger_of):
     }
     alerts = sorted(tuple(r) for r in A.availability_alerts(A.report_readiness(led, dates)).collect())
     assert alerts == [(D("2024-03-06"), "coal"), (D("2024-03-07"), "coal"), (D("2024-03-07"), "maize")]
-    # Without a date list: every date with a production line.
-    assert {r.report_date for r in A.report_readiness(led).collect()} == {D("2024-03-05"), D("2024-03-06")}
+
+
+def test_every_day_of_the_calendar_is_judged(ledger_of):
+    # 7 March has only a sale, 8 March nothing, 9 March a sale.
+    sales = [dict(vrdate=f"2024-03-0{d}", item_name="X", tcode="S") for d in (7, 9)]
+    led = ledger_of(sales).unionByName(_ledger(ledger_of))
+    ready = A.report_readiness(led)
+    days = {r.report_date: tuple(r)[1:] for r in ready.collect()}
+    assert days == {D("2024-03-05"): (1, 1, 1, True), D("2024-03-06"): (0, 1, 0, False)} | {
+        D(f"2024-03-0{d}"): (0, 0, 0, False) for d in (7, 8, 9)}
+    alerts = {tuple(r) for r in A.availability_alerts(ready).collect()}
+    assert {(D("2024-03-08"), m) for m in ("coal", "maize")} <= alerts and len(alerts) == 7
+    assert A.report_readiness(led.limit(0)).count() == 0
 
 
 def test_decisions_unready_wins(spark, ledger_of, log_of):

@@ -1,12 +1,17 @@
-"""Recipients (blanks in report names, empty roles, duplicates) and the outbox."""
+"""Recipients (blanks in report names, empty roles, duplicates, shared names) and the outbox."""
 
 from __future__ import annotations
 
-from conftest import D
+from collections import Counter
+from dataclasses import replace
 
-from ledgerday.operators.contacts import recipient_batches, recipient_contacts, report_recipients
+from conftest import SF_CHECK, D
+
+from ledgerday.operators.contacts import recipient_contacts, report_recipients
 from ledgerday.operators.outbox import message_outbox
-from ledgerday.operators.positions import group_positions
+from ledgerday.params import DEFAULT_REPORTS
+from ledgerday.sources.fixtures import fixture_contacts
+from plan_inspect import physical_plan
 
 COAL, MAIZE, MONTHLY = "Coal Availability (Email) ", "Maize Availability (Email)", "MIS Email Monthly"
 
@@ -28,98 +33,62 @@ def _contacts(contacts_of):
     )
 
 
-def test_recipient_lists(contacts_of):
+def _lists(contacts, reports=DEFAULT_REPORTS):
+    return Counter((r.kind, r.role, r.email) for r in recipient_contacts(contacts, reports).collect())
+
+
+def test_recipients(contacts_of):
+    assert _lists(_contacts(contacts_of)) == {
+        ("coal_availability", "to", "a@x"): 1, ("coal_availability", "cc", "b@x"): 1, ("maize_availability", "bcc", "m@x"): 1,
+        ("monthly_report", "to", "z@x"): 1, ("monthly_report", "cc", "z@x"): 1, ("monthly_report", "bcc", "z@x"): 1,
+        ("monthly_report", "to", "y@x"): 2,
+    }
     rows = report_recipients(_contacts(contacts_of)).collect()
-    got = {(r.report_name, r.part): (r.to_list, r.cc_list, r.bcc_list, r.has_to) for r in rows}
-    assert got == {
-        (COAL, 0): ("a@x", "b@x", "", True),
-        (MAIZE, 0): ("", "", "m@x", False),
-        (MONTHLY, 0): ("y@x,y@x,z@x", "z@x", "z@x", True),
+    assert {tuple(r) for r in rows} == {
+        ("coal_availability", COAL, 1, 1, 0, True),
+        ("maize_availability", MAIZE, 0, 0, 1, False),
+        ("monthly_report", MONTHLY, 3, 1, 1, True),
     }
-    long = recipient_contacts(_contacts(contacts_of)).collect()
-    assert len(long) == 8 and all(r.report_name != COAL.strip() for r in long)
+    assert {tuple(r)[2:] for r in report_recipients(contacts_of([])).collect()} == {(0, 0, 0, False)}
+
+
+def test_a_long_list_stays_whole(contacts_of):
+    rows = [(MONTHLY, f"u{i:04d}@x", False, False, True, False, False) for i in range(2000)]
+    rows += [(MONTHLY, "hot@x", False, False, True, False, False)] * 1000
+    contacts = contacts_of(rows)
+    assert sum(_lists(contacts).values()) == 3000
+    assert [r.n_to for r in report_recipients(contacts).collect() if r.kind == "monthly_report"] == [3000]
 
 
-def test_outbox(spark, contacts_of):
+def test_outbox_has_one_row_a_message(spark, contacts_of):
     alerts = spark.createDataFrame([(D("2024-03-06"), "maize"), (D("2024-03-06"), "coal")], "report_date date, material string")
     decisions = spark.createDataFrame(
         [(D("2024-03-05"), "email", "send"), (D("2024-03-05"), "whatsapp", "send"), (D("2024-03-06"), "email", "not_ready")],
         "report_date date, channel string, decision string",
     )
-    out = message_outbox(alerts, decisions, report_recipients(_contacts(contacts_of))).collect()
-    assert all(r.part == 0 for r in out)
-    got = {(r.report_date, r.kind): (r.to_list, r.subject, r.deliverable) for r in out}
-    assert got == {
-        (D("2024-03-06"), "maize_availability"): ("", "Production Details Not Available - 06/03/2024", False),
-        (D("2024-03-06"), "coal_availability"): ("a@x", "Power Plant Data Not Available - 06/03/2024", True),
-        (D("2024-03-05"), "monthly_report"): ("y@x,y@x,z@x", "Daily MIS Report - 05/03/2024", True),
+    out = message_outbox(alerts, decisions, report_recipients(_contacts(contacts_of)))
+    got = {(r.report_date, r.kind): (r.report_name, r.n_to, r.subject, r.deliverable) for r in out.collect()}
+    assert out.count() == 3 and got == {
+        (D("2024-03-06"), "maize_availability"): (MAIZE, 0, "Production Details Not Available - 06/03/2024", False),
+        (D("2024-03-06"), "coal_availability"): (COAL, 1, "Power Plant Data Not Available - 06/03/2024", True),
+        (D("2024-03-05"), "monthly_report"): (MONTHLY, 3, "Daily MIS Report - 05/03/2024", True),
     }
 
 
-def test_parts_split_long_lists(spark, contacts_of):
-    # Two "to" addresses per part: the monthly list splits into 2 parts, cc into 1; maize has none.
-    rows = report_recipients(_contacts(contacts_of), max_recipients=2).collect()
-    got = {(r.report_name, r.part): (r.to_list, r.cc_list, r.bcc_list, r.has_to) for r in rows}
-    assert got == {
-        (COAL, 0): ("a@x", "b@x", "", True),
-        (MAIZE, 0): ("", "", "m@x", False),
-        (MONTHLY, 0): ("y@x,y@x", "z@x", "z@x", True),
-        (MONTHLY, 1): ("z@x", "", "", True),
-    }
-    decisions = spark.createDataFrame([(D("2024-03-05"), "email", "send")], "report_date date, channel string, decision string")
-    alerts = spark.createDataFrame([], "report_date date, material string")
-    out = message_outbox(alerts, decisions, report_recipients(_contacts(contacts_of), max_recipients=2)).collect()
-    assert sorted((r.part, r.to_list, r.deliverable) for r in out) == [(0, "y@x,y@x", True), (1, "z@x", True)]
-
-
-def test_batches_cover_every_address_once(spark, contacts_of):
-    # 300 addresses for one report, a third of them one repeated address (a hot value).
-    rows = [(MONTHLY, f"u{i:03d}@x", False, False, True, False, False) for i in range(200)]
-    rows += [(MONTHLY, "hot@x", False, False, True, False, False)] * 100
-    batches = recipient_batches(contacts_of(rows), max_recipients=7).collect()
-    parts = sorted((r.part, r.addresses.split(",")) for r in batches if r.role == "to")
-    assert [p for p, _ in parts] == list(range(len(parts)))
-    assert all(len(a) == 7 for _, a in parts[:-1]) and 1 <= len(parts[-1][1]) <= 7
-    flat = [e for _, a in parts for e in a]
-    assert flat == sorted(e for _, e, *_ in rows)
-
-
-def test_group_positions_match_row_number(spark):
-    from pyspark.sql import Window
-    from pyspark.sql import functions as F
-
-    df = spark.range(5000).select(
-        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("g"), (F.col("id") % 5).cast("string"))).alias("g"),
-        (F.col("id") * 7919 % 1009).alias("o"),
-    )
-    got = group_positions(df, ["g"], "o", partitions=6)
-    w = Window.partitionBy("g").orderBy("o")
-    # Positions are a permutation 0..n-1 per group and agree with the order of ``o``.
-    want = df.groupBy("g", "o").agg(F.count("*").alias("n")).withColumn(
-        "lo", F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    ).fillna(0, ["lo"])
-    bad = got.join(want, ["g", "o"]).where((F.col("pos") < F.col("lo")) | (F.col("pos") >= F.col("lo") + F.col("n")))
-    assert bad.count() == 0
-    assert got.groupBy("g").agg((F.count("*") == F.countDistinct("pos")).alias("u"), F.max("pos").alias("m"),
-                                F.count("*").alias("n")).where(~F.col("u") | (F.col("m") != F.col("n") - 1)).count() == 0
-
-
-def test_no_contacts_gives_empty_part_zero(contacts_of):
-    rows = report_recipients(contacts_of([])).collect()
-    assert sorted((r.report_name, r.part, r.to_list, r.cc_list, r.bcc_list, r.has_to) for r in rows) == sorted(
-        (name, 0, "", "", "", False) for name in (COAL, MAIZE, MONTHLY)
-    )
-
-
-def test_fixture_parts_hold_at_most_max_recipients(spark):
-    from conftest import SF_CHECK
+def test_reports_may_share_a_name_and_a_material(spark, contacts_of):
+    coal, maize, monthly = DEFAULT_REPORTS
+    second = replace(coal, kind="coal_copy", subject="Copy")
+    shared = replace(maize, kind="maize_shared", report_name=COAL)
+    reports = (coal, second, shared, monthly)
+    lists = _lists(_contacts(contacts_of), reports)
+    assert lists["coal_copy", "to", "a@x"] == lists["coal_availability", "to", "a@x"] == 1
+    assert lists["maize_shared", "to", "d@x"] == 1 and lists["maize_shared", "to", "a@x"] == 0
+    alerts = spark.createDataFrame([(D("2024-03-06"), "coal"), (D("2024-03-06"), "maize")], "report_date date, material string")
+    none = spark.createDataFrame([], "report_date date, channel string, decision string")
+    out = message_outbox(alerts, none, report_recipients(_contacts(contacts_of), reports), reports).collect()
+    assert {r.kind: r.n_to for r in out} == {"coal_availability": 1, "coal_copy": 1, "maize_shared": 1} and len(out) == 3
 
-    from ledgerday.constants import MAX_RECIPIENTS
-    from ledgerday.sources.fixtures import fixture_contacts
 
-    contacts = fixture_contacts(spark, SF_CHECK)
-    rows = report_recipients(contacts).collect()
-    sizes = [len(lst.split(",")) for r in rows for lst in (r.to_list, r.cc_list, r.bcc_list) if lst]
-    assert sizes and max(sizes) <= MAX_RECIPIENTS
-    # Every usable (report, role, address) row lands in exactly one part.
-    assert sum(sizes) == recipient_contacts(contacts).count()
+def test_recipient_lists_need_no_shuffle(spark):
+    plan = physical_plan(recipient_contacts(fixture_contacts(spark, SF_CHECK)))
+    assert "Exchange" not in plan and "Sort" not in plan and "Join" not in plan

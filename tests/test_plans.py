@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from conftest import SF_SMALL
 
@@ -9,8 +11,8 @@ from ledgerday.functions.dates import date_spine, ledger_span
 from ledgerday.operators import availability as A
 from ledgerday.operators import sales as S
 from ledgerday.operators.sales_multi import sales_report_multi
-from ledgerday.operators.sendlog import send_log_retained
-from ledgerday.plans.inspect import final_scan_count, formatted_plan, join_kinds, physical_plan, scan_count
+from ledgerday.operators.sendlog import send_log_append, send_log_retained
+from plan_inspect import final_scan_count, formatted_plan, join_kinds, physical_plan, scan_count
 from ledgerday.session import scratch_path
 from ledgerday.sources.fixtures import FIXTURE_ITEMS, fixture_ledger, fixture_send_log
 from ledgerday.sources.ledger import read_ledger, write_ledger
@@ -89,8 +91,46 @@ def test_stored_ledger_splits_a_hot_voucher_day(spark, ledger_of):
     hot = [dict(vrdate="2024-03-05", vrno=7, item_name=f"I{i % 50}", aqtyissued=i) for i in range(3000)]
     cold = [dict(vrdate=f"2024-03-{1 + i % 28:02d}", vrno=i, item_name="X", aqtyissued=i) for i in range(6000)]
     path = scratch_path(spark, "hot-ledger")
-    write_ledger(ledger_of(hot + cold), path, partitions=6)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    try:
+        write_ledger(ledger_of(hot + cold), path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     back = read_ledger(spark, path)
     files = back.where((F.col("vrdate") == "2024-03-05") & (F.col("vrno") == 7)).select(F.input_file_name()).distinct()
     assert files.count() > 1
     assert back.count() == 9000
+
+
+def test_wanted_dates_prune_a_stored_ledger(spark):
+    path = scratch_path(spark, "ledger")
+    write_ledger(fixture_ledger(spark, SF_SMALL), path)
+    stored, lines = read_ledger(spark, path), fixture_ledger(spark, SF_SMALL)
+    dates = spark.createDataFrame([("1996-02-29",), ("1999-03-17",)], "report_date string")
+    months = r"vrmonth#\d+ IN \(1996-02-01,1999-03-01\)"
+    multi = sales_report_multi(stored, dates, FIXTURE_ITEMS)
+    ready = A.report_readiness(stored, dates, FIXTURE_ITEMS)
+    for df in (multi, ready):
+        filters = [x for x in formatted_plan(df).splitlines() if "PartitionFilters" in x]
+        assert filters and all(re.search(months, x) for x in filters)
+    assert sorted(multi.collect(), key=str) == sorted(sales_report_multi(lines, dates, FIXTURE_ITEMS).collect(), key=str)
+    assert sorted(ready.collect()) == sorted(A.report_readiness(lines, dates, FIXTURE_ITEMS).collect())
+
+
+def test_send_log_append_shuffles_twice(spark, log_of):
+    new = spark.createDataFrame([("email", "2024-03-01")], "channel string, sent_date string")
+    plan = physical_plan(send_log_append(log_of([("email", "2024-02-01", 0)]), new))
+    assert plan.count("Exchange hashpartitioning") <= 2 and "Join" not in plan
+
+
+def test_ledger_is_stored_in_one_read(spark, ledger_of):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    ledger = ledger_of([dict(vrdate="2024-03-05", vrno=i) for i in range(50)])
+    write_ledger(ledger.mapInArrow(count, ledger.schema), scratch_path(spark, "one-read"))
+    assert seen.value == 50

@@ -5,10 +5,9 @@ from __future__ import annotations
 import pytest
 from conftest import SF_SMALL
 
-import __spark_entry__ as entry_mod
-from ledgerday.plans.inspect import physical_plan
+from ledgerday.registry import QUERIES
+from plan_inspect import physical_plan
 
-QUERIES = entry_mod.queries()
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas")
 
 

@@ -20,7 +20,7 @@ def test_number_text(spark):
     assert got == ["12.5", "12", ".5", "100", "-.25", "0", "7", ".125"]
 
 
-def test_exclusions_drop_nulls(ledger_of):
+def test_exclusions_drop_nulls_and_empty_strings(ledger_of):
     base = dict(vrdate="2024-03-05", aqtyissued=1000)
     rows = [
         dict(base, item_name="A"),
@@ -33,6 +33,10 @@ def test_exclusions_drop_nulls(ledger_of):
         dict(base, item_name=None),
         dict(base, item_name="A", tcode="Q"),
         dict(base, item_name=" A "),
+        dict(base, item_name=""),
+        dict(base, item_name="   "),
+        dict(base, item_name="A", item_nature=""),
+        dict(base, item_name="A", acc_name=""),
     ]
     got = sorted(r.product_name for r in S.sales_rows(ledger_of(rows)).collect())
     assert got == [" A ", "A"]
@@ -66,9 +70,9 @@ def test_report_text_units_and_nulls(ledger_of):
 def test_report_typed(ledger_of):
     rows = {r.product_name: r for r in S.sales_report(_units_ledger(ledger_of), "2024-03-05").collect()}
     b, f, g = rows["B"], rows["F"], rows["G"]
-    assert (b.qty, b.day_unit, b.no_of_trucks, b.tot_qty, b.avg_qty, b.unit) == (1.5, "MT", 1, 1.5, 0.3, "MT")
+    assert (b.qty, b.day_unit, b.no_of_trucks, b.tot_qty, b.avg_qty, b.unit) == (Decimal("1.5"), "MT", 1, Decimal("1.5"), Decimal("0.3"), "MT")
     assert (f.qty, f.day_unit, f.no_of_trucks, f.tot_qty, f.tot_no_of_trucks) == (None, "MT", 0, None, 0)
-    assert (g.qty, g.day_unit, g.no_of_trucks, g.tot_qty, g.avg_qty) == (0.0, None, 0, 0.25, 0.05)
+    assert (g.qty, g.day_unit, g.no_of_trucks, g.tot_qty, g.avg_qty) == (0, None, 0, Decimal("0.25"), Decimal("0.05"))
     assert rows["E"].unit is None and rows["C"].unit == "LTR"
 
 
@@ -92,7 +96,7 @@ def test_half_up_rounding(ledger_of):
     rows += [dict(vrdate="2024-03-02", item_name="M", aqtyissued=250)]
     got = {r.product_name: r for r in S.sales_mtd(ledger_of(rows), "2024-03-02").collect()}
     assert got["K"].avg_no_of_trucks == 2 and got["L"].avg_no_of_trucks == 3
-    assert got["M"].avg_qty == 0.13
+    assert got["M"].avg_qty == Decimal("0.13")
 
 
 def test_average_rounds_once(ledger_of):
@@ -157,3 +161,13 @@ def test_zero_sums_in_tonnes_and_litres(ledger_of):
         "Z": ("0 MT", "1", "0 MT/ 0 MT", "1/ 0"),
         "Y": ("0 LTR", "3", "0 LTR/ 0 LTR", "3/ 1"),
     }
+
+
+def test_sums_stay_exact_decimals(ledger_of):
+    big = Decimal("99999999999999.901")
+    led = ledger_of([dict(vrdate="2024-03-05", item_name="Z", aum="LTR", aqtyissued=big, vrno=i) for i in range(3)])
+    assert S.sales_report(led, "2024-03-05").first().tot_qty == 3 * big
+    assert S.sales_day(led, "2024-03-05").first().qty == 3 * big
+    report = S.sales_report(led, "2024-03-05")
+    assert not [f for f in report.schema if f.dataType.typeName() == "double"]
+    assert report.schema["tot_qty"].dataType.typeName() == report.schema["avg_qty"].dataType.typeName() == "decimal"

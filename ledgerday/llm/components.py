@@ -29,24 +29,28 @@ def _star(links: DataFrame, small: bool) -> DataFrame:
     return out.where("u <> v").distinct()
 
 
+def _stars(links: DataFrame) -> bool:
+    """Whether each ``u`` has one ``v``, and no ``v`` is also a ``u``."""
+    ends = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.lit(None).cast("long")))
+    # A centre has only nulls, any other node only its one v.
+    mixed = F.min("v").isNotNull() & ((F.min("v") < F.max("v")) | (F.count("v") < F.count("*")))
+    return ends.groupBy("u").agg(mixed.alias("mixed")).where("mixed").isEmpty()
+
+
 def components(links: DataFrame, name: str = "components") -> DataFrame:
     """``id, class`` of every node of ``links`` (two long columns): the smallest id that it is
     connected with.
 
-    Stars until nothing changes: a number of rounds that grows with the
-    logarithm of the longest chain.  Each round is a written table; the driver
-    sees only a count and a sum of the links.  Null ends and links of a node
+    Stars until every node has one link, to a centre without one: a number of
+    rounds that grows with the logarithm of the longest chain.  Each round is a
+    written table; the driver sees only whether it is the last.  Null ends and links of a node
     with itself are left out; repeated links count once; no links: no rows.
     """
     u, v = links.columns[:2]
     links = links.select(F.col(u).cast("long").alias("u"), F.col(v).cast("long").alias("v"))
     links = links.where("u is not null and v is not null and u <> v").distinct()
-    links, before = shared_table(links, name), None
-    while True:
+    links = shared_table(links, name)
+    while not _stars(links):
         links = shared_table(_star(_star(links, small=False), small=True), name)
-        state = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
-    members = links.groupBy("u").agg(F.min("v").alias("class")).select(F.col("u").alias("id"), "class")
+    members = links.select(F.col("u").alias("id"), F.col("v").alias("class"))
     return members.union(links.select(F.col("v").alias("id"), F.col("v").alias("class")).distinct())

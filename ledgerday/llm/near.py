@@ -1,12 +1,15 @@
 """Classes of near-duplicate texts: banded MinHash candidates, exact check, components.
 
-Candidates are never all the pairs of a bucket.  In a round, a bucket's members
-are paired with one representative (its smallest member), checked exactly, and
-joined into classes.  Buckets whose members are then all of one class are done;
-in the others the representative, which has been compared with every member of
-another class, leaves, and the next round takes more representatives.  So each
-bucket ends with all its members compared, up to those that are of one class
-anyway, and a bucket of n near copies costs n pairs.
+Candidates are never all the pairs of a bucket.  In a turn, a bucket's members
+are paired with one representative, checked exactly, and joined into classes.
+The representative is the member that shares most buckets with others: in a
+group of edited copies that is the text that they were made from, which is
+nearer to each of them than they are to each other.  Buckets whose members are
+then all of one class are done; in the others the representative, which has
+met every member, leaves, and the next turn takes another one.  A bucket of n
+texts so costs at most ``TURNS * n`` pairs.  Two similar texts share several
+buckets, and are of one class as soon as in any turn of any of them one is the
+representative or both are similar to it.
 """
 
 from __future__ import annotations
@@ -27,8 +30,8 @@ from ledgerday.llm.minhash import MinHash, band_keys
 #: text -> the distinct shingles of a whole text; made once a task.
 Shingler = Callable[[], Callable[[str], np.ndarray]]
 
-#: Representatives of a mixed bucket, by round; the last goes on.
-REPRESENTATIVES = (1, 8, 64, 512)
+#: Representatives that a bucket's members of different classes are compared with, one after the other.
+TURNS = 4
 
 
 def signature_bands(
@@ -120,33 +123,32 @@ def near_classes(
     texts = items.select("id", "text").join(buckets.select("id").distinct(), "id", "left_semi")
     texts = shared_table(texts.dropDuplicates(["id"]), f"{name}-texts")
     links: list[DataFrame] = []
-    tried: list[DataFrame] = []
     classes = spark.createDataFrame([], "id long, class long")
-    members = buckets.withColumn("class", F.col("id"))
-    turn = 0
-    while True:
-        slots = REPRESENTATIVES[min(turn, len(REPRESENTATIVES) - 1)]
-        turn += 1
-        reps = members.groupBy("key", F.pmod(F.xxhash64("id"), F.lit(slots)).alias("slot")).agg(
-            F.min("id").alias("rep"), F.min_by("class", "id").alias("rep_class")
-        )
+    sizes = buckets.groupBy("key").agg(F.count("*").alias("size"))
+    shares = buckets.join(sizes, "key").groupBy("id").agg(F.sum("size").alias("shares"))
+    members = shared_table(buckets.join(shares, "id").withColumn("class", F.col("id")), f"{name}-members")
+    for turn in range(TURNS):
+        central = F.struct("shares", "id")
+        reps = members.groupBy("key").agg(F.max(central).alias("top"), F.max_by("class", central).alias("rep_class"))
+        reps = reps.select("key", F.col("top.id").alias("rep"), "rep_class")
         pairs = (
             members.join(reps, "key").where("class <> rep_class")
             .select(F.greatest("id", "rep").alias("a"), F.least("id", "rep").alias("b")).distinct()
         )
-        for before in tried:
-            pairs = pairs.join(before, ["a", "b"], "left_anti")
-        pairs = shared_table(pairs, f"{name}-pairs")
-        tried.append(pairs)
-        found = shared_table(verify(prune(pairs, signed) if prune else pairs, texts, shingler, similar), f"{name}-links")
+        if prune:
+            pairs = prune(shared_table(pairs, f"{name}-pairs"), signed)
+        found = shared_table(verify(pairs, texts, shingler, similar), f"{name}-links")
         if not found.isEmpty():
             links.append(found)
             classes = components(found.union(classes.toDF("a", "b")), f"{name}-classes")
+        if turn == TURNS - 1:
+            break
         # The representatives have met every member of another class, so they leave.
-        left = members.select("key", "id").join(reps.select("key", F.col("rep").alias("id")), ["key", "id"], "left_anti")
-        left = left.join(classes, "id", "left").select("key", "id", F.coalesce("class", "id").alias("class"))
+        left = members.drop("class").join(reps.select("key", F.col("rep").alias("id")), ["key", "id"], "left_anti")
+        left = left.join(classes, "id", "left").select("key", "id", "shares", F.coalesce("class", "id").alias("class"))
         mixed = left.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high")
         members = shared_table(left.join(mixed.select("key"), "key"), f"{name}-members")
         if members.isEmpty():
-            none = spark.createDataFrame([], "a long, b long")
-            return classes, reduce(DataFrame.union, links) if links else none
+            break
+    none = spark.createDataFrame([], "a long, b long")
+    return classes, reduce(DataFrame.union, links).distinct() if links else none

@@ -23,8 +23,9 @@ from ledgerday.llm.near import near_classes
 #: Words in a shingle, and the similarity from which documents are linked.
 SHINGLE = 5
 SIMILARITY = 0.8
-#: A pair of similarity 0.8 is missed with probability (1 - 0.8^4)^24 = 3e-6.
-BANDS, ROWS = 24, 4
+#: A pair of similarity 0.8 shares no bucket with probability (1 - 0.8^6)^32 = 6e-5, one of 0.85 with
+#: 2e-7; texts that share a passage (0.3) rarely meet.
+BANDS, ROWS = 32, 6
 #: Signature values besides the bands', values compared at a time, and the tolerance.
 EXTRA, STEP, TOLERANCE = 32, 16, 1e-7
 
@@ -86,8 +87,8 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     ``class_id`` is the smallest id of the row's class: the connected component
     of the links, equal texts included.  ``n_copies`` counts the rows with the
     same text; ``n_links`` the links to different texts that were checked
-    directly (in a large class a text is checked against the representatives of
-    its buckets, and only against further texts until the class is one).
+    directly (in a class a text is checked against the representatives of its
+    buckets, not against every member).
 
     A null or empty text is a class of its own with its id (null if that is
     null), with no links.  Texts without a word are linked to equal texts only.

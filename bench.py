@@ -8,11 +8,11 @@ runs after one warm-up run.
 ``queries`` are the registered queries, end to end from the driver's tables
 (the fixture view joins four tables, and each test table is a single Parquet
 row group, so its scan is one task); ``message_outbox`` includes the daily
-job's readiness checkpoint and the distributed recipient positions.  On a
+job's readiness checkpoint.  On a
 shared VM the totals vary by 20 % or more between runs; compare runs made
 back to back.  ``stored_ledger`` times the headline
 operators again on the fixture ledger stored once with ``write_ledger`` (by
-month, range-partitioned files): the layout a production ledger would have.
+month, rebalanced files): the layout a production ledger would have.
 """
 
 from __future__ import annotations

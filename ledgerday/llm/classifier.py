@@ -153,21 +153,24 @@ def fit_quality(docs: DataFrame, labels: DataFrame, settings: Settings = Setting
     sample = known.orderBy(*order).limit(max_docs)
     s = settings
 
-    @F.pandas_udf("ids array<int>, shares array<double>")
+    @F.pandas_udf("ids binary, shares binary")
     def of_text(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            yield pd.DataFrame([features(t, s) for t in texts], columns=["ids", "shares"])
+            pairs = (features(t, s) for t in texts)
+            rows = [(ids.astype("<i4").tobytes(), w.astype("<f4").tobytes()) for ids, w in pairs]
+            yield pd.DataFrame(rows, columns=["ids", "shares"])
 
     rows = (
         docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # at most max_docs short rows
         .select("doc_id", "quality", F.xxhash64("text").alias("h"), of_text("text").alias("f"))
-        .toPandas()
+        .select("doc_id", "h", "quality", "f.*")
+        .collect()  # the sample's features as bytes
     )
-    rows = rows.sort_values(["doc_id", "h"]).drop_duplicates("doc_id")
-    examples = [
-        (np.asarray(f["ids"], np.int64), np.asarray(f["shares"], np.float64)) for f in rows["f"]
-    ]
-    return SubwordClassifier.fit(examples, rows["quality"].astype(int).tolist(), settings)
+    first: dict = {}
+    for r in sorted(rows, key=lambda r: (r["doc_id"], r["h"])):
+        first.setdefault(r["doc_id"], r)
+    examples = [(np.frombuffer(r["ids"], "<i4"), np.frombuffer(r["shares"], "<f4")) for r in first.values()]
+    return SubwordClassifier.fit(examples, [int(r["quality"]) for r in first.values()], settings)
 
 
 def quality_score(docs: DataFrame, model: SubwordClassifier, text: Column) -> Column:

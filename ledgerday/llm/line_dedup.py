@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerday.llm.common import shared_table
-from ledgerday.llm.minhash import byte_shingles, jaccard
+from ledgerday.llm.minhash import ByteRuns, jaccard
 from ledgerday.llm.near import near_classes
 
 #: Bytes in a shingle, and the similarity from which two lines are near copies.
@@ -18,7 +18,7 @@ BLANKS = " \t\n\x0b\f\r"
 
 
 def _shingler():
-    return lambda line: byte_shingles(line.encode("utf-8", "surrogatepass"), SHINGLE)
+    return ByteRuns(SHINGLE)
 
 
 def _similar(a, b) -> bool:

@@ -64,6 +64,57 @@ def word_shingles(words: list[bytes], hashes: WordHashes, n: int = 5) -> np.ndar
     return np.unique(x)
 
 
+def _whole_runs(sizes: np.ndarray, n: int) -> np.ndarray:
+    """Of all places in texts of these sizes behind each other, those where a run of ``n`` lies in one text."""
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(sizes.sum())
+    return np.flatnonzero(left >= n)
+
+
+class ByteRuns:
+    """Shingles of ``k`` bytes (8 at most): of one text, or of many at once for their signatures."""
+
+    def __init__(self, k: int = 8):
+        self.k = k
+
+    def __call__(self, text: str) -> np.ndarray:
+        return byte_shingles(text.encode("utf-8", "surrogatepass"), self.k)
+
+    def flat(self, texts: list[str]) -> tuple[np.ndarray, list[int]]:
+        """The texts' shingles behind each other, and how many each text has."""
+        parts = [t.encode("utf-8", "surrogatepass").ljust(self.k, b"\0") for t in texts]
+        sizes = np.array([len(p) for p in parts])
+        a = np.frombuffer(b"".join(parts), np.uint8).astype(np.uint64)
+        at = _whole_runs(sizes, self.k)
+        x = np.zeros(len(at), np.uint64)
+        for i in range(self.k):
+            x = x << np.uint64(8) | a[at + i]
+        return x, (sizes - self.k + 1).tolist()
+
+
+class WordRuns:
+    """Shingles of ``n`` words: of one text, or of many at once for their signatures."""
+
+    def __init__(self, split, n: int = 5):
+        self.split, self.n, self.hashes = split, n, WordHashes()
+
+    def __call__(self, text: str) -> np.ndarray:
+        return word_shingles(self.split(text), self.hashes, self.n)
+
+    def flat(self, texts: list[str]) -> tuple[np.ndarray, list[int]]:
+        """The texts' shingles behind each other, and how many each text has (none without a word)."""
+        parts = [self.split(t) for t in texts]
+        # A shorter text is one run, filled up with empty words, which no text has.
+        parts = [p + [b""] * (self.n - len(p)) if p and len(p) < self.n else p for p in parts]
+        sizes = np.array([len(p) for p in parts])
+        w = np.fromiter((self.hashes[x] for p in parts for x in p), np.uint64, sizes.sum())
+        at = _whole_runs(sizes, self.n)
+        x = np.zeros(len(at), np.uint64)
+        with np.errstate(over="ignore"):
+            for i in range(self.n):
+                x = mix(x + _SEED + w[at + i])
+        return x, np.maximum(sizes - self.n + 1, 0).tolist()
+
+
 class MinHash:
     """K functions ``(a * h + b) mod 2^32`` on 32 well-mixed bits of a shingle's hash."""
 
@@ -74,11 +125,17 @@ class MinHash:
 
     def signatures(self, shingles: list[np.ndarray]) -> np.ndarray:
         """A row of K values for each (non-empty) array of shingles."""
-        out = np.empty((len(shingles), len(self.a)), np.uint32)
-        for lo, hi in _blocks([len(s) for s in shingles]):
-            sizes = [len(s) for s in shingles[lo:hi]]
-            h = (mix(np.concatenate(shingles[lo:hi]) + _SEED) >> np.uint64(32)).astype(np.uint32)
-            starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+        return self.of_flat(np.concatenate(shingles), [len(s) for s in shingles])
+
+    def of_flat(self, flat: np.ndarray, sizes: list[int]) -> np.ndarray:
+        """The same for arrays that lie behind each other in ``flat``; repeated shingles change nothing."""
+        out = np.empty((len(sizes), len(self.a)), np.uint32)
+        at = 0
+        for lo, hi in _blocks(sizes):
+            ends = np.cumsum(sizes[lo:hi])
+            h = (mix(flat[at : at + ends[-1]] + _SEED) >> np.uint64(32)).astype(np.uint32)
+            at += ends[-1]
+            starts = np.concatenate(([0], ends[:-1]))
             for k, (a, b) in enumerate(zip(self.a, self.b)):
                 x = h * a
                 x += b

@@ -25,10 +25,10 @@ from pyspark.sql import functions as F
 
 from ledgerday.llm.common import shared_table
 from ledgerday.llm.components import components
-from ledgerday.llm.minhash import MinHash, band_keys
+from ledgerday.llm.minhash import ByteRuns, MinHash, WordRuns, band_keys
 
-#: text -> the distinct shingles of a whole text; made once a task.
-Shingler = Callable[[], Callable[[str], np.ndarray]]
+#: Makes what cuts whole texts into shingles (see :class:`~ledgerday.llm.minhash.WordRuns`), once a task.
+Shingler = Callable[[], ByteRuns | WordRuns]
 
 #: Representatives that a bucket's members of different classes are compared with, one after the other.
 TURNS = 4
@@ -46,19 +46,18 @@ def signature_bands(
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                ids = part.column(0).to_pylist()
+                ids, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
                 if len(seen) > 200_000:
                     seen.clear()
                 # A copy that this task has signed lately would only repeat the row.
-                some, shingles = [], []
-                for i, text in enumerate(part.column(1).to_pylist()):
-                    if ids[i] not in seen and text is not None and len(x := of(text)):
-                        seen.add(ids[i])
-                        some.append(i)
-                        shingles.append(x)
+                new = {ids[i]: i for i in range(len(ids) - 1, -1, -1) if texts[i] is not None and ids[i] not in seen}
+                seen.update(new)
+                new = sorted(new.values())
+                flat, sizes = of.flat([texts[i] for i in new]) if new else (None, [])
+                some = [i for i, n in zip(new, sizes) if n]
                 if not some:
                     continue
-                signatures = hashes.signatures(shingles)
+                signatures = hashes.of_flat(flat, [n for n in sizes if n])
                 keys = band_keys(signatures, bands, rows)
                 flat = pa.ListArray.from_arrays(
                     pa.array(np.arange(0, keys.size + 1, bands, dtype=np.int32)), pa.array(keys.ravel())

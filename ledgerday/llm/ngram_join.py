@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerday.llm.common import words
-from ledgerday.llm.minhash import WordHashes, jaccard, word_shingles
+from ledgerday.llm.minhash import WordRuns, jaccard
 from ledgerday.llm.near import near_classes
 
 #: Words in a shingle, and the similarity from which documents are linked.
@@ -31,8 +31,7 @@ EXTRA, STEP, TOLERANCE = 32, 16, 1e-7
 
 
 def shingler():
-    hashes = WordHashes()
-    return lambda text: word_shingles(words(text), hashes, SHINGLE)
+    return WordRuns(words, SHINGLE)
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:

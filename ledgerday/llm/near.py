@@ -1,15 +1,15 @@
 """Classes of near-duplicate texts: banded MinHash candidates, exact check, components.
 
-Candidates are never all the pairs of a bucket.  In a turn, a bucket's members
-are paired with one representative, checked exactly, and joined into classes.
-The representative is the member that shares most buckets with others: in a
-group of edited copies that is the text that they were made from, which is
-nearer to each of them than they are to each other.  Buckets whose members are
-then all of one class are done; in the others the representative, which has
-met every member, leaves, and the next turn takes another one.  A bucket of n
-texts so costs at most ``TURNS * n`` pairs.  Two similar texts share several
-buckets, and are of one class as soon as in any turn of any of them one is the
-representative or both are similar to it.
+In a turn, a bucket's members are paired with representatives, checked exactly,
+and joined into classes.  The first representative is the member that shares
+most buckets with others: in a group of edited copies that is the text that
+they were made from, which is nearer to each of them than they are to each
+other.  Buckets whose members are then all of one class are done; in the others
+the representatives, which have met every member, leave, and the next turn
+takes others, never from the bucket's largest class and more of them each turn.
+Turns end when no bucket is mixed, so any two similar texts that share a bucket
+are of one class.  A bucket costs as many pairs as its members that were
+representatives times its members; no pair is checked twice.
 """
 
 from __future__ import annotations
@@ -30,8 +30,8 @@ from ledgerday.llm.minhash import ByteRuns, MinHash, WordRuns, band_keys
 #: Makes what cuts whole texts into shingles (see :class:`~ledgerday.llm.minhash.WordRuns`), once a task.
 Shingler = Callable[[], ByteRuns | WordRuns]
 
-#: Representatives that a bucket's members of different classes are compared with, one after the other.
-TURNS = 4
+#: Representatives of a bucket in the first turns; each later turn takes four times as many as the one before.
+REPRESENTATIVES = (1, 1, 4)
 
 
 def signature_bands(
@@ -122,32 +122,45 @@ def near_classes(
     texts = items.select("id", "text").join(buckets.select("id").distinct(), "id", "left_semi")
     texts = shared_table(texts.dropDuplicates(["id"]), f"{name}-texts")
     links: list[DataFrame] = []
+    tried: list[DataFrame] = []
     classes = spark.createDataFrame([], "id long, class long")
     sizes = buckets.groupBy("key").agg(F.count("*").alias("size"))
     shares = buckets.join(sizes, "key").groupBy("id").agg(F.sum("size").alias("shares"))
     members = shared_table(buckets.join(shares, "id").withColumn("class", F.col("id")), f"{name}-members")
-    for turn in range(TURNS):
+    turn = 0
+    while not members.isEmpty():
         central = F.struct("shares", "id")
-        reps = members.groupBy("key").agg(F.max(central).alias("top"), F.max_by("class", central).alias("rep_class"))
-        reps = reps.select("key", F.col("top.id").alias("rep"), "rep_class")
+        reps = _free_members(members) if turn else members
+        slots = REPRESENTATIVES[turn] if turn < len(REPRESENTATIVES) else REPRESENTATIVES[-1] * 4 ** (turn - len(REPRESENTATIVES) + 1)
+        slot = F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(slots))
+        reps = reps.groupBy("key", slot.alias("slot")).agg(
+            F.max(central).alias("top"), F.max_by("class", central).alias("rep_class")
+        )
+        reps = shared_table(reps.select("key", F.col("top.id").alias("rep"), "rep_class"), f"{name}-reps")
         pairs = (
             members.join(reps, "key").where("class <> rep_class")
             .select(F.greatest("id", "rep").alias("a"), F.least("id", "rep").alias("b")).distinct()
         )
-        if prune:
-            pairs = prune(shared_table(pairs, f"{name}-pairs"), signed)
-        found = shared_table(verify(pairs, texts, shingler, similar), f"{name}-links")
+        for before in tried:
+            pairs = pairs.join(before, ["a", "b"], "left_anti")
+        pairs = shared_table(pairs, f"{name}-pairs")
+        tried.append(pairs)
+        found = shared_table(verify(prune(pairs, signed) if prune else pairs, texts, shingler, similar), f"{name}-links")
         if not found.isEmpty():
             links.append(found)
             classes = components(found.union(classes.toDF("a", "b")), f"{name}-classes")
-        if turn == TURNS - 1:
-            break
         # The representatives have met every member of another class, so they leave.
         left = members.drop("class").join(reps.select("key", F.col("rep").alias("id")), ["key", "id"], "left_anti")
         left = left.join(classes, "id", "left").select("key", "id", "shares", F.coalesce("class", "id").alias("class"))
         mixed = left.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high")
         members = shared_table(left.join(mixed.select("key"), "key"), f"{name}-members")
-        if members.isEmpty():
-            break
+        turn += 1
     none = spark.createDataFrame([], "a long, b long")
     return classes, reduce(DataFrame.union, links).distinct() if links else none
+
+
+def _free_members(members: DataFrame) -> DataFrame:
+    """The members that aren't of their bucket's largest class: once these have met all, the bucket is done."""
+    sizes = members.groupBy("key", "class").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("key").agg(F.max(F.struct("n", "class")).alias("top"))
+    return members.join(largest.select("key", F.col("top.class").alias("largest")), "key").where("class <> largest")

@@ -276,3 +276,25 @@ def test_native_queries_run_no_python(spark):
         assert not re.search("Python|Pandas|Arrow", plan)
 
 
+
+def test_mixed_buckets_are_settled_whatever_their_classes(spark):
+    """A bucket of 12 classes of which one is hot: similar pairs outside the hot class are found too."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    hot = [letters[:20] + chr(0x400 + i) for i in range(40)]  # any two have 20 of 22 letters in common
+    others = [chr(0x800 + 20 * k) for k in range(11)]
+    pairs = [("".join(chr(ord(c) + i) for i in range(10)), "".join(chr(ord(c) + i) for i in range(9))) for c in others]
+    texts = hot + [t for p in pairs for t in p]
+    items = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+
+    def shingles():
+        return lambda t: np.array(sorted(set(map(ord, t))), np.uint64)
+
+    signed = items.select("id", F.array(F.lit(9).cast("long")).alias("keys"))
+    real, near.signature_bands = near.signature_bands, lambda *a, **k: signed
+    try:
+        classes, _ = near.near_classes(items, shingles, lambda a, b: jaccard(a, b) >= 0.8, 1, 1, "hot")
+        got = {r.id: r["class"] for r in classes.collect()}
+    finally:
+        near.signature_bands = real
+    want = grouped(similar_pairs([set(t) for t in texts]), range(len(texts)))
+    assert len(set(want.values())) == 12 and got == want

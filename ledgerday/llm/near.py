@@ -109,7 +109,8 @@ def near_classes(
     extra: int = 0,
     prune: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """``(id, class)`` of the items with a link, and the checked links ``(a, b)``.
+    """``(id, class)`` of the items with a link, and the checked links ``(a, b)``: those that
+    make the classes, not all links within them (see :func:`count_links`).
 
     ``items`` has ``id`` (long, the same for equal texts) and ``text``; it may
     repeat.  ``prune(pairs, signed)`` may drop pairs by their signatures before
@@ -159,6 +160,74 @@ def near_classes(
     return classes, reduce(DataFrame.union, links).distinct() if links else none
 
 
+#: Items of a block of a class, and bytes of their texts: blocks are compared two at a time.
+BLOCK, BLOCK_BYTES = 1024, 16_000_000
+#: Shingles of two blocks that are compared at a time.
+COLUMNS = 2048
+
+
+def count_links(classes: DataFrame, items: DataFrame, shingler: Shingler, similarity: float) -> DataFrame:
+    """``id, n_links``: for each item of ``classes`` the other items of its class whose Jaccard
+    similarity with it is ``similarity`` or more.
+
+    Every pair of a class is compared, in tasks of two blocks of the class each;
+    only counts leave a task.  A class of n items is copied n / BLOCK times.
+    """
+    texts = items.join(classes, "id").dropDuplicates(["id"])
+    texts = shared_table(texts.select("id", "class", "text"), "class-texts")
+    size = F.greatest(F.count("*") / BLOCK, F.sum(F.octet_length("text")) / BLOCK_BYTES)
+    sizes = texts.groupBy("class").agg(F.ceil(size).cast("int").alias("blocks"))
+    blocks = texts.join(sizes, "class").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    dealt = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "class", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "id", "text"
+    )
+
+    def count(group: pa.Table) -> pa.Table:
+        of = shingler()
+        sets = [of(t) for t in group["text"].to_pylist()]
+        upper = np.array(group["own"].to_pylist()) == group["high"][0].as_py()
+        same = group["low"][0].as_py() == group["high"][0].as_py()
+        left, right = (np.arange(len(sets)),) * 2 if same else (np.flatnonzero(~upper), np.flatnonzero(upper))
+        n = np.array([len(x) for x in sets])
+        both = common_shingles([sets[i] for i in left], [sets[i] for i in right])
+        near = both / np.maximum(n[left][:, None] + n[right][None, :] - both, 1) >= similarity
+        counts = np.zeros(len(sets), np.int64)
+        if same:
+            np.fill_diagonal(near, False)
+            counts[left] = near.sum(1)
+        else:
+            counts[left], counts[right] = near.sum(1), near.sum(0)
+        return pa.table({"id": group["id"], "n": pa.array(counts)})
+
+    counted = dealt.groupBy("class", "low", "high").applyInArrow(count, "id long, n long")
+    return counted.groupBy("id").agg(F.sum("n").alias("n_links"))
+
+
+def common_shingles(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each of ``left`` shares with each of ``right`` (distinct shingles each)."""
+    both = np.zeros((len(left), len(right)))
+    if not left or not right:
+        return both
+    flat = [np.concatenate(x) for x in (left, right)]
+    shared = np.intersect1d(*flat)
+    parts = []
+    for x, sets in zip(flat, (left, right)):
+        row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        column = np.minimum(np.searchsorted(shared, x), max(len(shared) - 1, 0))
+        known = shared[column] == x if len(shared) else np.zeros(len(x), bool)
+        order = np.argsort(column[known], kind="stable")
+        parts.append((row[known][order], column[known][order]))
+    for at in range(0, len(shared), COLUMNS):
+        dense = []
+        for (row, column), sets in zip(parts, (left, right)):
+            lo, hi = np.searchsorted(column, (at, at + COLUMNS))
+            m = np.zeros((len(sets), min(COLUMNS, len(shared) - at)), np.float32)
+            m[row[lo:hi], column[lo:hi] - at] = 1
+            dense.append(m)
+        both += dense[0] @ dense[1].T
+    return both
+
+
 def _free_members(members: DataFrame) -> DataFrame:
     """The members that aren't of their bucket's largest class: once these have met all, the bucket is done."""
     sizes = members.groupBy("key", "class").agg(F.count("*").alias("n"))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ledgerday.llm.common import words
 from ledgerday.llm.minhash import WordRuns, jaccard
-from ledgerday.llm.near import near_classes
+from ledgerday.llm.near import count_links, near_classes
 
 #: Words in a shingle, and the similarity from which documents are linked.
 SHINGLE = 5
@@ -78,6 +78,18 @@ def prune(pairs: DataFrame, signed: DataFrame) -> DataFrame:
     return rows.mapInArrow(compare, "a long, b long")
 
 
+def _classes(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """``doc, text, id`` of every row (``id``: the text's hash, null without a text), and ``id, class`` of linked texts."""
+    rows = docs.select(
+        F.col(id_col).alias("doc"), F.when(F.length(F.col(text_col)) > 0, F.col(text_col)).alias("text")
+    )
+    rows = rows.withColumn("id", F.when(F.col("text").isNotNull(), F.xxhash64("text")))
+    classes, _ = near_classes(
+        rows.where("id is not null").select("id", "text"), shingler, similar, BANDS, ROWS, "docs", EXTRA, prune
+    )
+    return rows, classes
+
+
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, class_id, n_copies, n_links`` of every row.
 
@@ -85,25 +97,18 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     runs (lower-cased words; a shorter text is one run) is 0.8 or more.
     ``class_id`` is the smallest id of the row's class: the connected component
     of the links, equal texts included.  ``n_copies`` counts the rows with the
-    same text; ``n_links`` the links to different texts that were checked
-    directly (in a class a text is checked against the representatives of its
-    buckets, not against every member).
+    same text; ``n_links`` the different texts that it is linked to, all of
+    them: within a class every pair is compared.
 
     A null or empty text is a class of its own with its id (null if that is
     null), with no links.  Texts without a word are linked to equal texts only.
     Repeated ids and rows: each row counts.  Empty table: no rows.  Other
     columns are ignored.  Texts are told apart by a 64-bit hash.
     """
-    rows = docs.select(
-        F.col(id_col).alias("doc"), F.when(F.length(F.col(text_col)) > 0, F.col(text_col)).alias("text")
-    )
-    rows = rows.withColumn("id", F.when(F.col("text").isNotNull(), F.xxhash64("text")))
-    classes, links = near_classes(
-        rows.where("id is not null").select("id", "text"), shingler, similar, BANDS, ROWS, "docs", EXTRA, prune
-    )
+    rows, classes = _classes(docs, id_col, text_col)
+    degree = count_links(classes, rows.select("id", "text"), shingler, SIMILARITY)
     slim = rows.select("doc", "id")
     copies = slim.where("id is not null").groupBy("id").agg(F.count("*").alias("n_copies"), F.min("doc").alias("first"))
-    degree = links.select(F.col("a").alias("id")).union(links.select("b")).groupBy("id").agg(F.count("*").alias("n_links"))
     texts = (
         copies.join(classes, "id", "left").join(degree, "id", "left")
         .select("id", "n_copies", "first", F.coalesce("class", "id").alias("class"), F.coalesce("n_links", F.lit(0)).alias("n_links"))

@@ -298,3 +298,18 @@ def test_mixed_buckets_are_settled_whatever_their_classes(spark):
         near.signature_bands = real
     want = grouped(similar_pairs([set(t) for t in texts]), range(len(texts)))
     assert len(set(want.values())) == 12 and got == want
+
+
+def test_links_of_a_text_are_counted_in_full(docs_of, prose, monkeypatch):
+    monkeypatch.setattr(near, "BLOCK", 7)  # several blocks a class
+    base = [prose(120, 300 + k) for k in range(3)]
+    texts = [base[k] for k in range(3)] + [edited(base[i % 3], 0.015, i) for i in range(60)] + [prose(90, 400), "!!"]
+    texts += [base[1] + " x", base[1] + " y", base[0]]
+    sets = [runs(lower_words(t)) for t in texts]
+    partners = defaultdict(set)
+    for i, j in similar_pairs(sets):
+        if texts[i] != texts[j]:
+            partners[texts[i]].add(texts[j])
+            partners[texts[j]].add(texts[i])
+    got = {r.doc_id: r.n_links for r in ngram_join(docs_of(texts)).collect()}
+    assert max(got.values()) > 8 and got == {i: len(partners[t]) for i, t in enumerate(texts)}

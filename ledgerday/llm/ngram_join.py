@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerday.llm.common import words
+from ledgerday.llm.common import shared_table, words
 from ledgerday.llm.minhash import WordRuns, jaccard
 from ledgerday.llm.near import count_links, near_classes
 
@@ -123,10 +123,27 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs``, all columns, with the row of the smallest id of each class (rows without a text stay).
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repeats: bool = True) -> DataFrame:
+    """``docs``, all columns, with the row of the smallest (id, text hash) of each class (rows without a text stay).
 
-    Of rows with equal id and class, all but copies of one text stay as they are told apart by id only.
+    Null ids come last, so a class has a row without an id only if all its ids
+    are null.  Of rows with the same id and text as the one that stays, all
+    stay with ``repeats``, else one of them, whichever its other columns are.
     """
-    joined = ngram_join(docs, id_col, text_col).where(F.col(id_col) == F.col("class_id")).select(F.col(id_col).alias("__id"))
-    return docs.join(joined.distinct(), docs[id_col].eqNullSafe(F.col("__id")), "left_semi")
+    rows, classes = _classes(docs, id_col, text_col)
+    texts = rows.where("id is not null").groupBy("doc", "id").agg(F.count("*").alias("n"))
+    place = F.struct(F.col("doc").isNull().alias("last"), "doc", "id", "n")
+    chosen = (
+        texts.join(classes, "id", "left").groupBy(F.coalesce("class", "id").alias("class")).agg(F.min(place).alias("x"))
+        .select(F.col("x.doc").alias("__doc"), F.col("x.id").alias("__id"), F.col("x.n").alias("__n"))
+    )
+    chosen = shared_table(chosen, "chosen")
+    keyed = docs.withColumn("__hash", F.when(F.length(F.col(text_col)) > 0, F.xxhash64(F.col(text_col))))
+
+    def those(places: DataFrame) -> DataFrame:
+        return keyed.join(places, (F.col("__hash") == F.col("__id")) & F.col(id_col).eqNullSafe(F.col("__doc")), "left_semi")
+
+    kept = keyed.where("__hash is null").union(those(chosen.where("__n = 1") if not repeats else chosen))
+    if not repeats:
+        kept = kept.union(those(chosen.where("__n > 1")).dropDuplicates([id_col, "__hash"]))
+    return kept.drop("__hash")

@@ -32,3 +32,14 @@ def test_entry_registers_every_operator():
     names = __spark_entry__.queries()
     assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
     assert "pyspark" in sys.modules
+
+
+def test_join_stage_keeps_one_row_of_each_class(spark, docs_of, prose):
+    a, b, c, d = (prose(200, k) for k in (31, 32, 33, 34))
+    rows = [(None, a), (None, b), (None, b + " extra"), (None, b), (None, c), (5, c + " extra"), (5, c + " extra"),
+            (7, d), (7, d), (7, d + " extra"), (8, d), (None, None), (None, ""), (9, None)]
+    out = [(r.doc_id, r.text) for r in corpus_pipeline.ngram_join(spark, docs_of(rows), SF).collect()]
+    assert sorted(out, key=str) == sorted(set(out), key=str) and out.count((None, a)) == 1
+    assert sum(t in (b, b + " extra") for _, t in out) == 1 and (5, c + " extra") in out
+    assert [i for i, t in out if t in (d, d + " extra")] == [7] and len(out) == 7
+    assert {(None, None), (None, ""), (9, None)} <= set(out)

@@ -91,6 +91,27 @@ class ByteRuns:
         return x, (sizes - self.k + 1).tolist()
 
 
+class CharRuns:
+    """Shingles of ``k`` code points (3 at most): of one text, or of many at once for their signatures."""
+
+    def __init__(self, k: int = 3):
+        self.k = k
+
+    def __call__(self, text: str) -> np.ndarray:
+        return np.unique(self.flat([text])[0])
+
+    def flat(self, texts: list[str]) -> tuple[np.ndarray, list[int]]:
+        """The texts' shingles behind each other, and how many each text has; a shorter text is one run."""
+        parts = [t.ljust(self.k, "\0") for t in texts]
+        sizes = np.array([len(p) for p in parts])
+        a = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        at = _whole_runs(sizes, self.k)
+        x = np.zeros(len(at), np.uint64)
+        for i in range(self.k):
+            x = x << np.uint64(21) | a[at + i]
+        return x, (sizes - self.k + 1).tolist()
+
+
 class WordRuns:
     """Shingles of ``n`` words: of one text, or of many at once for their signatures."""
 

@@ -25,10 +25,10 @@ from pyspark.sql import functions as F
 
 from ledgerday.llm.common import shared_table
 from ledgerday.llm.components import components
-from ledgerday.llm.minhash import ByteRuns, MinHash, WordRuns, band_keys
+from ledgerday.llm.minhash import ByteRuns, CharRuns, MinHash, WordRuns, band_keys
 
 #: Makes what cuts whole texts into shingles (see :class:`~ledgerday.llm.minhash.WordRuns`), once a task.
-Shingler = Callable[[], ByteRuns | WordRuns]
+Shingler = Callable[[], ByteRuns | CharRuns | WordRuns]
 
 #: Representatives of a bucket in the first turns; each later turn takes four times as many as the one before.
 REPRESENTATIVES = (1, 1, 4)

@@ -313,3 +313,19 @@ def test_links_of_a_text_are_counted_in_full(docs_of, prose, monkeypatch):
             partners[texts[j]].add(texts[i])
     got = {r.doc_id: r.n_links for r in ngram_join(docs_of(texts)).collect()}
     assert max(got.values()) > 8 and got == {i: len(partners[t]) for i, t in enumerate(texts)}
+
+
+def test_short_lines_with_an_edited_character_are_near_copies(docs_of):
+    r = random.Random(8)
+    scripts = {"x": "abcdefghijklmnopqrstuvwxyz", "е": "абвгдежзиклмнопрстуфхцчшщ", "中": [chr(0x4E00 + i) for i in range(200)]}
+    pairs = []
+    for other, letters in scripts.items():
+        for n in (30, 38, 50, 65, 80):
+            line = "".join(r.choice(letters) if i % 6 else " " for i in range(1, n)) + letters[0]
+            at = n // 2 + (line[n // 2] == " ")
+            pairs.append((line, line[:at] + ("Q" if line[at] == other else other.upper()) + line[at + 1 :]))
+    apart = ("chapter one of it", "chapter two of it")  # too short to be the same
+    docs = docs_of([t for p in [*pairs, apart] for t in p])
+    got = {r.doc_id: r.line_class for r in fuzzy_lines(docs).collect()}
+    assert [got[2 * i] == got[2 * i + 1] for i in range(len(pairs))] == [True] * len(pairs)
+    assert len(set(got.values())) == len(pairs) + 2

@@ -1,13 +1,21 @@
 """Substring dedup by paragraph MinHash: passages that repeat across or within documents.
 
-A document is cut into its smallest paragraphs, the sentences of its lines, so
-that a passage is found wherever it was pasted in.  Paragraphs that collide in
+A document is cut into its sentences.  A paragraph is a long sentence, or a
+short one joined with those behind it, or with those before it, until it is
+long; so paragraphs overlap, and short sentences at either edge of a passage
+are compared as well.  Paragraphs that collide in
 a band are checked by exact Jaccard similarity of their five-word runs and
 clustered; runs of repeated paragraphs make the passages.
 """
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
+from itertools import accumulate
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,67 +33,100 @@ CUT = r"(?<=\n)|(?<=[.!?][ \t])"
 BLANKS = " \t\n\x0b\f\r"
 
 
+def paragraphs(text: str | None) -> list[dict]:
+    """The paragraphs of a text in order: ``piece_no`` and ``last_piece`` of its pieces, ``from_word`` and
+    ``end_word`` of its words, ``longs`` the long pieces before ``place``, the piece that it is made for."""
+    pieces = [(i, x.strip(BLANKS)) for i, x in enumerate(_CUT.split(text or ""))]
+    pieces = [(i, x) for i, x in pieces if x]
+    sizes = [len(_WORD_GAP.split(x)) for _, x in pieces]
+    ends = [0, *accumulate(sizes)]
+    longs = [0, *accumulate(int(n >= MIN_PARAGRAPH) for n in sizes)]
+    out = []
+    for i, n in enumerate(sizes):
+        spans = {(i, i)}
+        if n < MIN_PARAGRAPH:
+            # Up to the first piece with which the words will do, and from the last one.
+            behind = bisect_left(ends, ends[i] + MIN_PARAGRAPH) - 1
+            before = bisect_right(ends, ends[i + 1] - MIN_PARAGRAPH) - 1
+            spans = {(i, behind)} if behind < len(pieces) else set()
+            spans |= {(before, i)} if before >= 0 else set()
+        for lo, hi in sorted(spans):
+            out.append({
+                "unit": len(out), "place": i, "low": lo, "high": hi, "long": n >= MIN_PARAGRAPH, "longs": longs[i],
+                "piece_no": pieces[lo][0], "last_piece": pieces[hi][0], "from_word": ends[lo], "end_word": ends[hi + 1],
+                "text": " ".join(x for _, x in pieces[lo : hi + 1]),
+            })
+    return out
+
+
+_CUT, _WORD_GAP = re.compile(CUT), re.compile(r"[ \t-\r]+")
+_PLACE = "unit int, place int, low int, high int, long boolean, longs int, piece_no int, last_piece int, from_word int, end_word int"
+_PLACE_COLUMNS = [c.split()[0] for c in _PLACE.split(", ")]
+
+
 def paragraphs_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, row, unit, piece_no, n_words, id, text`` of each paragraph with ``MIN_PARAGRAPH`` words.
+    """``doc_id, row, id, text`` and the place (see :func:`paragraphs`) of each paragraph.
 
-    ``unit`` counts these, ``piece_no`` all pieces; ``row`` (a hash of the text) tells input rows with
-    equal ids apart.
+    ``unit`` counts a text's paragraphs; ``row`` (a hash of the text) tells input rows with equal ids apart.
     """
-    pieces = F.transform(
-        F.split(F.col("whole"), CUT),
-        lambda x, i: F.struct(
-            i.alias("piece_no"), F.btrim(x, F.lit(BLANKS)).alias("text"),
-            F.size(F.split(F.btrim(x, F.lit(BLANKS)), r"[ \t-\r]+")).alias("n_words"),
-        ),
-    )
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("whole"))
-    units = rows.select(
-        "doc_id", F.xxhash64("whole").alias("row"),
-        F.posexplode(F.filter(pieces, lambda x: x["n_words"] >= MIN_PARAGRAPH)).alias("unit", "p"),
-    )
-    return units.select("doc_id", "row", "unit", "p.piece_no", "p.n_words", F.xxhash64("p.text").alias("id"), "p.text")
+    @F.pandas_udf("array<struct<" + _PLACE.replace(" ", ":").replace(",:", ",") + ",text:string>>")
+    def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([paragraphs(t) for t in texts], dtype=object)
+
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("row"), F.explode(cut(F.col(text_col))).alias("p"))
+    return rows.select("doc_id", "row", "p.*").withColumn("id", F.xxhash64("text"))
 
 
 def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, row, unit, piece_no, n_words, class, kept`` of the paragraphs whose class has several places.
+    """``doc_id, row``, the place, ``class, kept`` of the paragraphs whose class has several places.
 
     ``kept`` marks the class's first place by (doc_id, row, unit).
     """
-    units = paragraphs_of(docs, id_col, text_col)
+    units = shared_table(paragraphs_of(docs, id_col, text_col), "paragraph-texts")
     classes, _ = near_classes(units.select("id", "text"), shingler, similar, BANDS, ROWS, "paragraphs")
-    placed = units.select("doc_id", "row", "unit", "piece_no", "n_words", "id").join(classes, "id", "left")
-    placed = shared_table(
-        placed.select("doc_id", "row", "unit", "piece_no", "n_words", F.coalesce("class", "id").alias("class")),
-        "paragraph-places",
-    )
+    places = ["doc_id", "row", *_PLACE_COLUMNS]
+    placed = units.select(*places, "id").join(classes, "id", "left")
+    placed = shared_table(placed.select(*places, F.coalesce("class", "id").alias("class")), "paragraph-places")
     many = (
         placed.groupBy("class").agg(F.count("*").alias("places"), F.min(F.struct("doc_id", "row", "unit")).alias("first"))
         .where("places > 1")
     )
     return placed.join(many, "class").select(
-        "doc_id", "row", "unit", "piece_no", "n_words", "class",
-        F.struct("doc_id", "row", "unit").eqNullSafe(F.col("first")).alias("kept"),
+        *places, "class", F.struct("doc_id", "row", "unit").eqNullSafe(F.col("first")).alias("kept"),
     ).distinct()
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per passage: ``doc_id, row, first_piece, last_piece, n_words, n_paragraphs, removed, classes``.
 
-    A passage is a run of neighbouring repeated paragraphs of a document (with
-    the shorter pieces between them) of ``MIN_PASSAGE`` words in them or more.
-    ``removed`` lists the pieces whose class has an earlier place; ``classes``
-    the paragraphs' classes (64-bit hashes of one member).
+    A passage is a run of repeated paragraphs of a document that touch or
+    overlap, or between whose long sentences only short ones lie, of
+    ``MIN_PASSAGE`` words or more.  ``removed`` lists the pieces in paragraphs
+    whose class has an earlier place, but for those in a paragraph that is its
+    class's first; ``classes`` the paragraphs' classes (64-bit hashes of one member).
 
-    Null and empty texts and those with shorter paragraphs have no rows; null
+    A sentence that begins or ends outside the passage isn't compared in part.
+    Null and empty texts and those with fewer words have no rows; null
     ids come first; rows repeated in full give one row.  Empty table: no rows.
     Other columns are ignored.
     """
     order = Window.partitionBy("doc_id", "row").orderBy("unit")  # a document's own paragraphs
-    runs = repeated_paragraphs(docs, id_col, text_col).withColumn("run", F.col("unit") - F.row_number().over(order))
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    behind = order.rowsBetween(1, Window.unboundedFollowing)
+    number = F.when(F.col("long"), F.col("longs"))  # of a long piece among the long ones
+    last, following = F.last(number, ignorenulls=True).over(before), F.first(number, ignorenulls=True).over(behind)
+    touches = F.col("low") <= F.max("high").over(before) + 1
+    between = (last == F.col("longs") - 1) & (F.col("long") | (following == F.col("longs")))
+    runs = repeated_paragraphs(docs, id_col, text_col).withColumn("new", ~F.coalesce(touches | between, F.lit(False)))
+    runs = runs.withColumn("run", F.sum(F.col("new").cast("int")).over(order))
+    pieces = F.sequence("piece_no", "last_piece")
+    gone = F.flatten(F.collect_list(F.when(~F.col("kept"), pieces)))
+    stay = F.flatten(F.collect_list(F.when(F.col("kept"), pieces)))
     found = runs.groupBy("doc_id", "row", "run").agg(
-        F.min("piece_no").alias("first_piece"), F.max("piece_no").alias("last_piece"),
-        F.sum("n_words").cast("long").alias("n_words"), F.count("*").alias("n_paragraphs"),
-        F.sort_array(F.collect_list(F.when(~F.col("kept"), F.col("piece_no")))).alias("removed"),
+        F.min("piece_no").alias("first_piece"), F.max("last_piece").alias("last_piece"),
+        (F.max("end_word") - F.min("from_word")).cast("long").alias("n_words"), F.count("*").alias("n_paragraphs"),
+        F.sort_array(F.array_except(gone, stay)).alias("removed"),
         F.sort_array(F.collect_list("class")).alias("classes"),
     )
     return found.where(F.col("n_words") >= MIN_PASSAGE).drop("run")

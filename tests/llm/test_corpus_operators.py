@@ -329,3 +329,16 @@ def test_short_lines_with_an_edited_character_are_near_copies(docs_of):
     got = {r.doc_id: r.line_class for r in fuzzy_lines(docs).collect()}
     assert [got[2 * i] == got[2 * i + 1] for i in range(len(pairs))] == [True] * len(pairs)
     assert len(set(got.values())) == len(pairs) + 2
+
+
+def test_passages_of_short_sentences_are_found_and_cut(docs_of, prose):
+    passage = " ".join(prose(n, 500 + n * 7 + k, stop=n) for k in range(3) for n in (3, 5, 4, 7, 2))  # 63 words, none in a long sentence
+    mixed = prose(3, 61, stop=3) + " " + prose(9, 62, stop=9) + " " + prose(5, 63, stop=5)  # 17 words, short ones at both edges
+    hosts = [prose(45, 70 + k) + " " for k in range(4)]
+    texts = [hosts[0] + passage + " " + prose(60, 81), hosts[1] + passage + " " + prose(40, 82), hosts[2] + mixed + " " + prose(36, 83),
+             hosts[3] + mixed, prose(200, 84)]
+    docs = docs_of(texts)
+    rows = {r.doc_id: r for r in repeated_passages(docs).collect()}
+    assert set(rows) == {0, 1, 2, 3} and [rows[i].n_words for i in range(4)] == [63, 63, 17, 17]
+    cut = {r.doc_id: r.text for r in cut_passages(docs).collect()}
+    assert cut == {0: texts[0], 1: hosts[1] + prose(40, 82), 2: texts[2], 3: hosts[3], 4: texts[4]}

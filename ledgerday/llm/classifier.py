@@ -144,6 +144,13 @@ def fit_quality(docs: DataFrame, labels: DataFrame, settings: Settings = Setting
     driver.  Rows with null id or null label are left out; of several labels of
     a document the largest counts; of several texts the first by hash.
     """
+    rows = sorted(training_rows(docs, labels, settings, max_docs).collect(), key=lambda r: r["doc_id"])
+    examples = [(np.frombuffer(r["ids"], "<i4"), np.frombuffer(r["shares"], "<f4")) for r in rows]
+    return SubwordClassifier.fit(examples, [int(r["quality"]) for r in rows], settings)
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, settings: Settings, max_docs: int) -> DataFrame:
+    """``doc_id, quality, ids, shares``: a row for each id of the sample that ``docs`` has, with its features as bytes."""
     known = (
         labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
         .where(crc32_of_id(F.col("doc_id")) % 5 != 0)
@@ -160,17 +167,11 @@ def fit_quality(docs: DataFrame, labels: DataFrame, settings: Settings = Setting
             rows = [(ids.astype("<i4").tobytes(), w.astype("<f4").tobytes()) for ids, w in pairs]
             yield pd.DataFrame(rows, columns=["ids", "shares"])
 
-    rows = (
-        docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # at most max_docs short rows
-        .select("doc_id", "quality", F.xxhash64("text").alias("h"), of_text("text").alias("f"))
-        .select("doc_id", "h", "quality", "f.*")
-        .collect()  # the sample's features as bytes
-    )
-    first: dict = {}
-    for r in sorted(rows, key=lambda r: (r["doc_id"], r["h"])):
-        first.setdefault(r["doc_id"], r)
-    examples = [(np.frombuffer(r["ids"], "<i4"), np.frombuffer(r["shares"], "<f4")) for r in first.values()]
-    return SubwordClassifier.fit(examples, [int(r["quality"]) for r in first.values()], settings)
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # at most max_docs short rows
+    # Combined map-side: however often an id is repeated, a task passes on one text of it.
+    least = F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("first")
+    one = rows.groupBy("doc_id").agg(F.max("quality").alias("quality"), least)
+    return one.select("doc_id", "quality", of_text("first.text").alias("f")).select("doc_id", "quality", "f.*")
 
 
 def quality_score(docs: DataFrame, model: SubwordClassifier, text: Column) -> Column:

@@ -255,3 +255,19 @@ def test_contaminations_on_documents_equal_a_text_search(spark):
     ).fetchall())
     docs, benchmark = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
     assert {(r.doc_id, r.item_id) for r in dc.contaminations(docs, benchmark).where("score = 1").collect()} == exact
+
+
+def test_training_rows_are_one_of_each_sampled_id(docs_of, prose, spark):
+    from ledgerday.llm.classifier import training_rows
+
+    texts = [(i, prose(30, i)) for i in range(40)] + [(7, prose(30, 100 + i)) for i in range(200)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    rows = training_rows(docs_of(texts), labels, Settings(), 30).collect()
+    kept = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5]
+    assert 7 in kept and len(kept) <= 40
+    rows = training_rows(docs_of(texts), labels, Settings(), 40).collect()
+    assert sorted(r.doc_id for r in rows) == kept
+    alone = spark.createDataFrame(docs_of(texts).where("doc_id = 7").collect()).orderBy(F.xxhash64("text")).first().text
+    ids, shares = features(alone, Settings())
+    seven = next(r for r in rows if r.doc_id == 7)
+    assert seven.ids == ids.astype("<i4").tobytes() and seven.shares == shares.astype("<f4").tobytes()

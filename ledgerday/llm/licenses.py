@@ -116,6 +116,11 @@ class TemplateAutomaton:
         self._before = self._mandatory_before()
         #: Wording that every accepted place has.
         self.needed = {e.word for edges in self.edges for e in edges if e.mandatory and e.word}
+        self._wording = [(self._before[s], e.word) for s, edges in enumerate(self.edges) for e in edges if e.mandatory and e.word]
+
+    def most(self, seen: set[bytes]) -> float:
+        """The largest share of the mandatory wording that a text of these words can meet: that before the first word it lacks."""
+        return next((before for before, word in self._wording if word not in seen), self.n_mandatory) / self.n_mandatory
 
     def may_start(self, word: bytes) -> bool:
         return any(e.takes(word) for s in self.start for e in self.edges[s])
@@ -189,20 +194,20 @@ class LicenseScanner:
         places, score = [], 0.5 if base else 0.0
         for a in self.automata:
             # Without all the needed wording nothing is accepted, but part of it may be met.
-            if not a.needed & seen:
-                continue
-            starts = {w for w in seen if a.may_start(w)}
-            whole, i = a.needed <= seen, 0
-            if not whole and 2 * len(a.needed & seen) < len(a.needed):
+            whole, most = a.needed <= seen, a.most(seen)
+            if not whole and most <= score:
                 continue
-            while i < len(ws):
-                end = -1
-                if ws[i] in starts:
-                    end, met = a.at(ws, i)
-                    score = max(score, met)
-                    if end > i:
-                        places.append((a.label, i, end))
-                i = max(i + 1, end)
+            starts, i = {w for w in seen if a.may_start(w)}, 0
+            for at, word in enumerate(ws):
+                if at < i or word not in starts:
+                    continue
+                end, met = a.at(ws, at)
+                score = max(score, met)
+                if end > at:
+                    places.append((a.label, at, end))
+                    i = end
+                if not whole and score >= most:
+                    break
         return {"n_words": len(ws), "base": base, "places": places, "score": score}
 
 
@@ -213,9 +218,8 @@ def license_scan(
 
     ``places`` lists the accepted template places (label, first word, word
     after the last).  ``score`` is the largest share of a template's mandatory
-    wording met in order at one place (templates of whose wording the text has
-    under half aren't tried), at least 0.5 where a base phrase stands; 1 means
-    that a template is accepted.  Places of one template don't overlap; of
+    wording met in order at one place, at least 0.5 where a base phrase stands;
+    1 means that a template is accepted.  Places of one template don't overlap; of
     several ends at one start the longest counts.
 
     Null or empty text: no words, score 0, empty labels.  Null or repeated ids:

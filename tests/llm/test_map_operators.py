@@ -271,3 +271,14 @@ def test_training_rows_are_one_of_each_sampled_id(docs_of, prose, spark):
     ids, shares = features(alone, Settings())
     seven = next(r for r in rows if r.doc_id == 7)
     assert seven.ids == ids.astype("<i4").tobytes() and seven.shares == shares.astype("<f4").tobytes()
+
+
+def test_part_of_a_template_has_its_share_of_the_wording():
+    scan = LicenseScanner().scan
+    from ledgerday.llm.licenses import TEMPLATES
+
+    half = "permission is hereby granted free of charge to any person obtaining a copy of this software"
+    # 16 of the 36 mandatory words of mit-text; and a word that a template starts with is one of its words.
+    found = scan("see " + half + " today")
+    assert found["places"] == [] and found["score"] == pytest.approx(16 / TemplateAutomaton("x", TEMPLATES["mit-text"]).n_mandatory)
+    assert 0 < scan("this program is free")["score"] < 0.3 and scan("nothing of it")["score"] == 0

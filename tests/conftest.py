@@ -1,9 +1,7 @@
 from __future__ import annotations
 
-import datetime as dt
 import os
 import sys
-from decimal import Decimal
 
 import pytest
 
@@ -15,9 +13,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 from ledgerday.schemas import CONTACTS_SCHEMA, LEDGER_SCHEMA, SEND_LOG_SCHEMA  # noqa: E402
 from ledgerday.session import scratch_dir  # noqa: E402
-
-SF_SMALL = "/root/testdata/sf0.001"
-SF_CHECK = "/root/testdata/sf0.01"
+from ledger_helpers import D, q  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -36,14 +32,6 @@ def spark():
     yield s
 
 
-def D(s: str) -> dt.date:
-    return dt.date.fromisoformat(s)
-
-
-def q(x) -> Decimal | None:
-    return None if x is None else Decimal(str(x)).quantize(Decimal("0.001"))
-
-
 _LEDGER_DEFAULTS = dict(
     vrno=1, vrdate=None, tcode="S", item_name="X", item_nature="FG", um="KGS", aum="KGS",
     qtyissued=None, qtyrecd=None, aqtyissued=None, acc_name="PARTY",

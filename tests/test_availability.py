@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from conftest import D
+from ledger_helpers import D
 
 from ledgerday.constants import COAL_ITEM, ETHANOL_ITEM, MAIZE_ITEM
 from ledgerday.operators import availability as A

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections import Counter
 from dataclasses import replace
 
-from conftest import SF_CHECK, D
+from ledger_helpers import SF_CHECK, D
 
 from ledgerday.operators.contacts import recipient_contacts, report_recipients
 from ledgerday.operators.outbox import message_outbox

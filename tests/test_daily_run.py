@@ -6,7 +6,7 @@ import importlib
 from collections import Counter
 
 import pytest
-from conftest import SF_CHECK, D
+from ledger_helpers import SF_CHECK, D
 
 from ledgerday.params import Items, RunOptions
 from ledgerday.plans.daily_run import daily_run, write_daily_run

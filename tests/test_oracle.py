@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 from compare import compare, duck
-from conftest import SF_CHECK, SF_SMALL
+from ledger_helpers import SF_CHECK, SF_SMALL
 
 import __spark_entry__ as entry_mod
 

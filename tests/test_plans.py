@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
-from conftest import SF_SMALL
+from ledger_helpers import SF_SMALL
 
 from ledgerday.functions.dates import date_spine, ledger_span
 from ledgerday.operators import availability as A

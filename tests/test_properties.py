@@ -6,7 +6,7 @@ from collections import Counter
 from decimal import Decimal
 
 import pytest
-from conftest import SF_CHECK, D
+from ledger_helpers import SF_CHECK, D
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import SF_SMALL
+from ledger_helpers import SF_SMALL
 
 from ledgerday.registry import QUERIES
 from plan_inspect import physical_plan

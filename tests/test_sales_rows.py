@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from conftest import D
+from ledger_helpers import D
 from pyspark.sql import functions as F
 
 from ledgerday.functions.numtext import number_text

@@ -6,7 +6,7 @@ import json
 import os
 import tempfile
 
-from conftest import D
+from ledger_helpers import D
 
 from ledgerday.operators.calendar import dates_to_process, pending_dates
 from ledgerday.operators.sendlog import send_log_append, send_log_retained

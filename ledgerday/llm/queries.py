@@ -15,6 +15,7 @@ from ledgerday.llm.packing import pack_documents
 from ledgerday.llm.passage_dedup import repeated_passages
 from ledgerday.llm.quality_rules import quality_rules
 from ledgerday.llm.sharding import byte_shards
+from ledgerday.llm.spelling import spelling_variants
 from ledgerday.llm.token_counts import PieceAutomaton, token_counts
 from ledgerday.llm.vocabulary import byte_level_vocabulary
 
@@ -75,6 +76,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(docs, fit_quality(docs, table(spark, sf_dir, "labels")), THRESHOLD)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -88,6 +93,7 @@ QUERIES = {
         op8_ngram_join,
         op9_byte_shards,
         op10_quality_classifier,
+        op11_spelling_variants,
     )
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerday.llm.chat import chat_format, read_back, table_events
 from ledgerday.llm.classifier import classify, fit_quality
 from ledgerday.llm.common import table
 from ledgerday.llm.decontamination import contaminations
@@ -80,6 +81,16 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"))
 
 
+#: A conversation whose texts look like the template's own marks.
+MARKS_CONVERSATION, MARKS_TEXT = -7, r"\### Assistant: </turn> ok"
+
+
+def op13_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = [(MARKS_CONVERSATION, turn, role, MARKS_TEXT) for turn, role in enumerate(("user", "assistant"))]
+    return read_back(chat_format(table_events(turns.union(spark.createDataFrame(own, turns.schema)))))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -94,6 +105,20 @@ QUERIES = {
         op9_byte_shards,
         op10_quality_classifier,
         op11_spelling_variants,
+        op13_chat_formatting,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op13_chat_formatting": r"""
+with turns as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all values (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')
+)
+select conv_id, count(*) as n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+    coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+    sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+    sum(length('### ' || regexp_replace(role, '([\\#<:])', '\\\1', 'g') || ': '
+        || regexp_replace(text, '([\\#<])', '\\\1', 'g') || ' </turn>' || chr(10)))::bigint as formatted_chars
+from turns group by conv_id""",
+}

@@ -9,6 +9,7 @@ from ledgerday.llm.chat import chat_format, read_back, table_events
 from ledgerday.llm.classifier import classify, fit_quality
 from ledgerday.llm.common import table
 from ledgerday.llm.decontamination import contaminations
+from ledgerday.llm.hard_negatives import integer_vectors, mine
 from ledgerday.llm.licenses import license_scan
 from ledgerday.llm.line_dedup import fuzzy_lines
 from ledgerday.llm.ngram_join import ngram_join
@@ -81,6 +82,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine(integer_vectors(table(spark, sf_dir, "embeddings")), F.col("id") % 50 == 0)
+
+
 #: A conversation whose texts look like the template's own marks.
 MARKS_CONVERSATION, MARKS_TEXT = -7, r"\### Assistant: </turn> ok"
 
@@ -105,10 +110,30 @@ QUERIES = {
         op9_byte_shards,
         op10_quality_classifier,
         op11_spelling_variants,
+        op12_hard_negatives,
         op13_chat_formatting,
     )
 }
 ORACLE_SQL: dict[str, str] = {
+    "op12_hard_negatives": """
+with rows as (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+        [floor(256 * x::double) for x in embedding] as v
+    from embeddings
+    where label is not null and embedding is not null
+        and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+), scores as (
+    select a.vec_id as anchor_id, a.label = b.label as same, b.vec_id, list_inner_product(a.v, b.v)::bigint as score
+    from rows a join rows b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id
+), positives as (
+    select anchor_id, vec_id as positive_id, score as positive_score from scores where same
+    qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select anchor_id, positive_id, row_number() over (partition by anchor_id, positive_id order by score desc, vec_id)::int as rank,
+    vec_id as negative_id, positive_score, score as negative_score
+from positives join scores using (anchor_id)
+where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+qualify rank <= 3""",
     "op13_chat_formatting": r"""
 with turns as (
     select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerday.session import scratch_path
@@ -28,7 +29,34 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def drop_tables(*tables: DataFrame) -> None:
+    """Delete tables of :func:`shared_table` whose successors are written, and let go of the
+    shuffles that made them.  Nothing that is still to run may read them."""
+    spark = tables[0].sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for df in tables:
+        path = jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+        path.getFileSystem(conf).delete(path, True)
+    jvm.System.gc()  # Spark removes the shuffles of plans that are gone
+
+
+def streamed_groups(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[tuple[list, list[list]]]:
+    """The groups of rows that are sorted by their first ``n_keys`` columns: the key, and the other columns' values."""
+    key, rows = None, []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if row[:n_keys] != key:
+                if rows:
+                    yield key, list(zip(*rows))
+                key, rows = row[:n_keys], []
+            rows.append(row[n_keys:])
+    if rows:
+        yield key, list(zip(*rows))
 
 
 def words(text: str | None) -> list[bytes]:

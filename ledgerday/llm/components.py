@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerday.llm.common import shared_table
+from ledgerday.llm.common import drop_tables, shared_table
 
 
 def _star(links: DataFrame, small: bool) -> DataFrame:
@@ -51,6 +51,7 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     links = links.where("u is not null and v is not null and u <> v").distinct()
     links = shared_table(links, name)
     while not _stars(links):
-        links = shared_table(_star(_star(links, small=False), small=True), name)
+        before, links = links, shared_table(_star(_star(links, small=False), small=True), name)
+        drop_tables(before)
     members = links.select(F.col("u").alias("id"), F.col("v").alias("class"))
     return members.union(links.select(F.col("v").alias("id"), F.col("v").alias("class")).distinct())

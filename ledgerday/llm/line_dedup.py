@@ -2,45 +2,25 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerday.llm.common import shared_table
-from ledgerday.llm.components import components
-from ledgerday.llm.minhash import ByteRuns, CharRuns, jaccard
+from ledgerday.llm.minhash import CharRuns
 from ledgerday.llm.near import near_classes
 
-#: Bytes in a shingle, and the similarity from which two lines are near copies.
-SHINGLE = 8
-SIMILARITY = 0.8
-#: A pair of similarity 0.8 is missed with probability (1 - 0.8^3)^10 = 0.0008, one of 0.9 with 2e-6.
-BANDS, ROWS = 10, 3
-#: One character edited within a line of under 79 bytes leaves less than 0.8 of its 8-byte runs.  So
-#: lines of so many code points at most are also near copies if they share this much of the larger
-#: one's runs of 3 code points: one edited character in 27 runs (29 code points) or two in 54.
-SHORT, SHORT_SHINGLE, SHORT_SHARE = 80, 3, 8 / 9
-#: Such lines have a similarity of 0.8 at least; the many lines that share a few short runs rarely meet.
-SHORT_BANDS, SHORT_ROWS = 24, 6
+#: Code points in a shingle, and the similarity from which two lines are near copies: an edited
+#: character breaks seven shingles, so a line of 34 code points may have one, a line of 270 nine.
+SHINGLE = 7
+SIMILARITY = 0.6
+#: A pair of similarity 0.6 is missed with probability (1 - 0.6^4)^24 = 0.04, one of 0.65 with 0.009, of
+#: 0.7 with 0.002.  Of the test tables' unrelated lines about one pair in eight million meets.
+BANDS, ROWS = 24, 4
 BLANKS = " \t\n\x0b\f\r"
 
 
 def _shingler():
-    return ByteRuns(SHINGLE)
-
-
-def _similar(a, b) -> bool:
-    # Sizes alone rule out most pairs.
-    return min(len(a), len(b)) >= SIMILARITY * max(len(a), len(b)) and jaccard(a, b) >= SIMILARITY
-
-
-def _short_shingler():
-    return CharRuns(SHORT_SHINGLE)
-
-
-def _short_similar(a, b) -> bool:
-    least = SHORT_SHARE * max(len(a), len(b)) - 1e-9
-    return min(len(a), len(b)) >= least and len(np.intersect1d(a, b, assume_unique=True)) >= least
+    return CharRuns(SHINGLE)
 
 
 def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -58,10 +38,9 @@ def fuzzy_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """``doc_id, row, line_no, line_class, kept`` of every line that isn't blank.
 
     Lines (without blanks at their ends) are near copies if the Jaccard
-    similarity of their sets of 8-byte runs is 0.8 or more, or if both have 80
-    code points at most and share 8/9 of the larger set of runs of 3 code
-    points; classes are the connected components, equal lines included.  Of each class the first line
-    by (doc_id, row, line_no) is kept.  Lines are told apart by a 64-bit hash:
+    similarity of their sets of runs of 7 code points is 0.6 or more, whatever
+    their length; classes are the connected components, equal lines included.
+    Of each class the first line by (doc_id, row, line_no) is kept.  Lines are told apart by a 64-bit hash:
     different ones share it with a probability of n^2 / 2^65.
 
     A null text has no lines; blank lines are left out; null ids come first;
@@ -70,12 +49,7 @@ def fuzzy_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     lines = lines_of(docs, id_col, text_col).where("id is not null")
     items = lines.select("id", F.btrim("line", F.lit(BLANKS)).alias("text"))
-    classes, _ = near_classes(items, _shingler, _similar, BANDS, ROWS, "lines")
-    short = items.where(F.char_length("text") <= SHORT)
-    short_classes, _ = near_classes(
-        short, _short_shingler, _short_similar, SHORT_BANDS, SHORT_ROWS, "short-lines"
-    )
-    classes = components(classes.union(short_classes), "line-classes")
+    classes = near_classes(items, _shingler, SIMILARITY, BANDS, ROWS, "lines")
     placed = lines.select("doc_id", "row", "line_no", "id").join(classes, "id", "left")
     placed = placed.select("doc_id", "row", "line_no", F.coalesce("class", "id").alias("line_class"))
     placed = shared_table(placed, "line-places")

@@ -23,16 +23,6 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def byte_shingles(text: bytes, k: int = 8) -> np.ndarray:
-    """The distinct runs of ``k`` bytes (8 at most) as numbers; a shorter text is one run."""
-    a = np.frombuffer(text.ljust(k, b"\0"), np.uint8).astype(np.uint64)
-    n = len(a) - k + 1
-    x = np.zeros(n, np.uint64)
-    for i in range(k):
-        x = x << np.uint64(8) | a[i : i + n]
-    return np.unique(x)
-
-
 class WordHashes(dict):
     """64-bit hashes of words; emptied when large."""
 
@@ -70,31 +60,10 @@ def _whole_runs(sizes: np.ndarray, n: int) -> np.ndarray:
     return np.flatnonzero(left >= n)
 
 
-class ByteRuns:
-    """Shingles of ``k`` bytes (8 at most): of one text, or of many at once for their signatures."""
-
-    def __init__(self, k: int = 8):
-        self.k = k
-
-    def __call__(self, text: str) -> np.ndarray:
-        return byte_shingles(text.encode("utf-8", "surrogatepass"), self.k)
-
-    def flat(self, texts: list[str]) -> tuple[np.ndarray, list[int]]:
-        """The texts' shingles behind each other, and how many each text has."""
-        parts = [t.encode("utf-8", "surrogatepass").ljust(self.k, b"\0") for t in texts]
-        sizes = np.array([len(p) for p in parts])
-        a = np.frombuffer(b"".join(parts), np.uint8).astype(np.uint64)
-        at = _whole_runs(sizes, self.k)
-        x = np.zeros(len(at), np.uint64)
-        for i in range(self.k):
-            x = x << np.uint64(8) | a[at + i]
-        return x, (sizes - self.k + 1).tolist()
-
-
 class CharRuns:
-    """Shingles of ``k`` code points (3 at most): of one text, or of many at once for their signatures."""
+    """Hashes of runs of ``k`` code points: of one text, or of many at once for their signatures."""
 
-    def __init__(self, k: int = 3):
+    def __init__(self, k: int):
         self.k = k
 
     def __call__(self, text: str) -> np.ndarray:
@@ -104,12 +73,19 @@ class CharRuns:
         """The texts' shingles behind each other, and how many each text has; a shorter text is one run."""
         parts = [t.ljust(self.k, "\0") for t in texts]
         sizes = np.array([len(p) for p in parts])
+        # A place's run lies in one text if it isn't among the last k - 1 of it.
         a = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-        at = _whole_runs(sizes, self.k)
-        x = np.zeros(len(at), np.uint64)
-        for i in range(self.k):
-            x = x << np.uint64(21) | a[at + i]
-        return x, (sizes - self.k + 1).tolist()
+        m = len(a) - self.k + 1
+        x = a[:m].copy()
+        with np.errstate(over="ignore"):
+            for i in range(1, self.k):
+                x *= _SEED
+                x += a[i : m + i]
+        inner = np.ones(len(a), bool)
+        ends = np.cumsum(sizes)
+        for i in range(1, self.k):
+            inner[ends - i] = False
+        return x[inner[:m]], (sizes - self.k + 1).tolist()
 
 
 class WordRuns:

@@ -1,37 +1,35 @@
 """Classes of near-duplicate texts: banded MinHash candidates, exact check, components.
 
-In a turn, a bucket's members are paired with representatives, checked exactly,
-and joined into classes.  The first representative is the member that shares
-most buckets with others: in a group of edited copies that is the text that
-they were made from, which is nearer to each of them than they are to each
-other.  Buckets whose members are then all of one class are done; in the others
-the representatives, which have met every member, leave, and the next turn
-takes others, never from the bucket's largest class and more of them each turn.
-Turns end when no bucket is mixed, so any two similar texts that share a bucket
-are of one class.  A bucket costs as many pairs as its members that were
-representatives times its members; no pair is checked twice.
+Two steps, however many members a bucket has.  First every member of a bucket
+is paired with its most central one, which shares most buckets with others: in
+a group of edited copies that is the text that they were made from, which is
+nearer to each of them than they are to each other.  The pairs are checked
+exactly and joined into classes; their number is that of the members.  Where a bucket still has
+members of several classes, those outside its largest class are compared with all
+others in a task (block by block if the bucket is large); only links that join
+classes leave it.  So any two similar texts that share a bucket are of one class.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerday.llm.common import shared_table
+from ledgerday.llm.common import drop_tables, shared_table, streamed_groups
 from ledgerday.llm.components import components
-from ledgerday.llm.minhash import ByteRuns, CharRuns, MinHash, WordRuns, band_keys
+from ledgerday.llm.minhash import CharRuns, MinHash, WordRuns, band_keys, jaccard
 
 #: Makes what cuts whole texts into shingles (see :class:`~ledgerday.llm.minhash.WordRuns`), once a task.
-Shingler = Callable[[], ByteRuns | CharRuns | WordRuns]
+Shingler = Callable[[], CharRuns | WordRuns]
 
-#: Representatives of a bucket in the first turns; each later turn takes four times as many as the one before.
-REPRESENTATIVES = (1, 1, 4)
+#: Items of a block of a bucket or class, and bytes of their texts: blocks are compared two at a time.
+BLOCK, BLOCK_BYTES = 1024, 16_000_000
+#: Shingles of two blocks that are compared at a time.
+COLUMNS = 2048
 
 
 def signature_bands(
@@ -71,17 +69,27 @@ def signature_bands(
 
 
 def buckets_of(signed: DataFrame) -> DataFrame:
-    """``key, id`` of the buckets with two or more different items: combined map-side, then joined back."""
+    """``key, id, size`` of the buckets with two or more different items.  Rows are two numbers, sorted
+    by key and streamed: an item's keys are shuffled once."""
     rows = signed.select(F.explode("keys").alias("key"), "id")
-    shared = rows.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
-    return rows.join(shared.select("key"), "key").distinct()
+    bucket = Window.partitionBy("key")
+    rows = rows.select("key", "id", F.min("id").over(bucket).alias("low"), F.max("id").over(bucket).alias("high"))
+    rows = rows.where("low < high").select("key", "id").distinct()
+    return rows.withColumn("size", F.count("*").over(bucket))
+
 
+def members_of(buckets: DataFrame) -> DataFrame:
+    """``key, id, size, rep``: ``rep`` is the bucket's member whose buckets have most members."""
+    shares = buckets.groupBy("id").agg(F.sum("size").alias("shares"))
+    central = F.max(F.struct("shares", "id")).over(Window.partitionBy("key"))
+    return buckets.join(shares, "id").select("key", "id", "size", central["id"].alias("rep"))
 
-def verify(pairs: DataFrame, items: DataFrame, shingler: Shingler, similar: Callable[[np.ndarray, np.ndarray], bool]) -> DataFrame:
-    """The pairs (``a``, ``b``) whose whole texts are similar.  Texts are joined by id on both
-    sides; a representative with many partners is a skewed side that adaptive joins split."""
-    left = items.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
-    right = items.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
+
+def verify(pairs: DataFrame, texts: DataFrame, shingler: Shingler, least: float) -> DataFrame:
+    """The pairs (``a``, ``b``) whose whole texts have a Jaccard similarity of ``least`` or more.  Texts are
+    joined by id on both sides; a text with many partners is a skewed side that adaptive joins split."""
+    left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, last, last_shingles = shingler(), None, None
@@ -91,7 +99,9 @@ def verify(pairs: DataFrame, items: DataFrame, shingler: Shingler, similar: Call
             for i, (x, y) in enumerate(zip(text_a, text_b)):
                 if y != last:  # neighbours often share a representative
                     last, last_shingles = y, of(y)
-                if similar(of(x), last_shingles):
+                own = of(x)
+                # Sizes alone rule out most pairs.
+                if min(len(own), len(last_shingles)) >= least * max(len(own), len(last_shingles)) and jaccard(own, last_shingles) >= least:
                     kept.append(i)
             yield pa.RecordBatch.from_arrays([batch.column(i).take(pa.array(kept, pa.int64())) for i in (0, 1)], names=["a", "b"])
 
@@ -102,105 +112,150 @@ def verify(pairs: DataFrame, items: DataFrame, shingler: Shingler, similar: Call
 def near_classes(
     items: DataFrame,
     shingler: Shingler,
-    similar: Callable[[np.ndarray, np.ndarray], bool],
+    least: float,
     bands: int,
     rows: int,
     name: str,
     extra: int = 0,
     prune: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """``(id, class)`` of the items with a link, and the checked links ``(a, b)``: those that
-    make the classes, not all links within them (see :func:`count_links`).
+) -> DataFrame:
+    """``id, class`` of the items with a link; the class is the smallest id.
 
     ``items`` has ``id`` (long, the same for equal texts) and ``text``; it may
-    repeat.  ``prune(pairs, signed)`` may drop pairs by their signatures before
-    texts are fetched.  Items without a shingle have no link.
+    repeat.  Items are linked if the Jaccard similarity of their shingles is
+    ``least`` or more and they share a bucket.  ``prune(pairs, signed)`` may drop
+    pairs by their signatures before texts are fetched.  Items without a shingle
+    have no link.
     """
-    spark = items.sparkSession
-    signed = shared_table(signature_bands(items, shingler, bands, rows, extra), f"{name}-signed")
+    signed = signature_bands(items, shingler, bands, rows, extra)
+    if prune:
+        signed = shared_table(signed, f"{name}-signed")
     buckets = shared_table(buckets_of(signed), f"{name}-buckets")
-    # Only texts that share a bucket with another one are ever fetched again.
-    texts = items.select("id", "text").join(buckets.select("id").distinct(), "id", "left_semi")
-    texts = shared_table(texts.dropDuplicates(["id"]), f"{name}-texts")
-    links: list[DataFrame] = []
-    tried: list[DataFrame] = []
-    classes = spark.createDataFrame([], "id long, class long")
-    sizes = buckets.groupBy("key").agg(F.count("*").alias("size"))
-    shares = buckets.join(sizes, "key").groupBy("id").agg(F.sum("size").alias("shares"))
-    members = shared_table(buckets.join(shares, "id").withColumn("class", F.col("id")), f"{name}-members")
-    turn = 0
-    while not members.isEmpty():
-        central = F.struct("shares", "id")
-        reps = _free_members(members) if turn else members
-        slots = REPRESENTATIVES[turn] if turn < len(REPRESENTATIVES) else REPRESENTATIVES[-1] * 4 ** (turn - len(REPRESENTATIVES) + 1)
-        slot = F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(slots))
-        reps = reps.groupBy("key", slot.alias("slot")).agg(
-            F.max(central).alias("top"), F.max_by("class", central).alias("rep_class")
-        )
-        reps = shared_table(reps.select("key", F.col("top.id").alias("rep"), "rep_class"), f"{name}-reps")
-        pairs = (
-            members.join(reps, "key").where("class <> rep_class")
-            .select(F.greatest("id", "rep").alias("a"), F.least("id", "rep").alias("b")).distinct()
-        )
-        for before in tried:
-            pairs = pairs.join(before, ["a", "b"], "left_anti")
+    # Only texts that share a bucket with another one are ever fetched again; short lists of their ids are broadcast by size.
+    ids = shared_table(buckets.select("id").distinct(), f"{name}-ids")
+    texts = items.select("id", "text").join(ids, "id", "left_semi").dropDuplicates(["id"])
+    texts = shared_table(texts, f"{name}-texts")
+    members = shared_table(members_of(buckets), f"{name}-members")
+    drop_tables(buckets, ids)
+    pairs = members.where("id <> rep").select(F.greatest("id", "rep").alias("a"), F.least("id", "rep").alias("b")).distinct()
+    if prune:
         pairs = shared_table(pairs, f"{name}-pairs")
-        tried.append(pairs)
-        found = shared_table(verify(prune(pairs, signed) if prune else pairs, texts, shingler, similar), f"{name}-links")
-        if not found.isEmpty():
-            links.append(found)
-            classes = components(found.union(classes.toDF("a", "b")), f"{name}-classes")
-        # The representatives have met every member of another class, so they leave.
-        left = members.drop("class").join(reps.select("key", F.col("rep").alias("id")), ["key", "id"], "left_anti")
-        left = left.join(classes, "id", "left").select("key", "id", "shares", F.coalesce("class", "id").alias("class"))
-        mixed = left.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high")
-        members = shared_table(left.join(mixed.select("key"), "key"), f"{name}-members")
-        turn += 1
-    none = spark.createDataFrame([], "a long, b long")
-    return classes, reduce(DataFrame.union, links).distinct() if links else none
-
-
-#: Items of a block of a class, and bytes of their texts: blocks are compared two at a time.
-BLOCK, BLOCK_BYTES = 1024, 16_000_000
-#: Shingles of two blocks that are compared at a time.
-COLUMNS = 2048
+        links = shared_table(verify(prune(pairs, signed), texts, shingler, least), f"{name}-links")
+        drop_tables(pairs, signed)
+    else:
+        links = shared_table(verify(pairs, texts, shingler, least), f"{name}-links")
+    classes = components(links, f"{name}-classes")
+    left = shared_table(mixed_members(members, classes), f"{name}-mixed")
+    if not left.isEmpty():
+        more = shared_table(links_between(left, texts, shingler, least), f"{name}-more")
+        if not more.isEmpty():
+            classes = components(more.union(classes.toDF("a", "b")), f"{name}-classes")
+    drop_tables(members, links, left, texts)
+    return classes
+
+
+def mixed_members(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """``key, id, class`` of the buckets' members, without the representatives, where these are of several classes."""
+    # A representative has met all others, so a bucket of two is settled.
+    rest = members.where("id <> rep and size > 2").select("key", "id").join(classes, "id", "left")
+    rest = rest.select("key", "id", F.coalesce("class", "id").alias("class"))
+    bucket = Window.partitionBy("key")
+    rest = rest.withColumn("low", F.min("class").over(bucket)).withColumn("high", F.max("class").over(bucket))
+    return rest.where("low < high").drop("low", "high")
+
+
+def _blocked(rows: DataFrame, group: str) -> DataFrame:
+    """``rows`` (with ``id``, ``text``) of each group, in pairs of blocks ``low <= high``; ``own`` is the row's block.
+
+    A group of n items is copied about n / BLOCK times.
+    """
+    size = F.greatest(F.count("*") / BLOCK, F.sum(F.octet_length("text")) / BLOCK_BYTES)
+    sizes = rows.groupBy(group).agg(F.ceil(size).cast("int").alias("blocks"))
+    rows = rows.join(sizes, group).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
+    return rows.repartition(group, "low", "high").sortWithinPartitions(group, "low", "high")
+
+
+def links_between(mixed: DataFrame, texts: DataFrame, shingler: Shingler, least: float) -> DataFrame:
+    """``a, b``: links that join the classes of each bucket of ``mixed`` (``key, id, class``) wherever two similar texts are in both.
+
+    Members outside a block's largest class are compared with all; links
+    that join what others have joined stay in the task.
+    """
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = shingler()
+        for (_, low, high), (own, ids, classes, whole) in streamed_groups(batches, 3):
+            own, classes = np.array(own), np.array(classes)
+            kinds, counts = np.unique(classes, return_counts=True)
+            if len(kinds) < 2:
+                continue
+            few = classes != kinds[counts.argmax()]
+            sets = [of(t) for t in whole]
+            sides = [(few, ~few), (few, few)] if low == high else [
+                (few & (own == low), own == high), (~few & (own == low), few & (own == high))
+            ]
+            found = []
+            for x, y in sides:
+                x, y = np.flatnonzero(x), np.flatnonzero(y)
+                near = jaccard_from(sets, x, y) >= least
+                near &= classes[x][:, None] != classes[y][None, :]
+                found += [(int(x[i]), int(y[j])) for i, j in zip(*near.nonzero())]
+            joined: dict[int, int] = {}
+
+            def root(c: int) -> int:
+                while joined.get(c, c) != c:
+                    c = joined[c]
+                return c
+
+            out = []
+            for i, j in found:
+                p, q = root(int(classes[i])), root(int(classes[j]))
+                if p != q:
+                    joined[max(p, q)] = min(p, q)
+                    out.append((max(ids[i], ids[j]), min(ids[i], ids[j])))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
 
+    rows = _blocked(mixed.join(texts, "id"), "key")
+    return rows.select("key", "low", "high", "own", "id", "class", "text").mapInArrow(compare, "a long, b long")
 
-def count_links(classes: DataFrame, items: DataFrame, shingler: Shingler, similarity: float) -> DataFrame:
+
+def count_links(classes: DataFrame, items: DataFrame, shingler: Shingler, least: float) -> DataFrame:
     """``id, n_links``: for each item of ``classes`` the other items of its class whose Jaccard
-    similarity with it is ``similarity`` or more.
+    similarity with it is ``least`` or more.
 
     Every pair of a class is compared, in tasks of two blocks of the class each;
-    only counts leave a task.  A class of n items is copied n / BLOCK times.
+    only counts leave a task.
     """
     texts = items.join(classes, "id").dropDuplicates(["id"])
     texts = shared_table(texts.select("id", "class", "text"), "class-texts")
-    size = F.greatest(F.count("*") / BLOCK, F.sum(F.octet_length("text")) / BLOCK_BYTES)
-    sizes = texts.groupBy("class").agg(F.ceil(size).cast("int").alias("blocks"))
-    blocks = texts.join(sizes, "class").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    dealt = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "class", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "id", "text"
-    )
 
-    def count(group: pa.Table) -> pa.Table:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = shingler()
-        sets = [of(t) for t in group["text"].to_pylist()]
-        upper = np.array(group["own"].to_pylist()) == group["high"][0].as_py()
-        same = group["low"][0].as_py() == group["high"][0].as_py()
-        left, right = (np.arange(len(sets)),) * 2 if same else (np.flatnonzero(~upper), np.flatnonzero(upper))
-        n = np.array([len(x) for x in sets])
-        both = common_shingles([sets[i] for i in left], [sets[i] for i in right])
-        near = both / np.maximum(n[left][:, None] + n[right][None, :] - both, 1) >= similarity
-        counts = np.zeros(len(sets), np.int64)
-        if same:
-            np.fill_diagonal(near, False)
-            counts[left] = near.sum(1)
-        else:
-            counts[left], counts[right] = near.sum(1), near.sum(0)
-        return pa.table({"id": group["id"], "n": pa.array(counts)})
-
-    counted = dealt.groupBy("class", "low", "high").applyInArrow(count, "id long, n long")
-    return counted.groupBy("id").agg(F.sum("n").alias("n_links"))
+        for (_, low, high), (own, ids, whole) in streamed_groups(batches, 3):
+            sets, own = [of(t) for t in whole], np.array(own)
+            counts = np.zeros(len(sets), np.int64)
+            if low == high:
+                every = np.arange(len(sets))
+                near = jaccard_from(sets, every, every) >= least
+                np.fill_diagonal(near, False)
+                counts += near.sum(1)
+            else:
+                x, y = np.flatnonzero(own == low), np.flatnonzero(own == high)
+                near = jaccard_from(sets, x, y) >= least
+                counts[x], counts[y] = near.sum(1), near.sum(0)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(counts)], names=["id", "n"])
+
+    rows = _blocked(texts, "class").select("class", "low", "high", "own", "id", "text")
+    return rows.mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n_links"))
+
+
+def jaccard_from(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The Jaccard similarity of each of ``sets[x]`` with each of ``sets[y]``; 0 for two empty ones."""
+    n = np.array([len(s) for s in sets])
+    both = common_shingles([sets[i] for i in x], [sets[i] for i in y])
+    return both / np.maximum(n[x][:, None] + n[y][None, :] - both, 1)
 
 
 def common_shingles(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -226,10 +281,3 @@ def common_shingles(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarr
             dense.append(m)
         both += dense[0] @ dense[1].T
     return both
-
-
-def _free_members(members: DataFrame) -> DataFrame:
-    """The members that aren't of their bucket's largest class: once these have met all, the bucket is done."""
-    sizes = members.groupBy("key", "class").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("key").agg(F.max(F.struct("n", "class")).alias("top"))
-    return members.join(largest.select("key", F.col("top.class").alias("largest")), "key").where("class <> largest")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerday.llm.common import shared_table, words
-from ledgerday.llm.minhash import WordRuns, jaccard
+from ledgerday.llm.minhash import WordRuns
 from ledgerday.llm.near import count_links, near_classes
 
 #: Words in a shingle, and the similarity from which documents are linked.
@@ -34,10 +34,6 @@ def shingler():
     return WordRuns(words, SHINGLE)
 
 
-def similar(a: np.ndarray, b: np.ndarray) -> bool:
-    return min(len(a), len(b)) >= SIMILARITY * max(len(a), len(b)) and jaccard(a, b) >= SIMILARITY
-
-
 def least_matches(n: int, threshold: float = SIMILARITY, tolerance: float = TOLERANCE) -> int:
     """The fewest matches among ``n`` values with which P(similarity >= threshold) isn't below the tolerance.
 
@@ -84,8 +80,8 @@ def _classes(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Da
         F.col(id_col).alias("doc"), F.when(F.length(F.col(text_col)) > 0, F.col(text_col)).alias("text")
     )
     rows = rows.withColumn("id", F.when(F.col("text").isNotNull(), F.xxhash64("text")))
-    classes, _ = near_classes(
-        rows.where("id is not null").select("id", "text"), shingler, similar, BANDS, ROWS, "docs", EXTRA, prune
+    classes = near_classes(
+        rows.where("id is not null").select("id", "text"), shingler, SIMILARITY, BANDS, ROWS, "docs", EXTRA, prune
     )
     return rows, classes
 

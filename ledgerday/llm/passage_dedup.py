@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ledgerday.llm.common import shared_table
 from ledgerday.llm.near import near_classes
-from ledgerday.llm.ngram_join import shingler, similar
+from ledgerday.llm.ngram_join import SIMILARITY, shingler
 
 #: A pair of similarity 0.8 is missed with probability (1 - 0.8^2)^6 = 0.002, one of 0.9 with 5e-5;
 #: equal paragraphs never are.
@@ -84,7 +84,7 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ``kept`` marks the class's first place by (doc_id, row, unit).
     """
     units = shared_table(paragraphs_of(docs, id_col, text_col), "paragraph-texts")
-    classes, _ = near_classes(units.select("id", "text"), shingler, similar, BANDS, ROWS, "paragraphs")
+    classes = near_classes(units.select("id", "text"), shingler, SIMILARITY, BANDS, ROWS, "paragraphs")
     places = ["doc_id", "row", *_PLACE_COLUMNS]
     placed = units.select(*places, "id").join(classes, "id", "left")
     placed = shared_table(placed.select(*places, F.coalesce("class", "id").alias("class")), "paragraph-places")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ledgerday.llm import near, queries
 from ledgerday.llm.components import components
 from ledgerday.llm.line_dedup import dedup_lines, fuzzy_lines
-from ledgerday.llm.minhash import MinHash, WordHashes, byte_shingles, jaccard, word_shingles
+from ledgerday.llm.minhash import CharRuns, MinHash, WordHashes, jaccard, word_shingles
 from ledgerday.llm.ngram_join import least_matches, ngram_join, one_of_each
 from ledgerday.llm.passage_dedup import cut_passages, repeated_passages
 from ledgerday.llm.quality_rules import js_distance, quality_rules
@@ -77,7 +77,13 @@ def test_minhash_estimates_jaccard():
         b = np.concatenate([a[: int(1000 * share)], rng.integers(0, 1 << 63, 1000 - int(1000 * share)).astype(np.uint64)])
         s = MinHash(400).signatures([np.unique(a), np.unique(b)])
         assert (s[0] == s[1]).mean() == pytest.approx(jaccard(np.unique(a), np.unique(b)), abs=0.08)
-    assert len(byte_shingles(b"abc")) == 1 and len(byte_shingles(b"abababababab")) == 2
+    assert len(CharRuns(8)("abc")) == 1 and len(CharRuns(8)("abababababab")) == 2
+    texts = ["日本語テキスト" * 3, "ab", "", "x" * 40, "naïve 😀 text of some length"]
+    flat, sizes = CharRuns(7).flat(texts)
+    parts = np.split(flat, np.cumsum(sizes)[:-1])
+    for text, part in zip(texts, parts):
+        assert set(part.tolist()) == set(CharRuns(7)(text).tolist())
+        assert len(set(part.tolist())) == len({text.ljust(7)[i : i + 7] for i in range(max(1, len(text) - 6))})
     assert len(word_shingles([b"a"] * 9, WordHashes())) == 1 and len(word_shingles([], WordHashes())) == 0
 
 
@@ -129,16 +135,13 @@ def test_chains_in_a_bucket_keep_their_links(spark):
     def shingles():
         return lambda t: np.array(sorted(map(ord, t)), np.uint64)
 
-    import ledgerday.llm.near as module
-
     signed = items.select("id", F.array(F.lit(9).cast("long")).alias("keys"))
-    real, module.signature_bands = module.signature_bands, lambda *a, **k: signed
+    real, near.signature_bands = near.signature_bands, lambda *a, **k: signed
     try:
-        classes, links = near.near_classes(items, shingles, lambda a, b: jaccard(a, b) >= 0.6, 1, 1, "chain")
-        assert bucket and {(r.a, r.b) for r in links.collect()} == {(3, 2)}
-        assert {r.id: r["class"] for r in classes.collect()} == {2: 2, 3: 2}
+        classes = near.near_classes(items, shingles, 0.6, 1, 1, "chain")
+        assert bucket and {r.id: r["class"] for r in classes.collect()} == {2: 2, 3: 2}
     finally:
-        module.signature_bands = real
+        near.signature_bands = real
 
 
 def test_fuzzy_lines_equal_brute_force(spark):
@@ -146,12 +149,17 @@ def test_fuzzy_lines_equal_brute_force(spark):
     lines = {(r.doc_id, n): x.strip(" \t\n\x0b\f\r") for r in docs.collect() for n, x in enumerate(r.text.split("\n"))}
     lines = {k: v for k, v in lines.items() if v}
     texts = sorted(set(lines.values()))
-    sets = [{t.encode()[i : i + 8] for i in range(max(1, len(t.encode()) - 7))} for t in texts]
-    group = grouped(similar_pairs(sets), range(len(texts)))
-    number = {t: group[i] for i, t in enumerate(texts)}
+    sets = [{t[i : i + 7] for i in range(max(1, len(t) - 6))} for t in texts]
     rows = fuzzy_lines(docs).collect()
-    pairs = {(number[lines[r.doc_id, r.line_no]], r.line_class) for r in rows}
-    assert len(rows) == len(lines) and len({a for a, _ in pairs}) == len({b for _, b in pairs}) == len(pairs)
+    assert len(rows) == len(lines)
+    got = {lines[r.doc_id, r.line_no]: r.line_class for r in rows}
+    # No class joins what brute force keeps apart, and all lines of similarity 0.7 are joined; between them most are.
+    for least, whole in ((0.6, False), (0.7, True)):
+        group = grouped(similar_pairs(sets, least), range(len(texts)))
+        pairs = {(group[i], got[t]) for i, t in enumerate(texts)}
+        assert len({a for a, _ in pairs} if whole else {b for _, b in pairs}) == len(pairs)
+    merged = len(texts) - len(set(grouped(similar_pairs(sets, 0.6), range(len(texts))).values()))
+    assert len(texts) - len(set(got.values())) >= 0.98 * merged > 20
     first = defaultdict(list)
     for r in rows:
         first[r.line_class].append(((r.doc_id, r.line_no), r.kept))
@@ -277,8 +285,10 @@ def test_native_queries_run_no_python(spark):
 
 
 
-def test_mixed_buckets_are_settled_whatever_their_classes(spark):
+@pytest.mark.parametrize("block", [1024, 5])
+def test_mixed_buckets_are_settled_whatever_their_classes(spark, monkeypatch, block):
     """A bucket of 12 classes of which one is hot: similar pairs outside the hot class are found too."""
+    monkeypatch.setattr(near, "BLOCK", block)
     letters = "abcdefghijklmnopqrstuvwxyz"
     hot = [letters[:20] + chr(0x400 + i) for i in range(40)]  # any two have 20 of 22 letters in common
     others = [chr(0x800 + 20 * k) for k in range(11)]
@@ -292,7 +302,7 @@ def test_mixed_buckets_are_settled_whatever_their_classes(spark):
     signed = items.select("id", F.array(F.lit(9).cast("long")).alias("keys"))
     real, near.signature_bands = near.signature_bands, lambda *a, **k: signed
     try:
-        classes, _ = near.near_classes(items, shingles, lambda a, b: jaccard(a, b) >= 0.8, 1, 1, "hot")
+        classes = near.near_classes(items, shingles, 0.8, 1, 1, "hot")
         got = {r.id: r["class"] for r in classes.collect()}
     finally:
         near.signature_bands = real
@@ -315,12 +325,12 @@ def test_links_of_a_text_are_counted_in_full(docs_of, prose, monkeypatch):
     assert max(got.values()) > 8 and got == {i: len(partners[t]) for i, t in enumerate(texts)}
 
 
-def test_short_lines_with_an_edited_character_are_near_copies(docs_of):
+def test_lines_with_an_edited_character_are_near_copies_from_34_code_points_on(docs_of):
     r = random.Random(8)
     scripts = {"x": "abcdefghijklmnopqrstuvwxyz", "е": "абвгдежзиклмнопрстуфхцчшщ", "中": [chr(0x4E00 + i) for i in range(200)]}
     pairs = []
     for other, letters in scripts.items():
-        for n in (30, 38, 50, 65, 80):
+        for n in (36, 38, 50, 65, 79, 80, 81, 82, 160):  # one rule for all lengths and scripts
             line = "".join(r.choice(letters) if i % 6 else " " for i in range(1, n)) + letters[0]
             at = n // 2 + (line[n // 2] == " ")
             pairs.append((line, line[:at] + ("Q" if line[at] == other else other.upper()) + line[at + 1 :]))

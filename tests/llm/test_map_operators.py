@@ -212,20 +212,20 @@ def smith_waterman(a, b):
 def test_alignment_equals_the_plain_recurrence():
     r = np.random.default_rng(1)
     for _ in range(150):
-        a, b = r.integers(1, 5, r.integers(1, 12)), r.integers(0, 5, r.integers(1, 25))
+        a, b = r.integers(1, 5, r.integers(1, 12)), r.integers(0, 5, r.integers(0, 25))
         score, first, end = dc.align(a, b)
         assert score == pytest.approx(smith_waterman(a, b))
         assert smith_waterman(a, b[first:end]) == pytest.approx(score)
 
 
 def test_contaminations_find_exact_and_edited_copies(spark, docs_of, prose):
-    items = [prose(n, 100 + n) for n in (12, 25, 40)] + ["too short to tell", None, ""]
+    items = [prose(n, 100 + n) for n in (12, 25, 40)] + ["too short to align", None, ""]
     benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
     edited = items[2].split()
     for i in range(3, 40, 6):
         edited[i] = "changed"
     del edited[20]
-    texts = [prose(200, 1) + " " + items[0].upper() + " " + prose(50, 2), " ".join(edited) + " " + prose(80, 3), prose(3000, 4),
+    texts = [prose(200, 1) + " " + "".join(c.upper() if c.isascii() else c for c in items[0]) + " " + prose(50, 2), " ".join(edited) + " " + prose(80, 3), prose(3000, 4),
              items[1] + ". " + items[1] + prose(20000, 5), None, "", " ".join(items[2].split()[:8])]
     rows = dc.contaminations(docs_of(texts).withColumn("score", F.lit("clash")), benchmark).collect()
     assert {(r.doc_id, r.item_id) for r in rows} == {(0, 0), (1, 2), (3, 1)}
@@ -238,7 +238,7 @@ def test_contaminations_find_exact_and_edited_copies(spark, docs_of, prose):
 
 
 def test_common_items_keep_their_seeds_and_blocks_agree(spark, docs_of, prose, monkeypatch):
-    items = [prose(20, 7), prose(30, 8), prose(15, 9)]
+    items = [prose(20, 7), prose(30, 8), prose(17, 1009)]
     benchmark = spark.createDataFrame([*enumerate(items), (None, items[0])], "item_id long, text string")
     docs = docs_of([items[0] + " " + prose(10, i) for i in range(40)] + [items[2]])
     want = {(i, k) for i in range(40) for k in (0, None)} | {(40, 2)}
@@ -247,6 +247,37 @@ def test_common_items_keep_their_seeds_and_blocks_agree(spark, docs_of, prose, m
     assert {(r.doc_id, r.item_id) for r in dc.contaminations(docs, benchmark).collect()} == want
 
 
+@pytest.mark.parametrize("share", [0.05, 0.2, 0.3])
+def test_edited_copies_that_the_alignment_accepts_are_found(spark, docs_of, prose, share):
+    """Recall against the alignment of every pair: edited copies alone in the corpus, and beside exact ones."""
+    import random
+
+    r = random.Random(int(share * 100))
+    items = [prose(r.randint(8, 59), 2000 + i) for i in range(120)]
+    texts = []
+    for i, item in enumerate(items):
+        ws = item.split()
+        copy = [f"new{r.randint(0, 99)}" if r.random() < share else w for w in ws]
+        texts.append(prose(40, 4000 + i) + " " + " ".join(copy) + " " + prose(30, 5000 + i))
+    exact = [prose(20, 6000 + i) + " " + item for i, item in enumerate(items) if i % 3 == 0]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(x.doc_id, x.item_id) for x in dc.contaminations(docs_of(texts + exact), benchmark).collect()}
+    block = dc.Block.of(list(enumerate(items)))
+    want = {(i, i) for i, t in enumerate(texts) if dc.align(block.items[i], block.numbers(t))[0] >= 0.5 * len(block.items[i])}
+    assert len(want) > 60 and len(want & got) >= (0.99 if share < 0.3 else 0.97) * len(want)
+    assert got - want == {(len(items) + k, 3 * k) for k in range(len(exact))}
+
+
+def test_short_items_are_found_verbatim_and_repeated_items_joined_back(spark, docs_of, prose):
+    items = [(1, "Who wrote it?"), (2, "yes"), (3, "one two three four five six seven"), (3, "who WROTE it"), (4, "..."), (None, "yes")]
+    benchmark = spark.createDataFrame(items * 3, "item_id long, text string").withColumn("text_id", F.lit("clash"))
+    texts = ["so who wrote it then yes", "one two three four five six", "x one two three four five six seven", "who wrote", ""]
+    rows = dc.contaminations(docs_of(texts), benchmark).collect()
+    assert sorted((r.doc_id, str(r.item_id), r.score, r.first_word, r.end_word) for r in rows) == sorted(
+        [(0, "1", 1.0, 1, 4), (0, "3", 1.0, 1, 4), (0, "2", 1.0, 5, 6), (0, "None", 1.0, 5, 6), (2, "3", 1.0, 1, 8)] * 3)
+    assert sorted(r.doc_id for r in dc.decontaminate(docs_of(texts), benchmark).collect()) == [0, 1, 3, 4]
+
+
 def test_contaminations_on_documents_equal_a_text_search(spark):
     import duckdb
 

@@ -1,146 +1,242 @@
 """Substring dedup by paragraph MinHash: passages that repeat across or within documents.
 
-A document is cut into its sentences.  A paragraph is a long sentence, or a
-short one joined with those behind it, or with those before it, until it is
-long; so paragraphs overlap, and short sentences at either edge of a passage
-are compared as well.  Paragraphs that collide in
-a band are checked by exact Jaccard similarity of their five-word runs and
-clustered; runs of repeated paragraphs make the passages.
+Paragraphs are cut by content: one begins at each word whose hash is the
+smallest of the ``REACH`` words on either side, so the copies of a passage have
+the same paragraphs wherever they were pasted, but for a few words at the edges
+and around edits.  Paragraphs that collide in a band of their MinHash signatures
+are checked by exact Jaccard similarity of their word pairs and joined into
+classes.  Runs of repeated paragraphs of a text make passages, whose ends are
+found by aligning the words around them with those around another place.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
-from itertools import accumulate
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerday.llm.common import shared_table
+from ledgerday.llm.common import drop_tables, shared_table
+from ledgerday.llm.minhash import WordHashes, WordRuns
 from ledgerday.llm.near import near_classes
-from ledgerday.llm.ngram_join import SIMILARITY, shingler
 
-#: A pair of similarity 0.8 is missed with probability (1 - 0.8^2)^6 = 0.002, one of 0.9 with 5e-5;
-#: equal paragraphs never are.
-BANDS, ROWS = 6, 2
+#: Words on either side of a paragraph's first word, which has the smallest hash of them; and words that a paragraph has at most.
+REACH, LONGEST = 5, 64
+#: Words of a shingle, and the similarity of two paragraphs: one edited word of 5 or more.
+SHINGLE, SIMILARITY = 2, 0.4
+#: A pair of similarity 0.9 is missed with probability (1 - 0.9^4)^6 = 0.002, one of 0.67 (one word of
+#: eleven edited) with 0.26: a passage has several paragraphs.
+BANDS, ROWS = 6, 4
 #: Words of a paragraph that is compared, and of a passage that is reported, at least.
-MIN_PARAGRAPH, MIN_PASSAGE = 8, 16
-#: Cuts behind line ends and behind sentence ends; the pieces joined are the text again.
-CUT = r"(?<=\n)|(?<=[.!?][ \t])"
-BLANKS = " \t\n\x0b\f\r"
-
-
-def paragraphs(text: str | None) -> list[dict]:
-    """The paragraphs of a text in order: ``piece_no`` and ``last_piece`` of its pieces, ``from_word`` and
-    ``end_word`` of its words, ``longs`` the long pieces before ``place``, the piece that it is made for."""
-    pieces = [(i, x.strip(BLANKS)) for i, x in enumerate(_CUT.split(text or ""))]
-    pieces = [(i, x) for i, x in pieces if x]
-    sizes = [len(_WORD_GAP.split(x)) for _, x in pieces]
-    ends = [0, *accumulate(sizes)]
-    longs = [0, *accumulate(int(n >= MIN_PARAGRAPH) for n in sizes)]
-    out = []
-    for i, n in enumerate(sizes):
-        spans = {(i, i)}
-        if n < MIN_PARAGRAPH:
-            # Up to the first piece with which the words will do, and from the last one.
-            behind = bisect_left(ends, ends[i] + MIN_PARAGRAPH) - 1
-            before = bisect_right(ends, ends[i + 1] - MIN_PARAGRAPH) - 1
-            spans = {(i, behind)} if behind < len(pieces) else set()
-            spans |= {(before, i)} if before >= 0 else set()
-        for lo, hi in sorted(spans):
-            out.append({
-                "unit": len(out), "place": i, "low": lo, "high": hi, "long": n >= MIN_PARAGRAPH, "longs": longs[i],
-                "piece_no": pieces[lo][0], "last_piece": pieces[hi][0], "from_word": ends[lo], "end_word": ends[hi + 1],
-                "text": " ".join(x for _, x in pieces[lo : hi + 1]),
-            })
+MIN_PARAGRAPH, MIN_PASSAGE = 5, 16
+#: Paragraphs between two repeated ones that still belong to one passage, and those on either side of a run that are aligned.
+GAP, AROUND = 1, 4
+_WORD = re.compile(r"[^ \t-\r]+")
+# Lowers A-Z; what isn't a letter, a digit or beyond ASCII is left out.
+_LOWER = bytes(c + 32 if "A" <= chr(c) <= "Z" else c for c in range(256))
+_MARKS = bytes(c for c in range(128) if not chr(c).isalnum())
+
+
+def word_keys(text: str) -> list[bytes]:
+    """The blank-separated words without their marks and in lower case; a word of marks is empty."""
+    return [w.translate(_LOWER, _MARKS) for w in text.encode("utf-8", "surrogatepass").split()]
+
+
+def starts(hashes: np.ndarray, reach: int = REACH, longest: int = LONGEST) -> list[int]:
+    """The paragraphs' first words: 0, the smallest hashes within reach, and where a paragraph would be too long."""
+    n = len(hashes)
+    if not n:
+        return []
+    padded = np.pad(hashes, reach, constant_values=np.iinfo(np.uint64).max)
+    around = np.lib.stride_tricks.sliding_window_view(padded, reach)
+    least = (hashes < around[:n].min(1)) & (hashes <= around[reach + 1 :][:n].min(1))
+    out = [0]
+    for at in [*np.flatnonzero(least).tolist(), n]:
+        out += range(out[-1] + longest, at, longest)
+        if out[-1] < at < n:
+            out.append(at)
     return out
 
 
-_CUT, _WORD_GAP = re.compile(CUT), re.compile(r"[ \t-\r]+")
-_PLACE = "unit int, place int, low int, high int, long boolean, longs int, piece_no int, last_piece int, from_word int, end_word int"
-_PLACE_COLUMNS = [c.split()[0] for c in _PLACE.split(", ")]
+class Cutter:
+    """Cuts texts into paragraphs."""
+
+    def __init__(self):
+        self.hashes = WordHashes()
+
+    def __call__(self, text: str | None) -> list[dict]:
+        """``unit, from_word, end_word, text`` of each paragraph; words are blank-separated."""
+        keys = word_keys(text or "")
+        at = starts(np.fromiter(map(self.hashes.__getitem__, keys), np.uint64, len(keys)))
+        return [
+            {"unit": i, "from_word": lo, "end_word": hi, "text": b" ".join(keys[lo:hi]).decode("utf-8", "surrogatepass")}
+            for i, (lo, hi) in enumerate(zip(at, [*at[1:], len(keys)]))
+        ]
+
+
+def _words(text: str) -> list[bytes]:
+    return text.encode("utf-8", "surrogatepass").split()
+
+
+def _shingler():
+    return WordRuns(_words, SHINGLE)
+
+
+def extension(own: list[str], other: list[str]) -> int:
+    """How many of the first words of ``own`` belong to what it has in common with ``other`` from the first
+    word on: the longest best-scoring alignment of two beginnings (1 a match, -1 an edited word)."""
+    best, length = 0, 0
+    row = [-j for j in range(len(other) + 1)]
+    for i, word in enumerate(own, 1):
+        before, row = row, [-i]
+        for j, x in enumerate(other, 1):
+            row.append(max(before[j - 1] + (1 if word == x else -1), before[j] - 1, row[-1] - 1))
+        if max(row) > best:
+            best, length = max(row), i
+    return length
 
 
 def paragraphs_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, row, id, text`` and the place (see :func:`paragraphs`) of each paragraph.
+    """``doc_id, row, place, unit, from_word, end_word, id, text`` of each paragraph.
 
-    ``unit`` counts a text's paragraphs; ``row`` (a hash of the text) tells input rows with equal ids apart.
+    ``row`` (a hash of the text) tells input rows with equal ids apart, ``place`` (a hash) names the two; ``id`` is
+    null where the paragraph is too short to be compared.
     """
-    @F.pandas_udf("array<struct<" + _PLACE.replace(" ", ":").replace(",:", ",") + ",text:string>>")
+    @F.pandas_udf("array<struct<unit:int,from_word:long,end_word:long,text:string>>")
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        of = Cutter()
         for texts in batches:
-            yield pd.Series([paragraphs(t) for t in texts], dtype=object)
+            yield pd.Series([of(t) for t in texts], dtype=object)
+
+    row = F.xxhash64(F.col(text_col))
+    rows = docs.select(F.col(id_col).alias("doc_id"), row.alias("row"), F.explode(cut(F.col(text_col))).alias("p"))
+    long = F.col("end_word") - F.col("from_word") >= MIN_PARAGRAPH
+    return rows.select("doc_id", "row", F.xxhash64("doc_id", "row").alias("place"), "p.*").withColumn("id", F.when(long, F.xxhash64("text")))
+
+
+def repeated_paragraphs(units: DataFrame) -> DataFrame:
+    """The paragraphs (:func:`paragraphs_of`, without the text) whose class has several places, with
+    ``class``, ``kept`` (the class's first place by (doc_id, row, unit)) and ``other``: another place (``place, unit``) of the class."""
+    items = units.where("id is not null").select("id", "text")
+    classes = near_classes(items, _shingler, SIMILARITY, BANDS, ROWS, "paragraphs")
+    placed = units.where("id is not null").select("doc_id", "row", "place", "unit", "from_word", "end_word", "id").distinct()
+    placed = shared_table(placed.join(classes, "id", "left").withColumn("class", F.coalesce("class", "id")).drop("id"), "paragraph-places")
+    where = F.struct("doc_id", "row", "unit", "place")
+    many = placed.groupBy("class").agg(F.min(where).alias("first"), F.max(where).alias("last")).where("first < last")
+    marked = placed.join(many, "class").withColumn("kept", where.eqNullSafe(F.col("first")))
+    other = F.when(F.col("kept"), F.col("last")).otherwise(F.col("first"))
+    return marked.withColumn("other", other).select(
+        *placed.columns, "kept", F.struct(F.col("other.place").alias("place"), F.col("other.unit").alias("unit")).alias("other")
+    )
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("row"), F.explode(cut(F.col(text_col))).alias("p"))
-    return rows.select("doc_id", "row", "p.*").withColumn("id", F.xxhash64("text"))
 
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per passage: ``doc_id, row, first_word, end_word, n_words, n_paragraphs, removed, classes``.
 
-def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, row``, the place, ``class, kept`` of the paragraphs whose class has several places.
+    A passage is a run of repeated paragraphs of a text, with at most ``GAP``
+    others between two, and the words at its ends that align with those at
+    another place; it has ``MIN_PASSAGE`` blank-separated words or more.
+    ``removed`` has the spans of words (from, end) that have an earlier place: those of the passage without the
+    paragraphs that are their class's first.  ``classes`` are the paragraphs' classes (hashes of a member).
 
-    ``kept`` marks the class's first place by (doc_id, row, unit).
+    Words are compared without their marks and in lower case.  Null and empty texts have no
+    rows; null ids come first; rows repeated in full give one row.  Empty
+    table: no rows.  Other columns are ignored.
     """
     units = shared_table(paragraphs_of(docs, id_col, text_col), "paragraph-texts")
-    classes = near_classes(units.select("id", "text"), shingler, SIMILARITY, BANDS, ROWS, "paragraphs")
-    places = ["doc_id", "row", *_PLACE_COLUMNS]
-    placed = units.select(*places, "id").join(classes, "id", "left")
-    placed = shared_table(placed.select(*places, F.coalesce("class", "id").alias("class")), "paragraph-places")
-    many = (
-        placed.groupBy("class").agg(F.count("*").alias("places"), F.min(F.struct("doc_id", "row", "unit")).alias("first"))
-        .where("places > 1")
+    found = repeated_paragraphs(units)
+    order = Window.partitionBy("place").orderBy("unit")  # a text's own paragraphs
+    new = F.col("unit") > F.coalesce(F.lag("unit").over(order), F.lit(-2 - GAP)) + 1 + GAP
+    found = found.withColumn("run", F.sum(new.cast("int")).over(order))
+    part = F.struct("unit", "from_word", "end_word", "kept", "class", "other")
+    runs = found.groupBy("doc_id", "row", "place", "run").agg(F.sort_array(F.collect_list(part)).alias("parts"))
+    runs = shared_table(runs.withColumn("first", F.col("parts")[0]).withColumn("last", F.element_at("parts", -1)), "passage-runs")
+    # The paragraphs around a run and around another place of its first and last ones.
+    sides = ("own_left", "other_left", "own_right", "other_right")
+    middle = (("place", "first.unit"), ("first.other.place", "first.other.unit"), ("place", "last.unit"), ("last.other.place", "last.other.unit"))
+    asked = [
+        F.struct(F.lit(side).alias("side"), F.col(at).alias("at"), (F.col(unit) + (k if "right" in side else -k)).alias("unit"))
+        for side, (at, unit) in zip(sides, middle) for k in range(1, AROUND + 1)
+    ]
+    asks = shared_table(runs.select("place", "run", F.explode(F.array(*asked)).alias("a")).select("place", "run", "a.*"), "passage-ends")
+    around = units.select(F.col("place").alias("at"), "unit", "text").join(asks.select("at", "unit").distinct(), ["at", "unit"], "left_semi").distinct()
+    in_order = {
+        s: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("side") == s, F.struct("unit", "text")))), lambda x: x["text"]), " ")
+        for s in sides
+    }
+    ends = asks.join(around, ["at", "unit"]).groupBy("place", "run").agg(*[text.alias(s) for s, text in in_order.items()])
+
+    @F.pandas_udf("left long, right long")
+    def extend(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.DataFrame:
+        rows = []
+        for own_left, other_left, own_right, other_right in zip(*([x.split(" ") if x else [] for x in s] for s in (a, b, c, d))):
+            rows.append((extension(own_left[::-1], other_left[::-1]), extension(own_right, other_right)))
+        return pd.DataFrame(rows, columns=["left", "right"])
+
+    ends = ends.select("place", "run", extend(*sides).alias("more")).select("place", "run", "more.*")
+    stored, runs = runs, runs.join(ends, ["place", "run"], "left").fillna(0, ["left", "right"])
+
+    @F.pandas_udf("array<struct<from:long,end:long>>")
+    def gone(parts: pd.Series, left: pd.Series, right: pd.Series) -> pd.Series:
+        out = []
+        for ps, lo, hi in zip(parts, left, right):
+            spans: list[list[int]] = []
+            joined = False  # to the part before, which goes as well
+            for i, p in enumerate(ps):
+                if not p["kept"]:
+                    start = p["from_word"] - (lo if i == 0 else 0)
+                    end = p["end_word"] + (hi if i == len(ps) - 1 else 0)
+                    if joined:
+                        spans[-1][1] = end
+                    else:
+                        spans.append([start, end])
+                joined = not p["kept"]
+            out.append([{"from": int(x), "end": int(y)} for x, y in spans])
+        return pd.Series(out, dtype=object)
+
+    passages = runs.select(
+        "doc_id", "row", "place", (F.col("first.from_word") - F.col("left")).alias("first_word"), (F.col("last.end_word") + F.col("right")).alias("end_word"),
+        F.size("parts").cast("long").alias("n_paragraphs"), gone("parts", "left", "right").alias("removed"), F.col("parts.class").alias("classes"),
+    )
+    # Runs whose ends have met are one passage.
+    order = Window.partitionBy("place").orderBy("first_word", "end_word")
+    apart = F.col("first_word") > F.max("end_word").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    passages = passages.withColumn("n", F.sum(F.coalesce(apart, F.lit(True)).cast("int")).over(order))
+    passages = passages.groupBy("doc_id", "row", "place", "n").agg(
+        F.min("first_word").alias("first_word"), F.max("end_word").alias("end_word"), F.sum("n_paragraphs").alias("n_paragraphs"),
+        F.sort_array(F.flatten(F.collect_list("removed"))).alias("removed"), F.sort_array(F.flatten(F.collect_list("classes"))).alias("classes"),
     )
-    return placed.join(many, "class").select(
-        *places, "class", F.struct("doc_id", "row", "unit").eqNullSafe(F.col("first")).alias("kept"),
-    ).distinct()
+    passages = passages.withColumn("n_words", F.col("end_word") - F.col("first_word")).where(F.col("n_words") >= MIN_PASSAGE)
+    passages = shared_table(passages.select("doc_id", "row", "first_word", "end_word", "n_words", "n_paragraphs", "removed", "classes"), "passages")
+    drop_tables(units, stored, asks)
+    return passages
 
 
-def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per passage: ``doc_id, row, first_piece, last_piece, n_words, n_paragraphs, removed, classes``.
-
-    A passage is a run of repeated paragraphs of a document that touch or
-    overlap, or between whose long sentences only short ones lie, of
-    ``MIN_PASSAGE`` words or more.  ``removed`` lists the pieces in paragraphs
-    whose class has an earlier place, but for those in a paragraph that is its
-    class's first; ``classes`` the paragraphs' classes (64-bit hashes of one member).
-
-    A sentence that begins or ends outside the passage isn't compared in part.
-    Null and empty texts and those with fewer words have no rows; null
-    ids come first; rows repeated in full give one row.  Empty table: no rows.
-    Other columns are ignored.
-    """
-    order = Window.partitionBy("doc_id", "row").orderBy("unit")  # a document's own paragraphs
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    behind = order.rowsBetween(1, Window.unboundedFollowing)
-    number = F.when(F.col("long"), F.col("longs"))  # of a long piece among the long ones
-    last, following = F.last(number, ignorenulls=True).over(before), F.first(number, ignorenulls=True).over(behind)
-    touches = F.col("low") <= F.max("high").over(before) + 1
-    between = (last == F.col("longs") - 1) & (F.col("long") | (following == F.col("longs")))
-    runs = repeated_paragraphs(docs, id_col, text_col).withColumn("new", ~F.coalesce(touches | between, F.lit(False)))
-    runs = runs.withColumn("run", F.sum(F.col("new").cast("int")).over(order))
-    pieces = F.sequence("piece_no", "last_piece")
-    gone = F.flatten(F.collect_list(F.when(~F.col("kept"), pieces)))
-    stay = F.flatten(F.collect_list(F.when(F.col("kept"), pieces)))
-    found = runs.groupBy("doc_id", "row", "run").agg(
-        F.min("piece_no").alias("first_piece"), F.max("last_piece").alias("last_piece"),
-        (F.max("end_word") - F.min("from_word")).cast("long").alias("n_words"), F.count("*").alias("n_paragraphs"),
-        F.sort_array(F.array_except(gone, stay)).alias("removed"),
-        F.sort_array(F.collect_list("class")).alias("classes"),
-    )
-    return found.where(F.col("n_words") >= MIN_PASSAGE).drop("run")
+def without_words(text: str, spans: list[tuple[int, int]]) -> str:
+    """``text`` without these spans of words, and without the blanks behind each of them."""
+    places = [m.start() for m in _WORD.finditer(text)] + [len(text)]
+    out, at = [], 0
+    for lo, hi in sorted(spans):
+        out.append(text[at : max(at, places[lo])])
+        at = max(at, places[hi])
+    return "".join(out) + text[at:]
 
 
 def cut_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with every row and column, their texts without the removed pieces."""
-    cuts = repeated_passages(docs, id_col, text_col).groupBy("doc_id", "row").agg(
-        F.flatten(F.collect_list("removed")).alias("removed")
-    )
+    """``docs`` with every row and column, their texts without the removed spans."""
+    cuts = repeated_passages(docs, id_col, text_col).where(F.size("removed") > 0)
+    cuts = cuts.groupBy("doc_id", "row").agg(F.flatten(F.collect_list("removed")).alias("removed"))
+
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
+        return pd.Series([t if s is None else without_words(t, [(x["from"], x["end"]) for x in s]) for t, s in zip(texts, spans)], dtype=object)
+
     joined = docs.alias("d").join(
         cuts.alias("x"),
         F.col(f"d.{id_col}").eqNullSafe(F.col("x.doc_id")) & (F.xxhash64(F.col(f"d.{text_col}")) == F.col("x.row")), "left",
     )
-    left = F.filter(F.split(F.col(f"d.{text_col}"), CUT), lambda _, i: ~F.array_contains(F.col("x.removed"), i))
-    text = F.when(F.col("x.removed").isNull(), F.col(f"d.{text_col}")).otherwise(F.array_join(left, ""))
+    text = cut(F.col(f"d.{text_col}"), F.col("x.removed"))
     return joined.select(*(text.alias(c) if c == text_col else F.col(f"d.`{c}`") for c in docs.columns))

@@ -14,7 +14,6 @@ from ledgerday.llm.components import components
 from ledgerday.llm.line_dedup import dedup_lines, fuzzy_lines
 from ledgerday.llm.minhash import CharRuns, MinHash, WordHashes, jaccard, word_shingles
 from ledgerday.llm.ngram_join import least_matches, ngram_join, one_of_each
-from ledgerday.llm.passage_dedup import cut_passages, repeated_passages
 from ledgerday.llm.quality_rules import js_distance, quality_rules
 from ledgerday.llm.sharding import byte_shards
 
@@ -179,29 +178,6 @@ def test_line_dedup_edges(docs_of):
     assert dedup_lines(docs.limit(0)).count() == 0
 
 
-def test_passages_pasted_into_other_texts_are_found(docs_of, prose):
-    passage = prose(70, 50, stop=10)
-    texts = [prose(45, 1) + " mid " + passage + " and " + prose(60, 2), prose(91, 3) + " in " + passage + " so " + prose(30, 4),
-             prose(300, 6), prose(20, 7) + "\n" + prose(12, 60), prose(33, 8) + "\n" + prose(12, 60), None, "",
-             prose(15000, 9)]
-    docs = docs_of(texts).withColumn("removed", F.lit("clash"))
-    rows = {r.doc_id: r for r in repeated_passages(docs).collect()}
-    assert set(rows) == {0, 1}
-    assert rows[0].removed == [] and len(rows[1].removed) == rows[1].n_paragraphs >= 5 and rows[1].n_words >= 50
-    cut = {r.doc_id: r.text for r in cut_passages(docs).collect()}
-    assert cut[0] == texts[0] and cut[5] is None and cut[6] == "" and len(cut[1]) < len(texts[1]) - 200
-    assert repeated_passages(docs.limit(0)).count() == 0
-
-
-def test_passages_of_copies_and_near_copies(docs_of, prose):
-    a = prose(120, 21, stop=40)
-    swapped = a.replace(a.split()[0], "other", 1)
-    rows = {r.doc_id: r for r in repeated_passages(docs_of([a, a, swapped, prose(100, 22), (None, a)])).collect()}
-    assert set(rows) == {0, 1, 2, None}
-    assert rows[None].removed == [] and rows[0].n_words == 120 and len(rows[1].removed) == 3
-    assert rows[2].classes == rows[0].classes
-
-
 def test_shards(spark, docs_of):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = byte_shards(docs, 40).collect()
@@ -339,16 +315,3 @@ def test_lines_with_an_edited_character_are_near_copies_from_34_code_points_on(d
     got = {r.doc_id: r.line_class for r in fuzzy_lines(docs).collect()}
     assert [got[2 * i] == got[2 * i + 1] for i in range(len(pairs))] == [True] * len(pairs)
     assert len(set(got.values())) == len(pairs) + 2
-
-
-def test_passages_of_short_sentences_are_found_and_cut(docs_of, prose):
-    passage = " ".join(prose(n, 500 + n * 7 + k, stop=n) for k in range(3) for n in (3, 5, 4, 7, 2))  # 63 words, none in a long sentence
-    mixed = prose(3, 61, stop=3) + " " + prose(9, 62, stop=9) + " " + prose(5, 63, stop=5)  # 17 words, short ones at both edges
-    hosts = [prose(45, 70 + k) + " " for k in range(4)]
-    texts = [hosts[0] + passage + " " + prose(60, 81), hosts[1] + passage + " " + prose(40, 82), hosts[2] + mixed + " " + prose(36, 83),
-             hosts[3] + mixed, prose(200, 84)]
-    docs = docs_of(texts)
-    rows = {r.doc_id: r for r in repeated_passages(docs).collect()}
-    assert set(rows) == {0, 1, 2, 3} and [rows[i].n_words for i in range(4)] == [63, 63, 17, 17]
-    cut = {r.doc_id: r.text for r in cut_passages(docs).collect()}
-    assert cut == {0: texts[0], 1: hosts[1] + prose(40, 82), 2: texts[2], 3: hosts[3], 4: texts[4]}

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerday.functions import items as it
-from ledgerday.functions.dates import DateLike, as_date, in_months_of, within
+from ledgerday.functions.dates import DateLike, as_date, in_months_of, ledger_span, within
 from ledgerday.params import DEFAULT_ITEMS, Items
 
 MATERIALS = ("coal", "maize", "ethanol")
@@ -71,21 +71,20 @@ def report_readiness(
         rows = within(rows, *between)
     elif dates is not None:
         rows = in_months_of(rows, dates, months)
-    production = F.col("tcode") == F.lit(items.production_code)
-    if dates is not None:
-        rows = rows.where(production & F.col("item_name").isin(items.coal, items.maize, items.ethanol))
-    # One struct, so that the calendar's branch reads the same aggregate (a reused exchange).
-    counts = rows.groupBy(F.col("vrdate").alias("report_date")).agg(
-        F.struct(*[F.count_if(production & _material_condition(m, items)).alias(f"{m}_rows") for m in MATERIALS]).alias("n")
-    )
     if dates is None:
-        day = F.struct("report_date", "n")
-        bounds = counts.agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
-        wanted = bounds.select(F.explode(F.sequence("lo.report_date", "hi.report_date")).alias("report_date"))
+        # The calendar's bounds read the date column alone.
+        wanted = ledger_span(rows)
     else:
         wanted = dates.select(F.col("report_date").cast("date").alias("report_date")).distinct()
+    # Code and items are literals on columns of the source, so they reach the scan.
+    rows = rows.where(
+        (F.col("tcode") == F.lit(items.production_code)) & F.col("item_name").isin(items.coal, items.maize, items.ethanol)
+    )
+    counts = rows.groupBy(F.col("vrdate").alias("report_date")).agg(
+        *[F.count_if(_material_condition(m, items)).alias(f"{m}_rows") for m in MATERIALS]
+    )
     counts = wanted.join(counts, "report_date", "left").select(
-        "report_date", *[F.coalesce(F.col(f"n.{m}_rows"), F.lit(0)).cast("bigint").alias(f"{m}_rows") for m in MATERIALS]
+        "report_date", *[F.coalesce(f"{m}_rows", F.lit(0)).cast("bigint").alias(f"{m}_rows") for m in MATERIALS]
     )
     ready = F.lit(True)
     for m in MATERIALS:

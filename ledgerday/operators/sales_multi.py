@@ -142,15 +142,8 @@ def sales_report_multi_text(
     return frame.select("report_date", *text_columns(F.dayofmonth("report_date"), items))
 
 
-def sales_report_multi_lines(
-    ledger: DataFrame,
-    dates: DataFrame,
-    items: Items = DEFAULT_ITEMS,
-    between: tuple[DateLike, DateLike] | None = None,
-    months: list[dt.date] | None = None,
-) -> DataFrame:
-    """The text form with each date's lines numbered from 1 in the report's order (product, unit)."""
-    frame = multi_frame(ledger, dates, items, between=between, months=months)
+def report_lines(frame: DataFrame, items: Items = DEFAULT_ITEMS) -> DataFrame:
+    """The text form of a :func:`multi_frame`, each date's lines numbered from 1 in the report's order (product, unit)."""
     order = Window.partitionBy("report_date").orderBy("product_name", "m_aum", "d_aum", "m_s", "d_s", "m_n", "d_n")
     line = F.row_number().over(order).alias("line_no")
     return frame.select("report_date", line, *text_columns(F.dayofmonth("report_date"), items))

@@ -28,7 +28,8 @@ from ledgerday.operators.calendar import dates_to_process
 from ledgerday.operators.contacts import recipient_contacts, report_recipients
 from ledgerday.operators.decisions import send_decisions
 from ledgerday.operators.outbox import message_outbox
-from ledgerday.operators.sales_multi import sales_report_multi, sales_report_multi_lines
+from ledgerday.operators.sales import typed_columns
+from ledgerday.operators.sales_multi import multi_frame, report_lines
 from ledgerday.operators.sendlog import send_log_append
 from ledgerday.params import DEFAULT_ITEMS, Items, RunOptions
 from ledgerday.schemas import MONTH_PARTITION
@@ -107,23 +108,24 @@ class DailyRun:
         o = self.opts
         return message_outbox(self.alerts, self.decisions, self.recipients, o.reports, o.report_channel)
 
-    def _to_report(self) -> tuple[DataFrame, tuple | None]:
+    @cached_property
+    def report_frame(self) -> DataFrame:
+        """Sums of every date whose report channel decided ``send``, checkpointed: rows and text are made from them."""
         o = self.opts
         dates = self.decisions.where((F.col("channel") == o.report_channel) & (F.col("decision") == "send"))
         bounds = (self.window[0].replace(day=1), self.window[1]) if self.window else None
-        return dates.select("report_date"), bounds
+        frame = multi_frame(self.ledger, dates.select("report_date"), self.items, between=bounds, months=self.months)
+        return self._keep(frame)
 
     @cached_property
     def reports(self) -> DataFrame:
         """Sales report rows of every date whose report channel decided ``send``."""
-        dates, bounds = self._to_report()
-        return sales_report_multi(self.ledger, dates, self.items, between=bounds, months=self.months)
+        return self.report_frame.select("report_date", *typed_columns(F.dayofmonth("report_date"), self.items))
 
     @cached_property
     def report_text(self) -> DataFrame:
         """The same reports as text lines, by ``report_date`` and ``kind`` of their outbox message."""
-        dates, bounds = self._to_report()
-        lines = sales_report_multi_lines(self.ledger, dates, self.items, bounds, self.months)
+        lines = report_lines(self.report_frame, self.items)
         kinds = F.array(*[F.lit(r.kind) for r in self.opts.reports if not r.material]).cast("array<string>")
         return lines.select("report_date", F.explode(kinds).alias("kind"), *lines.columns[1:])
 
@@ -162,27 +164,46 @@ def daily_run(
 def write_daily_run(run: DailyRun, out_dir: str, log_base: str) -> str:
     """Write the run's outputs under ``run=<n>``, then - only once all succeeded - version n of the log.
 
-    ``n`` is the number of the log version that the run commits.  A run that
-    failed before it has written no version n, so the repeated run takes the
-    same number and replaces the folder; a committed run's folder is never
-    touched again.  Outputs: ``reports``, ``report_text``, ``outbox``,
+    ``n`` is the number of the log version that the run commits, and that
+    version is the commit: a folder names it in ``log`` and is committed once
+    the version is complete.  A run that failed before has left no version n, so
+    the repeated run takes the same number and replaces the folder; a committed
+    run's folder is never touched again.  Outputs: ``reports``, ``report_text``, ``outbox``,
     ``addresses`` (joined to the outbox by ``kind``).  Returns the new log
     version's path; the version that the run read stays in force until then.
     """
     n = next_log_version(run.spark, log_base)
     folder = f"{out_dir.rstrip('/')}/run={n}"
-    # Written last in the folder, so a folder that has it belongs to a run of some log that was committed.
-    if path_exists(run.spark, f"{folder}/committed/_SUCCESS"):
+    if is_committed(run.spark, folder):
         raise ValueError(f"{folder} belongs to a committed run; give this log another output folder")
+    log = run.spark.range(1).select(F.lit(f"{log_base.rstrip('/')}/v={n}").alias("log"))
+    log.write.mode("overwrite").json(f"{folder}/log")
     for name, rows in (("reports", run.reports), ("report_text", run.report_text), ("outbox", run.outbox)):
         rows = rows.hint("rebalance", F.col("report_date"))  # a few files a date
         rows.write.mode("overwrite").partitionBy("report_date").parquet(f"{folder}/{name}")
     run.addresses.write.mode("overwrite").partitionBy("kind").parquet(f"{folder}/addresses")
-    path = write_next_send_log(run.spark, run.log_rows, log_base, n)
-    run.spark.range(1).select(F.lit(path).alias("log")).write.mode("overwrite").json(f"{folder}/committed")
-    return path
+    return write_next_send_log(run.spark, run.log_rows, log_base, n)
 
 
 def run_folder(out_dir: str, log_path: str) -> str:
     """The folder of the run that committed a log version."""
     return f"{out_dir.rstrip('/')}/run={log_path.rpartition('v=')[2]}"
+
+
+def is_committed(spark: SparkSession, folder: str) -> bool:
+    """Whether the log version that a run's folder names is complete."""
+    if not path_exists(spark, f"{folder}/log/_SUCCESS"):
+        return False
+    log = spark.read.schema("log string").json(f"{folder}/log").first()["log"]
+    return path_exists(spark, f"{log}/_SUCCESS")
+
+
+def read_run(spark: SparkSession, out_dir: str, log_path: str, output: str) -> DataFrame:
+    """An output of the run that committed a log version: what a sender reads.
+
+    ValueError for a version that isn't complete, or whose run wrote elsewhere.
+    """
+    folder = run_folder(out_dir, log_path)
+    if not is_committed(spark, folder):
+        raise ValueError(f"{folder} isn't the folder of a committed run")
+    return spark.read.parquet(f"{folder}/{output}")

@@ -8,8 +8,10 @@ from collections import Counter
 import pytest
 from ledger_helpers import SF_CHECK, D
 
+from plan_inspect import scan_count
+
 from ledgerday.params import Items, RunOptions
-from ledgerday.plans.daily_run import daily_run, write_daily_run
+from ledgerday.plans.daily_run import daily_run, is_committed, read_run, write_daily_run
 from ledgerday.session import scratch_path
 from ledgerday.sources.fixtures import FIXTURE_ITEMS, fixture_contacts, fixture_ledger, fixture_send_log
 from ledgerday.sources.sendlog import read_latest_send_log
@@ -106,14 +108,29 @@ def test_a_run_killed_before_its_log_repeats(spark, monkeypatch):
         m.setattr(module, "write_next_send_log", die)
         with pytest.raises(RuntimeError):
             write_daily_run(daily_run(*args, "1998-03-20", FIXTURE_ITEMS, opts), out, log_base)
+    assert not is_committed(spark, f"{out}/run=0")
+    with pytest.raises(ValueError, match="committed"):
+        read_run(spark, out, f"{log_base}/v=0", "outbox")
     run = daily_run(*args, "1998-03-20", FIXTURE_ITEMS, opts)
     assert write_daily_run(run, out, log_base).endswith("v=0")
     assert spark.read.parquet(f"{out}/run=0/outbox").count() == run.outbox.count()
+    # Nothing is written behind the log's version, so a run killed from then on is a committed one.
+    assert is_committed(spark, f"{out}/run=0")
+    assert sorted(read_run(spark, out, f"{log_base}/v=0", "addresses").collect()) == sorted(run.addresses.select(*read_run(spark, out, f"{log_base}/v=0", "addresses").columns).collect())
     # Another log that would commit its version 0 into the same folder is refused.
     with pytest.raises(ValueError, match="committed"):
         write_daily_run(run, out, scratch_path(spark, "other-log"))
 
 
+def test_rows_and_text_of_a_run_read_the_ledger_once(spark):
+    ledger = fixture_ledger(spark, SF_CHECK)
+    run = daily_run(spark, ledger, fixture_contacts(spark, SF_CHECK), fixture_send_log(spark, SF_CHECK), "1998-03-20", FIXTURE_ITEMS)
+    assert scan_count(run.reports, "lineitem.parquet") == scan_count(run.report_text, "lineitem.parquet") == 0
+    lazy = daily_run(spark, ledger, fixture_contacts(spark, SF_CHECK), fixture_send_log(spark, SF_CHECK), "1998-03-20", FIXTURE_ITEMS, checkpoint=False)
+    assert sorted(run.reports.collect(), key=str) == sorted(lazy.reports.collect(), key=str)
+    assert sorted(run.report_text.collect(), key=str) == sorted(lazy.report_text.collect(), key=str)
+
+
 def test_config_file(tmp_path):
     from ledgerday.__main__ import load_config, parse_args, scan_dates
 

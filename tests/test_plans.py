@@ -26,8 +26,17 @@ def static_plans(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
-def test_readiness_scans_once(spark, static_plans):
-    df = A.report_readiness(fixture_ledger(spark, SF_SMALL), items=FIXTURE_ITEMS)
+def test_readiness_filters_reach_the_scan(spark, static_plans):
+    path = scratch_path(spark, "readiness-ledger")
+    write_ledger(fixture_ledger(spark, SF_SMALL), path)
+    plan = formatted_plan(A.report_readiness(read_ledger(spark, path), items=FIXTURE_ITEMS))
+    scans = [p for p in plan.split("\n\n") if "Scan parquet" in p.strip().split("\n")[0]]
+    counts, span = sorted(scans, key=len, reverse=True)
+    assert "EqualTo(tcode" in counts and "In(item_name" in counts
+    # The calendar's bounds: one column.
+    assert re.search(r"ReadSchema: struct<vrdate:date>", span)
+    dates = date_spine(spark, "1998-03-01", "1998-03-31")
+    df = A.report_readiness(fixture_ledger(spark, SF_SMALL), dates, FIXTURE_ITEMS)
     assert scan_count(df, "lineitem.parquet") == 1
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerday.llm.common import shared_table
+from ledgerday.llm.common import drop_tables, shared_table
 from ledgerday.llm.minhash import CharRuns
 from ledgerday.llm.near import near_classes
 
@@ -49,7 +49,8 @@ def fuzzy_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     lines = lines_of(docs, id_col, text_col).where("id is not null")
     items = lines.select("id", F.btrim("line", F.lit(BLANKS)).alias("text"))
-    classes = near_classes(items, _shingler, SIMILARITY, BANDS, ROWS, "lines")
+    classes, shared = near_classes(items, _shingler, SIMILARITY, BANDS, ROWS, "lines")
+    drop_tables(shared)
     placed = lines.select("doc_id", "row", "line_no", "id").join(classes, "id", "left")
     placed = placed.select("doc_id", "row", "line_no", F.coalesce("class", "id").alias("line_class"))
     placed = shared_table(placed, "line-places")

@@ -118,8 +118,9 @@ def near_classes(
     name: str,
     extra: int = 0,
     prune: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
-) -> DataFrame:
-    """``id, class`` of the items with a link; the class is the smallest id.
+) -> tuple[DataFrame, DataFrame]:
+    """``id, class`` of the items with a link; the class is the smallest id.  And ``id, text`` of
+    the items that share a bucket (a table of :func:`shared_table`), for the caller to drop.
 
     ``items`` has ``id`` (long, the same for equal texts) and ``text``; it may
     repeat.  Items are linked if the Jaccard similarity of their shingles is
@@ -150,8 +151,8 @@ def near_classes(
         more = shared_table(links_between(left, texts, shingler, least), f"{name}-more")
         if not more.isEmpty():
             classes = components(more.union(classes.toDF("a", "b")), f"{name}-classes")
-    drop_tables(members, links, left, texts)
-    return classes
+    drop_tables(members, links, left)
+    return classes, texts
 
 
 def mixed_members(members: DataFrame, classes: DataFrame) -> DataFrame:
@@ -221,15 +222,14 @@ def links_between(mixed: DataFrame, texts: DataFrame, shingler: Shingler, least:
     return rows.select("key", "low", "high", "own", "id", "class", "text").mapInArrow(compare, "a long, b long")
 
 
-def count_links(classes: DataFrame, items: DataFrame, shingler: Shingler, least: float) -> DataFrame:
+def count_links(classes: DataFrame, texts: DataFrame, shingler: Shingler, least: float) -> DataFrame:
     """``id, n_links``: for each item of ``classes`` the other items of its class whose Jaccard
-    similarity with it is ``least`` or more.
+    similarity with it is ``least`` or more; ``texts`` as :func:`near_classes` returns them.
 
     Every pair of a class is compared, in tasks of two blocks of the class each;
     only counts leave a task.
     """
-    texts = items.join(classes, "id").dropDuplicates(["id"])
-    texts = shared_table(texts.select("id", "class", "text"), "class-texts")
+    texts = shared_table(texts.join(classes, "id").select("id", "class", "text"), "class-texts")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = shingler()
@@ -248,7 +248,10 @@ def count_links(classes: DataFrame, items: DataFrame, shingler: Shingler, least:
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(counts)], names=["id", "n"])
 
     rows = _blocked(texts, "class").select("class", "low", "high", "own", "id", "text")
-    return rows.mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n_links"))
+    counts = rows.mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n_links"))
+    counts = shared_table(counts, "link-counts")
+    drop_tables(texts)
+    return counts
 
 
 def jaccard_from(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:

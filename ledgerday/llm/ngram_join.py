@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerday.llm.common import shared_table, words
+from ledgerday.llm.common import drop_tables, shared_table, words
 from ledgerday.llm.minhash import WordRuns
 from ledgerday.llm.near import count_links, near_classes
 
@@ -74,16 +74,17 @@ def prune(pairs: DataFrame, signed: DataFrame) -> DataFrame:
     return rows.mapInArrow(compare, "a long, b long")
 
 
-def _classes(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """``doc, text, id`` of every row (``id``: the text's hash, null without a text), and ``id, class`` of linked texts."""
+def _classes(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``doc, id`` of every row (``id``: the text's hash, null without a text), ``id, class`` of linked texts,
+    and ``id, text`` of those that share a bucket."""
     rows = docs.select(
         F.col(id_col).alias("doc"), F.when(F.length(F.col(text_col)) > 0, F.col(text_col)).alias("text")
     )
     rows = rows.withColumn("id", F.when(F.col("text").isNotNull(), F.xxhash64("text")))
-    classes = near_classes(
+    classes, texts = near_classes(
         rows.where("id is not null").select("id", "text"), shingler, SIMILARITY, BANDS, ROWS, "docs", EXTRA, prune
     )
-    return rows, classes
+    return rows.select("doc", "id"), classes, texts
 
 
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -101,9 +102,9 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Repeated ids and rows: each row counts.  Empty table: no rows.  Other
     columns are ignored.  Texts are told apart by a 64-bit hash.
     """
-    rows, classes = _classes(docs, id_col, text_col)
-    degree = count_links(classes, rows.select("id", "text"), shingler, SIMILARITY)
-    slim = rows.select("doc", "id")
+    slim, classes, shared = _classes(docs, id_col, text_col)
+    degree = count_links(classes, shared, shingler, SIMILARITY)
+    drop_tables(shared)
     copies = slim.where("id is not null").groupBy("id").agg(F.count("*").alias("n_copies"), F.min("doc").alias("first"))
     texts = (
         copies.join(classes, "id", "left").join(degree, "id", "left")
@@ -126,7 +127,8 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     are null.  Of rows with the same id and text as the one that stays, all
     stay with ``repeats``, else one of them, whichever its other columns are.
     """
-    rows, classes = _classes(docs, id_col, text_col)
+    rows, classes, shared = _classes(docs, id_col, text_col)
+    drop_tables(shared)
     texts = rows.where("id is not null").groupBy("doc", "id").agg(F.count("*").alias("n"))
     place = F.struct(F.col("doc").isNull().alias("last"), "doc", "id", "n")
     chosen = (

@@ -121,7 +121,8 @@ def repeated_paragraphs(units: DataFrame) -> DataFrame:
     """The paragraphs (:func:`paragraphs_of`, without the text) whose class has several places, with
     ``class``, ``kept`` (the class's first place by (doc_id, row, unit)) and ``other``: another place (``place, unit``) of the class."""
     items = units.where("id is not null").select("id", "text")
-    classes = near_classes(items, _shingler, SIMILARITY, BANDS, ROWS, "paragraphs")
+    classes, shared = near_classes(items, _shingler, SIMILARITY, BANDS, ROWS, "paragraphs")
+    drop_tables(shared)
     placed = units.where("id is not null").select("doc_id", "row", "place", "unit", "from_word", "end_word", "id").distinct()
     placed = shared_table(placed.join(classes, "id", "left").withColumn("class", F.coalesce("class", "id")).drop("id"), "paragraph-places")
     where = F.struct("doc_id", "row", "unit", "place")

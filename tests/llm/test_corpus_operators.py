@@ -137,7 +137,7 @@ def test_chains_in_a_bucket_keep_their_links(spark):
     signed = items.select("id", F.array(F.lit(9).cast("long")).alias("keys"))
     real, near.signature_bands = near.signature_bands, lambda *a, **k: signed
     try:
-        classes = near.near_classes(items, shingles, 0.6, 1, 1, "chain")
+        classes, _ = near.near_classes(items, shingles, 0.6, 1, 1, "chain")
         assert bucket and {r.id: r["class"] for r in classes.collect()} == {2: 2, 3: 2}
     finally:
         near.signature_bands = real
@@ -278,7 +278,7 @@ def test_mixed_buckets_are_settled_whatever_their_classes(spark, monkeypatch, bl
     signed = items.select("id", F.array(F.lit(9).cast("long")).alias("keys"))
     real, near.signature_bands = near.signature_bands, lambda *a, **k: signed
     try:
-        classes = near.near_classes(items, shingles, 0.8, 1, 1, "hot")
+        classes, _ = near.near_classes(items, shingles, 0.8, 1, 1, "hot")
         got = {r.id: r["class"] for r in classes.collect()}
     finally:
         near.signature_bands = real

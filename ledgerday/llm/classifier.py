@@ -8,17 +8,17 @@ the logit difference is one number, so scoring adds up numbers per word.
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerday.llm.common import Memo, blank_separated
+from ledgerday.llm.common import blank_separated
 
 #: Labelled documents that a model is fitted on at most, taken by hash of their id.
 MAX_TRAINING_DOCS = 2000
@@ -30,22 +30,58 @@ class Settings:
     dims: int = 8
     shortest: int = 2  # character n-grams, in bytes of the word between its marks
     longest: int = 4
-    epochs: int = 6
     batch: int = 16
     rate: float = 0.5
+    #: Training ends when an epoch's mean loss is this small, when ``patience`` epochs have not
+    #: lowered it by a hundredth, or after ``steps`` batches.
+    loss: float = 0.03
+    patience: int = 8
+    steps: int = 4000
     seed: int = 7
 
 
-def word_buckets(word: bytes, s: Settings) -> list[int]:
-    """Buckets of the whole word and of its character n-grams (marked at both ends)."""
-    marked = b"<" + word + b">"
-    grams = {marked[i : i + n] for n in range(s.shortest, s.longest + 1) for i in range(len(marked) - n + 1)}
-    return [zlib.crc32(g) % s.buckets for g in sorted(grams | {marked})]
+_FACTOR = np.uint32(16777619)
+#: The bucket of the word pair "a word and the same again", whichever the word, is that of this word.
+_REPEATED = b"\0same again"
+#: A repeated word's weight in the mean: about that of a word's n-grams together.
+REPEAT_WEIGHT = 16
+#: Texts that are scored at a time.
+TEXTS = 256
+#: Different words whose features a task holds.
+HELD_WORDS = 400_000
+
+
+def word_features(words: list[bytes], s: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the words' n-grams (words are marked at both ends) and of the whole words, and whose each is."""
+    marked = [b"<" + w + b">" for w in words]
+    sizes = np.fromiter(map(len, marked), np.int64, len(marked))
+    data = np.frombuffer(b"".join(marked), np.uint8).astype(np.uint32)
+    ends = np.cumsum(sizes)
+    word = np.repeat(np.arange(len(marked)), sizes)
+    left = ends[word] - np.arange(len(data))  # bytes up to the word's end
+    buckets, owners = [], []
+    h = np.full(len(data), 2166136261, np.uint32)
+    with np.errstate(over="ignore"):
+        for n in range(1, s.longest + 1):
+            m = len(data) - n + 1
+            h = (h[: max(m, 0)] ^ data[n - 1 :]) * _FACTOR
+            if n >= s.shortest:
+                at = np.flatnonzero(left[: len(h)] >= n)
+                x = h[at] + np.uint32(n)
+                buckets.append((x ^ x >> np.uint32(15)) * _FACTOR >> np.uint32(8))
+                owners.append(word[at])
+        # Whole words: a weighted sum of their bytes, weights by place.
+        place = np.arange(len(data)) - (ends - sizes)[word]
+        weight = (place.astype(np.uint32) + np.uint32(1)) * np.uint32(0x9E3779B1)
+        x = (data + np.uint32(7)) * (weight ^ weight >> np.uint32(13)) * _FACTOR
+        whole = np.add.reduceat(x ^ x >> np.uint32(16), ends - sizes) if len(marked) else np.empty(0, np.uint32)
+        buckets.append((whole ^ whole >> np.uint32(15)) * _FACTOR >> np.uint32(8))
+    owners.append(np.arange(len(marked)))
+    return (np.concatenate(buckets) % np.uint32(s.buckets)).astype(np.int64), np.concatenate(owners)
 
 
 def repeat_bucket(s: Settings) -> int:
-    """The bucket of the word pair "a word and the same again", whichever the word."""
-    return zlib.crc32(b"<same> <same>") % s.buckets
+    return int(word_features([_REPEATED], s)[0][-1])
 
 
 def _repeats(ws: list[bytes]) -> int:
@@ -55,16 +91,14 @@ def _repeats(ws: list[bytes]) -> int:
 def features(text: str | None, s: Settings) -> tuple[np.ndarray, np.ndarray]:
     """Buckets and their shares in the text's mean."""
     ws = blank_separated(text)
-    counts: Counter = Counter()
-    for word, n in Counter(ws).items():
-        for b in word_buckets(word, s):
-            counts[b] += n
+    counts = Counter(ws)
+    buckets, owners = word_features(list(counts), s)
+    weights = np.fromiter(counts.values(), np.float64, len(counts))[owners]
     if n := _repeats(ws):
-        counts[repeat_bucket(s)] += n
-    ids = np.fromiter(counts.keys(), np.int64, len(counts))
-    n = np.fromiter(counts.values(), np.float64, len(counts))
-    order = np.argsort(ids)
-    return ids[order], n[order] / max(n.sum(), 1.0)
+        buckets, weights = np.append(buckets, repeat_bucket(s)), np.append(weights, n * REPEAT_WEIGHT)
+    ids, place = np.unique(buckets, return_inverse=True)
+    n = np.bincount(place, weights, len(ids))
+    return ids, n / max(n.sum(), 1.0)
 
 
 class SubwordClassifier:
@@ -75,7 +109,7 @@ class SubwordClassifier:
 
     @classmethod
     def fit(cls, examples: list[tuple[np.ndarray, np.ndarray]], labels: list[int], s: Settings = Settings()):
-        """Mini-batch gradient descent on the softmax cross-entropy; the rate falls linearly to 0.
+        """Mini-batch gradient descent on the softmax cross-entropy until it no longer falls (see :class:`Settings`).
 
         Without examples of both labels every score is the share of label 1 (0.5 without any).
         """
@@ -88,18 +122,18 @@ class SubwordClassifier:
         vectors = rng.uniform(-1 / s.dims, 1 / s.dims, (s.buckets, s.dims))
         out = rng.uniform(-0.1, 0.1, (s.dims, 2))
         bias = np.zeros(2)
-        steps = s.epochs * -(-len(y) // s.batch)
-        step = 0
-        for _ in range(s.epochs):
-            order = rng.permutation(len(y))
+        step, best, waited = 0, np.inf, 0
+        while step < s.steps and waited < s.patience:
+            loss, order = 0.0, rng.permutation(len(y))
             for i in range(0, len(order), s.batch):
-                rate = s.rate * (1 - step / steps)
+                rate = s.rate * (1 - 0.9 * min(step / s.steps, 1))
                 step += 1
                 rows = order[i : i + s.batch]
                 hidden = np.stack([w @ vectors[ids] for ids, w in (examples[r] for r in rows)])
                 z = hidden @ out + bias
                 p = np.exp(z - z.max(1, keepdims=True))
                 p /= p.sum(1, keepdims=True)
+                loss -= float(np.log(np.maximum(p[np.arange(len(rows)), y[rows]], 1e-12)).sum())
                 p[np.arange(len(rows)), y[rows]] -= 1
                 back = p @ out.T
                 out -= rate * hidden.T @ p / len(rows) * 10
@@ -107,26 +141,40 @@ class SubwordClassifier:
                 for r, g in zip(rows, back):
                     ids, w = examples[r]
                     vectors[ids] -= (rate * 20) * w[:, None] * g
+            loss /= len(y)
+            waited = 0 if loss < 0.99 * best else waited + 1
+            best = min(best, loss)
+            if loss <= s.loss:
+                break
         logits = vectors @ out
         return cls((logits[:, 1] - logits[:, 0]).astype(np.float32), float(bias[1] - bias[0]), s)
 
     def scorer(self):
-        """text -> probability of label 1."""
-        s, table = self.settings, self.logit.astype(np.float64).tolist()
+        """texts -> probabilities of label 1."""
+        s, table = self.settings, self.logit.astype(np.float64)
         repeated = table[repeat_bucket(s)]
-
-        def of_word(word: bytes) -> complex:
-            ids = word_buckets(word, s)
-            return complex(sum(table[b] for b in ids), len(ids))
-
-        memo = Memo(of_word)  # real part: sum of logits; imaginary part: number of features
-
-        def score(text: str | None) -> float:
-            ws = blank_separated(text)
-            total = sum(map(memo.__getitem__, ws), 0j)
-            n = _repeats(ws)
-            z = self.bias + (total.real + n * repeated) / max(total.imag + n, 1.0)
-            return float(1 / (1 + np.exp(-z)))
+        number: dict[bytes, int] = {}  # of words that were met, emptied when there are many
+        sums, counts = np.empty(0), np.empty(0)  # each one's sum of logits and number of features
+
+        def score(texts: list[str | None]) -> list[float]:
+            nonlocal sums, counts
+            split = [blank_separated(t) for t in texts]
+            if len(number) > HELD_WORDS:
+                number.clear()
+                sums, counts = np.empty(0), np.empty(0)
+            new = list({w for ws in split for w in ws if w not in number})
+            if new:
+                buckets, owners = word_features(new, s)
+                number.update(zip(new, range(len(number), len(number) + len(new))))
+                sums = np.append(sums, np.bincount(owners, table[buckets], len(new)))
+                counts = np.append(counts, np.bincount(owners, minlength=len(new)))
+            out = []
+            for ws in split:
+                ids = np.fromiter(map(number.__getitem__, ws), np.int64, len(ws))
+                again = REPEAT_WEIGHT * np.count_nonzero(ids[1:] == ids[:-1])
+                z = self.bias + (sums[ids].sum() + again * repeated) / max(counts[ids].sum() + again, 1.0)
+                out.append(float(1 / (1 + np.exp(-z))))
+            return out
 
         return score
 
@@ -141,7 +189,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, settings: Settings = Setting
 
     The sample is the first ``max_docs`` by hash of the id, so it doesn't
     depend on partitioning; only its features (the sample's, bounded) reach the
-    driver.  Rows with null id or null label are left out; of several labels of
+    driver.  Rows with a null id, or a label other than 0 and 1, are left out; of several labels of
     a document the largest counts; of several texts the first by hash.
     """
     rows = sorted(training_rows(docs, labels, settings, max_docs).collect(), key=lambda r: r["doc_id"])
@@ -152,7 +200,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, settings: Settings = Setting
 def training_rows(docs: DataFrame, labels: DataFrame, settings: Settings, max_docs: int) -> DataFrame:
     """``doc_id, quality, ids, shares``: a row for each id of the sample that ``docs`` has, with its features as bytes."""
     known = (
-        labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
+        labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
         .where(crc32_of_id(F.col("doc_id")) % 5 != 0)
         .groupBy("doc_id").agg(F.max("quality").alias("quality"))
     )
@@ -182,7 +230,11 @@ def quality_score(docs: DataFrame, model: SubwordClassifier, text: Column) -> Co
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         of = shared.value.scorer()
         for texts in batches:
-            yield pd.Series([of(t) for t in texts], dtype="float64")
+            rest = iter(texts)
+            scores: list[float] = []
+            while part := list(islice(rest, TEXTS)):
+                scores += of(part)
+            yield pd.Series(scores, dtype="float64")
 
     return score(text)
 

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerday.llm import decontamination as dc
-from ledgerday.llm.classifier import Settings, SubwordClassifier, classify, features, fit_quality
+from ledgerday.llm.classifier import Settings, SubwordClassifier, classify, features, fit_quality, word_features
 from ledgerday.llm.licenses import LicenseScanner, TemplateAutomaton, TemplateError, license_scan
 from ledgerday.llm.packing import Limits, Packer, pack_documents
 from ledgerday.llm.token_counts import PieceAutomaton, token_counts
@@ -170,14 +170,15 @@ def test_classifier_learns_held_out_quality(spark):
     bad = [r.score for r in rows if r.quality == 0]
     assert len(good) > 40 and len(bad) > 5
     assert sum(g > b for g in good for b in bad) / (len(good) * len(bad)) > 0.97
-    assert sum(s < 0.3 for s in good) <= 1
+    # Both kinds of error at the threshold.
+    assert sum(s < 0.3 for s in good) <= 1 and sum(s >= 0.3 for s in bad) <= 1
     again = classify(docs, fit_quality(docs.repartition(5), labels)).select("score").orderBy("score").first()
     assert again.score == pytest.approx(min(r.score for r in classify(docs, model).collect()), abs=1e-9)
 
 
 def test_classifier_edges(spark, docs_of):
     docs = docs_of([(1, "good words here"), (2, "BAD!! BAD!!"), (3, None), (4, ""), (None, "x"), (1, "good words here")])
-    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (3, 1, 0), (2, None, 1), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (3, 1, 0), (2, None, 1), (None, 1, 1), (4, 7, 0)], "doc_id long, quality int, toxic int")
     model = fit_quality(docs, labels)
     rows = classify(docs.withColumn("score", F.lit("clash")), model).collect()
     assert len(rows) == 6 and all(0 <= r.score <= 1 for r in rows)
@@ -187,17 +188,34 @@ def test_classifier_edges(spark, docs_of):
         zlib.crc32(str(i).encode()) % 5 == 0 for i in range(30)]
     one = fit_quality(docs, labels.where("quality = 1"))
     assert all(r.predicted == 1 for r in classify(docs, one).collect())
-    assert fit_quality(docs, labels.limit(0)).scorer()("x") == 0.5
+    assert fit_quality(docs, labels.limit(0)).scorer()(["x"]) == [0.5]
+
+
+def test_few_labels_suffice(spark):
+    """68 labelled documents: the bad ones fall under the threshold, also those that no model saw."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    rows = classify(docs, fit_quality(docs, labels)).join(labels, "doc_id").collect()
+    assert sum(r.predicted == 1 for r in rows if r.quality == 0) <= 1 and sum(r.predicted == 0 for r in rows if r.quality == 1) <= 1
+
+
+def test_word_features_are_of_each_word_alone():
+    s = Settings()
+    several = [b"a", "é".encode(), b"word", b"another", b"x" * 500, b"word"]
+    buckets, owners = word_features(several, s)
+    for i, w in enumerate(several):
+        assert sorted(buckets[owners == i].tolist()) == sorted(word_features([w], s)[0].tolist())
+        assert (owners == i).sum() == sum(max(len(w) + 3 - n, 0) for n in (2, 3, 4)) + 1
+    assert len(word_features([], s)[0]) == 0 and features(None, s)[0].size == 0
 
 
 def test_score_is_the_softmax_of_the_mean_embedding():
-    s = Settings(buckets=512, dims=4, epochs=2)
+    s = Settings(buckets=512, dims=4, steps=2)
     texts = ["a b c c", "d e f", "!! !!", "g h"]
     model = SubwordClassifier.fit([features(t, s) for t in texts], [1, 1, 0, 0], s)
     for t in texts:
         ids, w = features(t, s)
         z = float(w @ model.logit[ids].astype(float)) + model.bias
-        assert model.scorer()(t) == pytest.approx(1 / (1 + np.exp(-z)))
+        assert model.scorer()(["other", t])[1] == pytest.approx(1 / (1 + np.exp(-z)))
 
 
 def smith_waterman(a, b):

@@ -2,7 +2,7 @@
 
 A template is license wording with ``<<optional>> ... <<end>>`` regions (they
 may nest) and replaceable regions ``<<var words="0-8" match="[0-9]+">>`` (so
-many words, each matching the pattern in full).  It is compiled into an
+many words, each matching the pattern in full); it starts with given words.  It is compiled into an
 automaton over words; a place in a text is accepted if all mandatory wording
 stands there exactly, in order.
 """
@@ -56,6 +56,66 @@ TEMPLATES = {
         sublicense and or sell copies of the software""",
 }
 
+# Wording that several whole license texts share.
+_COPYRIGHT = """<<optional>>copyright <<optional>>c<<end>> <<var words="0-16" match="[0-9]{4}|[^0-9].*">>
+    <<optional>>all rights reserved<<end>><<end>>"""
+_AS_IS = """this software is provided by <<var words="1-8">> as is and any express or implied warranties including but not
+    limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event
+    shall <<var words="1-8">> be liable for any direct indirect incidental special exemplary or consequential damages
+    including but not limited to procurement of substitute goods or services loss of use data or profits or business
+    interruption however caused and on any theory of liability whether in contract strict liability or tort including
+    negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage"""
+_REDISTRIBUTION = """redistribution and use in source and binary forms with or without modification are permitted provided that
+    the following conditions are met <<optional>><<var words="1-1" match="[1a]">><<end>> redistributions of source code must
+    retain the above copyright notice this list of conditions and the following disclaimer <<optional>><<var words="1-1" match="[2b]">><<end>>
+    redistributions in binary form must reproduce the above copyright notice this list of conditions and the following
+    disclaimer in the documentation and or other materials provided with the distribution"""
+_ISC = """permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"""
+_ISC_WARRANTY = """the software is provided as is and <<var words="1-8">> disclaims all warranties with regard to this software including
+    all implied warranties of merchantability and fitness in no event shall <<var words="1-8">> be liable for any special direct
+    indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action
+    of contract negligence or other tortious action arising out of or in connection with the use or performance of this software"""
+
+# Whole license texts as templates, by label.
+TEMPLATES |= {
+    "0bsd-whole": f"{_ISC} {_ISC_WARRANTY}",
+    "bsd-2-clause-whole": f"{_REDISTRIBUTION} {_AS_IS}",
+    "bsd-3-clause-whole": f"""{_REDISTRIBUTION} <<optional>><<var words="1-1" match="[3c]">><<end>> neither the name of
+        <<var words="1-12">> nor the names of its contributors may be used to endorse or promote products derived from this
+        software without specific prior written permission {_AS_IS}""",
+    "bsl-1.0-whole": """
+        permission is hereby granted free of charge to any person or organization obtaining a copy of the software and
+        accompanying documentation covered by this license the software to use reproduce display distribute execute and
+        transmit the software and to prepare derivative works of the software and to permit third parties to whom the
+        software is furnished to do so all subject to the following""",
+    "isc-whole": f"""{_ISC} provided that the above copyright notice and this permission notice appear in all copies {_ISC_WARRANTY}""",
+    "mit-whole": f"""
+        <<optional>><<optional>>the<<end>> mit license <<optional>>mit<<end>><<end>> {_COPYRIGHT}
+        permission is hereby granted free of charge to any person obtaining a copy of this software and associated
+        documentation files the software to deal in the software without restriction including without limitation the
+        rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit
+        persons to whom the software is furnished to do so subject to the following conditions the above copyright notice
+        and this permission notice <<optional>>including the next paragraph<<end>> shall be included in all copies or
+        substantial portions of the software the software is provided as is without warranty of any kind express or implied
+        including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement
+        in no event shall <<var words="1-8">> be liable for any claim damages or other liability whether in an
+        action of contract tort or otherwise arising from out of or in connection with the software or the use or other
+        dealings in the software""",
+    "unlicense-whole": """
+        this is free and unencumbered software released into the public domain anyone is free to copy modify publish use
+        compile sell or distribute this software either in source code form or as a compiled binary for any purpose
+        commercial or non commercial and by any means""",
+    "zlib-whole": """
+        this software is provided as is without any express or implied warranty in no event will the <<var words="1-4">> be
+        held liable for any damages arising from the use of this software permission is granted to anyone to use this
+        software for any purpose including commercial applications and to alter it and redistribute it freely subject to the
+        following restrictions <<optional>>1<<end>> the origin of this software must not be misrepresented you must not claim
+        that you wrote the original software if you use this software in a product an acknowledgment in the product
+        documentation would be appreciated but is not required <<optional>>2<<end>> altered source versions must be plainly
+        marked as such and must not be misrepresented as being the original software <<optional>>3<<end>> this notice may not
+        be removed or altered from any source distribution""",
+}
+
 _MARKUP = re.compile(r"<<(.*?)>>|([^<]+)", re.DOTALL)
 _ATTRIBUTE = re.compile(r'(\w+)="([^"]*)"')
 
@@ -112,6 +172,9 @@ class TemplateAutomaton:
             raise TemplateError(f"{label}: {'an open region' if opened else 'no mandatory wording'}")
         self.last = at
         self.start = self._closed({0})
+        self.start_words = {w for s in self.start for e in self.edges[s] for w in ([e.word] if e.word else e.pattern.pattern.split(b"|"))}
+        if any(words(w.decode()) != [w] for w in self.start_words):
+            raise TemplateError(f"{label}: any word at the start")
         self._next: dict[tuple[frozenset, bytes], frozenset] = {}
         self._before = self._mandatory_before()
         #: Wording that every accepted place has.
@@ -122,9 +185,6 @@ class TemplateAutomaton:
         """The largest share of the mandatory wording that a text of these words can meet: that before the first word it lacks."""
         return next((before for before, word in self._wording if word not in seen), self.n_mandatory) / self.n_mandatory
 
-    def may_start(self, word: bytes) -> bool:
-        return any(e.takes(word) for s in self.start for e in self.edges[s])
-
     def _after(self, at: int, **taken) -> int:
         to = self._join(None)
         self.edges[at].append(_Edge(to, **taken))
@@ -181,6 +241,8 @@ class LicenseScanner:
         self.given = (phrases, templates)
         self.phrases = [(tuple(words(p)), label) for p, label in phrases.items()]
         self.automata = [TemplateAutomaton(label, t) for label, t in templates.items()]
+        #: Words that a template may start with.
+        self.starters = frozenset(w for a in self.automata for w in a.start_words)
 
     def scan(self, text: str | None) -> dict:
         """Base places, accepted template places ``(label, first word, end word)`` and the score."""
@@ -192,14 +254,16 @@ class LicenseScanner:
                 n = len(phrase)
                 base += [(i, label) for i, w in enumerate(ws) if w == phrase[0] and tuple(ws[i : i + n]) == phrase]
         places, score = [], 0.5 if base else 0.0
-        for a in self.automata:
+        # The few places of words that templates start with serve all of them.
+        starts_at = [(i, w) for i, w in enumerate(ws) if w in self.starters] if not seen.isdisjoint(self.starters) else []
+        for a in self.automata if starts_at else ():
             # Without all the needed wording nothing is accepted, but part of it may be met.
             whole, most = a.needed <= seen, a.most(seen)
             if not whole and most <= score:
                 continue
-            starts, i = {w for w in seen if a.may_start(w)}, 0
-            for at, word in enumerate(ws):
-                if at < i or word not in starts:
+            i = 0
+            for at, word in starts_at:
+                if at < i or word not in a.start_words:
                     continue
                 end, met = a.at(ws, at)
                 score = max(score, met)

@@ -69,7 +69,7 @@ def test_templates():
     assert ends("a d 1 e") == 4 and ends("a b d 1 2 e x") == 6 and ends("a b c d 1 e") == 6
     assert ends("a c d 1 e") == ends("a d e") == ends("a d 1 2 3 e") == ends("a d x e") == -1
     assert t.n_mandatory == 4 and t.at([b"a", b"d", b"x"], 0)[1] == pytest.approx(2 / 4)
-    for bad in ("<<optional>>a", "<<end>>", "<<what>>", "<<optional>>a<<end>>"):
+    for bad in ("<<optional>>a", "<<end>>", "<<what>>", "<<optional>>a<<end>>", '<<var words="1-2">> a'):
         with pytest.raises(TemplateError):
             TemplateAutomaton("bad", bad)
 
@@ -322,6 +322,70 @@ def test_training_rows_are_one_of_each_sampled_id(docs_of, prose, spark):
     assert seven.ids == ids.astype("<i4").tobytes() and seven.shares == shares.astype("<f4").tobytes()
 
 
+def template_regex(template):
+    """A template as a regular expression over blank-separated words, each with a blank behind it."""
+    out = []
+    for markup, text in re.findall(r"<<(.*?)>>|([^<]+)", template, re.DOTALL):
+        if text:
+            out += [re.escape(w) + " " for w in re.findall(r"[0-9a-z]+", text)]
+        elif markup == "optional":
+            out.append("(?:")
+        elif markup == "end":
+            out.append(")?")
+        else:
+            low, high = re.search(r'words="(\d+)-(\d+)"', markup).groups()
+            match = re.search(r'match="(.*?)"', markup)
+            # A word of the text: the pattern must match it in full.
+            out.append(f"(?:(?=(?:{match[1] if match else '[^ ]*'}) )[^ ]+ ){{{low},{high}}}")
+    return re.compile("".join(out))
+
+
+@pytest.mark.parametrize("label", ["bsd-2-clause-whole", "bsd-3-clause-whole", "isc-whole", "mit-whole", "zlib-whole", "unlicense-whole", "0bsd-whole", "bsl-1.0-whole"])
+def test_whole_license_texts_agree_with_a_regular_expression(label):
+    import random
+
+    from ledgerday.llm.licenses import TEMPLATES
+
+    r, scan, pattern = random.Random(label), LicenseScanner(phrases={}, templates={label: TEMPLATES[label]}).scan, template_regex(TEMPLATES[label])
+    accepted = 0
+    for k in range(60):
+        out, depth_off = [], []
+        for markup, text in re.findall(r"<<(.*?)>>|([^<]+)", TEMPLATES[label], re.DOTALL):
+            if markup == "optional":
+                depth_off.append(r.random() < 0.4)
+            elif markup == "end":
+                depth_off.pop()
+            elif any(depth_off):
+                continue
+            elif text:
+                out += text.split()
+            else:
+                low, high = map(int, re.search(r'words="(\d+)-(\d+)"', markup).groups())
+                given = re.search(r'match="\[(\w)', markup)
+                out += [given[1] if given and high == 1 else r.choice(["jane", "doe", "the", "authors", "corp"]) for _ in range(r.randint(max(low, 1), high))]
+        for _ in range(k % 3):  # one or two words changed, put in or left out
+            at = r.randrange(len(out))
+            out[at : at + 1] = r.choice([["changed"], [], [out[at], "extra"]])
+        text = ["so"] * r.randint(0, 5) + out + ["end"]
+        want = [len(text[:0]) + pattern_start for pattern_start in range(len(text)) if pattern.match(" ".join(text[pattern_start:]) + " ")]
+        got = [at for _, at, _ in scan(" ".join(text))["places"]]
+        assert bool(got) == bool(want) and (not got or got[0] == want[0]), (k, " ".join(text))
+        accepted += bool(got)
+        assert got == [] or scan(" ".join(text))["score"] == 1.0
+    assert 20 <= accepted < 60
+
+
+def test_whole_texts_give_labels_that_the_base_phrases_dont():
+    text = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
+    granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED
+    "AS IS" AND JANE DOE AND CO DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+    MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES
+    OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER
+    TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
+    found = LicenseScanner().scan(text)
+    assert found["base"] == [] and {p[0] for p in found["places"]} == {"isc-text", "isc-whole"} and found["score"] == 1.0
+
+
 def test_part_of_a_template_has_its_share_of_the_wording():
     scan = LicenseScanner().scan
     from ledgerday.llm.licenses import TEMPLATES

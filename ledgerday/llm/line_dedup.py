@@ -62,11 +62,12 @@ def fuzzy_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", emptied: bool = True) -> DataFrame:
     """``docs`` with every row and column, their texts without the lines that aren't kept.
 
-    Blank lines stay.  A row that loses all its lines has an empty text, a null
-    text stays null.  Rows repeated in full keep their lines once in each.
+    Blank lines stay, a null text stays null.  A row of which only blank lines are left stays with
+    ``emptied``, else it goes: each of its lines stands in another text.  A row that had no other lines
+    stays.  Rows repeated in full keep their lines once in each.
     """
     marked = fuzzy_lines(docs, id_col, text_col).where("not kept")
     dropped = marked.groupBy("doc_id", "row").agg(F.collect_set("line_no").alias("dropped"))
@@ -77,4 +78,6 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     lines = F.split(F.col(f"d.{text_col}"), "\n")
     left = F.filter(lines, lambda _, i: ~F.array_contains(F.col("x.dropped"), i))
     text = F.when(F.col("x.dropped").isNull(), F.col(f"d.{text_col}")).otherwise(F.array_join(left, "\n"))
+    if not emptied:
+        joined = joined.where(F.col("x.dropped").isNull() | (F.length(F.btrim(text, F.lit(BLANKS))) > 0))
     return joined.select(*(text.alias(c) if c == text_col else F.col(f"d.`{c}`") for c in docs.columns))

@@ -3,7 +3,21 @@ lines go, one document of each near-duplicate class stays, documents that hold
 benchmark items go, and the rest is packed into training sequences.
 
 Every stage but the last returns the columns of ``documents``; each works on
-all that its predecessor kept.  ``n_chars`` follows a changed text.
+all that its predecessor kept, and more columns pass through.  ``n_chars``
+follows a changed text.  An empty table gives an empty table.
+
+=========================  ====================================  =====================================
+Stage                      Null, empty or blank text             Rows repeated in full
+=========================  ====================================  =====================================
+quality_classifier         as the model scores no words          treated alike
+line_dedup                 stays; a text that loses every line   each keeps the lines, once in itself
+                           goes, as they stand in another text
+ngram_join                 stays                                 one stays
+benchmark_decontamination  stays                                 treated alike
+packing                    a separator                           each is packed
+=========================  ====================================  =====================================
+
+Null ids are ids like others: they come first among lines, last among documents of a class.
 """
 
 from __future__ import annotations
@@ -12,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerday.llm.classifier import fit_quality, quality_score
-from ledgerday.llm.common import shared_table, table
+from ledgerday.llm.common import drop_tables, shared_table, table
 from ledgerday.llm.decontamination import decontaminate
 from ledgerday.llm.line_dedup import dedup_lines
 from ledgerday.llm.ngram_join import one_of_each
@@ -26,7 +40,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
+    cut = dedup_lines(docs, emptied=False)
+    return cut.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +69,10 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = shared_table(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            drop_tables(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -40,20 +40,6 @@ class WordHashes(dict):
         return h
 
 
-def word_shingles(words: list[bytes], hashes: WordHashes, n: int = 5) -> np.ndarray:
-    """Hashes of the distinct runs of ``n`` words; fewer words are one run; none have none."""
-    if not words:
-        return np.empty(0, np.uint64)
-    w = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    n = min(n, len(w))
-    m = len(w) - n + 1
-    x = np.zeros(m, np.uint64)
-    with np.errstate(over="ignore"):
-        for i in range(n):
-            x = mix(x + _SEED + w[i : i + m])
-    return np.unique(x)
-
-
 def _whole_runs(sizes: np.ndarray, n: int) -> np.ndarray:
     """Of all places in texts of these sizes behind each other, those where a run of ``n`` lies in one text."""
     left = np.repeat(np.cumsum(sizes), sizes) - np.arange(sizes.sum())
@@ -66,9 +52,6 @@ class CharRuns:
     def __init__(self, k: int):
         self.k = k
 
-    def __call__(self, text: str) -> np.ndarray:
-        return np.unique(self.flat([text])[0])
-
     def flat(self, texts: list[str]) -> tuple[np.ndarray, list[int]]:
         """The texts' shingles behind each other, and how many each text has; a shorter text is one run."""
         parts = [t.ljust(self.k, "\0") for t in texts]
@@ -94,9 +77,6 @@ class WordRuns:
     def __init__(self, split, n: int = 5):
         self.split, self.n, self.hashes = split, n, WordHashes()
 
-    def __call__(self, text: str) -> np.ndarray:
-        return word_shingles(self.split(text), self.hashes, self.n)
-
     def flat(self, texts: list[str]) -> tuple[np.ndarray, list[int]]:
         """The texts' shingles behind each other, and how many each text has (none without a word)."""
         parts = [self.split(t) for t in texts]
@@ -113,12 +93,14 @@ class WordRuns:
 
 
 class MinHash:
-    """K functions ``(a * h + b) mod 2^32`` on 32 well-mixed bits of a shingle's hash."""
+    """K functions ``a * h mod 2^32`` (a odd) on 32 well-mixed bits of a shingle's hash.
+
+    The smallest value is decided by a product's high bits, which depend on all of the hash.
+    """
 
     def __init__(self, size: int, seed: int = 1):
         rng = np.random.default_rng(seed)
         self.a = rng.integers(0, 1 << 31, size, np.uint32) * np.uint32(2) + np.uint32(1)
-        self.b = rng.integers(0, 1 << 32, size, np.uint32)
 
     def signatures(self, shingles: list[np.ndarray]) -> np.ndarray:
         """A row of K values for each (non-empty) array of shingles."""
@@ -126,20 +108,18 @@ class MinHash:
 
     def of_flat(self, flat: np.ndarray, sizes: list[int]) -> np.ndarray:
         """The same for arrays that lie behind each other in ``flat``; repeated shingles change nothing."""
-        out = np.empty((len(sizes), len(self.a)), np.uint32)
+        out = np.empty((len(self.a), len(sizes)), np.uint32)
         at = 0
         for lo, hi in _blocks(sizes):
             ends = np.cumsum(sizes[lo:hi])
             h = (mix(flat[at : at + ends[-1]] + _SEED) >> np.uint64(32)).astype(np.uint32)
             at += ends[-1]
             starts = np.concatenate(([0], ends[:-1]))
-            for k, (a, b) in enumerate(zip(self.a, self.b)):
-                x = h * a
-                x += b
-                # A second step, as the low bits of a product are weak.
-                x ^= x >> np.uint32(15)
-                out[lo:hi, k] = np.minimum.reduceat(x, starts)
-        return out
+            x = np.empty_like(h)
+            for k, a in enumerate(self.a):
+                np.multiply(h, a, out=x)
+                np.minimum.reduceat(x, starts, out=out[k, lo:hi])
+        return np.ascontiguousarray(out.T)
 
 
 def _blocks(sizes: list[int]) -> Iterator[tuple[int, int]]:
@@ -165,7 +145,24 @@ def band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def shared(a: np.ndarray, b: np.ndarray) -> int:
+    """How many numbers two sorted arrays of distinct ones have in common."""
+    if not len(a) or not len(b):
+        return 0
+    at = np.searchsorted(b, a)
+    at[at == len(b)] = 0
+    return int(np.count_nonzero(b[at] == a))
+
+
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
-    """Exact Jaccard similarity of two arrays of distinct shingles; two empty ones have 0."""
-    both = len(np.intersect1d(a, b, assume_unique=True))
+    """Exact Jaccard similarity of two sorted arrays of distinct shingles; two empty ones have 0."""
+    both = shared(a, b)
     return both / (len(a) + len(b) - both) if both else 0.0
+
+
+def shingle_sets(of: CharRuns | WordRuns, texts: list[str]) -> list[np.ndarray]:
+    """The distinct shingles of each text, sorted."""
+    if not texts:
+        return []
+    flat, sizes = of.flat(texts)
+    return [np.unique(part) for part in np.split(flat, np.cumsum(sizes)[:-1])]

@@ -13,6 +13,7 @@ classes leave it.  So any two similar texts that share a bucket are of one class
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -21,13 +22,17 @@ from pyspark.sql import functions as F
 
 from ledgerday.llm.common import drop_tables, shared_table, streamed_groups
 from ledgerday.llm.components import components
-from ledgerday.llm.minhash import CharRuns, MinHash, WordRuns, band_keys, jaccard
+from ledgerday.llm.minhash import CharRuns, MinHash, WordRuns, band_keys, jaccard, shingle_sets
 
 #: Makes what cuts whole texts into shingles (see :class:`~ledgerday.llm.minhash.WordRuns`), once a task.
 Shingler = Callable[[], CharRuns | WordRuns]
 
 #: Items of a block of a bucket or class, and bytes of their texts: blocks are compared two at a time.
 BLOCK, BLOCK_BYTES = 1024, 16_000_000
+#: Texts whose shingles are made at a time, and pairs of sets up to which each is compared by itself.
+TEXTS, FEW = 512, 400
+#: Items up to which the list of those that share a bucket is broadcast (16 bytes each); a longer one is joined by shuffles.
+BROADCAST_IDS = 2_000_000
 #: Shingles of two blocks that are compared at a time.
 COLUMNS = 2048
 
@@ -85,6 +90,11 @@ def members_of(buckets: DataFrame) -> DataFrame:
     return buckets.join(shares, "id").select("key", "id", "size", central["id"].alias("rep"))
 
 
+def _similar(a: np.ndarray, b: np.ndarray, least: float) -> bool:
+    # Sizes alone rule out most pairs.
+    return min(len(a), len(b)) >= least * max(len(a), len(b)) and jaccard(a, b) >= least
+
+
 def verify(pairs: DataFrame, texts: DataFrame, shingler: Shingler, least: float) -> DataFrame:
     """The pairs (``a``, ``b``) whose whole texts have a Jaccard similarity of ``least`` or more.  Texts are
     joined by id on both sides; a text with many partners is a skewed side that adaptive joins split."""
@@ -92,18 +102,15 @@ def verify(pairs: DataFrame, texts: DataFrame, shingler: Shingler, least: float)
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, last, last_shingles = shingler(), None, None
+        of = shingler()
         for batch in batches:
-            kept = []
-            text_a, text_b = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            for i, (x, y) in enumerate(zip(text_a, text_b)):
-                if y != last:  # neighbours often share a representative
-                    last, last_shingles = y, of(y)
-                own = of(x)
-                # Sizes alone rule out most pairs.
-                if min(len(own), len(last_shingles)) >= least * max(len(own), len(last_shingles)) and jaccard(own, last_shingles) >= least:
-                    kept.append(i)
-            yield pa.RecordBatch.from_arrays([batch.column(i).take(pa.array(kept, pa.int64())) for i in (0, 1)], names=["a", "b"])
+            for at in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(at, TEXTS)
+                a, b, text_a, text_b = (c.to_pylist() for c in part.columns)
+                texts = dict(zip(b, text_b)) | dict(zip(a, text_a))  # pairs often share a representative
+                sets = dict(zip(texts, shingle_sets(of, list(texts.values()))))
+                kept = [i for i, (x, y) in enumerate(zip(a, b)) if _similar(sets[x], sets[y], least)]
+                yield pa.RecordBatch.from_arrays([part.column(i).take(pa.array(kept, pa.int64())) for i in (0, 1)], names=["a", "b"])
 
     rows = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
     return rows.mapInArrow(check, "a long, b long")
@@ -132,9 +139,10 @@ def near_classes(
     if prune:
         signed = shared_table(signed, f"{name}-signed")
     buckets = shared_table(buckets_of(signed), f"{name}-buckets")
-    # Only texts that share a bucket with another one are ever fetched again; short lists of their ids are broadcast by size.
+    # Only texts that share a bucket with another one are ever fetched again.
     ids = shared_table(buckets.select("id").distinct(), f"{name}-ids")
-    texts = items.select("id", "text").join(ids, "id", "left_semi").dropDuplicates(["id"])
+    sought = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    texts = items.select("id", "text").join(sought, "id", "left_semi").dropDuplicates(["id"])
     texts = shared_table(texts, f"{name}-texts")
     members = shared_table(members_of(buckets), f"{name}-members")
     drop_tables(buckets, ids)
@@ -178,6 +186,24 @@ def _blocked(rows: DataFrame, group: str) -> DataFrame:
     return rows.repartition(group, "low", "high").sortWithinPartitions(group, "low", "high")
 
 
+def _with_sets(groups: Iterator[tuple[list, list]], of) -> Iterator[tuple[list, list]]:
+    """The groups, their last column (texts) as sets of shingles; those of small groups are made together."""
+    waiting, texts = [], 0
+    for key, columns in groups:
+        waiting.append((key, columns))
+        texts += len(columns[0])
+        if texts >= TEXTS:
+            yield from _made(waiting, of)
+            waiting, texts = [], 0
+    yield from _made(waiting, of)
+
+
+def _made(groups: list[tuple[list, list]], of) -> Iterator[tuple[list, list]]:
+    sets = iter(shingle_sets(of, [t for _, columns in groups for t in columns[-1]]))
+    for key, columns in groups:
+        yield key, [*columns[:-1], list(islice(sets, len(columns[0])))]
+
+
 def links_between(mixed: DataFrame, texts: DataFrame, shingler: Shingler, least: float) -> DataFrame:
     """``a, b``: links that join the classes of each bucket of ``mixed`` (``key, id, class``) wherever two similar texts are in both.
 
@@ -185,14 +211,12 @@ def links_between(mixed: DataFrame, texts: DataFrame, shingler: Shingler, least:
     that join what others have joined stay in the task.
     """
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = shingler()
-        for (_, low, high), (own, ids, classes, whole) in streamed_groups(batches, 3):
+        for (_, low, high), (own, ids, classes, sets) in _with_sets(streamed_groups(batches, 3), shingler()):
             own, classes = np.array(own), np.array(classes)
             kinds, counts = np.unique(classes, return_counts=True)
             if len(kinds) < 2:
                 continue
             few = classes != kinds[counts.argmax()]
-            sets = [of(t) for t in whole]
             sides = [(few, ~few), (few, few)] if low == high else [
                 (few & (own == low), own == high), (~few & (own == low), few & (own == high))
             ]
@@ -232,9 +256,8 @@ def count_links(classes: DataFrame, texts: DataFrame, shingler: Shingler, least:
     texts = shared_table(texts.join(classes, "id").select("id", "class", "text"), "class-texts")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = shingler()
-        for (_, low, high), (own, ids, whole) in streamed_groups(batches, 3):
-            sets, own = [of(t) for t in whole], np.array(own)
+        for (_, low, high), (own, ids, sets) in _with_sets(streamed_groups(batches, 3), shingler()):
+            own = np.array(own)
             counts = np.zeros(len(sets), np.int64)
             if low == high:
                 every = np.arange(len(sets))
@@ -256,6 +279,8 @@ def count_links(classes: DataFrame, texts: DataFrame, shingler: Shingler, least:
 
 def jaccard_from(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """The Jaccard similarity of each of ``sets[x]`` with each of ``sets[y]``; 0 for two empty ones."""
+    if len(x) * len(y) <= FEW:
+        return np.array([jaccard(sets[i], sets[j]) for i in x for j in y]).reshape(len(x), len(y))
     n = np.array([len(s) for s in sets])
     both = common_shingles([sets[i] for i in x], [sets[i] for i in y])
     return both / np.maximum(n[x][:, None] + n[y][None, :] - both, 1)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ledgerday.llm import near, queries
 from ledgerday.llm.components import components
 from ledgerday.llm.line_dedup import dedup_lines, fuzzy_lines
-from ledgerday.llm.minhash import CharRuns, MinHash, WordHashes, jaccard, word_shingles
+from ledgerday.llm.minhash import CharRuns, MinHash, WordRuns, jaccard, shingle_sets
 from ledgerday.llm.ngram_join import least_matches, ngram_join, one_of_each
 from ledgerday.llm.quality_rules import js_distance, quality_rules
 from ledgerday.llm.sharding import byte_shards
@@ -76,14 +76,14 @@ def test_minhash_estimates_jaccard():
         b = np.concatenate([a[: int(1000 * share)], rng.integers(0, 1 << 63, 1000 - int(1000 * share)).astype(np.uint64)])
         s = MinHash(400).signatures([np.unique(a), np.unique(b)])
         assert (s[0] == s[1]).mean() == pytest.approx(jaccard(np.unique(a), np.unique(b)), abs=0.08)
-    assert len(CharRuns(8)("abc")) == 1 and len(CharRuns(8)("abababababab")) == 2
+    assert [len(x) for x in shingle_sets(CharRuns(8), ["abc", "abababababab"])] == [1, 2]
     texts = ["日本語テキスト" * 3, "ab", "", "x" * 40, "naïve 😀 text of some length"]
     flat, sizes = CharRuns(7).flat(texts)
     parts = np.split(flat, np.cumsum(sizes)[:-1])
     for text, part in zip(texts, parts):
-        assert set(part.tolist()) == set(CharRuns(7)(text).tolist())
+        assert set(part.tolist()) == set(shingle_sets(CharRuns(7), [text])[0].tolist())
         assert len(set(part.tolist())) == len({text.ljust(7)[i : i + 7] for i in range(max(1, len(text) - 6))})
-    assert len(word_shingles([b"a"] * 9, WordHashes())) == 1 and len(word_shingles([], WordHashes())) == 0
+    assert [len(x) for x in shingle_sets(WordRuns(lambda t: t.encode().split(), 5), ["a " * 9, "", "a b", ""])] == [1, 0, 1, 0]
 
 
 def test_pruning_bound_is_the_posterior():
@@ -132,7 +132,7 @@ def test_chains_in_a_bucket_keep_their_links(spark):
     bucket = {"x": [9], "ab": [9], "abc": [9], "y": [9]}
 
     def shingles():
-        return lambda t: np.array(sorted(map(ord, t)), np.uint64)
+        return CharRuns(1)
 
     signed = items.select("id", F.array(F.lit(9).cast("long")).alias("keys"))
     real, near.signature_bands = near.signature_bands, lambda *a, **k: signed
@@ -273,7 +273,7 @@ def test_mixed_buckets_are_settled_whatever_their_classes(spark, monkeypatch, bl
     items = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
 
     def shingles():
-        return lambda t: np.array(sorted(set(map(ord, t))), np.uint64)
+        return CharRuns(1)
 
     signed = items.select("id", F.array(F.lit(9).cast("long")).alias("keys"))
     real, near.signature_bands = near.signature_bands, lambda *a, **k: signed

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,23 +40,42 @@ def read_ledger_jdbc(
     DECIMAL(38,10) and DATE as TIMESTAMP, so the result is cast to the ledger
     schema; filters applied later are still pushed into the remote query.
     """
-    reader = (
-        spark.read.format("jdbc")
-        .option("url", url)
-        .option("dbtable", table)
-        .option("fetchsize", str(fetch_size))
-        .options(**(properties or {}))
+    options = jdbc_options(
+        url, table, properties=properties, date_bounds=date_bounds, num_partitions=num_partitions,
+        days_per_partition=days_per_partition, fetch_size=fetch_size,
     )
+    return conform_ledger(spark.read.format("jdbc").options(**options).load())
+
+
+def jdbc_options(
+    url: str,
+    table: str,
+    *,
+    properties: dict[str, str] | None = None,
+    date_bounds: tuple[DateLike, DateLike] | None = None,
+    num_partitions: int | None = None,
+    days_per_partition: int = 7,
+    fetch_size: int = 10_000,
+) -> dict[str, str]:
+    """What the JDBC reader is given; with ``date_bounds`` one range of days on ``vrdate`` per partition.
+
+    The bounds only cut the ranges: the first and last ones are open, so lines outside them, and
+    lines without a date, are read as well.  The caller's ``properties`` win.
+    """
+    options = {"url": url, "dbtable": table, "fetchsize": str(fetch_size)}
     if date_bounds is not None:
         lo, hi = (as_date(d) for d in date_bounds)
+        if hi < lo:
+            raise ValueError(f"date bounds {lo} to {hi}")
         parts = num_partitions or max(1, (hi - lo).days // days_per_partition + 1)
-        reader = (
-            reader.option("partitionColumn", "vrdate")
-            .option("lowerBound", lo.isoformat())
-            .option("upperBound", hi.isoformat())
-            .option("numPartitions", str(parts))
-        )
-    return conform_ledger(reader.load())
+        # The upper bound is exclusive when ranges are cut: the day after the last one.
+        options |= {
+            "partitionColumn": "vrdate",
+            "lowerBound": lo.isoformat(),
+            "upperBound": (hi + dt.timedelta(days=1)).isoformat(),
+            "numPartitions": str(min(parts, (hi - lo).days + 1)),
+        }
+    return options | (properties or {})
 
 
 def write_ledger(ledger: DataFrame, path: str, mode: str = "errorifexists", partitions: int | None = None) -> None:

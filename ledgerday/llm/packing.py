@@ -28,6 +28,10 @@ class Limits:
     loss: int = 1024  # loss-bearing tokens
 
 
+#: For texts whose lines are prompts and answers in turn.
+TURN_LIMITS = Limits(loss=896)
+
+
 @dataclass
 class Piece:
     """A run of an example's tokens; ``start`` counts the example's tokens before it."""
@@ -57,28 +61,39 @@ class Packer:
         self.room = np.array([limits.tokens, 1, limits.loss], float)
         self.pool: list[Piece] = []
         self.held = 0
+        self.free = 0  # tokens in the pool that bear no loss
 
     def add(self, key: int | None, ids: np.ndarray, loss: np.ndarray) -> Iterator[list[Piece]]:
         rest = Piece(key, len(ids), 0, ids, loss)
-        while len(rest.ids) >= self.limits.tokens and (n := self._fitting(rest, self.limits.tokens, self.limits.loss)):
-            if n < self.limits.tokens:
-                break  # too much loss for a sequence of its own: goes with others
-            piece, rest = rest.cut(n)
-            yield [piece]
         while len(rest.ids):
             # No waiting piece is larger than an empty sequence.
             n = max(1, self._fitting(rest, self.limits.tokens, self.limits.loss))
             piece, rest = rest.cut(n)
-            self.pool.append(piece)
-            self.held += n
+            if n == self.limits.tokens:
+                yield [piece]
+            else:
+                self._put(piece)
         if self.held >= self.hold:
             yield from self._pack(down_to=self.hold // 2)
 
+    def _put(self, piece: Piece) -> None:
+        self.pool.append(piece)
+        self.held += len(piece.ids)
+        self.free += len(piece.ids) - piece.n_loss
+
     def finish(self) -> Iterator[list[Piece]]:
-        yield from self._pack(down_to=self.limits.tokens)
-        # What is left doesn't fill a sequence: its tokens as powers of two need no padding.
-        while self.held:
-            yield self._fill(1 << (min(self.held, self.limits.tokens).bit_length() - 1))
+        yield from self._pack(down_to=1)
+
+    def _size(self) -> int:
+        """Tokens of a sequence that the pool can fill without padding: all, or else a power of two."""
+        size = min(self.held, self.limits.tokens)
+        if size == self.limits.tokens and self.free >= size - self.limits.loss:
+            return size
+        # What is left doesn't fill a sequence, or nearly all of it bears loss: powers of two need no padding.
+        size = 1 << (size.bit_length() - 1)
+        while size > 1 and self.free < size - self.limits.loss:
+            size >>= 1
+        return size
 
     def _fitting(self, piece: Piece, tokens: int, loss: int) -> int:
         """Tokens of ``piece`` that fit into what is left."""
@@ -89,13 +104,13 @@ class Packer:
 
     def _pack(self, down_to: int) -> Iterator[list[Piece]]:
         while self.held >= max(down_to, 1):
-            yield self._fill(self.limits.tokens)
+            yield self._fill(self._size())
 
     def _fill(self, tokens: int) -> list[Piece]:
         left = np.array([tokens, self.limits.segments, self.limits.loss], float)
         scale = np.array([self.limits.tokens, self.limits.segments, self.limits.loss], float)
         demand = np.array([(len(p.ids), 1, p.n_loss) for p in self.pool], float).reshape(-1, 3)
-        alive = np.ones(len(self.pool), bool)
+        alive, passed = np.ones(len(self.pool), bool), np.zeros(len(self.pool), bool)
         taken: list[Piece] = []
         cut: Piece | None = None
         while left[0] and left[1] and alive.any():
@@ -111,7 +126,8 @@ class Packer:
                 i = int(np.argmax(np.where(alive, worth, -1)))
                 n = self._fitting(self.pool[i], int(left[0]), int(left[2]))
                 if not n:
-                    break  # no loss-bearing token fits any more
+                    alive[i], passed[i] = False, True  # begins with tokens that bear loss, of which no more fit
+                    continue
                 piece = self.pool[i]
                 if n < len(piece.ids):
                     piece, cut = piece.cut(n)
@@ -120,11 +136,20 @@ class Packer:
             left -= (len(piece.ids), 1, piece.n_loss)
             if cut is not None:
                 break
-        self.pool = [p for p, a in zip(self.pool, alive) if a] + ([cut] if cut is not None else [])
+        self.pool = [p for p, a in zip(self.pool, alive | passed) if a] + ([cut] if cut is not None else [])
         self.held -= sum(len(p.ids) for p in taken)
+        self.free -= sum(len(p.ids) - p.n_loss for p in taken)
         return taken
 
 
+def answers(text: str, starts: np.ndarray) -> np.ndarray:
+    """Which tokens (by the places of their first bytes) lie in answers: a text's lines are prompts and
+    answers in turn, and the last one that isn't blank is an answer."""
+    data = np.frombuffer(text.rstrip().encode("utf-8", "surrogatepass"), np.uint8)
+    ends = np.flatnonzero(data == 10)
+    return (len(ends) - np.searchsorted(ends, starts)) % 2 == 0
+
+
 def pack_documents(
     docs: DataFrame,
     tokenizer: str,
@@ -133,15 +158,17 @@ def pack_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
     loss_col: str | None = None,
+    turns: bool = False,
 ) -> DataFrame:
     """One row per piece: ``id, start, length, ids_crc32, doc_tokens, sequence_id, offset,
     segment, n_loss, ids``.
 
     A row's tokens are its text's ids by the file ``tokenizer`` and then
-    ``separator``.  They bear loss unless ``loss_col`` is given and not true;
+    ``separator``.  They bear loss unless ``loss_col`` is given and not true,
+    or, with ``turns``, they lie in a prompt (see :func:`answers`);
     the separator never does.  No sequence exceeds ``limits``; all are filled
-    to ``limits.tokens`` but for those that the other limits close and, at the
-    end of a partition, sequences whose length is a power of two.
+    to ``limits.tokens`` but for those that the segments or the loss close and, at the
+    end of a partition or where the rest bears too much loss, sequences whose length is a power of two.
 
     Each input partition is packed as its rows stream by (no shuffle, memory
     bounded by the pool and the largest document); sequence ids are the
@@ -183,9 +210,12 @@ def pack_documents(
         types = [pa.int64()] * 7 + [pa.int32(), pa.int64(), pa.binary()]
         for b in batches:
             for key, text, bears in zip(*(b.column(i).to_pylist() for i in range(3))):
-                ids = np.append(encode(text) if text else np.empty(0, np.uint32), np.uint32(separator))
+                own, starts = encode(text) if text else (np.empty(0, np.uint32), np.empty(0, np.int64))
+                ids = np.append(own, np.uint32(separator))
                 flags = np.full(len(ids), bool(bears))
                 flags[-1] = False
+                if turns and bears and text:
+                    flags[:-1] = answers(text, starts)
                 emit(packer.add(key, ids, flags))
                 if len(out) >= 2000:
                     yield batch()

@@ -13,7 +13,7 @@ from ledgerday.llm.hard_negatives import integer_vectors, mine
 from ledgerday.llm.licenses import license_scan
 from ledgerday.llm.line_dedup import fuzzy_lines
 from ledgerday.llm.ngram_join import ngram_join
-from ledgerday.llm.packing import pack_documents
+from ledgerday.llm.packing import TURN_LIMITS, pack_documents
 from ledgerday.llm.passage_dedup import repeated_passages
 from ledgerday.llm.quality_rules import quality_rules
 from ledgerday.llm.sharding import byte_shards
@@ -43,7 +43,7 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(table(spark, sf_dir, "documents"), vocabulary_path()).drop("ids")
+    return pack_documents(table(spark, sf_dir, "documents"), vocabulary_path(), TURN_LIMITS, turns=True).drop("ids")
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

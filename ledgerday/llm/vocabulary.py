@@ -23,7 +23,8 @@ def byte_level_vocabulary(path: str) -> tuple[dict[bytes, int], dict[str, int]]:
 
 
 def encoder(path: str):
-    """Text to ids (uint32), as the tokenizers library gives them without added special tokens.
+    """Text to ids (uint32), as the tokenizers library gives them without added special tokens, and the
+    place of each id's first byte in the text's UTF-8.
 
     A plain byte-level BPE file, whose ids are in the order of the merges, is
     read by a quicker library with the same rules; any other by tokenizers.
@@ -47,6 +48,23 @@ def encoder(path: str):
         vocab = file["model"]["vocab"]
         if all(vocab[m.replace(" ", "", 1)] == 256 + i for i, m in enumerate(merged)):
             quick = tiktoken.Encoding(path, pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=pieces, special_tokens=special)
-            return lambda text: quick.encode_to_numpy(text, allowed_special="all")
+            sizes = np.zeros(max([*pieces.values(), *special.values()]) + 1, np.int64)
+            for piece, i in pieces.items():
+                sizes[i] = len(piece)
+            for string, i in special.items():
+                sizes[i] = len(string.encode())
+
+            def encode(text: str) -> tuple[np.ndarray, np.ndarray]:
+                ids = quick.encode_to_numpy(text, allowed_special="all")
+                own = sizes[ids]
+                return ids, np.cumsum(own) - own
+
+            return encode
     slow = Tokenizer.from_file(path)
-    return lambda text: np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def encode_slowly(text: str) -> tuple[np.ndarray, np.ndarray]:
+        found = slow.encode(text, add_special_tokens=False)
+        widths = np.array([0] + [len(c.encode("utf-8", "surrogatepass")) for c in text], np.int64)
+        return np.array(found.ids, np.uint32), np.cumsum(widths)[[lo for lo, _ in found.offsets]].astype(np.int64) if found.ids else widths[:0]
+
+    return encode_slowly

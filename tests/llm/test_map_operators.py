@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from ledgerday.llm import decontamination as dc
 from ledgerday.llm.classifier import Settings, SubwordClassifier, classify, features, fit_quality, word_features
 from ledgerday.llm.licenses import LicenseScanner, TemplateAutomaton, TemplateError, license_scan
-from ledgerday.llm.packing import Limits, Packer, pack_documents
+from ledgerday.llm.packing import TURN_LIMITS, Limits, Packer, answers, pack_documents
 from ledgerday.llm.token_counts import PieceAutomaton, token_counts
-from ledgerday.llm.vocabulary import byte_level_vocabulary
+from ledgerday.llm.queries import QUERIES
+from ledgerday.llm.vocabulary import byte_level_vocabulary, encoder
 
 SF = "/root/testdata/sf0.001"
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -143,6 +144,55 @@ def test_packing_edges(docs_of):
     assert len(pack_documents(docs_of([(None, "x"), (None, "x")]), VOCABULARY).collect()) == 2
 
 
+def first_fit(examples, limits):
+    """Whole examples, or parts of the long ones, into the first sequence with room: sequences and padding."""
+    open_sequences = []
+    for loss in examples:
+        while len(loss):
+            n = min(len(loss), limits.tokens)
+            if loss[:n].sum() > limits.loss:
+                n = int(np.searchsorted(np.cumsum(loss), limits.loss, side="right"))
+            need, loss = (n, 1, int(loss[:n].sum())), loss[n:]
+            for room in open_sequences:
+                if all(a <= b for a, b in zip(need, room)):
+                    room[:] = [b - a for a, b in zip(need, room)]
+                    break
+            else:
+                open_sequences.append([b - a for a, b in zip(need, (limits.tokens, limits.segments, limits.loss))])
+    return len(open_sequences), sum(r[0] for r in open_sequences)
+
+
+def test_the_query_closes_sequences_by_loss_and_pads_less_than_first_fit(spark):
+    rows = QUERIES["op3_packing"](spark, SF).collect()
+    sequences = sequences_of(rows)
+    loss = [sum(r["n_loss"] for r in s) for s in sequences]
+    tokens = [sum(r["length"] for r in s) for s in sequences]
+    assert max(loss) == TURN_LIMITS.loss and sum(n == TURN_LIMITS.loss for n in loss) >= 5 and max(tokens) == 1024
+    padding = sum(1024 - n for n in tokens if n.bit_count() > 1)
+    encode, examples = encoder(VOCABULARY), []
+    for r in spark.read.parquet(f"{SF}/documents.parquet").collect():
+        _, starts = encode(r.text)
+        examples.append(np.append(answers(r.text, starts), False))
+    assert sum(loss) == sum(int(e.sum()) for e in examples) and sum(tokens) == sum(map(len, examples))
+    plain_sequences, plain_padding = first_fit(examples, TURN_LIMITS)
+    assert len(sequences) <= plain_sequences and padding <= plain_padding and padding < 0.005 * sum(tokens)
+
+
+def test_answers_are_every_other_line_from_the_last():
+    encode = encoder(VOCABULARY)
+    for text in ("ask\nanswer", "system é\nask 日本\n\nanswer 😀 a<|endoftext|>b\n\n", "one line", "\n", "a\nb\nc\r\n"):
+        ids, starts = encode(text)
+        data, lines = text.encode(), len(text.rstrip().encode().split(b"\n"))
+        want = [(lines - 1 - data[:at].count(b"\n")) % 2 == 0 for at in starts]
+        got = answers(text, starts).tolist()
+        inside = [at < len(text.rstrip().encode()) for at in starts]
+        assert [g for g, i in zip(got, inside) if i] == [w for w, i in zip(want, inside) if i] and len(starts) == len(ids)
+    text = "naïve 日本 text\nof two lines"
+    words = encoder(public_tokenizers.path("word_bpe_49k.json"))
+    ids, starts = words(text)
+    assert len(ids) == len(starts) and [text.encode()[at : at + 2] for at in starts][0] == b"na" and starts.tolist() == sorted(starts.tolist())
+
+
 @pytest.mark.parametrize("limits", [Limits(16, 3, 16), Limits(16, 16, 5), Limits(32, 2, 9)])
 def test_packer_keeps_every_limit_and_token(limits):
     r = random.Random(5)

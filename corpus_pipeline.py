@@ -30,7 +30,7 @@ from ledgerday.llm.common import drop_tables, shared_table, table
 from ledgerday.llm.decontamination import decontaminate
 from ledgerday.llm.line_dedup import dedup_lines
 from ledgerday.llm.ngram_join import one_of_each
-from ledgerday.llm.packing import pack_documents
+from ledgerday.llm.packing import TURN_LIMITS, pack_documents
 from ledgerday.llm.queries import THRESHOLD, vocabulary_path
 
 
@@ -53,7 +53,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack_documents(docs, vocabulary_path()).drop("ids")
+    return pack_documents(docs, vocabulary_path(), TURN_LIMITS, turns=True).drop("ids")
 
 
 STAGES = [

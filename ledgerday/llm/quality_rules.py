@@ -222,5 +222,6 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = with_distances(measured, references)
     return rows.select(
         F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        base_failed().alias("base_failed"), (~base_failed() & ~unlike()).alias("kept"), "char_distance", "word_distance",
+        base_failed().alias("base_failed"), (~base_failed() & ~unlike()).alias("kept"),
+        *(F.round(c, 6).alias(c) for c in ("char_distance", "word_distance")),
     )

@@ -13,6 +13,7 @@ from ledgerday.llm.hard_negatives import integer_vectors, mine
 from ledgerday.llm.licenses import license_scan
 from ledgerday.llm.line_dedup import fuzzy_lines
 from ledgerday.llm.ngram_join import ngram_join
+from ledgerday.llm.oracle import ORACLE_SQL  # noqa: F401  read by __spark_entry__
 from ledgerday.llm.packing import TURN_LIMITS, pack_documents
 from ledgerday.llm.passage_dedup import repeated_passages
 from ledgerday.llm.quality_rules import quality_rules
@@ -114,36 +115,3 @@ QUERIES = {
         op13_chat_formatting,
     )
 }
-ORACLE_SQL: dict[str, str] = {
-    "op12_hard_negatives": """
-with rows as (
-    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
-        [floor(256 * x::double) for x in embedding] as v
-    from embeddings
-    where label is not null and embedding is not null
-        and len([x for x in embedding if x is null or not isfinite(x)]) = 0
-), scores as (
-    select a.vec_id as anchor_id, a.label = b.label as same, b.vec_id, list_inner_product(a.v, b.v)::bigint as score
-    from rows a join rows b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id
-), positives as (
-    select anchor_id, vec_id as positive_id, score as positive_score from scores where same
-    qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
-)
-select anchor_id, positive_id, row_number() over (partition by anchor_id, positive_id order by score desc, vec_id)::int as rank,
-    vec_id as negative_id, positive_score, score as negative_score
-from positives join scores using (anchor_id)
-where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
-qualify rank <= 3""",
-    "op13_chat_formatting": r"""
-with turns as (
-    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
-    union all values (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')
-)
-select conv_id, count(*) as n_turns,
-    sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
-    coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
-    sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
-    sum(length('### ' || regexp_replace(role, '([\\#<:])', '\\\1', 'g') || ': '
-        || regexp_replace(text, '([\\#<])', '\\\1', 'g') || ' </turn>' || chr(10)))::bigint as formatted_chars
-from turns group by conv_id""",
-}

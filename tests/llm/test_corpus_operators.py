@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from compare import compare, duck
 from pyspark.sql import functions as F
 
 from ledgerday.llm import near, queries
@@ -232,6 +233,11 @@ def test_quality_counts_equal_plain_python(spark, docs_of):
     assert quality_rules(docs.limit(0)).count() == 0
 
 
+def test_quality_rules_equal_their_sql(spark):
+    problems, n, _, _ = compare(spark, duck(SF), "op4", queries.QUERIES["op4_quality_rules"], queries.ORACLE_SQL["op4_quality_rules"], SF)
+    assert not problems and n == 1000
+
+
 def test_quality_rules_keep_clean_documents(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     rows = quality_rules(docs).join(labels, "doc_id").where("not base_failed").collect()

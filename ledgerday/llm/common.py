@@ -28,7 +28,7 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     be lost afterwards.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.scratch_path = path
     return out

@@ -26,10 +26,9 @@ def _shingler():
 def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, row, line_no, line, id`` of every ``\\n``-split line; ``row`` tells input rows with
     equal ids apart, and ``id`` is the hash of the line without blanks at its ends (null if that is empty)."""
-    lines = docs.select(
-        F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("row"),
-        F.posexplode(F.split(F.col(text_col), "\n")).alias("line_no", "line"),
-    )
+    # The row's hash is worked out before its lines are dealt, not for each of them.
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("row"), F.split(F.col(text_col), "\n").alias("lines"))
+    lines = rows.select("doc_id", "row", F.posexplode("lines").alias("line_no", "line"))
     trimmed = F.btrim("line", F.lit(BLANKS))
     return lines.withColumn("id", F.when(F.length(trimmed) > 0, F.xxhash64(trimmed)))
 

@@ -31,8 +31,8 @@ Shingler = Callable[[], CharRuns | WordRuns]
 BLOCK, BLOCK_BYTES = 1024, 16_000_000
 #: Texts whose shingles are made at a time, and pairs of sets up to which each is compared by itself.
 TEXTS, FEW = 512, 400
-#: Items up to which the list of those that share a bucket is broadcast (16 bytes each); a longer one is joined by shuffles.
-BROADCAST_IDS = 2_000_000
+#: Rows of a few numbers up to which a table is broadcast to the texts that it is joined with; a longer one is joined by shuffles.
+BROADCAST_ROWS = 2_000_000
 #: Shingles of two blocks that are compared at a time.
 COLUMNS = 2048
 
@@ -112,10 +112,15 @@ def verify(pairs: DataFrame, texts: DataFrame, shingler: Shingler, least: float)
                 kept = [i for i, (x, y) in enumerate(zip(a, b)) if _similar(sets[x], sets[y], least)]
                 yield pa.RecordBatch.from_arrays([part.column(i).take(pa.array(kept, pa.int64())) for i in (0, 1)], names=["a", "b"])
 
-    rows = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    rows = left.join(_small(pairs), "a").join(right, "b").select("a", "b", "text_a", "text_b")
     return rows.mapInArrow(check, "a long, b long")
 
 
+def _small(table: DataFrame) -> DataFrame:
+    """A written table, marked to be broadcast if it has few rows."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
 def near_classes(
     items: DataFrame,
     shingler: Shingler,
@@ -141,18 +146,17 @@ def near_classes(
     buckets = shared_table(buckets_of(signed), f"{name}-buckets")
     # Only texts that share a bucket with another one are ever fetched again.
     ids = shared_table(buckets.select("id").distinct(), f"{name}-ids")
-    sought = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    texts = items.select("id", "text").join(sought, "id", "left_semi").dropDuplicates(["id"])
+    texts = items.select("id", "text").join(_small(ids), "id", "left_semi").dropDuplicates(["id"])
     texts = shared_table(texts, f"{name}-texts")
     members = shared_table(members_of(buckets), f"{name}-members")
     drop_tables(buckets, ids)
     pairs = members.where("id <> rep").select(F.greatest("id", "rep").alias("a"), F.least("id", "rep").alias("b")).distinct()
+    pairs = shared_table(pairs, f"{name}-pairs")
     if prune:
-        pairs = shared_table(pairs, f"{name}-pairs")
-        links = shared_table(verify(prune(pairs, signed), texts, shingler, least), f"{name}-links")
-        drop_tables(pairs, signed)
-    else:
-        links = shared_table(verify(pairs, texts, shingler, least), f"{name}-links")
+        before, pairs = pairs, shared_table(prune(pairs, signed), f"{name}-pairs")
+        drop_tables(before, signed)
+    links = shared_table(verify(pairs, texts, shingler, least), f"{name}-links")
+    drop_tables(pairs)
     classes = components(links, f"{name}-classes")
     left = shared_table(mixed_members(members, classes), f"{name}-mixed")
     if not left.isEmpty():
@@ -242,7 +246,7 @@ def links_between(mixed: DataFrame, texts: DataFrame, shingler: Shingler, least:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
 
-    rows = _blocked(mixed.join(texts, "id"), "key")
+    rows = _blocked(texts.join(_small(mixed), "id"), "key")
     return rows.select("key", "low", "high", "own", "id", "class", "text").mapInArrow(compare, "a long, b long")
 
 

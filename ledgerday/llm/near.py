@@ -112,11 +112,11 @@ def verify(pairs: DataFrame, texts: DataFrame, shingler: Shingler, least: float)
                 kept = [i for i, (x, y) in enumerate(zip(a, b)) if _similar(sets[x], sets[y], least)]
                 yield pa.RecordBatch.from_arrays([part.column(i).take(pa.array(kept, pa.int64())) for i in (0, 1)], names=["a", "b"])
 
-    rows = left.join(_small(pairs), "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    rows = left.join(small(pairs), "a").join(right, "b").select("a", "b", "text_a", "text_b")
     return rows.mapInArrow(check, "a long, b long")
 
 
-def _small(table: DataFrame) -> DataFrame:
+def small(table: DataFrame) -> DataFrame:
     """A written table, marked to be broadcast if it has few rows."""
     return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
 
@@ -146,7 +146,7 @@ def near_classes(
     buckets = shared_table(buckets_of(signed), f"{name}-buckets")
     # Only texts that share a bucket with another one are ever fetched again.
     ids = shared_table(buckets.select("id").distinct(), f"{name}-ids")
-    texts = items.select("id", "text").join(_small(ids), "id", "left_semi").dropDuplicates(["id"])
+    texts = items.select("id", "text").join(small(ids), "id", "left_semi").dropDuplicates(["id"])
     texts = shared_table(texts, f"{name}-texts")
     members = shared_table(members_of(buckets), f"{name}-members")
     drop_tables(buckets, ids)
@@ -246,7 +246,7 @@ def links_between(mixed: DataFrame, texts: DataFrame, shingler: Shingler, least:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
 
-    rows = _blocked(texts.join(_small(mixed), "id"), "key")
+    rows = _blocked(texts.join(small(mixed), "id"), "key")
     return rows.select("key", "low", "high", "own", "id", "class", "text").mapInArrow(compare, "a long, b long")
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ledgerday.llm.common import drop_tables, shared_table
 from ledgerday.llm.minhash import WordHashes, WordRuns
-from ledgerday.llm.near import near_classes
+from ledgerday.llm.near import near_classes, small
 
 #: Words on either side of a paragraph's first word, which has the smallest hash of them; and words that a paragraph has at most.
 REACH, LONGEST = 5, 64
@@ -120,11 +120,17 @@ def paragraphs_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def repeated_paragraphs(units: DataFrame) -> DataFrame:
     """The paragraphs (:func:`paragraphs_of`, without the text) whose class has several places, with
     ``class``, ``kept`` (the class's first place by (doc_id, row, unit)) and ``other``: another place (``place, unit``) of the class."""
-    items = units.where("id is not null").select("id", "text")
-    classes, shared = near_classes(items, _shingler, SIMILARITY, BANDS, ROWS, "paragraphs")
+    long = units.where("id is not null")
+    classes, shared = near_classes(long.select("id", "text"), _shingler, SIMILARITY, BANDS, ROWS, "paragraphs")
     drop_tables(shared)
-    placed = units.where("id is not null").select("doc_id", "row", "place", "unit", "from_word", "end_word", "id").distinct()
-    placed = shared_table(placed.join(classes, "id", "left").withColumn("class", F.coalesce("class", "id")).drop("id"), "paragraph-places")
+    # Most paragraphs stand in one place only and have no class: two hashes a paragraph sort them out.
+    spot = F.xxhash64("place", "unit")
+    several = long.groupBy("id").agg(F.min(spot).alias("low"), F.max(spot).alias("high")).where("low < high")
+    sought = several.select("id").join(classes, "id", "full").select("id", F.coalesce("class", "id").alias("class"))
+    sought = shared_table(sought, "repeated-paragraphs")
+    placed = long.select("doc_id", "row", "place", "unit", "from_word", "end_word", "id").join(small(sought), "id").drop("id").distinct()
+    placed = shared_table(placed, "paragraph-places")
+    drop_tables(sought)
     where = F.struct("doc_id", "row", "unit", "place")
     many = placed.groupBy("class").agg(F.min(where).alias("first"), F.max(where).alias("last")).where("first < last")
     marked = placed.join(many, "class").withColumn("kept", where.eqNullSafe(F.col("first")))
@@ -163,7 +169,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         for side, (at, unit) in zip(sides, middle) for k in range(1, AROUND + 1)
     ]
     asks = shared_table(runs.select("place", "run", F.explode(F.array(*asked)).alias("a")).select("place", "run", "a.*"), "passage-ends")
-    around = units.select(F.col("place").alias("at"), "unit", "text").join(asks.select("at", "unit").distinct(), ["at", "unit"], "left_semi").distinct()
+    spots = shared_table(asks.select("at", "unit").distinct(), "passage-spots")
+    around = units.select(F.col("place").alias("at"), "unit", "text").join(small(spots), ["at", "unit"], "left_semi").distinct()
     in_order = {
         s: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("side") == s, F.struct("unit", "text")))), lambda x: x["text"]), " ")
         for s in sides
@@ -212,7 +219,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     )
     passages = passages.withColumn("n_words", F.col("end_word") - F.col("first_word")).where(F.col("n_words") >= MIN_PASSAGE)
     passages = shared_table(passages.select("doc_id", "row", "first_word", "end_word", "n_words", "n_paragraphs", "removed", "classes"), "passages")
-    drop_tables(units, stored, asks)
+    drop_tables(units, stored, asks, spots)
     return passages
 
 

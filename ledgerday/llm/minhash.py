@@ -92,6 +92,50 @@ class WordRuns:
         return x, np.maximum(sizes - self.n + 1, 0).tolist()
 
 
+_BLANK = np.zeros(256, bool)
+_BLANK[[32, *range(9, 14)]] = True
+
+
+def word_places(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First byte, byte after the last, and a 64-bit hash of each blank-separated word of some UTF-8."""
+    inner = ~_BLANK[data]
+    edges = np.diff(np.concatenate(([False], inner, [False])).astype(np.int8))
+    starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    if not len(starts):
+        return starts, ends, np.empty(0, np.uint64)
+    word = np.cumsum(edges[:-1] == 1)[inner] - 1
+    place = (np.flatnonzero(inner) - starts[word]).astype(np.uint64)
+    with np.errstate(over="ignore"):
+        letters = mix((place << np.uint64(8) | data[inner]) * _SEED + _SEED)
+        return starts, ends, mix(np.add.reduceat(letters, np.flatnonzero(np.diff(word, prepend=-1))) + _SEED)
+
+
+class BlankWordRuns:
+    """Shingles of ``n`` blank-separated words, whose hashes are made of many texts' bytes at once."""
+
+    def __init__(self, n: int):
+        self.n = n
+
+    def flat(self, texts: list[str]) -> tuple[np.ndarray, list[int]]:
+        """The texts' shingles behind each other, and how many each text has; a shorter text is one run."""
+        parts = [t.encode("utf-8", "surrogatepass") for t in texts]
+        starts, _, words = word_places(np.frombuffer(b"\n".join(parts), np.uint8))
+        ends = np.cumsum([len(p) + 1 for p in parts])
+        own = np.searchsorted(ends, starts, side="right")
+        sizes = np.bincount(own, minlength=len(parts))
+        # A shorter text is filled up with zeros.
+        filled = np.where(sizes > 0, np.maximum(sizes, self.n), 0)
+        at = np.arange(len(words)) + (np.cumsum(filled - sizes) - (filled - sizes))[own]
+        w = np.zeros(filled.sum(), np.uint64)
+        w[at] = words
+        at = _whole_runs(filled, self.n)
+        x = np.zeros(len(at), np.uint64)
+        with np.errstate(over="ignore"):
+            for i in range(self.n):
+                x = mix(x + _SEED + w[at + i])
+        return x, np.maximum(filled - self.n + 1, 0).tolist()
+
+
 class MinHash:
     """K functions ``a * h mod 2^32`` (a odd) on 32 well-mixed bits of a shingle's hash.
 
@@ -160,7 +204,7 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both) if both else 0.0
 
 
-def shingle_sets(of: CharRuns | WordRuns, texts: list[str]) -> list[np.ndarray]:
+def shingle_sets(of: CharRuns | WordRuns | BlankWordRuns, texts: list[str]) -> list[np.ndarray]:
     """The distinct shingles of each text, sorted."""
     if not texts:
         return []

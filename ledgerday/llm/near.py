@@ -22,10 +22,10 @@ from pyspark.sql import functions as F
 
 from ledgerday.llm.common import drop_tables, shared_table, streamed_groups
 from ledgerday.llm.components import components
-from ledgerday.llm.minhash import CharRuns, MinHash, WordRuns, band_keys, jaccard, shingle_sets
+from ledgerday.llm.minhash import BlankWordRuns, CharRuns, MinHash, WordRuns, band_keys, jaccard, shingle_sets
 
 #: Makes what cuts whole texts into shingles (see :class:`~ledgerday.llm.minhash.WordRuns`), once a task.
-Shingler = Callable[[], CharRuns | WordRuns]
+Shingler = Callable[[], CharRuns | WordRuns | BlankWordRuns]
 
 #: Items of a block of a bucket or class, and bytes of their texts: blocks are compared two at a time.
 BLOCK, BLOCK_BYTES = 1024, 16_000_000

@@ -16,11 +16,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerday.llm.common import drop_tables, shared_table
-from ledgerday.llm.minhash import WordHashes, WordRuns
+from ledgerday.llm.minhash import BlankWordRuns, word_places
 from ledgerday.llm.near import near_classes, small
 
 #: Words on either side of a paragraph's first word, which has the smallest hash of them; and words that a paragraph has at most.
@@ -34,68 +35,79 @@ BANDS, ROWS = 6, 4
 MIN_PARAGRAPH, MIN_PASSAGE = 5, 16
 #: Paragraphs between two repeated ones that still belong to one passage, and those on either side of a run that are aligned.
 GAP, AROUND = 1, 4
+#: Words by which two alignments may be apart, and how much worse than the best one an alignment may get.
+BAND, DROP = 8, 8
+#: Texts that are cut at a time, and bytes of them.
+TEXTS, TEXT_BYTES = 256, 4_000_000
+BLANKS = " \t\n\x0b\f\r"
 _WORD = re.compile(r"[^ \t-\r]+")
-# Lowers A-Z; what isn't a letter, a digit or beyond ASCII is left out.
 _LOWER = bytes(c + 32 if "A" <= chr(c) <= "Z" else c for c in range(256))
-_MARKS = bytes(c for c in range(128) if not chr(c).isalnum())
 
 
-def word_keys(text: str) -> list[bytes]:
-    """The blank-separated words without their marks and in lower case; a word of marks is empty."""
-    return [w.translate(_LOWER, _MARKS) for w in text.encode("utf-8", "surrogatepass").split()]
-
-
-def starts(hashes: np.ndarray, reach: int = REACH, longest: int = LONGEST) -> list[int]:
-    """The paragraphs' first words: 0, the smallest hashes within reach, and where a paragraph would be too long."""
+def least_in_reach(hashes: np.ndarray, reach: int = REACH) -> np.ndarray:
+    """Which hashes are smaller than the ``reach`` before them and not larger than those behind."""
     n = len(hashes)
-    if not n:
-        return []
     padded = np.pad(hashes, reach, constant_values=np.iinfo(np.uint64).max)
-    around = np.lib.stride_tricks.sliding_window_view(padded, reach)
-    least = (hashes < around[:n].min(1)) & (hashes <= around[reach + 1 :][:n].min(1))
-    out = [0]
-    for at in [*np.flatnonzero(least).tolist(), n]:
-        out += range(out[-1] + longest, at, longest)
-        if out[-1] < at < n:
-            out.append(at)
-    return out
-
-
-class Cutter:
-    """Cuts texts into paragraphs."""
-
-    def __init__(self):
-        self.hashes = WordHashes()
-
-    def __call__(self, text: str | None) -> list[dict]:
-        """``unit, from_word, end_word, text`` of each paragraph; words are blank-separated."""
-        keys = word_keys(text or "")
-        at = starts(np.fromiter(map(self.hashes.__getitem__, keys), np.uint64, len(keys)))
-        return [
-            {"unit": i, "from_word": lo, "end_word": hi, "text": b" ".join(keys[lo:hi]).decode("utf-8", "surrogatepass")}
-            for i, (lo, hi) in enumerate(zip(at, [*at[1:], len(keys)]))
-        ]
-
-
-def _words(text: str) -> list[bytes]:
-    return text.encode("utf-8", "surrogatepass").split()
+    least = np.ones(n, bool)
+    for k in range(1, reach + 1):
+        least &= hashes < padded[reach - k : reach - k + n]
+        least &= hashes <= padded[reach + k : reach + k + n]
+    return least
+
+
+def cut(texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts joined, and of each paragraph its first byte there, its text's number and its first and end words in it."""
+    joined = b"\n".join(texts).translate(_LOWER)
+    starts, _, hashes = word_places(np.frombuffer(joined, np.uint8))
+    own = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), starts, side="right")
+    # Between two texts stand as many largest hashes as a word can reach.
+    first = np.flatnonzero(np.diff(own, prepend=-1))
+    rank = np.zeros(len(own), np.int64)
+    rank[first] = 1
+    spread = np.arange(len(own)) + REACH * (np.cumsum(rank) - 1)
+    apart = np.full(spread[-1] + 1 if len(spread) else 0, np.iinfo(np.uint64).max, np.uint64)
+    apart[spread] = hashes
+    begins = least_in_reach(apart)[spread]
+    begins[first] = True
+    at = np.flatnonzero(begins)
+    ends = np.append(at[1:], len(own))
+    # A paragraph that would be too long is cut at a fixed length.
+    parts = -(-(ends - at) // LONGEST)
+    which = np.repeat(np.arange(len(at)), parts)
+    step = np.arange(len(which)) - (np.cumsum(parts) - parts)[which]
+    low = at[which] + LONGEST * step
+    high = np.minimum(low + LONGEST, ends[which])
+    text_first = first[np.cumsum(rank)[low] - 1] if len(low) else low
+    return joined, starts[low], own[low], low - text_first, high - text_first
 
 
 def _shingler():
-    return WordRuns(_words, SHINGLE)
+    return BlankWordRuns(SHINGLE)
 
 
 def extension(own: list[str], other: list[str]) -> int:
     """How many of the first words of ``own`` belong to what it has in common with ``other`` from the first
     word on: the longest best-scoring alignment of two beginnings (1 a match, -1 an edited word)."""
     best, length = 0, 0
-    row = [-j for j in range(len(other) + 1)]
+    row = [-j for j in range(min(len(other), BAND) + 1)]  # places low to high of ``other``
+    low = 0
     for i, word in enumerate(own, 1):
-        before, row = row, [-i]
-        for j, x in enumerate(other, 1):
-            row.append(max(before[j - 1] + (1 if word == x else -1), before[j] - 1, row[-1] - 1))
-        if max(row) > best:
-            best, length = max(row), i
+        next_low, high = max(0, i - BAND), min(len(other), i + BAND)
+        if next_low > high:
+            break
+        before, was, row, low = row, low, [], next_low
+        for j in range(low, high + 1):
+            ways = [before[j - was] - 1] if j - was < len(before) else []
+            if 0 < j and 0 <= j - 1 - was < len(before):
+                ways.append(before[j - 1 - was] + (1 if word == other[j - 1] else -1))
+            if row:
+                ways.append(row[-1] - 1)
+            row.append(max(ways))
+        top = max(row)
+        if top > best:
+            best, length = top, i
+        elif top < best - DROP:
+            break
     return length
 
 
@@ -105,16 +117,35 @@ def paragraphs_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ``row`` (a hash of the text) tells input rows with equal ids apart, ``place`` (a hash) names the two; ``id`` is
     null where the paragraph is too short to be compared.
     """
-    @F.pandas_udf("array<struct<unit:int,from_word:long,end_word:long,text:string>>")
-    def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        of = Cutter()
-        for texts in batches:
-            yield pd.Series([of(t) for t in texts], dtype=object)
-
+    doc_type = docs.schema[id_col].dataType
     row = F.xxhash64(F.col(text_col))
-    rows = docs.select(F.col(id_col).alias("doc_id"), row.alias("row"), F.explode(cut(F.col(text_col))).alias("p"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), row.alias("row"), F.col(text_col).alias("text")).where("text is not null")
+    rows = rows.select("doc_id", "row", F.xxhash64("doc_id", "row").alias("place"), "text")
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lo = 0
+            while lo < batch.num_rows:
+                texts, size = [], 0
+                while lo + len(texts) < batch.num_rows and len(texts) < TEXTS and size < TEXT_BYTES:
+                    texts.append(batch.column(3)[lo + len(texts)].as_py().encode("utf-8", "surrogatepass"))
+                    size += len(texts[-1])
+                joined, first, own, low, high = cut(texts)
+                part, lo = batch.slice(lo, len(texts)).select([0, 1, 2]), lo + len(texts)
+                if not len(first):
+                    continue
+                unit = np.arange(len(own)) - np.searchsorted(own, own)
+                offsets = pa.py_buffer(np.append(first, len(joined)).astype(np.int32).tobytes())
+                text = pa.StringArray.from_buffers(len(first), offsets, pa.py_buffer(joined))
+                yield pa.RecordBatch.from_arrays(
+                    [*part.take(pa.array(own)).columns, pa.array(unit, pa.int32()), pa.array(low, pa.int64()), pa.array(high, pa.int64()), text],
+                    names=["doc_id", "row", "place", "unit", "from_word", "end_word", "text"],
+                )
+
+    units = rows.mapInArrow(split, f"doc_id {doc_type.simpleString()}, row long, place long, unit int, from_word long, end_word long, text string")
+    units = units.withColumn("text", F.btrim("text", F.lit(BLANKS)))
     long = F.col("end_word") - F.col("from_word") >= MIN_PARAGRAPH
-    return rows.select("doc_id", "row", F.xxhash64("doc_id", "row").alias("place"), "p.*").withColumn("id", F.when(long, F.xxhash64("text")))
+    return units.withColumn("id", F.when(long, F.xxhash64("text")))
 
 
 def repeated_paragraphs(units: DataFrame) -> DataFrame:
@@ -149,7 +180,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     ``removed`` has the spans of words (from, end) that have an earlier place: those of the passage without the
     paragraphs that are their class's first.  ``classes`` are the paragraphs' classes (hashes of a member).
 
-    Words are compared without their marks and in lower case.  Null and empty texts have no
+    Words are compared in lower case (A-Z).  Null and empty texts have no
     rows; null ids come first; rows repeated in full give one row.  Empty
     table: no rows.  Other columns are ignored.
     """
@@ -161,12 +192,12 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     part = F.struct("unit", "from_word", "end_word", "kept", "class", "other")
     runs = found.groupBy("doc_id", "row", "place", "run").agg(F.sort_array(F.collect_list(part)).alias("parts"))
     runs = shared_table(runs.withColumn("first", F.col("parts")[0]).withColumn("last", F.element_at("parts", -1)), "passage-runs")
-    # The paragraphs around a run and around another place of its first and last ones.
+    # A run's first and last paragraphs with those around them, here and at another place of theirs.
     sides = ("own_left", "other_left", "own_right", "other_right")
     middle = (("place", "first.unit"), ("first.other.place", "first.other.unit"), ("place", "last.unit"), ("last.other.place", "last.other.unit"))
     asked = [
         F.struct(F.lit(side).alias("side"), F.col(at).alias("at"), (F.col(unit) + (k if "right" in side else -k)).alias("unit"))
-        for side, (at, unit) in zip(sides, middle) for k in range(1, AROUND + 1)
+        for side, (at, unit) in zip(sides, middle) for k in range(AROUND + 1)
     ]
     asks = shared_table(runs.select("place", "run", F.explode(F.array(*asked)).alias("a")).select("place", "run", "a.*"), "passage-ends")
     spots = shared_table(asks.select("at", "unit").distinct(), "passage-spots")
@@ -180,12 +211,15 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     @F.pandas_udf("left long, right long")
     def extend(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.DataFrame:
         rows = []
-        for own_left, other_left, own_right, other_right in zip(*([x.split(" ") if x else [] for x in s] for s in (a, b, c, d))):
+        for own_left, other_left, own_right, other_right in zip(*([x.split() if x else [] for x in s] for s in (a, b, c, d))):
             rows.append((extension(own_left[::-1], other_left[::-1]), extension(own_right, other_right)))
         return pd.DataFrame(rows, columns=["left", "right"])
 
     ends = ends.select("place", "run", extend(*sides).alias("more")).select("place", "run", "more.*")
-    stored, runs = runs, runs.join(ends, ["place", "run"], "left").fillna(0, ["left", "right"])
+    stored, runs = runs, runs.join(ends, ["place", "run"], "left")
+    # Words of the passage from the first paragraph's end back, and from the last one's first word on.
+    whole = {"left": F.col("first.end_word") - F.col("first.from_word"), "right": F.col("last.end_word") - F.col("last.from_word")}
+    runs = runs.withColumns({side: F.when(F.col(side) > 0, F.col(side)).otherwise(n) for side, n in whole.items()})
 
     @F.pandas_udf("array<struct<from:long,end:long>>")
     def gone(parts: pd.Series, left: pd.Series, right: pd.Series) -> pd.Series:
@@ -195,8 +229,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             joined = False  # to the part before, which goes as well
             for i, p in enumerate(ps):
                 if not p["kept"]:
-                    start = p["from_word"] - (lo if i == 0 else 0)
-                    end = p["end_word"] + (hi if i == len(ps) - 1 else 0)
+                    start = p["end_word"] - lo if i == 0 else p["from_word"]
+                    end = p["from_word"] + hi if i == len(ps) - 1 else p["end_word"]
                     if joined:
                         spans[-1][1] = end
                     else:
@@ -206,7 +240,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         return pd.Series(out, dtype=object)
 
     passages = runs.select(
-        "doc_id", "row", "place", (F.col("first.from_word") - F.col("left")).alias("first_word"), (F.col("last.end_word") + F.col("right")).alias("end_word"),
+        "doc_id", "row", "place", (F.col("first.end_word") - F.col("left")).alias("first_word"), (F.col("last.from_word") + F.col("right")).alias("end_word"),
         F.size("parts").cast("long").alias("n_paragraphs"), gone("parts", "left", "right").alias("removed"), F.col("parts.class").alias("classes"),
     )
     # Runs whose ends have met are one passage.

@@ -2,11 +2,11 @@
 
 import random
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerday.llm.passage_dedup import cut_passages, extension, repeated_passages, starts, without_words
+from ledgerday.llm.minhash import BlankWordRuns, shingle_sets
+from ledgerday.llm.passage_dedup import cut, cut_passages, extension, repeated_passages, without_words
 
 
 def spans_of(rows):
@@ -19,13 +19,28 @@ def matching(a, b, least=3):
     return {i + k for i in range(len(a) - least + 1) if tuple(a[i : i + least]) in runs for k in range(least)}
 
 
-def test_starts_are_the_same_in_every_copy():
-    r = np.random.default_rng(1)
-    passage = r.integers(0, 1 << 62, 200).astype(np.uint64)
-    whole = [np.concatenate([r.integers(0, 1 << 62, n).astype(np.uint64), passage, r.integers(0, 1 << 62, 50).astype(np.uint64)]) for n in (3, 40, 77)]
-    inner = [{at - n for at in starts(w) if n + 5 <= at < n + 195} for n, w in zip((3, 40, 77), whole)]
+def test_paragraphs_are_the_same_in_every_copy(prose):
+    passage = prose(200, 1)
+    texts = [prose(n, 10 + n) + " " + passage + "\n" + prose(50, 20 + n) for n in (3, 40, 77)] + ["", " \n", "One two", "a " * 200, "x"]
+    joined, first, own, low, high = cut([t.encode() for t in texts])
+    inner = [{a - n for a, o in zip(low.tolist(), own.tolist()) if o == k and n + 5 <= a < n + 195} for k, n in enumerate((3, 40, 77))]
     assert inner[0] == inner[1] == inner[2] and len(inner[0]) > 10
-    assert starts(np.zeros(0, np.uint64)) == [] and starts(np.full(200, 7, np.uint64)) == [0, 64, 128, 192]
+    for k, text in enumerate(texts):
+        spans = [(a, b) for a, b, o in zip(low.tolist(), high.tolist(), own.tolist()) if o == k]
+        words = text.lower().split()
+        assert [i for a, b in spans for i in range(a, b)] == list(range(len(words))) and all(0 < b - a <= 64 for a, b in spans)
+        parts = [joined[a:b].decode().split() for a, b, o in zip(first.tolist(), [*first[1:].tolist(), len(joined)], own.tolist()) if o == k]
+        assert [w for p in parts for w in p] == words and [len(p) for p in parts] == [b - a for a, b in spans]
+        alone = cut([text.encode()])
+        assert alone[3].tolist() == [a for a, _ in spans]
+    assert len(cut([])[1]) == len(cut([b""])[1]) == 0
+
+
+def test_runs_of_blank_separated_words(prose):
+    texts = [prose(30, 1), "", "one", "é 日本", "a b a b a", prose(30, 1).replace(" ", "\n")]
+    sets = shingle_sets(BlankWordRuns(2), texts)
+    assert [len(s) for s in sets] == [len({tuple(t.split()[i : i + 2]) for i in range(max(1, len(t.split()) - 1))}) if t else 0 for t in texts]
+    assert sets[0].tolist() == sets[5].tolist()
 
 
 def test_extension_aligns_beginnings():

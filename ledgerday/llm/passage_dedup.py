@@ -4,7 +4,7 @@ Paragraphs are cut by content: one begins at each word whose hash is the
 smallest of the ``REACH`` words on either side, so the copies of a passage have
 the same paragraphs wherever they were pasted, but for a few words at the edges
 and around edits.  Paragraphs that collide in a band of their MinHash signatures
-are checked by exact Jaccard similarity of their word pairs and joined into
+are checked by exact Jaccard similarity of their character runs and joined into
 classes.  Runs of repeated paragraphs of a text make passages, whose ends are
 found by aligning the words around them with those around another place.
 """
@@ -21,13 +21,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerday.llm.common import drop_tables, shared_table
-from ledgerday.llm.minhash import BlankWordRuns, word_places
+from ledgerday.llm.minhash import CharRuns, word_places
 from ledgerday.llm.near import near_classes, small
 
 #: Words on either side of a paragraph's first word, which has the smallest hash of them; and words that a paragraph has at most.
 REACH, LONGEST = 5, 64
-#: Words of a shingle, and the similarity of two paragraphs: one edited word of 5 or more.
-SHINGLE, SIMILARITY = 2, 0.4
+#: Code points of a shingle, and the similarity of two paragraphs: two edited words of eleven.
+SHINGLE, SIMILARITY = 7, 0.4
 #: A pair of similarity 0.9 is missed with probability (1 - 0.9^4)^6 = 0.002, one of 0.67 (one word of
 #: eleven edited) with 0.26: a passage has several paragraphs.
 BANDS, ROWS = 6, 4
@@ -39,9 +39,9 @@ GAP, AROUND = 1, 4
 BAND, DROP = 8, 8
 #: Texts that are cut at a time, and bytes of them.
 TEXTS, TEXT_BYTES = 256, 4_000_000
-BLANKS = " \t\n\x0b\f\r"
 _WORD = re.compile(r"[^ \t-\r]+")
-_LOWER = bytes(c + 32 if "A" <= chr(c) <= "Z" else c for c in range(256))
+# Lowers A-Z and makes every blank a space.
+_LOWER = bytes(c + 32 if "A" <= chr(c) <= "Z" else 32 if 9 <= c <= 13 else c for c in range(256))
 
 
 def least_in_reach(hashes: np.ndarray, reach: int = REACH) -> np.ndarray:
@@ -82,7 +82,7 @@ def cut(texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray,
 
 
 def _shingler():
-    return BlankWordRuns(SHINGLE)
+    return CharRuns(SHINGLE)
 
 
 def extension(own: list[str], other: list[str]) -> int:
@@ -143,7 +143,7 @@ def paragraphs_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 )
 
     units = rows.mapInArrow(split, f"doc_id {doc_type.simpleString()}, row long, place long, unit int, from_word long, end_word long, text string")
-    units = units.withColumn("text", F.btrim("text", F.lit(BLANKS)))
+    units = units.withColumn("text", F.trim("text"))
     long = F.col("end_word") - F.col("from_word") >= MIN_PARAGRAPH
     return units.withColumn("id", F.when(long, F.xxhash64("text")))
 

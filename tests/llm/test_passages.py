@@ -5,7 +5,6 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerday.llm.minhash import BlankWordRuns, shingle_sets
 from ledgerday.llm.passage_dedup import cut, cut_passages, extension, repeated_passages, without_words
 
 
@@ -36,13 +35,6 @@ def test_paragraphs_are_the_same_in_every_copy(prose):
     assert len(cut([])[1]) == len(cut([b""])[1]) == 0
 
 
-def test_runs_of_blank_separated_words(prose):
-    texts = [prose(30, 1), "", "one", "é 日本", "a b a b a", prose(30, 1).replace(" ", "\n")]
-    sets = shingle_sets(BlankWordRuns(2), texts)
-    assert [len(s) for s in sets] == [len({tuple(t.split()[i : i + 2]) for i in range(max(1, len(t.split()) - 1))}) if t else 0 for t in texts]
-    assert sets[0].tolist() == sets[5].tolist()
-
-
 def test_extension_aligns_beginnings():
     assert extension("a b c d".split(), "a b c x".split()) == 3 and extension([], ["a"]) == 0 == extension(["a"], [])
     assert extension("a b x d e f".split(), "a b y d e f".split()) == 6  # over an edited word
@@ -97,7 +89,7 @@ def test_recall_of_passages_with_an_edited_word_in_every_sentence(docs_of, prose
         covered.setdefault(row.doc_id, set()).update(range(row.first_word, row.end_word))
     assert not {d for d in covered if d >= 240}  # clean texts are left alone
     found = sum(a in covered and b in covered for a, b in pairs)
-    assert found >= 0.97 * len(pairs)
+    assert found >= (0.95 if every else 1) * len(pairs)
     wanted = got = 0
     for a, b in pairs:
         for x, y in ((a, b), (b, a)):

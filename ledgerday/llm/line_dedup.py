@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerday.llm.common import drop_tables, shared_table
 from ledgerday.llm.minhash import CharRuns
-from ledgerday.llm.near import near_classes
+from ledgerday.llm.near import near_classes, small
 
 #: Code points in a shingle, and the similarity from which two lines are near copies: an edited
 #: character breaks seven shingles, so a line of 34 code points may have one, a line of 270 nine.
@@ -23,14 +26,21 @@ def _shingler():
     return CharRuns(SHINGLE)
 
 
+def _trimmed(line: Column) -> Column:
+    """``line`` without blanks at its ends.  Spaces go by the quick trim; few lines need the one that takes a set of characters."""
+    plain = F.trim(line)
+    other = reduce(or_, (end(F.lit(c)) for c in BLANKS.strip(" \n") for end in (plain.startswith, plain.endswith)))
+    return F.when(other, F.btrim(line, F.lit(BLANKS))).otherwise(plain)
+
+
 def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, row, line_no, line, id`` of every ``\\n``-split line; ``row`` tells input rows with
-    equal ids apart, and ``id`` is the hash of the line without blanks at its ends (null if that is empty)."""
+    """``doc_id, row, line_no, text, id`` of every ``\n``-split line that isn't blank; ``row`` tells input rows with
+    equal ids apart, ``text`` is the line without blanks at its ends and ``id`` its hash."""
     # The row's hash is worked out before its lines are dealt, not for each of them.
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("row"), F.split(F.col(text_col), "\n").alias("lines"))
     lines = rows.select("doc_id", "row", F.posexplode("lines").alias("line_no", "line"))
-    trimmed = F.btrim("line", F.lit(BLANKS))
-    return lines.withColumn("id", F.when(F.length(trimmed) > 0, F.xxhash64(trimmed)))
+    lines = lines.select("doc_id", "row", "line_no", _trimmed(F.col("line")).alias("text")).where("text <> ''")
+    return lines.withColumn("id", F.xxhash64("text"))
 
 
 def fuzzy_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -46,18 +56,19 @@ def fuzzy_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows repeated in full have the same lines, of which one occurrence each is
     kept.  Lines of any length are compared as a whole.
     """
-    lines = lines_of(docs, id_col, text_col).where("id is not null")
-    items = lines.select("id", F.btrim("line", F.lit(BLANKS)).alias("text"))
-    classes, shared = near_classes(items, _shingler, SIMILARITY, BANDS, ROWS, "lines")
+    lines = lines_of(docs, id_col, text_col)
+    classes, shared = near_classes(lines.select("id", "text"), _shingler, SIMILARITY, BANDS, ROWS, "lines")
     drop_tables(shared)
-    placed = lines.select("doc_id", "row", "line_no", "id").join(classes, "id", "left")
-    placed = placed.select("doc_id", "row", "line_no", F.coalesce("class", "id").alias("line_class"))
-    placed = shared_table(placed, "line-places")
-    # The first place is a combined minimum joined back: a line on a third of all rows is no one task's.
-    first = placed.groupBy("line_class").agg(F.min(F.struct("doc_id", "row", "line_no")).alias("first"))
-    return placed.join(first, "line_class").select(
-        "doc_id", "row", "line_no", "line_class",
-        F.struct("doc_id", "row", "line_no").eqNullSafe(F.col("first")).alias("kept"),
+    placed = lines.select("doc_id", "row", "line_no", "id").join(small(classes), "id", "left")
+    placed = shared_table(placed.select("doc_id", "row", "line_no", F.coalesce("class", "id").alias("line_class")), "line-places")
+    # Most classes are one line in one place, which is kept: only the others' first places are sought and joined back.
+    several = shared_table(placed.groupBy("line_class").count().where("count > 1").select("line_class"), "line-classes")
+    place = F.struct("doc_id", "row", "line_no")
+    first = placed.join(small(several), "line_class", "left_semi").groupBy("line_class").agg(F.min(place).alias("first"))
+    first = shared_table(first, "line-firsts")
+    drop_tables(several)
+    return placed.join(small(first), "line_class", "left").select(
+        "doc_id", "row", "line_no", "line_class", (F.col("first").isNull() | place.eqNullSafe(F.col("first"))).alias("kept")
     )
 
 

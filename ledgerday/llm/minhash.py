@@ -153,13 +153,10 @@ def _blocks(sizes: list[int]) -> Iterator[tuple[int, int]]:
 
 def band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """A 64-bit key for each signature and band; the band's number is part of it."""
-    keys = np.empty((len(signatures), bands), np.uint64)
+    keys = np.tile(np.arange(bands, dtype=np.uint64), (len(signatures), 1))
     with np.errstate(over="ignore"):
-        for b in range(bands):
-            x = np.full(len(signatures), b, np.uint64)
-            for r in range(rows):
-                x = mix(x * _SEED + signatures[:, b * rows + r].astype(np.uint64) + np.uint64(1))
-            keys[:, b] = x
+        for r in range(rows):
+            keys = mix(keys * _SEED + signatures[:, r : bands * rows : rows].astype(np.uint64) + np.uint64(1))
     return keys.view(np.int64)
 
 
@@ -183,4 +180,11 @@ def shingle_sets(of: CharRuns | WordRuns, texts: list[str]) -> list[np.ndarray]:
     if not texts:
         return []
     flat, sizes = of.flat(texts)
-    return [np.unique(part) for part in np.split(flat, np.cumsum(sizes)[:-1])]
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    for lo, hi in zip(starts.tolist(), ends.tolist()):
+        flat[lo:hi].sort()
+    new = np.diff(flat, prepend=flat[:1]) != 0
+    new[starts[starts < len(flat)]] = True
+    flat, until = flat[new], np.append(0, np.cumsum(new))
+    return [flat[lo:hi] for lo, hi in zip(until[starts].tolist(), until[ends].tolist())]

@@ -35,6 +35,9 @@ TEXTS, FEW = 512, 400
 BROADCAST_ROWS = 2_000_000
 #: Shingles of two blocks that are compared at a time.
 COLUMNS = 2048
+#: Keys that a task deals out at a time, and the parts (a power of two) that it deals them to.
+KEYS, PART_BITS = 1 << 20, 12
+PARTS = 1 << PART_BITS
 
 
 def signature_bands(
@@ -74,13 +77,67 @@ def signature_bands(
 
 
 def buckets_of(signed: DataFrame) -> DataFrame:
-    """``key, id, size`` of the buckets with two or more different items.  Rows are two numbers, sorted
-    by key and streamed: an item's keys are shuffled once."""
-    rows = signed.select(F.explode("keys").alias("key"), "id")
-    bucket = Window.partitionBy("key")
-    rows = rows.select("key", "id", F.min("id").over(bucket).alias("low"), F.max("id").over(bucket).alias("high"))
-    rows = rows.where("low < high").select("key", "id").distinct()
-    return rows.withColumn("size", F.count("*").over(bucket))
+    """``key, id, size`` of the buckets with two or more different items.
+
+    Keys are shuffled in runs: a row has many keys of one of ``PARTS`` parts, and their items' ids.  A part's
+    keys are sorted at once, a PARTS-th of all; of a key 44 bits decide (two that agree in them make one bucket,
+    whose pairs are checked like others).
+    """
+    rows = signed.select("id", "keys").mapInArrow(_dealt, "part int, low binary, ids binary")
+    rows = rows.repartition("part").sortWithinPartitions("part")
+    return rows.mapInArrow(_met, "key long, id long, size long")
+
+
+def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The keys and ids of ``id, keys`` rows, dealt out by the keys' parts."""
+    waiting, n = [], 0
+    for batch in batches:
+        keys = batch.column(1)
+        ids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), np.diff(keys.offsets.to_numpy()))
+        waiting.append((keys.flatten().to_numpy(zero_copy_only=False), ids))
+        n += len(ids)
+        if n >= KEYS:
+            yield _by_part(waiting)
+            waiting, n = [], 0
+    if n:
+        yield _by_part(waiting)
+
+
+def _by_part(waiting: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    keys, ids = (np.concatenate(x) for x in zip(*waiting))
+    keys = keys.view(np.uint64)
+    part = (keys & np.uint64(PARTS - 1)).astype(np.uint16)
+    order = np.argsort(part, kind="stable")
+    ends = np.cumsum(np.bincount(part, minlength=PARTS))
+    some = np.flatnonzero(np.diff(ends, prepend=0))
+    offsets = np.append(0, ends[some])
+    columns = [pa.array(some, pa.int32())]
+    for values in ((keys >> np.uint64(PART_BITS)).astype(np.uint32)[order], ids[order]):
+        at = pa.py_buffer((offsets * values.itemsize).astype(np.int32))
+        columns.append(pa.BinaryArray.from_buffers(pa.binary(), len(some), [None, at, pa.py_buffer(values)]))
+    return pa.RecordBatch.from_arrays(columns, names=["part", "low", "ids"])
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The buckets with several items, from the rows of :func:`_dealt` in the parts' order."""
+    for (part,), (low, ids) in streamed_groups(batches, 1):
+        low, ids = np.frombuffer(b"".join(low), np.uint32), np.frombuffer(b"".join(ids), np.int64)
+        order = np.argsort(low)
+        low, ids = low[order], ids[order]
+        same = low[1:] == low[:-1]
+        met = np.flatnonzero(np.append(same, False) | np.append(False, same))
+        order = np.lexsort((ids[met], low[met]))
+        low, ids = low[met][order], ids[met][order]
+        new = np.append(True, low[1:] != low[:-1]) if len(low) else np.zeros(0, bool)
+        first = new | np.append(True, ids[1:] != ids[:-1])[: len(new)]  # an item may come from several tasks
+        low, ids = low[first], ids[first]
+        _, group, sizes = np.unique(low, return_inverse=True, return_counts=True)
+        sizes = sizes[group] if len(low) else np.zeros(0, np.int64)
+        kept = sizes > 1
+        if kept.any():
+            keys = (low[kept].astype(np.int64) << PART_BITS) + part
+            columns = [pa.array(x) for x in (keys, ids[kept], sizes[kept].astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "id", "size"])
 
 
 def members_of(buckets: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerday.llm import near, queries
 from ledgerday.llm.components import components
-from ledgerday.llm.line_dedup import dedup_lines, fuzzy_lines
+from ledgerday.llm.line_dedup import dedup_lines, fuzzy_lines, lines_of
 from ledgerday.llm.minhash import CharRuns, MinHash, WordRuns, jaccard, shingle_sets
 from ledgerday.llm.ngram_join import least_matches, ngram_join, one_of_each
 from ledgerday.llm.quality_rules import js_distance, quality_rules
@@ -321,3 +321,31 @@ def test_lines_with_an_edited_character_are_near_copies_from_34_code_points_on(d
     got = {r.doc_id: r.line_class for r in fuzzy_lines(docs).collect()}
     assert [got[2 * i] == got[2 * i + 1] for i in range(len(pairs))] == [True] * len(pairs)
     assert len(set(got.values())) == len(pairs) + 2
+
+
+def test_buckets_are_shuffled_in_runs_and_equal_brute_force(spark):
+    rows = [(i % 70 - 35, [(i * 37 % 50 - 25) * 2**58 + i % 3, -i, i % 7]) for i in range(400)]
+    signed = spark.createDataFrame(rows, "id long, keys array<long>").repartition(3)
+    members = defaultdict(set)
+    for i, keys in rows:
+        for k in keys:
+            members[k & (1 << 44) - 1].add(i)
+    want = {(k, i, len(v)) for k, v in members.items() if len(v) > 1 for i in v}
+    got = near.buckets_of(signed).collect()
+    assert len(got) == len(want) > 200
+    assert {frozenset((r.id, r.size) for r in got if r.key == k) for k in {r.key for r in got}} == {
+        frozenset((i, n) for k, i, n in want if k == own) for own in {k for k, _, _ in want}
+    }
+    many = spark.range(0, 20000, 1, 2).select("id", F.transform(F.sequence(F.lit(0), F.lit(9)), lambda b: F.xxhash64("id", b)).alias("keys"))
+    assert many.mapInArrow(near._dealt, "part int, low binary, ids binary").count() <= 2 * near.PARTS  # 200,000 keys
+    assert near.buckets_of(many).isEmpty() and near.buckets_of(many.limit(0)).isEmpty()
+
+
+def test_lines_are_trimmed_and_joined_with_their_first_place_without_a_shuffle_of_all_lines(docs_of):
+    texts = ["  a b \t\n\x0b x y\x0c \r\n \t \n\u00a0 kept\u00a0\n   \n\nplain", "plain\nplain", None, ""]
+    lines = {(r.doc_id, r.line_no): r.text for r in lines_of(docs_of(texts)).collect()}
+    want = {(i, n): x.strip(" \t\n\x0b\f\r") for i, t in enumerate(texts) for n, x in enumerate((t or "").split("\n"))}
+    assert lines == {k: v for k, v in want.items() if v}
+    marked = fuzzy_lines(docs_of(texts))
+    assert {(r.doc_id, r.line_no) for r in marked.collect() if not r.kept} == {(1, 0), (1, 1)}
+    assert "SortMergeJoin" not in marked._jdf.queryExecution().executedPlan().toString()

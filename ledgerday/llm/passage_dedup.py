@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerday.llm.common import drop_tables, shared_table
@@ -35,6 +35,8 @@ BANDS, ROWS = 6, 4
 MIN_PARAGRAPH, MIN_PASSAGE = 5, 16
 #: Paragraphs between two repeated ones that still belong to one passage, and those on either side of a run that are aligned.
 GAP, AROUND = 1, 4
+#: Where a paragraph stands in its text (see :func:`paragraphs_of`).
+SPAN = ("begin", "size", "before", "after")
 #: Words by which two alignments may be apart, and how much worse than the best one an alignment may get.
 BAND, DROP = 8, 8
 #: Texts that are cut at a time, and bytes of them.
@@ -85,42 +87,69 @@ def _shingler():
     return CharRuns(SHINGLE)
 
 
-def extension(own: list[str], other: list[str]) -> int:
-    """How many of the first words of ``own`` belong to what it has in common with ``other`` from the first
+def extensions(own: list[list[str]], other: list[list[str]]) -> np.ndarray:
+    """For each pair of texts, how many of the first words of ``own`` belong to what it has in common with ``other`` from the first
     word on: the longest best-scoring alignment of two beginnings (1 a match, -1 an edited word)."""
-    best, length = 0, 0
-    row = [-j for j in range(min(len(other), BAND) + 1)]  # places low to high of ``other``
-    low = 0
-    for i, word in enumerate(own, 1):
-        next_low, high = max(0, i - BAND), min(len(other), i + BAND)
-        if next_low > high:
-            break
-        before, was, row, low = row, low, [], next_low
-        for j in range(low, high + 1):
-            ways = [before[j - was] - 1] if j - was < len(before) else []
-            if 0 < j and 0 <= j - 1 - was < len(before):
-                ways.append(before[j - 1 - was] + (1 if word == other[j - 1] else -1))
-            if row:
-                ways.append(row[-1] - 1)
-            row.append(max(ways))
-        top = max(row)
-        if top > best:
-            best, length = top, i
-        elif top < best - DROP:
+    numbers: dict[str, int] = {}
+    words = []
+    for texts, before, behind, filler in ((own, 1, 0, -1), (other, BAND + 1, BAND + 1, -2)):
+        sizes = np.array([len(t) for t in texts], np.int64)
+        table = np.full((len(texts), before + int(max(sizes, default=0)) + behind), filler, np.int32)
+        flat = (numbers.setdefault(w, len(numbers)) for t in texts for w in t)
+        table[:, before:][np.arange(table.shape[1] - before) < sizes[:, None]] = np.fromiter(flat, np.int32, sizes.sum())
+        words.append((table, sizes))
+    (a, n_own), (b, n_other) = words
+    b = np.pad(b, ((0, 0), (0, max(0, a.shape[1] + 2 * BAND + 1 - b.shape[1]))), constant_values=-2)
+    length = np.zeros(len(a), np.int64)
+    # A row has the scores of the first i own words with i - BAND to i + BAND of the other's; all pairs at once.
+    alive, best = np.arange(len(a)), np.zeros(len(a), np.int32)
+    place = np.arange(-BAND, BAND + 1, dtype=np.int32)
+    none = np.int32(-1 << 20)
+    row = np.where((place >= 0) & (place <= n_other[:, None]), -place, none)
+    for i in range(1, a.shape[1]):
+        on = (n_own[alive] >= i) & (n_other[alive] >= i - BAND)
+        if not on.all():
+            alive, best, row = alive[on], best[on], row[on]
+        if not len(alive):
             break
+        row_before = row
+        equal = a[alive, i][:, None] == b[alive, i : i + len(place)]
+        row = row_before + np.where(equal, np.int32(1), np.int32(-1))
+        row[:, place + i < 1] = none
+        np.maximum(row[:, :-1], row_before[:, 1:] - 1, out=row[:, :-1])
+        row = np.maximum.accumulate(row + place, axis=1) - place
+        row[(place + i < 0) | (place + i > n_other[alive][:, None])] = none
+        top = row.max(1)
+        more = top > best
+        length[alive[more]] = i
+        best = np.maximum(best, top)
+        on = top >= best - DROP
+        if not on.all():
+            alive, best, row = alive[on], best[on], row[on]
     return length
 
 
+def extension(own: list[str], other: list[str]) -> int:
+    """:func:`extensions` of one pair."""
+    return int(extensions([own], [other])[0])
+
+
+def _places(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, row, place, text`` of the rows with a text."""
+    row = F.xxhash64(F.col(text_col))
+    rows = docs.select(F.col(id_col).alias("doc_id"), row.alias("row"), F.col(text_col).alias("text")).where("text is not null")
+    return rows.select("doc_id", "row", F.xxhash64("doc_id", "row").alias("place"), "text")
+
+
 def paragraphs_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, row, place, unit, from_word, end_word, id, text`` of each paragraph.
+    """``doc_id, row, place, unit, from_word, end_word, begin, size, before, after, id, text`` of each paragraph.
 
     ``row`` (a hash of the text) tells input rows with equal ids apart, ``place`` (a hash) names the two; ``id`` is
-    null where the paragraph is too short to be compared.
+    null where the paragraph is too short to be compared.  ``begin`` and ``size`` are bytes of the text; ``before`` has
+    those of the ``AROUND`` paragraphs before it, ``after`` its own and those of the ``AROUND`` behind it.
     """
     doc_type = docs.schema[id_col].dataType
-    row = F.xxhash64(F.col(text_col))
-    rows = docs.select(F.col(id_col).alias("doc_id"), row.alias("row"), F.col(text_col).alias("text")).where("text is not null")
-    rows = rows.select("doc_id", "row", F.xxhash64("doc_id", "row").alias("place"), "text")
+    rows = _places(docs, id_col, text_col)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,23 +163,32 @@ def paragraphs_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 part, lo = batch.slice(lo, len(texts)).select([0, 1, 2]), lo + len(texts)
                 if not len(first):
                     continue
-                unit = np.arange(len(own)) - np.searchsorted(own, own)
+                every = np.arange(len(own))
+                unit = every - np.searchsorted(own, own)
+                last = np.searchsorted(own, own, side="right") - 1
+                sizes = np.array([len(t) for t in texts])
+                begin = first - (np.cumsum(sizes + 1) - sizes - 1)[own]
+                end = np.where(every == last, sizes[own], np.append(begin[1:], 0))
+                before = begin - begin[np.maximum(every - AROUND, every - unit)]
+                after = end[np.minimum(every + AROUND, last)] - begin
                 offsets = pa.py_buffer(np.append(first, len(joined)).astype(np.int32).tobytes())
                 text = pa.StringArray.from_buffers(len(first), offsets, pa.py_buffer(joined))
                 yield pa.RecordBatch.from_arrays(
-                    [*part.take(pa.array(own)).columns, pa.array(unit, pa.int32()), pa.array(low, pa.int64()), pa.array(high, pa.int64()), text],
-                    names=["doc_id", "row", "place", "unit", "from_word", "end_word", "text"],
+                    [*part.take(pa.array(own)).columns, pa.array(unit, pa.int32()), pa.array(low, pa.int64()), pa.array(high, pa.int64()),
+                     *(pa.array(x, pa.int32()) for x in (begin, end - begin, before, after)), text],
+                    names=["doc_id", "row", "place", "unit", "from_word", "end_word", *SPAN, "text"],
                 )
 
-    units = rows.mapInArrow(split, f"doc_id {doc_type.simpleString()}, row long, place long, unit int, from_word long, end_word long, text string")
+    units = rows.mapInArrow(split, f"doc_id {doc_type.simpleString()}, row long, place long, unit int, from_word long, end_word long, " + ", ".join(f"{c} int" for c in SPAN) + ", text string")
     units = units.withColumn("text", F.trim("text"))
     long = F.col("end_word") - F.col("from_word") >= MIN_PARAGRAPH
     return units.withColumn("id", F.when(long, F.xxhash64("text")))
 
 
-def repeated_paragraphs(units: DataFrame) -> DataFrame:
+def repeated_paragraphs(units: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The paragraphs (:func:`paragraphs_of`, without the text) whose class has several places, with
-    ``class``, ``kept`` (the class's first place by (doc_id, row, unit)) and ``other``: another place (``place, unit``) of the class."""
+    ``class``, ``kept`` (the class's first place by (doc_id, row, unit)) and ``other``: another place (``place`` and
+    ``SPAN``) of the class.  And the table that they are read from, for the caller to drop."""
     long = units.where("id is not null")
     classes, shared = near_classes(long.select("id", "text"), _shingler, SIMILARITY, BANDS, ROWS, "paragraphs")
     drop_tables(shared)
@@ -159,16 +197,38 @@ def repeated_paragraphs(units: DataFrame) -> DataFrame:
     several = long.groupBy("id").agg(F.min(spot).alias("low"), F.max(spot).alias("high")).where("low < high")
     sought = several.select("id").join(classes, "id", "full").select("id", F.coalesce("class", "id").alias("class"))
     sought = shared_table(sought, "repeated-paragraphs")
-    placed = long.select("doc_id", "row", "place", "unit", "from_word", "end_word", "id").join(small(sought), "id").drop("id").distinct()
+    placed = long.select("doc_id", "row", "place", "unit", "from_word", "end_word", *SPAN, "id").join(small(sought), "id").drop("id").distinct()
     placed = shared_table(placed, "paragraph-places")
     drop_tables(sought)
-    where = F.struct("doc_id", "row", "unit", "place")
+    where = F.struct("doc_id", "row", "unit", "place", *SPAN)
     many = placed.groupBy("class").agg(F.min(where).alias("first"), F.max(where).alias("last")).where("first < last")
     marked = placed.join(many, "class").withColumn("kept", where.eqNullSafe(F.col("first")))
     other = F.when(F.col("kept"), F.col("last")).otherwise(F.col("first"))
-    return marked.withColumn("other", other).select(
-        *placed.columns, "kept", F.struct(F.col("other.place").alias("place"), F.col("other.unit").alias("unit")).alias("other")
+    found = marked.withColumn("other", other).select(
+        *placed.columns, "kept", F.struct(*(F.col(f"other.{c}").alias(c) for c in ("place", *SPAN))).alias("other")
     )
+    return found, placed
+
+
+def _beginnings(texts: DataFrame, spots: DataFrame) -> DataFrame:
+    """``at, low, high, text``: bytes ``low`` to ``high`` (lower-cased) of the text ``at``, for each of ``spots``; a text's are cut at once."""
+    own = spots.groupBy("at").agg(F.collect_set(F.struct("low", "high")).alias("spots"))  # at most two a paragraph of the text
+
+    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(k, TEXTS)
+                wanted = part.column(2)
+                which = np.repeat(np.arange(len(wanted)), np.diff(wanted.offsets.to_numpy()))
+                low, high = wanted.flatten().flatten()
+                texts = [t.encode("utf-8", "surrogatepass").translate(_LOWER) for t in part.column(1).to_pylist()]
+                cuts = [texts[i][x:y] for i, x, y in zip(which.tolist(), low.to_pylist(), high.to_pylist())]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(which)), low, high, pa.array(cuts, pa.binary()).view(pa.string())], names=["at", "low", "high", "text"]
+                )
+
+    rows = texts.join(own, "at").select("at", "text", "spots")
+    return rows.mapInArrow(take, "at long, low int, high int, text string")
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -185,37 +245,39 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     table: no rows.  Other columns are ignored.
     """
     units = shared_table(paragraphs_of(docs, id_col, text_col), "paragraph-texts")
-    found = repeated_paragraphs(units)
+    found, placed = repeated_paragraphs(units)
     order = Window.partitionBy("place").orderBy("unit")  # a text's own paragraphs
     new = F.col("unit") > F.coalesce(F.lag("unit").over(order), F.lit(-2 - GAP)) + 1 + GAP
     found = found.withColumn("run", F.sum(new.cast("int")).over(order))
-    part = F.struct("unit", "from_word", "end_word", "kept", "class", "other")
+    part = F.struct("unit", "from_word", "end_word", "kept", "class", "place", *SPAN, "other")
     runs = found.groupBy("doc_id", "row", "place", "run").agg(F.sort_array(F.collect_list(part)).alias("parts"))
-    runs = shared_table(runs.withColumn("first", F.col("parts")[0]).withColumn("last", F.element_at("parts", -1)), "passage-runs")
-    # A run's first and last paragraphs with those around them, here and at another place of theirs.
-    sides = ("own_left", "other_left", "own_right", "other_right")
-    middle = (("place", "first.unit"), ("first.other.place", "first.other.unit"), ("place", "last.unit"), ("last.other.place", "last.other.unit"))
-    asked = [
-        F.struct(F.lit(side).alias("side"), F.col(at).alias("at"), (F.col(unit) + (k if "right" in side else -k)).alias("unit"))
-        for side, (at, unit) in zip(sides, middle) for k in range(AROUND + 1)
-    ]
-    asks = shared_table(runs.select("place", "run", F.explode(F.array(*asked)).alias("a")).select("place", "run", "a.*"), "passage-ends")
-    spots = shared_table(asks.select("at", "unit").distinct(), "passage-spots")
-    around = units.select(F.col("place").alias("at"), "unit", "text").join(small(spots), ["at", "unit"], "left_semi").distinct()
-    in_order = {
-        s: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("side") == s, F.struct("unit", "text")))), lambda x: x["text"]), " ")
-        for s in sides
-    }
-    ends = asks.join(around, ["at", "unit"]).groupBy("place", "run").agg(*[text.alias(s) for s, text in in_order.items()])
-
-    @F.pandas_udf("left long, right long")
-    def extend(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.DataFrame:
-        rows = []
-        for own_left, other_left, own_right, other_right in zip(*([x.split() if x else [] for x in s] for s in (a, b, c, d))):
-            rows.append((extension(own_left[::-1], other_left[::-1]), extension(own_right, other_right)))
-        return pd.DataFrame(rows, columns=["left", "right"])
-
-    ends = ends.select("place", "run", extend(*sides).alias("more")).select("place", "run", "more.*")
+    runs = runs.withColumn("first", F.col("parts")[0]).withColumn("last", F.element_at("parts", -1))
+    slim = F.transform("parts", lambda p: F.struct(*(p[c].alias(c) for c in ("from_word", "end_word", "kept", "class"))))
+    runs = shared_table(runs.withColumn("parts", slim), "passage-runs")
+    drop_tables(units, placed)
+    # A run's first paragraph with those before it and its last with those behind, here and at another place of theirs.
+    def beginning(p: str, side: str) -> Column:
+        low = f"{p}.begin - {p}.before" if side == "left" else f"{p}.begin"
+        high = f"{p}.begin + {p}.size" if side == "left" else f"{p}.begin + {p}.after"
+        return F.struct(F.col(f"{p}.place").alias("at"), F.expr(low).alias("low"), F.expr(high).alias("high"))
+
+    sides = F.array(*(
+        F.struct(F.lit(side).alias("side"), beginning(p, side).alias("own"), beginning(f"{p}.other", side).alias("other"))
+        for side, p in (("left", "first"), ("right", "last"))
+    ))
+    sides = runs.select("place", "run", F.explode(sides).alias("x")).select("place", "run", "x.*")
+    texts = _places(docs, id_col, text_col).select(F.col("place").alias("at"), "text").dropDuplicates(["at"])
+    cuts = shared_table(_beginnings(texts, sides.select("own.*").union(sides.select("other.*"))), "passage-ends")
+
+    @F.pandas_udf("long")
+    def extend(side: pd.Series, own: pd.Series, other: pd.Series) -> pd.Series:
+        own, other = ([x.split()[:: -1 if s == "left" else 1] for s, x in zip(side, texts)] for texts in (own, other))
+        return pd.Series(extensions(own, other))
+
+    for which in ("own", "other"):
+        sides = sides.select("*", f"{which}.*").join(cuts.withColumnRenamed("text", f"{which}_text"), ["at", "low", "high"]).drop("at", "low", "high")
+    ends = sides.select("place", "run", "side", extend("side", "own_text", "other_text").alias("n"))
+    ends = ends.groupBy("place", "run").agg(*(F.max(F.when(F.col("side") == side, F.col("n"))).alias(side) for side in ("left", "right")))
     stored, runs = runs, runs.join(ends, ["place", "run"], "left")
     # Words of the passage from the first paragraph's end back, and from the last one's first word on.
     whole = {"left": F.col("first.end_word") - F.col("first.from_word"), "right": F.col("last.end_word") - F.col("last.from_word")}
@@ -253,7 +315,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     )
     passages = passages.withColumn("n_words", F.col("end_word") - F.col("first_word")).where(F.col("n_words") >= MIN_PASSAGE)
     passages = shared_table(passages.select("doc_id", "row", "first_word", "end_word", "n_words", "n_paragraphs", "removed", "classes"), "passages")
-    drop_tables(units, stored, asks, spots)
+    drop_tables(stored, cuts)
     return passages
 
 

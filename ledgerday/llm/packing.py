@@ -41,16 +41,15 @@ class Piece:
     start: int
     ids: np.ndarray
     loss: np.ndarray  # True where a token bears loss
-    n_loss: int = 0
+    n_loss: int = -1  # counted unless it is known
 
     def __post_init__(self):
-        self.n_loss = int(np.count_nonzero(self.loss))
+        if self.n_loss < 0:
+            self.n_loss = int(np.count_nonzero(self.loss))
 
     def cut(self, n: int) -> tuple["Piece", "Piece"]:
-        return (
-            Piece(self.key, self.of, self.start, self.ids[:n], self.loss[:n]),
-            Piece(self.key, self.of, self.start + n, self.ids[n:], self.loss[n:]),
-        )
+        first = Piece(self.key, self.of, self.start, self.ids[:n], self.loss[:n])
+        return first, Piece(self.key, self.of, self.start + n, self.ids[n:], self.loss[n:], self.n_loss - first.n_loss)
 
 
 class Packer:
@@ -58,8 +57,9 @@ class Packer:
 
     def __init__(self, limits: Limits, waiting: int = 256):
         self.limits, self.hold = limits, waiting * limits.tokens
-        self.room = np.array([limits.tokens, 1, limits.loss], float)
+        self.scale = np.array([limits.tokens, limits.segments, limits.loss], float)
         self.pool: list[Piece] = []
+        self.demand = np.ones((64, 3))  # a row for each waiting piece, and room for more: tokens, one segment, loss
         self.held = 0
         self.free = 0  # tokens in the pool that bear no loss
 
@@ -68,15 +68,21 @@ class Packer:
         while len(rest.ids):
             # No waiting piece is larger than an empty sequence.
             n = max(1, self._fitting(rest, self.limits.tokens, self.limits.loss))
-            piece, rest = rest.cut(n)
+            whole = n == len(rest.ids)
+            piece, rest = (rest, None) if whole else rest.cut(n)
             if n == self.limits.tokens:
                 yield [piece]
             else:
                 self._put(piece)
+            if whole:
+                break
         if self.held >= self.hold:
             yield from self._pack(down_to=self.hold // 2)
 
     def _put(self, piece: Piece) -> None:
+        if len(self.pool) == len(self.demand):
+            self.demand = np.concatenate([self.demand, np.ones_like(self.demand)])
+        self.demand[len(self.pool)] = len(piece.ids), 1, piece.n_loss
         self.pool.append(piece)
         self.held += len(piece.ids)
         self.free += len(piece.ids) - piece.n_loss
@@ -108,38 +114,48 @@ class Packer:
 
     def _fill(self, tokens: int) -> list[Piece]:
         left = np.array([tokens, self.limits.segments, self.limits.loss], float)
-        scale = np.array([self.limits.tokens, self.limits.segments, self.limits.loss], float)
-        demand = np.array([(len(p.ids), 1, p.n_loss) for p in self.pool], float).reshape(-1, 3)
-        alive, passed = np.ones(len(self.pool), bool), np.zeros(len(self.pool), bool)
-        taken: list[Piece] = []
+        demand = self.demand[: len(self.pool)]
+        scaled, (need, _, loss) = demand / self.scale, demand.T
+        alive, waiting = np.ones(len(self.pool), bool), len(self.pool)
+        taken: list[int] = []
+        pieces: list[Piece] = []
         cut: Piece | None = None
-        while left[0] and left[1] and alive.any():
-            fits = alive & (demand <= left).all(1)
-            worth = demand / scale @ (left / scale)
+        while left[0] and left[1] and waiting:
+            # A worth is above 0, as every piece has tokens.
+            worth = scaled @ (left / self.scale)
+            fits = alive & (need <= left[0]) & (loss <= left[2])
             if left[1] == 1:
                 # The last segment must fill the sequence.
-                fits &= demand[:, 0] == left[0]
-            if fits.any():
-                i = int(np.argmax(np.where(fits, worth, -1)))
+                fits &= need == left[0]
+            i = int(np.argmax(worth * fits))
+            if fits[i]:
                 piece = self.pool[i]
             else:
-                i = int(np.argmax(np.where(alive, worth, -1)))
-                n = self._fitting(self.pool[i], int(left[0]), int(left[2]))
-                if not n:
-                    alive[i], passed[i] = False, True  # begins with tokens that bear loss, of which no more fit
-                    continue
+                i = int(np.argmax(worth * alive))
                 piece = self.pool[i]
-                if n < len(piece.ids):
+                n = self._fitting(piece, int(left[0]), int(left[2]))
+                if n and n < len(piece.ids):
                     piece, cut = piece.cut(n)
             alive[i] = False
-            taken.append(piece)
+            waiting -= 1
+            if not fits[i] and not n:
+                continue  # begins with tokens that bear loss, of which no more fit
+            taken.append(i)
+            pieces.append(piece)
             left -= (len(piece.ids), 1, piece.n_loss)
             if cut is not None:
                 break
-        self.pool = [p for p, a in zip(self.pool, alive | passed) if a] + ([cut] if cut is not None else [])
-        self.held -= sum(len(p.ids) for p in taken)
-        self.free -= sum(len(p.ids) - p.n_loss for p in taken)
-        return taken
+        demand = np.delete(demand, taken, 0)
+        self.demand[: len(demand)] = demand
+        for i in sorted(taken, reverse=True):
+            del self.pool[i]
+        self.held -= sum(len(p.ids) for p in pieces)
+        self.free -= sum(len(p.ids) - p.n_loss for p in pieces)
+        if cut is not None:
+            self.held -= len(cut.ids)  # it is put back, and counted anew
+            self.free -= len(cut.ids) - cut.n_loss
+            self._put(cut)
+        return pieces
 
 
 def answers(text: str, starts: np.ndarray) -> np.ndarray:

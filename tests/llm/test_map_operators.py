@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ledgerday.llm import decontamination as dc
 from ledgerday.llm.classifier import Settings, SubwordClassifier, classify, features, fit_quality, word_features
 from ledgerday.llm.licenses import LicenseScanner, TemplateAutomaton, TemplateError, license_scan
-from ledgerday.llm.packing import TURN_LIMITS, Limits, Packer, answers, pack_documents
+from ledgerday.llm.packing import TURN_LIMITS, Limits, Packer, Piece, answers, pack_documents
 from ledgerday.llm.token_counts import PieceAutomaton, token_counts
 from ledgerday.llm.queries import QUERIES
 from ledgerday.llm.vocabulary import byte_level_vocabulary, encoder
@@ -162,6 +162,46 @@ def first_fit(examples, limits):
     return len(open_sequences), sum(r[0] for r in open_sequences)
 
 
+def plain_choice(pool, left, limits):
+    """The largest dot product of a piece that fits, by all pieces' demands made anew."""
+    scale = np.array([limits.tokens, limits.segments, limits.loss], float)
+    demand = np.array([(len(p.ids), 1, p.n_loss) for p in pool], float)
+    fits = (demand <= left).all(1) & ((left[1] > 1) | (demand[:, 0] == left[0]))
+    return int(np.argmax(np.where(fits, demand / scale @ (left / scale), -1))) if fits.any() else None
+
+
+@pytest.mark.parametrize("limits", [Limits(), Limits(loss=700), Limits(tokens=64, segments=3, loss=40)])
+def test_waiting_pieces_keep_their_demands_and_whole_examples_are_one_piece(limits, monkeypatch):
+    made, real = [], Piece.__post_init__
+    monkeypatch.setattr(Piece, "__post_init__", lambda self: (made.append(self), real(self))[1])
+    r, packer, out, whole = np.random.default_rng(5), Packer(limits, waiting=20), [], 0
+    for key in range(400):
+        loss = r.random(int(r.integers(1, limits.tokens * 2 if key % 9 == 0 else limits.tokens // 4))) < r.random()
+        loss[-1] = False
+        before = len(made)
+        for sequence in packer.add(key, np.full(len(loss), key, np.uint32), loss):
+            out.append(sequence)
+            n = len(packer.pool)
+            assert packer.demand[:n].tolist() == [[len(p.ids), 1, p.n_loss] for p in packer.pool]
+            assert packer.held == sum(len(p.ids) for p in packer.pool) and packer.free == sum(int((~p.loss).sum()) for p in packer.pool)
+        if len(loss) <= limits.tokens and loss.sum() <= limits.loss and packer.pool and packer.pool[-1].key == key:
+            whole += 1
+            assert len(made) == before + 1 or len(out) and len(made) > before
+    pool = list(packer.pool)
+    first = plain_choice(pool, np.array([packer._size(), limits.segments, limits.loss], float), limits)
+    out += packer.finish()
+    assert whole > 100 and len(made) < 3 * 400
+    assert any(first is None or pool[first] is p for s in out for p in s[:1])
+    got = {}
+    for s in out:
+        assert sum(len(p.ids) for p in s) <= limits.tokens and len(s) <= limits.segments and sum(p.n_loss for p in s) <= limits.loss
+        for p in s:
+            assert p.n_loss == p.loss.sum()
+            got[p.key] = got.get(p.key, 0) + len(p.ids)
+            assert p.of >= p.start + len(p.ids)
+    assert len(got) == 400 and sum(got.values()) == sum(p.of for s in out for p in s if p.start == 0)
+
+
 def test_the_query_closes_sequences_by_loss_and_pads_less_than_first_fit(spark):
     rows = QUERIES["op3_packing"](spark, SF).collect()
     sequences = sequences_of(rows)

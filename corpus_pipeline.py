@@ -17,16 +17,21 @@ benchmark_decontamination  stays                                 treated alike
 packing                    a separator                           each is packed
 =========================  ====================================  =====================================
 
+The session's Arrow batches are held to a thousand rows from the first stage on.
+
 Null ids are ids like others: they come first among lines, last among documents of a class.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerday.llm.classifier import fit_quality, quality_score
-from ledgerday.llm.common import drop_tables, shared_table, table
+from ledgerday.llm.common import bounded_batches, drop_tables, shared_table, table
 from ledgerday.llm.decontamination import decontaminate
 from ledgerday.llm.line_dedup import dedup_lines
 from ledgerday.llm.ngram_join import one_of_each
@@ -56,13 +61,16 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(docs, vocabulary_path(), TURN_LIMITS, turns=True).drop("ids")
 
 
-STAGES = [
-    ("quality_classifier", quality_classifier),
-    ("line_dedup", line_dedup),
-    ("ngram_join", ngram_join),
-    ("benchmark_decontamination", benchmark_decontamination),
-    ("packing", packing),
-]
+def _stage(work: Callable[[SparkSession, DataFrame, str], DataFrame]) -> tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]:
+    @wraps(work)
+    def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bounded_batches(spark)
+        return work(spark, docs, sf_dir)
+
+    return work.__name__, stage
+
+
+STAGES = [_stage(f) for f in (quality_classifier, line_dedup, ngram_join, benchmark_decontamination, packing)]
 
 #: No SQL: a trained model, union-find, alignment and a tokenizer; tests/llm has brute-force versions.
 ORACLE_SQL: str | None = None

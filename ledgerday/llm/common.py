@@ -15,11 +15,22 @@ _WORD_BYTES = bytes(
     for c in range(256)
 )
 
+#: Whole texts that are sent to a Python worker at a time (see :func:`bounded_batches`).
+BATCH_ROWS = 1000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Hold the session's Arrow batches to ``rows`` rows (fewer stay): a batch of whole texts is in the
+    memory of an executor and of its Python worker several times over."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, rows)
+
+
 def shared_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it back.
 

@@ -18,9 +18,12 @@ _BLOCK = 1 << 15
 def mix(x: np.ndarray) -> np.ndarray:
     """A well-mixed 64-bit value of each 64-bit value."""
     with np.errstate(over="ignore"):
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return x ^ (x >> np.uint64(31))
+        x = x ^ (x >> np.uint64(30))
+        x *= np.uint64(0xBF58476D1CE4E5B9)
+        x ^= x >> np.uint64(27)
+        x *= np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(31)
+        return x
 
 
 class WordHashes(dict):
@@ -59,11 +62,14 @@ class CharRuns:
         # A place's run lies in one text if it isn't among the last k - 1 of it.
         a = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
         m = len(a) - self.k + 1
-        x = a[:m].copy()
+        x, n = a, 1  # of runs of n code points, whose number is doubled up to k
         with np.errstate(over="ignore"):
-            for i in range(1, self.k):
-                x *= _SEED
-                x += a[i : m + i]
+            for bit in f"{self.k:b}"[1:]:
+                x = x[:-n] * _SEED**np.uint64(n) + x[n:]
+                n *= 2
+                if bit == "1":
+                    x = x[:-1] * _SEED + a[n:]
+                    n += 1
         inner = np.ones(len(a), bool)
         ends = np.cumsum(sizes)
         for i in range(1, self.k):

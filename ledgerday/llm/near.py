@@ -38,42 +38,50 @@ COLUMNS = 2048
 #: Keys that a task deals out at a time, and the parts (a power of two) that it deals them to.
 KEYS, PART_BITS = 1 << 20, 12
 PARTS = 1 << PART_BITS
+DEALT = "part int, low binary, ids binary"
+#: Items that are signed at a time, and ids (a power of two) of those signed lately that a task remembers.
+SIGNED, LATELY = 500, 1 << 18
 
 
 def signature_bands(
-    items: DataFrame, shingler: Shingler, bands: int, rows: int, extra: int = 0
+    items: DataFrame, shingler: Shingler, bands: int, rows: int, extra: int = 0, dealt: bool = False
 ) -> DataFrame:
     """``id, keys`` of every item (``id`` long, ``text``) with a shingle; with ``extra`` also
-    ``sig``: the signature of ``bands * rows + extra`` values as bytes."""
+    ``sig``: the signature of ``bands * rows + extra`` values as bytes.  With ``dealt`` the keys leave the
+    task that makes them in runs (see :func:`buckets_of`): ``part, low, ids``."""
     schema = "id long, keys array<long>" + ", sig binary" * bool(extra)
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, hashes, seen = shingler(), MinHash(bands * rows + extra), set()
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        of, hashes, lately = shingler(), MinHash(bands * rows + extra), ~np.arange(LATELY)
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                ids, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
-                if len(seen) > 200_000:
-                    seen.clear()
+            batch = batch.filter(batch.column(1).is_valid())
+            for at in range(0, batch.num_rows, SIGNED):
+                part = batch.slice(at, SIGNED)
+                ids, first = np.unique(part.column(0).to_numpy(zero_copy_only=False), return_index=True)
                 # A copy that this task has signed lately would only repeat the row.
-                new = {ids[i]: i for i in range(len(ids) - 1, -1, -1) if texts[i] is not None and ids[i] not in seen}
-                seen.update(new)
-                new = sorted(new.values())
-                flat, sizes = of.flat([texts[i] for i in new]) if new else (None, [])
-                some = [i for i, n in zip(new, sizes) if n]
-                if not some:
+                new = lately[ids & (LATELY - 1)] != ids
+                ids, first = ids[new], first[new]
+                lately[ids & (LATELY - 1)] = ids
+                if not len(ids):
                     continue
-                signatures = hashes.of_flat(flat, [n for n in sizes if n])
-                keys = band_keys(signatures, bands, rows)
-                flat = pa.ListArray.from_arrays(
-                    pa.array(np.arange(0, keys.size + 1, bands, dtype=np.int32)), pa.array(keys.ravel())
-                )
-                columns = [part.column(0).take(pa.array(some)), flat]
-                if extra:
-                    columns.append(pa.array([s.tobytes() for s in signatures], pa.binary()))
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "keys", "sig"][: len(columns)])
+                flat, sizes = of.flat(part.column(1).take(pa.array(first)).to_pylist())
+                some = np.flatnonzero(sizes)
+                if len(some):
+                    signatures = hashes.of_flat(flat, [n for n in sizes if n])
+                    yield ids[some], band_keys(signatures, bands, rows), signatures
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, keys, signatures in signed(batches):
+            columns = [pa.array(ids), pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, bands, dtype=np.int32)), pa.array(keys.ravel()))]
+            if extra:
+                columns.append(pa.array([s.tobytes() for s in signatures], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "keys", "sig"][: len(columns)])
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _in_runs((keys.ravel(), np.repeat(ids, bands)) for ids, keys, _ in signed(batches))
 
-    return items.select("id", "text").mapInArrow(sign, schema)
+    items = items.select("id", "text")
+    return items.mapInArrow(deal, DEALT) if dealt else items.mapInArrow(sign, schema)
 
 
 def buckets_of(signed: DataFrame) -> DataFrame:
@@ -81,20 +89,29 @@ def buckets_of(signed: DataFrame) -> DataFrame:
 
     Keys are shuffled in runs: a row has many keys of one of ``PARTS`` parts, and their items' ids.  A part's
     keys are sorted at once, a PARTS-th of all; of a key 44 bits decide (two that agree in them make one bucket,
-    whose pairs are checked like others).
+    whose pairs are checked like others).  ``signed`` has ``id, keys``, or rows that are dealt already.
     """
-    rows = signed.select("id", "keys").mapInArrow(_dealt, "part int, low binary, ids binary")
+    rows = signed.select("id", "keys").mapInArrow(_dealt, DEALT) if "keys" in signed.columns else signed
     rows = rows.repartition("part").sortWithinPartitions("part")
     return rows.mapInArrow(_met, "key long, id long, size long")
 
 
 def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The keys and ids of ``id, keys`` rows, dealt out by the keys' parts."""
+    def flat() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for batch in batches:
+            keys = batch.column(1)
+            ids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), np.diff(keys.offsets.to_numpy()))
+            yield keys.flatten().to_numpy(zero_copy_only=False), ids
+
+    return _in_runs(flat())
+
+
+def _in_runs(rows: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """Keys and their ids, dealt out ``KEYS`` at a time."""
     waiting, n = [], 0
-    for batch in batches:
-        keys = batch.column(1)
-        ids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), np.diff(keys.offsets.to_numpy()))
-        waiting.append((keys.flatten().to_numpy(zero_copy_only=False), ids))
+    for keys, ids in rows:
+        waiting.append((keys, ids))
         n += len(ids)
         if n >= KEYS:
             yield _by_part(waiting)
@@ -197,7 +214,7 @@ def near_classes(
     pairs by their signatures before texts are fetched.  Items without a shingle
     have no link.
     """
-    signed = signature_bands(items, shingler, bands, rows, extra)
+    signed = signature_bands(items, shingler, bands, rows, extra, dealt=not prune)
     if prune:
         signed = shared_table(signed, f"{name}-signed")
     buckets = shared_table(buckets_of(signed), f"{name}-buckets")

@@ -349,3 +349,19 @@ def test_lines_are_trimmed_and_joined_with_their_first_place_without_a_shuffle_o
     marked = fuzzy_lines(docs_of(texts))
     assert {(r.doc_id, r.line_no) for r in marked.collect() if not r.kept} == {(1, 0), (1, 1)}
     assert "SortMergeJoin" not in marked._jdf.queryExecution().executedPlan().toString()
+
+
+def test_keys_are_dealt_by_the_task_that_makes_them(spark):
+    texts = ["the quick brown fox jumps", "the quick brown fox jumped", "something else altogether", None, "xyz", "Straße und Wörter 😀 mehr"]
+    rows = [(i * 10**15 - 3, t) for i, t in enumerate(texts)] * 3 + [(0, "zero is an id like others"), (7, "zero is an id like other")]
+    items = spark.createDataFrame(rows, "id long, text string").repartition(3)
+
+    def of():
+        return CharRuns(5)
+
+    signed, dealt = (near.signature_bands(items, of, 16, 2, dealt=d) for d in (False, True))
+    assert {r.id for r in signed.collect()} == {i for i, t in rows if t is not None}
+    found = [sorted(map(tuple, near.buckets_of(x).collect())) for x in (signed, dealt)]
+    assert found[0] == found[1] and {r[1] for r in found[1]} >= {-3, 10**15 - 3, 0, 7}
+    # No second worker takes the keys over.
+    assert dealt._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1

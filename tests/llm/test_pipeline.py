@@ -96,3 +96,16 @@ def test_join_stage_keeps_one_row_of_each_class(spark, docs_of, prose):
     assert sum(t in (b, b + " extra") for _, t in out) == 1 and (5, c + " extra") in out
     assert [i for i, t in out if t in (d, d + " extra")] == [7] and len(out) == 7
     assert {(None, None), (None, ""), (9, None)} <= set(out)
+
+
+def test_stages_hold_arrow_batches_and_keep_smaller_ones(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    docs = spark.createDataFrame([(1, "a b c\nd e f", "en", "s", 11)], "doc_id long, text string, lang string, source string, n_chars long")
+    try:
+        for given, held in (("10000", 1000), ("0", 1000), ("7", 7)):
+            spark.conf.set(key, given)
+            dict(corpus_pipeline.STAGES)["packing"](spark, docs, "")
+            assert int(spark.conf.get(key)) == held
+    finally:
+        spark.conf.set(key, before)

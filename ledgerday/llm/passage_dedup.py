@@ -12,11 +12,14 @@ found by aligning the words around them with those around another place.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain, count
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,8 +42,10 @@ GAP, AROUND = 1, 4
 SPAN = ("begin", "size", "before", "after")
 #: Words by which two alignments may be apart, and how much worse than the best one an alignment may get.
 BAND, DROP = 8, 8
-#: Texts that are cut at a time, and bytes of them.
-TEXTS, TEXT_BYTES = 256, 4_000_000
+#: Texts that are cut at a time, and bytes of them: few, so that the work stays in the processor's cache.
+TEXTS, TEXT_BYTES = 32, 4_000_000
+#: Pairs of beginnings that are aligned at a time.
+PAIRS = 2048
 _WORD = re.compile(r"[^ \t-\r]+")
 # Lowers A-Z and makes every blank a space.
 _LOWER = bytes(c + 32 if "A" <= chr(c) <= "Z" else 32 if 9 <= c <= 13 else c for c in range(256))
@@ -90,12 +95,12 @@ def _shingler():
 def extensions(own: list[list[str]], other: list[list[str]]) -> np.ndarray:
     """For each pair of texts, how many of the first words of ``own`` belong to what it has in common with ``other`` from the first
     word on: the longest best-scoring alignment of two beginnings (1 a match, -1 an edited word)."""
-    numbers: dict[str, int] = {}
+    numbers = defaultdict(count().__next__)
     words = []
     for texts, before, behind, filler in ((own, 1, 0, -1), (other, BAND + 1, BAND + 1, -2)):
         sizes = np.array([len(t) for t in texts], np.int64)
         table = np.full((len(texts), before + int(max(sizes, default=0)) + behind), filler, np.int32)
-        flat = (numbers.setdefault(w, len(numbers)) for t in texts for w in t)
+        flat = map(numbers.__getitem__, chain.from_iterable(texts))
         table[:, before:][np.arange(table.shape[1] - before) < sizes[:, None]] = np.fromiter(flat, np.int32, sizes.sum())
         words.append((table, sizes))
     (a, n_own), (b, n_other) = words
@@ -172,7 +177,7 @@ def paragraphs_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 before = begin - begin[np.maximum(every - AROUND, every - unit)]
                 after = end[np.minimum(every + AROUND, last)] - begin
                 offsets = pa.py_buffer(np.append(first, len(joined)).astype(np.int32).tobytes())
-                text = pa.StringArray.from_buffers(len(first), offsets, pa.py_buffer(joined))
+                text = pc.ascii_rtrim(pa.StringArray.from_buffers(len(first), offsets, pa.py_buffer(joined)), " ")  # it begins with a word
                 yield pa.RecordBatch.from_arrays(
                     [*part.take(pa.array(own)).columns, pa.array(unit, pa.int32()), pa.array(low, pa.int64()), pa.array(high, pa.int64()),
                      *(pa.array(x, pa.int32()) for x in (begin, end - begin, before, after)), text],
@@ -180,7 +185,6 @@ def paragraphs_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 )
 
     units = rows.mapInArrow(split, f"doc_id {doc_type.simpleString()}, row long, place long, unit int, from_word long, end_word long, " + ", ".join(f"{c} int" for c in SPAN) + ", text string")
-    units = units.withColumn("text", F.trim("text"))
     long = F.col("end_word") - F.col("from_word") >= MIN_PARAGRAPH
     return units.withColumn("id", F.when(long, F.xxhash64("text")))
 
@@ -192,12 +196,11 @@ def repeated_paragraphs(units: DataFrame) -> tuple[DataFrame, DataFrame]:
     long = units.where("id is not null")
     classes, shared = near_classes(long.select("id", "text"), _shingler, SIMILARITY, BANDS, ROWS, "paragraphs")
     drop_tables(shared)
-    # Most paragraphs stand in one place only and have no class: two hashes a paragraph sort them out.
-    spot = F.xxhash64("place", "unit")
-    several = long.groupBy("id").agg(F.min(spot).alias("low"), F.max(spot).alias("high")).where("low < high")
+    # Most paragraphs stand in one row only and have no class: a count sorts them out.
+    several = long.groupBy("id").count().where("count > 1")
     sought = several.select("id").join(classes, "id", "full").select("id", F.coalesce("class", "id").alias("class"))
     sought = shared_table(sought, "repeated-paragraphs")
-    placed = long.select("doc_id", "row", "place", "unit", "from_word", "end_word", *SPAN, "id").join(small(sought), "id").drop("id").distinct()
+    placed = long.select("doc_id", "row", "place", "unit", "from_word", "end_word", *SPAN, "id").join(small(sought), "id").drop("id").dropDuplicates(["place", "unit"])
     placed = shared_table(placed, "paragraph-places")
     drop_tables(sought)
     where = F.struct("doc_id", "row", "unit", "place", *SPAN)
@@ -231,6 +234,25 @@ def _beginnings(texts: DataFrame, spots: DataFrame) -> DataFrame:
     return rows.mapInArrow(take, "at long, low int, high int, text string")
 
 
+def removed_spans(parts: pa.ListArray, left: np.ndarray, right: np.ndarray) -> pa.ListArray:
+    """The spans of words (from, end) of each run's paragraphs (``from_word, end_word, kept``) that aren't kept, neighbours
+    joined; the run's first has ``left`` words from its end back, the last one ``right`` words from its beginning on."""
+    sizes = np.diff(parts.offsets.to_numpy())
+    first, last = np.cumsum(sizes) - sizes, np.cumsum(sizes) - 1
+    flat = parts.flatten()
+    low, high, kept = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("from_word", "end_word", "kept"))
+    start, end = low.copy(), high.copy()
+    start[first], end[last] = high[first] - left, low[last] + right
+    begins, ends = ~kept, ~kept
+    inner = np.ones(len(kept), bool)  # has one before it in its run
+    inner[first] = False
+    begins[1:] &= kept[:-1] | ~inner[1:]
+    ends[:-1] &= kept[1:] | ~inner[1:]
+    counts = np.add.reduceat(begins.astype(np.int32), first) if len(first) else np.empty(0, np.int32)
+    spans = pa.StructArray.from_arrays([pa.array(start[begins]), pa.array(end[ends])], names=["from", "end"])
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), spans)
+
+
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per passage: ``doc_id, row, first_word, end_word, n_words, n_paragraphs, removed, classes``.
 
@@ -271,8 +293,12 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     @F.pandas_udf("long")
     def extend(side: pd.Series, own: pd.Series, other: pd.Series) -> pd.Series:
-        own, other = ([x.split()[:: -1 if s == "left" else 1] for s, x in zip(side, texts)] for texts in (own, other))
-        return pd.Series(extensions(own, other))
+        found = [np.empty(0, np.int64)]
+        for k in range(0, len(side), PAIRS):
+            part = slice(k, k + PAIRS)
+            words = ([x.split()[:: -1 if s == "left" else 1] for s, x in zip(side[part], texts[part])] for texts in (own, other))
+            found.append(extensions(*words))
+        return pd.Series(np.concatenate(found))
 
     for which in ("own", "other"):
         sides = sides.select("*", f"{which}.*").join(cuts.withColumnRenamed("text", f"{which}_text"), ["at", "low", "high"]).drop("at", "low", "high")
@@ -283,23 +309,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     whole = {"left": F.col("first.end_word") - F.col("first.from_word"), "right": F.col("last.end_word") - F.col("last.from_word")}
     runs = runs.withColumns({side: F.when(F.col(side) > 0, F.col(side)).otherwise(n) for side, n in whole.items()})
 
-    @F.pandas_udf("array<struct<from:long,end:long>>")
-    def gone(parts: pd.Series, left: pd.Series, right: pd.Series) -> pd.Series:
-        out = []
-        for ps, lo, hi in zip(parts, left, right):
-            spans: list[list[int]] = []
-            joined = False  # to the part before, which goes as well
-            for i, p in enumerate(ps):
-                if not p["kept"]:
-                    start = p["end_word"] - lo if i == 0 else p["from_word"]
-                    end = p["from_word"] + hi if i == len(ps) - 1 else p["end_word"]
-                    if joined:
-                        spans[-1][1] = end
-                    else:
-                        spans.append([start, end])
-                joined = not p["kept"]
-            out.append([{"from": int(x), "end": int(y)} for x, y in spans])
-        return pd.Series(out, dtype=object)
+    @F.arrow_udf("array<struct<from:long,end:long>>")
+    def gone(parts: pa.Array, left: pa.Array, right: pa.Array) -> pa.Array:
+        return removed_spans(parts, *(x.to_numpy(zero_copy_only=False) for x in (left, right)))
 
     passages = runs.select(
         "doc_id", "row", "place", (F.col("first.end_word") - F.col("left")).alias("first_word"), (F.col("last.from_word") + F.col("right")).alias("end_word"),

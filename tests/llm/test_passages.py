@@ -3,6 +3,8 @@
 import os
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -165,3 +167,37 @@ def test_edge_texts(docs_of, prose):
     rows = repeated_passages(docs_of(texts)).collect()
     assert {0, 1, 7, 8, 9} <= {r.doc_id for r in rows} <= {0, 1, 2, 3, 7, 8, 9} and len(cut_passages(docs_of(texts)).collect()) == len(texts)
     assert spans_of([r for r in rows if r.doc_id in (8, 9)]) == {8: (1, 61), 9: (0, 60)}
+
+
+def plain_removed(parts, left, right):
+    """One run, paragraph by paragraph."""
+    spans, joined = [], False
+    for i, (low, high, kept) in enumerate(parts):
+        if not kept:
+            start = high - left if i == 0 else low
+            end = low + right if i == len(parts) - 1 else high
+            if joined:
+                spans[-1][1] = end
+            else:
+                spans.append([start, end])
+        joined = not kept
+    return [{"from": a, "end": b} for a, b in spans]
+
+
+def test_removed_spans_of_many_runs_at_once():
+    r = random.Random(3)
+    runs = [[(10 * i, 10 * i + r.randint(5, 10), r.random() < 0.5) for i in range(n)] for n in [1, 1, 2, 2, 3, 7] * 50]
+    left, right = ([r.randint(1, 20) for _ in runs] for _ in range(2))
+    kind = pa.list_(pa.struct([("from_word", pa.int64()), ("end_word", pa.int64()), ("kept", pa.bool_())]))
+    parts = pa.array([[dict(zip(("from_word", "end_word", "kept"), p)) for p in run] for run in runs], kind)
+    want = [plain_removed(*x) for x in zip(runs, left, right)]
+    assert passage_dedup.removed_spans(parts, np.array(left), np.array(right)).to_pylist() == want
+    # Part of a longer array, and none at all.
+    assert passage_dedup.removed_spans(parts.slice(100, 50), np.array(left[100:150]), np.array(right[100:150])).to_pylist() == want[100:150]
+    assert passage_dedup.removed_spans(parts.slice(0, 0), np.empty(0, np.int64), np.empty(0, np.int64)).to_pylist() == []
+
+
+def test_paragraphs_have_no_blanks_around(spark, docs_of, prose):
+    rows = passage_dedup.paragraphs_of(docs_of([f" \n\t{prose(60, 5)} \r\n ", "Ab\u00a0 cD é\n"])).collect()
+    assert len(rows) > 3 and all(x.text and x.text == x.text.strip(" \t\r\n") for x in rows)
+    assert [x.text for x in rows if x.doc_id == 1] == ["ab\u00a0 cd é"]
